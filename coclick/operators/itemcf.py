@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coclick.operators.pairs import DEFAULT_BLOCK, canonical_pair, symmetrise, window_pairs
-from coclick.operators.topk import clamp, collect_ranked, floor_filter, top_k_by_key
+from coclick.operators.topk import rank_key, clamp, collect_ranked, floor_filter, top_k_by_key
 from coclick.sources.clicks import day_range_filter
 from coclick.functions.text import score_pairs_text
 
@@ -107,7 +107,7 @@ def neighbour_lists(scores: DataFrame, *, k1: int = LIST_K1, k2: int = LIST_K2,
     sym = symmetrise(scores, ["va", "weight_a"], ["vb", "weight_b"], ["item", "weight_a"], ["nbr", "weight_b"],
                      keep=["weight", "score"])
     k = min(k1, k2)
-    ranked = top_k_by_key(sym, ["item"], [F.col("score").desc(), "nbr", "weight", "weight_a", "weight_b"], k)
+    ranked = top_k_by_key(sym, ["item"], [rank_key("score"), "nbr", "weight", "weight_a", "weight_b"], k)
     ranked = ranked.withColumn("score", clamp(F.col("score"), clamp_at))
     return ranked.where(floor_filter(F.col("rank"), F.col("score"), min_keep, floor, k)) \
         .select("item", "rank", "nbr", "score", "weight", "weight_a", "weight_b")

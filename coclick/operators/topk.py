@@ -24,6 +24,17 @@ def top_k_by_key(df: DataFrame, key_cols: list[str], order_cols: list, k: int |
     return out.withColumn(rank_col, F.col(rank_col).cast("bigint"))
 
 
+# Scores that are sums of doubles differ in the last bits with the order of
+# summation (partitioning, engine).  Rankings order by the score rounded to
+# RANK_DIGITS places, then by id, so ties are decided the same way everywhere.
+RANK_DIGITS = 9
+
+
+def rank_key(score) -> Column:
+    score = F.col(score) if isinstance(score, str) else score
+    return F.round(score, RANK_DIGITS).desc()
+
+
 def floor_filter(rank: Column, score: Column, min_keep: int = 50, floor: float = 0.001,
                  max_len: int = 200) -> Column:
     """FLT8: the first ``min_keep`` always, later ones only while score > floor.

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coclick.operators import itemcf
+from coclick.operators import itemcf, swing
 from coclick.plans import params as P
 from coclick.sources import testdata as T
 
@@ -60,12 +60,69 @@ def itemcf_lines(spark, sf):
     return itemcf.neighbour_text(lists, fmt="%d:%.6f")
 
 
+# --------------------------------------------------------------- Swing ---
+def cp_ui(spark, sf):
+    return swing.user_item(T.copurchase(spark, sf))
+
+
+def cp_swing(spark, sf):
+    return swing.swing_pipeline(cp_ui(spark, sf), whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE))
+
+
+def swing_user_weight(spark, sf):
+    return swing.user_weights(cp_ui(spark, sf)).select("user", _r("weight"))
+
+
+def swing_u2u(spark, sf):
+    return swing.user_pair_counts(cp_ui(spark, sf))
+
+
+def swing_i2i_users(spark, sf):
+    return swing.item_pair_users(cp_ui(spark, sf))
+
+
+def swing_paths(spark, sf):
+    return swing.item_pair_user_pairs(swing.item_pair_users(cp_ui(spark, sf)))
+
+
+def swing_scores(spark, sf):
+    return cp_swing(spark, sf).select("itemi", "itemj", _r("swing_score"))
+
+
+def swing_topk(spark, sf):
+    return swing.swing_lists(cp_swing(spark, sf)).select("itemi", "rank", "itemj", _r("swing_score"))
+
+
+def swing_reweighted(spark, sf):
+    rw = swing.reweighted_scores(cp_swing(spark, sf), T.part_features(spark, sf), "ID")
+    return swing.swing_lists(rw).select("itemi", "rank", "itemj", _r("swing_score"))
+
+
+def swing_cases(spark, sf):
+    return swing.case_report(cp_swing(spark, sf), T.part_shops(spark, sf))
+
+
+def list_length_profile(spark, sf):
+    lines = swing.swing_text(swing.swing_lists(cp_swing(spark, sf)))
+    return swing.length_profile(lines).select(
+        "key_size", *[_r(c) for c in ["avg_length"] + [f"per{q}" for q in range(10, 100, 10)]])
+
+
 QUERIES: dict[str, Query] = {
     "itemcf_daily": itemcf_daily,
     "itemcf_merged": itemcf_merged,
     "itemcf_scores": itemcf_scores,
     "itemcf_topk": itemcf_topk,
     "itemcf_lines": itemcf_lines,
+    "swing_user_weight": swing_user_weight,
+    "swing_u2u": swing_u2u,
+    "swing_i2i_users": swing_i2i_users,
+    "swing_paths": swing_paths,
+    "swing_scores": swing_scores,
+    "swing_topk": swing_topk,
+    "swing_reweighted": swing_reweighted,
+    "swing_cases": swing_cases,
+    "list_length_profile": list_length_profile,
 }
 
 

@@ -65,13 +65,49 @@ CF_LISTS = """sym AS (
   SELECT va AS item, vb AS nbr, score, weight, weight_a, weight_b FROM scores
   UNION ALL
   SELECT vb AS item, va AS nbr, score, weight, weight_b AS weight_a, weight_a AS weight_b FROM scores),
-rk AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, nbr) AS rank FROM sym),
+rk AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY round(score, 9) DESC, nbr) AS rank FROM sym),
 lists AS (SELECT item, CAST(rank AS BIGINT) AS rank, nbr, least(score, 1.0) AS score, weight, weight_a, weight_b
           FROM rk WHERE rank <= 200 AND (rank <= 50 OR least(score, 1.0) > 0.001))"""
 
 CP_CHAIN = ",\n".join([CP, WL, cf_daily("cp", "u"), cf_merged("daily")])
 
 
+SWING = f"""ui AS (SELECT DISTINCT u, item FROM cp WHERE item IS NOT NULL),
+uw AS (SELECT u, 1.0 / sqrt(count(*)) AS weight FROM ui GROUP BY u),
+isz AS (SELECT item FROM ui GROUP BY item HAVING count(*) BETWEEN 2 AND 1000),
+u2u AS (SELECT a.u AS ui, b.u AS uj, CAST(count(*) AS BIGINT) AS weight
+        FROM ui a JOIN ui b ON a.item = b.item AND a.u < b.u
+        WHERE a.item IN (SELECT item FROM isz) GROUP BY 1, 2),
+i2iu AS (SELECT a.item AS itemi, b.item AS itemj, a.u AS u FROM ui a JOIN ui b ON a.u = b.u AND a.item < b.item),
+paths AS (SELECT a.itemi, a.itemj, a.u AS ui, b.u AS uj
+          FROM i2iu a JOIN i2iu b ON a.itemi = b.itemi AND a.itemj = b.itemj AND a.u < b.u),
+pw AS (SELECT * FROM paths WHERE itemi IN (SELECT item FROM wl) AND itemj IN (SELECT item FROM wl)),
+uu AS (SELECT a.ui, a.uj, b.weight AS uiw, c.weight AS ujw, a.weight AS weight
+       FROM u2u a JOIN uw b ON a.ui = b.u JOIN uw c ON a.uj = c.u),
+s1 AS (SELECT a.itemi, a.itemj, sum(uiw * ujw * 1 / (1 + b.weight)) AS swing_score
+       FROM pw a JOIN uu b ON a.ui = b.ui AND a.uj = b.uj GROUP BY 1, 2),
+swing AS (SELECT itemi, itemj, swing_score FROM s1 UNION SELECT itemj AS itemi, itemi AS itemj, swing_score FROM s1),
+swing_top AS (SELECT * FROM (SELECT itemi, CAST(row_number() OVER (PARTITION BY itemi ORDER BY round(swing_score, 9) DESC, itemj) AS BIGINT) AS rank,
+              itemj, swing_score FROM swing) WHERE rank <= 200)"""
+
+FEAT = """feat AS (
+  SELECT p_partkey AS itemid, p_retailprice / 4000.0 AS ctcvr30, 'ID' AS country, '2024-01-29' AS dt FROM part
+  UNION ALL
+  SELECT p_partkey, p_retailprice / 2000.0, 'ID', '2024-01-30' FROM part WHERE p_size % 3 <> 0),
+feat_new AS (SELECT itemid, ctcvr30 FROM feat WHERE country = 'ID' AND dt = (SELECT max(dt) FROM feat WHERE country = 'ID')),
+rw AS (SELECT a.itemi, a.itemj, b.ctcvr30 * a.swing_score AS swing_score FROM swing a JOIN feat_new b ON a.itemj = b.itemid),
+rw_top AS (SELECT * FROM (SELECT itemi, CAST(row_number() OVER (PARTITION BY itemi ORDER BY round(swing_score, 9) DESC, itemj) AS BIGINT) AS rank,
+           itemj, swing_score FROM rw) WHERE rank <= 200)"""
+
+SHOPS = """shop AS (SELECT p_partkey AS item_id, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) AS shop_id FROM part),
+cases AS (
+  SELECT CAST(b.shop_id AS VARCHAR) || ':' || CAST(a.itemi AS VARCHAR) AS shopi_itemi,
+         CAST(c.shop_id AS VARCHAR) || ':' || CAST(a.itemj AS VARCHAR) AS shopj_itemj, a.itemj, a.swing_score
+  FROM swing a JOIN shop b ON a.itemi = b.item_id JOIN shop c ON a.itemj = c.item_id),
+cases_rk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY shopi_itemi ORDER BY round(swing_score, 9) DESC, itemj) AS rk
+             FROM cases) WHERE rk <= 100)"""
+
+
 def _q(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -92,4 +128,19 @@ def sql() -> dict[str, str]:
                            "SELECT item, CAST(item AS VARCHAR) || chr(9) || "
                            "string_agg(printf('%d:%.6f', nbr, round(score, 6)), ';' ORDER BY rank) AS line "
                            "FROM lists GROUP BY item")
+    sw = ",\n".join([CP, WL, SWING])
+    q["swing_user_weight"] = _q(sw, "SELECT u AS user, round(weight, 6) AS weight FROM uw")
+    q["swing_u2u"] = _q(sw, "SELECT ui, uj, weight FROM u2u")
+    q["swing_i2i_users"] = _q(sw, "SELECT itemi, itemj, u AS user FROM i2iu")
+    q["swing_paths"] = _q(sw, "SELECT itemi, itemj, ui, uj FROM paths")
+    q["swing_scores"] = _q(sw, "SELECT itemi, itemj, round(swing_score, 6) AS swing_score FROM swing")
+    q["swing_topk"] = _q(sw, "SELECT itemi, rank, itemj, round(swing_score, 6) AS swing_score FROM swing_top")
+    q["swing_reweighted"] = _q(",\n".join([sw, FEAT]),
+                               "SELECT itemi, rank, itemj, round(swing_score, 6) AS swing_score FROM rw_top")
+    q["swing_cases"] = _q(",\n".join([sw, SHOPS]),
+                          "SELECT shopi_itemi, shopi_itemi || ' ' || string_agg(shopj_itemj, ' ' ORDER BY rk) AS line "
+                          "FROM cases_rk GROUP BY shopi_itemi")
+    pct = ", ".join(f"round(quantile_cont(length, {q / 100}), 6) AS per{q}" for q in range(10, 100, 10))
+    q["list_length_profile"] = _q(sw, "SELECT CAST(count(length) AS BIGINT) AS key_size, round(avg(length), 6) AS avg_length, "
+                                      f"{pct} FROM (SELECT CAST(count(*) AS INTEGER) AS length FROM swing_top GROUP BY itemi)")
     return q

@@ -108,14 +108,15 @@ def read_whitelist(items: DataFrame, *, item_col: str = "itemid", region: str |
 def latest_partition(df: DataFrame, part_col: str, by: list[str] | None = None) -> DataFrame:
     """SRC7/SRC8: keep only rows of the newest ``part_col`` value (per ``by`` group).
 
-    Expressed as a join with ``max`` so no value travels through the driver;
-    the max side has one row per group.
+    Without ``by`` this is a scalar subquery (``max`` computed once, then a
+    plain filter); with ``by`` a join to the per-group maximum.  No value
+    travels through the driver.
     """
-    by = by or []
-    newest = df.groupBy(*by).agg(F.max(part_col).alias("__newest"))
     if not by:
-        # exactly one row: a safe broadcast
-        newest = F.broadcast(newest)
+        spark = df.sparkSession
+        return spark.sql(f"SELECT * FROM {{src}} WHERE `{part_col}` = (SELECT max(`{part_col}`) FROM {{src}})",
+                         src=df)
+    newest = df.groupBy(*by).agg(F.max(part_col).alias("__newest"))
     return df.join(newest, on=by, how="inner").where(F.col(part_col) == F.col("__newest")).drop("__newest")
 
 
