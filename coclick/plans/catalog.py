@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coclick.operators import itemcf, swing
+from coclick.operators import graph, itemcf, swing
 from coclick.plans import params as P
 from coclick.sources import testdata as T
 
@@ -108,6 +108,55 @@ def list_length_profile(spark, sf):
         "key_size", *[_r(c) for c in ["avg_length"] + [f"per{q}" for q in range(10, 100, 10)]])
 
 
+# --------------------------------------------------------------- graph ---
+def ev_all(spark, sf):
+    """All events (any type) with a leniently cast item id: the session graph input."""
+    return T.event_clicks(spark, sf, event_type=None, strict_ids=False)
+
+
+def g_daily(spark, sf):
+    return graph.session_edges(ev_all(spark, sf), ["user", "day"], tiebreak="eid", day_col="day")
+
+
+def g_adj(spark, sf):
+    merged = graph.merge_edges(g_daily(spark, sf), whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE),
+                               day_col="day", day=P.DAY, n_days=P.MERGE_DAYS)
+    return graph.adjacency(merged, edge_thre=P.EDGE_THRE)
+
+
+def g_labels(spark, sf):
+    return g_daily(spark, sf).where(F.col("day") == F.lit(P.DAY).cast("date")).select("va", "vb", "w")
+
+
+def graph_session_edges(spark, sf):
+    return g_daily(spark, sf).select(F.col("day").cast("string").alias("day"), "va", "vb", "w")
+
+
+def graph_merged(spark, sf):
+    return graph.merge_edges(g_daily(spark, sf), whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE),
+                             day_col="day", day=P.DAY, n_days=P.MERGE_DAYS)
+
+
+def graph_adjacency(spark, sf):
+    return g_adj(spark, sf).select("va", "idx", "vb", "w", "deg")
+
+
+def graph_hop1(spark, sf):
+    ctx = graph.label_contexts(g_labels(spark, sf))
+    return graph.hop1_samples(ctx, g_adj(spark, sf), P.HOP1, P.SEED)
+
+
+def graph_hop2(spark, sf):
+    adj = g_adj(spark, sf)
+    h1 = graph.hop1_samples(graph.label_contexts(g_labels(spark, sf)), adj, P.HOP1, P.SEED)
+    return graph.hop2_samples(h1, adj, P.HOP2, P.SEED).where(F.col("hop2").isNotNull()) \
+        .select("tag", "va", "vb", "pos", "pos2", "hop2")
+
+
+def graph_training_rows(spark, sf):
+    return graph.training_rows(g_labels(spark, sf), g_adj(spark, sf), k1=P.HOP1, k2=P.HOP2, seed=P.SEED)
+
+
 QUERIES: dict[str, Query] = {
     "itemcf_daily": itemcf_daily,
     "itemcf_merged": itemcf_merged,
@@ -123,6 +172,12 @@ QUERIES: dict[str, Query] = {
     "swing_reweighted": swing_reweighted,
     "swing_cases": swing_cases,
     "list_length_profile": list_length_profile,
+    "graph_session_edges": graph_session_edges,
+    "graph_merged": graph_merged,
+    "graph_adjacency": graph_adjacency,
+    "graph_hop1": graph_hop1,
+    "graph_hop2": graph_hop2,
+    "graph_training_rows": graph_training_rows,
 }
 
 

@@ -108,6 +108,70 @@ cases_rk AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY shopi_item
              FROM cases) WHERE rk <= 100)"""
 
 
+GRAPH = f"""g AS (SELECT user_id AS u, CAST(ts AS DATE) AS day, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS item,
+             ts, event_id AS eid FROM events WHERE user_id > 0),
+g_next AS (SELECT day, item AS a, lead(item) OVER (PARTITION BY u, day ORDER BY ts, eid) AS b
+           FROM g WHERE item IS NOT NULL AND ts IS NOT NULL),
+g_daily AS (SELECT day, va, vb, sum(1.0) AS w FROM (
+              SELECT day, a AS va, b AS vb FROM g_next WHERE b IS NOT NULL AND a <> b
+              UNION ALL SELECT day, b AS va, a AS vb FROM g_next WHERE b IS NOT NULL AND a <> b) GROUP BY ALL),
+g_merged AS (SELECT va, vb, sum(w) AS w FROM g_daily
+             WHERE day BETWEEN DATE '{P.DAY}' - INTERVAL {P.MERGE_DAYS} DAY AND DATE '{P.DAY}'
+               AND va IN (SELECT item FROM wl) AND vb IN (SELECT item FROM wl)
+             GROUP BY va, vb HAVING sum(w) >= 0),
+adj AS (SELECT va, CAST(row_number() OVER (PARTITION BY va ORDER BY vb) - 1 AS BIGINT) AS idx, vb, w,
+               CAST(count(*) OVER (PARTITION BY va) AS BIGINT) AS deg FROM g_merged WHERE w > {P.EDGE_THRE}),
+deg AS (SELECT DISTINCT va, deg FROM adj),
+labels AS (SELECT va, vb, w FROM g_daily WHERE day = DATE '{P.DAY}')"""
+
+
+def _h(tag: str, *ctx: str) -> str:
+    parts = ", ".join(["'" + P.SEED + "'", "'" + tag + "'", *ctx, "j"])
+    return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT % (j + 1)"
+
+
+def _draws(n: str, k: int, tag: str, *ctx: str) -> str:
+    h = _h(tag, *ctx)
+    full = f"CASE WHEN {k} // {n} > 0 THEN list_transform(range(0, ({k} // {n}) * {n}), lambda x: x % {n}) ELSE []::BIGINT[] END"
+    floyd = (f"CASE WHEN {k} % {n} > 0 THEN list_reduce(range({n} - {k} % {n}, {n}), lambda acc, j: "
+             f"CASE WHEN list_contains(acc, {h}) THEN list_append(acc, j) ELSE list_append(acc, {h}) END, []::BIGINT[]) "
+             f"ELSE []::BIGINT[] END")
+    return f"CASE WHEN {n} > 0 THEN list_concat({full}, {floyd}) ELSE []::BIGINT[] END"
+
+
+def sampler(prefix: str, centre: str, other: str) -> str:
+    """CTEs <prefix>_h1(tag, va, vb, pos, hop1) and <prefix>_h2(tag, va, vb, pos, hop1, pos2, hop2)."""
+    return f"""{prefix}_ctx AS (SELECT unnest(range(CAST(floor(w) AS BIGINT))) AS tag, {centre} AS va, {other} AS vb
+                FROM labels WHERE floor(w) >= 1),
+{prefix}_d1 AS (SELECT c.tag, c.va, c.vb, d.deg, {_draws('d.deg', P.HOP1, 'h1', 'c.tag', 'c.va', 'c.vb')} AS dr
+               FROM {prefix}_ctx c JOIN deg d ON c.va = d.va),
+{prefix}_x1 AS (SELECT tag, va, vb, unnest(dr) AS idx, unnest(range(len(dr))) AS pos FROM {prefix}_d1),
+{prefix}_h1 AS (SELECT x.tag, x.va, x.vb, CAST(x.pos AS BIGINT) AS pos, a.vb AS hop1
+               FROM {prefix}_x1 x JOIN adj a ON a.va = x.va AND a.idx = x.idx),
+{prefix}_c2 AS (SELECT h.*, d.deg AS deg1, ci.idx AS cidx, d.deg - CASE WHEN ci.idx IS NULL THEN 0 ELSE 1 END AS n2
+               FROM {prefix}_h1 h JOIN deg d ON d.va = h.hop1 LEFT JOIN adj ci ON ci.va = h.hop1 AND ci.vb = h.va),
+{prefix}_d2 AS (SELECT *, {_draws('n2', P.HOP2, 'h2', 'tag', 'va', 'vb', 'pos')} AS dr FROM {prefix}_c2),
+{prefix}_x2 AS (SELECT tag, va, vb, pos, hop1, cidx, unnest(dr) AS j, unnest(range(len(dr))) AS pos2 FROM {prefix}_d2),
+{prefix}_h2 AS (SELECT x.tag, x.va, x.vb, x.pos, x.hop1, CAST(x.pos2 AS BIGINT) AS pos2, a.vb AS hop2
+               FROM {prefix}_x2 x JOIN adj a ON a.va = x.hop1
+                AND a.idx = x.j + CASE WHEN x.cidx IS NOT NULL AND x.j >= x.cidx THEN 1 ELSE 0 END),
+{prefix}_hop1 AS (SELECT c.tag, c.va, c.vb, c.pos, c.hop1,
+                  COALESCE((SELECT list(h.hop2 ORDER BY h.pos2) FROM {prefix}_h2 h
+                            WHERE h.tag = c.tag AND h.va = c.va AND h.vb = c.vb AND h.pos = c.pos), []::BIGINT[]) AS hop2s
+                 FROM {prefix}_c2 c),
+{prefix}_rows AS (SELECT tag, va, vb, list(hop1 ORDER BY pos) AS hop1s, list(hop2s ORDER BY pos) AS hop2s
+                 FROM {prefix}_hop1 GROUP BY tag, va, vb)"""
+
+
+def _arr(c: str) -> str:
+    return f"'[' || array_to_string(list_transform({c}, lambda x: CAST(x AS VARCHAR)), ',') || ']'"
+
+
+def _arr2(c: str) -> str:
+    inner = f"list_transform({c}, lambda a: '[' || array_to_string(list_transform(a, lambda x: CAST(x AS VARCHAR)), ',') || ']')"
+    return f"'[' || array_to_string({inner}, ',') || ']'"
+
+
 def _q(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -143,4 +207,15 @@ def sql() -> dict[str, str]:
     pct = ", ".join(f"round(quantile_cont(length, {q / 100}), 6) AS per{q}" for q in range(10, 100, 10))
     q["list_length_profile"] = _q(sw, "SELECT CAST(count(length) AS BIGINT) AS key_size, round(avg(length), 6) AS avg_length, "
                                       f"{pct} FROM (SELECT CAST(count(*) AS INTEGER) AS length FROM swing_top GROUP BY itemi)")
+    gr = ",\n".join([WL, GRAPH])
+    q["graph_session_edges"] = _q(gr, "SELECT CAST(day AS VARCHAR) AS day, va, vb, w FROM g_daily")
+    q["graph_merged"] = _q(gr, "SELECT va, vb, w FROM g_merged")
+    q["graph_adjacency"] = _q(gr, "SELECT va, idx, vb, w, deg FROM adj")
+    q["graph_hop1"] = _q(",\n".join([gr, sampler("sa", "va", "vb")]), "SELECT tag, va, vb, pos, hop1 FROM sa_h1")
+    q["graph_hop2"] = _q(",\n".join([gr, sampler("sa", "va", "vb")]), "SELECT tag, va, vb, pos, pos2, hop2 FROM sa_h2")
+    q["graph_training_rows"] = _q(
+        ",\n".join([gr, sampler("sa", "va", "vb"), sampler("sb", "vb", "va")]),
+        f"SELECT a.tag, a.va, a.vb, {_arr('a.hop1s')} AS va_hop1, {_arr2('a.hop2s')} AS va_hop2, "
+        f"{_arr('b.hop1s')} AS vb_hop1, {_arr2('b.hop2s')} AS vb_hop2 "
+        "FROM sa_rows a JOIN sb_rows b ON a.tag = b.tag AND a.va = b.vb AND a.vb = b.va")
     return q
