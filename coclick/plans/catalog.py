@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coclick.operators import graph, itemcf, swing
+from coclick.operators import graph, itemcf, swing, topk, usercf
+from coclick.sources import clicks as C
 from coclick.plans import params as P
 from coclick.sources import testdata as T
 
@@ -157,6 +158,56 @@ def graph_training_rows(spark, sf):
     return graph.training_rows(g_labels(spark, sf), g_adj(spark, sf), k1=P.HOP1, k2=P.HOP2, seed=P.SEED)
 
 
+# ------------------------------------------------------ user-CF / eval ---
+def uc_hist(spark, sf):
+    ev = T.event_clicks(spark, sf).where(C.local_days_ts_filter("ts", P.PRED_DAY, P.MERGE_DAYS, P.TZ))
+    return usercf.user_histories(ev, whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE))
+
+
+def uc_sim(spark, sf):
+    return usercf.user_similarity(uc_hist(spark, sf))
+
+
+def uc_recs(spark, sf):
+    return usercf.user_cf_recommend(uc_sim(spark, sf), uc_hist(spark, sf))
+
+
+def usercf_history(spark, sf):
+    return uc_hist(spark, sf).select("user", "rank", "item")
+
+
+def usercf_similarity(spark, sf):
+    return uc_sim(spark, sf).select("u1", "u2", "weight", "weight_a", "weight_b", _r("score"))
+
+
+def usercf_recommend(spark, sf):
+    return uc_recs(spark, sf).select("user", "rank", "item", _r("value"))
+
+
+def eval_hit_ratio(spark, sf):
+    labels = T.event_clicks(spark, sf).where(C.local_day_ts_filter("ts", P.LABEL_DAY, P.TZ))
+    return usercf.hit_ratio(labels, uc_recs(spark, sf)).select("user", _r("score"))
+
+
+def local_day(spark, sf):
+    ev = T.event_clicks(spark, sf).where(C.local_day_ts_filter("ts", P.LABEL_DAY, P.TZ))
+    return ev.select("eid", "user", "item")
+
+
+def latest_partition(spark, sf):
+    f = C.latest_partition(T.part_features(spark, sf).where(F.col("country") == "ID"), "dt")
+    return f.select("itemid", _r("ctcvr30"), "dt")
+
+
+def group_quota(spark, sf):
+    sym = itemcf.symmetric_pairs(cp_scores(spark, sf))
+    top = topk.top_k_by_key(sym, ["item"], [topk.rank_key("score"), "nbr"], itemcf.LIST_K1).drop("rank")
+    shops = T.part_shops(spark, sf).select(F.col("item_id").alias("nbr"), "shop_id")
+    capped = topk.cap_per_group(top.join(shops, "nbr"), ["item"], F.col("shop_id"),
+                                [topk.rank_key("score"), "nbr"], per_group=5, total=500)
+    return capped.select("item", "rank", "nbr", _r("score"))
+
+
 QUERIES: dict[str, Query] = {
     "itemcf_daily": itemcf_daily,
     "itemcf_merged": itemcf_merged,
@@ -178,6 +229,13 @@ QUERIES: dict[str, Query] = {
     "graph_hop1": graph_hop1,
     "graph_hop2": graph_hop2,
     "graph_training_rows": graph_training_rows,
+    "usercf_history": usercf_history,
+    "usercf_similarity": usercf_similarity,
+    "usercf_recommend": usercf_recommend,
+    "eval_hit_ratio": eval_hit_ratio,
+    "local_day": local_day,
+    "latest_partition": latest_partition,
+    "group_quota": group_quota,
 }
 
 

@@ -125,6 +125,47 @@ deg AS (SELECT DISTINCT va, deg FROM adj),
 labels AS (SELECT va, vb, w FROM g_daily WHERE day = DATE '{P.DAY}')"""
 
 
+def _local_days(day: str, n: int, tz: int) -> tuple[str, str]:
+    import datetime as dt
+    d = dt.date.fromisoformat(day)
+    start = dt.datetime.combine(d - dt.timedelta(days=n), dt.time()) - dt.timedelta(hours=tz)
+    end = dt.datetime.combine(d + dt.timedelta(days=1), dt.time()) - dt.timedelta(hours=tz)
+    return start.isoformat(sep=" "), end.isoformat(sep=" ")
+
+
+_HS, _HE = _local_days(P.PRED_DAY, P.MERGE_DAYS, P.TZ)
+_LS, _LE = _local_days(P.LABEL_DAY, 0, P.TZ)
+
+USERCF = f"""hist_src AS (SELECT u, item, ts FROM ev_ok WHERE ts >= TIMESTAMP '{_HS}' AND ts < TIMESTAMP '{_HE}'
+                  AND item IN (SELECT item FROM wl)),
+hist AS (SELECT * FROM (SELECT u, item, CAST(row_number() OVER (PARTITION BY u ORDER BY ts DESC, item) AS BIGINT) AS rank
+         FROM hist_src) WHERE rank <= 700),
+hui AS (SELECT DISTINCT u, item FROM hist),
+hsz AS (SELECT u, CAST(count(*) AS BIGINT) AS n FROM hui GROUP BY u),
+hw AS (SELECT a.u AS ua, b.u AS ub, CAST(count(*) AS BIGINT) AS weight FROM hui a JOIN hui b ON a.item = b.item AND a.u < b.u GROUP BY 1, 2),
+hs AS (SELECT ua, ub, weight, s1.n AS weight_a, s2.n AS weight_b, weight / sqrt(s1.n) / sqrt(s2.n) AS score
+       FROM hw JOIN hsz s1 ON ua = s1.u JOIN hsz s2 ON ub = s2.u),
+usim AS (SELECT ua AS u1, ub AS u2, weight, weight_a, weight_b, score FROM hs
+         UNION ALL SELECT ub, ua, weight, weight_b, weight_a, score FROM hs),
+hcnt AS (SELECT u AS u2, item, sum(1.0) AS cnt FROM hist GROUP BY 1, 2),
+recv AS (SELECT s.u1, h.item, sum(s.score * h.cnt) AS value FROM usim s JOIN hcnt h ON s.u2 = h.u2 GROUP BY 1, 2),
+recs AS (SELECT * FROM (SELECT u1 AS u, CAST(row_number() OVER (PARTITION BY u1 ORDER BY round(value, 9) DESC, CAST(item AS VARCHAR)) AS BIGINT) AS rank,
+         item, value FROM recv) WHERE rank <= 700),
+lab AS (SELECT DISTINCT u, item FROM ev_ok WHERE ts >= TIMESTAMP '{_LS}' AND ts < TIMESTAMP '{_LE}'),
+lsz AS (SELECT u, count(*) AS n FROM lab GROUP BY u),
+hits AS (SELECT r.u, count(*) AS h FROM recs r JOIN lab l ON r.u = l.u AND r.item = l.item GROUP BY r.u),
+hr AS (SELECT s.u, COALESCE(h.h, 0) / s.n AS score FROM lsz s JOIN (SELECT DISTINCT u FROM recs) p ON s.u = p.u
+       LEFT JOIN hits h ON s.u = h.u)"""
+
+QUOTA = """sym1 AS (SELECT va AS item, vb AS nbr, score FROM scores UNION ALL SELECT vb AS item, va AS nbr, score FROM scores),
+top1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY round(score, 9) DESC, nbr) AS r FROM sym1) WHERE r <= 1000),
+qshop AS (SELECT p_partkey AS nbr, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) AS shop_id FROM part),
+q1 AS (SELECT * FROM (SELECT t.*, q.shop_id, row_number() OVER (PARTITION BY t.item, q.shop_id ORDER BY round(t.score, 9) DESC, t.nbr) AS gr
+       FROM top1 t JOIN qshop q ON t.nbr = q.nbr) WHERE gr <= 5),
+quota AS (SELECT * FROM (SELECT item, CAST(row_number() OVER (PARTITION BY item ORDER BY round(score, 9) DESC, nbr) AS BIGINT) AS rank, nbr, score
+          FROM q1) WHERE rank <= 500)"""
+
+
 def _h(tag: str, *ctx: str) -> str:
     parts = ", ".join(["'" + P.SEED + "'", "'" + tag + "'", *ctx, "j"])
     return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT % (j + 1)"
@@ -218,4 +259,13 @@ def sql() -> dict[str, str]:
         f"SELECT a.tag, a.va, a.vb, {_arr('a.hop1s')} AS va_hop1, {_arr2('a.hop2s')} AS va_hop2, "
         f"{_arr('b.hop1s')} AS vb_hop1, {_arr2('b.hop2s')} AS vb_hop2 "
         "FROM sa_rows a JOIN sb_rows b ON a.tag = b.tag AND a.va = b.vb AND a.vb = b.va")
+    uc = ",\n".join([EV, WL, USERCF])
+    q["usercf_history"] = _q(uc, "SELECT u AS user, rank, item FROM hist")
+    q["usercf_similarity"] = _q(uc, "SELECT u1, u2, weight, weight_a, weight_b, round(score, 6) AS score FROM usim")
+    q["usercf_recommend"] = _q(uc, "SELECT u AS user, rank, item, round(value, 6) AS value FROM recs")
+    q["eval_hit_ratio"] = _q(uc, "SELECT u AS user, round(score, 6) AS score FROM hr")
+    q["local_day"] = _q(EV, f"SELECT eid, u AS user, item FROM ev_ok WHERE ts >= TIMESTAMP '{_LS}' AND ts < TIMESTAMP '{_LE}'")
+    q["latest_partition"] = _q(FEAT.split(",\nrw AS")[0], "SELECT itemid, round(ctcvr30, 6) AS ctcvr30, dt FROM feat "
+                               "WHERE country = 'ID' AND dt = (SELECT max(dt) FROM feat WHERE country = 'ID')")
+    q["group_quota"] = _q(",\n".join([CP_CHAIN, CF_SCORES, QUOTA]), "SELECT item, rank, nbr, round(score, 6) AS score FROM quota")
     return q

@@ -48,6 +48,15 @@ def local_day_ts_filter(ts_col: str, day, tz_hours: int, ntz: bool = True) -> Co
     return (F.col(ts_col) >= lo) & (F.col(ts_col) < hi)
 
 
+def local_days_ts_filter(ts_col: str, day, n_days: int, tz_hours: int, ntz: bool = True) -> Column:
+    """Local days D-n .. D (n+1 days) on a UTC timestamp column."""
+    start, _ = local_day_window(_date(day) - dt.timedelta(days=n_days), tz_hours)
+    _, end = local_day_window(day, tz_hours)
+    kind = "timestamp_ntz" if ntz else "timestamp"
+    return (F.col(ts_col) >= F.lit(start.isoformat(sep=" ")).cast(kind)) & \
+        (F.col(ts_col) < F.lit(end.isoformat(sep=" ")).cast(kind))
+
+
 def local_date(ts_col: str, tz_hours: int) -> Column:
     """Local calendar date of a UTC timestamp."""
     return F.to_date(F.col(ts_col) + F.make_interval(hours=F.lit(tz_hours)))
