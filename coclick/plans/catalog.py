@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coclick.operators import graph, itemcf, swing, topk, usercf
+from coclick.operators import graph, itemcf, swing, topk, usercf, vectors
 from coclick.sources import clicks as C
 from coclick.plans import params as P
 from coclick.sources import testdata as T
@@ -17,7 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _r(c: str, name: str | None = None):
-    return F.round(F.col(c), 6).alias(name or c)
+    # rounded to 6 places; "+ 0.0" turns a rounded -0.0 into 0.0
+    return (F.round(F.col(c), 6) + F.lit(0.0)).alias(name or c)
 
 
 # ------------------------------------------------------------- item-CF ---
@@ -208,6 +209,43 @@ def group_quota(spark, sf):
     return capped.select("item", "rank", "nbr", _r("score"))
 
 
+# ------------------------------------------------------------- vectors ---
+def ev_sentences(spark, sf):
+    return vectors.session_sentences(T.event_clicks(spark, sf), ["user", "day"], tiebreak="eid")
+
+
+def sentences(spark, sf):
+    return ev_sentences(spark, sf).select("user", F.col("day").cast("string").alias("day"), "chunk", "sentence")
+
+
+def _knn(space):
+    def q(spark, sf):
+        e = T.embeddings(spark, sf)
+        return vectors.knn_exact(e, e, P.KNN_K, space).select("qid", "rank", "cid", _r("dist"))
+    q.__name__ = f"knn_{space}"
+    return q
+
+
+def knn_approx(spark, sf):
+    e = T.embeddings(spark, sf)
+    return vectors.knn_approx(e, e, P.KNN_K, "cosine").select("qid", "rank", "cid", _r("dist"))
+
+
+def knn_recall(spark, sf):
+    e = T.embeddings(spark, sf)
+    return vectors.recall_at_k(vectors.knn_approx(e, e, P.KNN_K, "cosine"), vectors.knn_exact(e, e, P.KNN_K, "cosine"))
+
+
+def item2vec(spark, sf):
+    model = vectors.item2vec_fit(ev_sentences(spark, sf))
+    return vectors.model_vectors(model)
+
+
+def similar_items(spark, sf):
+    model = vectors.item2vec_fit(ev_sentences(spark, sf))
+    return vectors.similar_items(model, k=5).select("qid", "rank", "cid", _r("dist"))
+
+
 QUERIES: dict[str, Query] = {
     "itemcf_daily": itemcf_daily,
     "itemcf_merged": itemcf_merged,
@@ -236,6 +274,14 @@ QUERIES: dict[str, Query] = {
     "local_day": local_day,
     "latest_partition": latest_partition,
     "group_quota": group_quota,
+    "sentences": sentences,
+    "knn_cosine": _knn("cosine"),
+    "knn_l2": _knn("l2"),
+    "knn_ip": _knn("ip"),
+    "knn_approx": knn_approx,
+    "knn_recall": knn_recall,
+    "item2vec": item2vec,
+    "similar_items": similar_items,
 }
 
 

@@ -166,6 +166,23 @@ quota AS (SELECT * FROM (SELECT item, CAST(row_number() OVER (PARTITION BY item
           FROM q1) WHERE rank <= 500)"""
 
 
+SENT = """sent_rk AS (SELECT u, day, item, row_number() OVER (PARTITION BY u, day ORDER BY ts, eid) AS pos FROM ev_ok),
+sent AS (SELECT u, day, CAST((pos - 1) // 1000 AS BIGINT) AS chunk,
+                string_agg(CAST(item AS VARCHAR), ' ' ORDER BY pos) AS sentence FROM sent_rk GROUP BY ALL)"""
+
+EMB = """emb AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
+
+
+def knn_sql(space: str, k: int) -> str:
+    dist = {"cosine": "1 - list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v))",
+            "ip": "1 - list_dot_product(a.v, b.v)",
+            "l2": "list_sum(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))"}[space]
+    return f"""{EMB},
+pairs AS (SELECT a.id AS qid, b.id AS cid, {dist} AS dist FROM emb a CROSS JOIN emb b),
+knn AS (SELECT * FROM (SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), cid) AS BIGINT) AS rank,
+        cid, dist FROM pairs) WHERE rank <= {k})"""
+
+
 def _h(tag: str, *ctx: str) -> str:
     parts = ", ".join(["'" + P.SEED + "'", "'" + tag + "'", *ctx, "j"])
     return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT % (j + 1)"
@@ -268,4 +285,7 @@ def sql() -> dict[str, str]:
     q["latest_partition"] = _q(FEAT.split(",\nrw AS")[0], "SELECT itemid, round(ctcvr30, 6) AS ctcvr30, dt FROM feat "
                                "WHERE country = 'ID' AND dt = (SELECT max(dt) FROM feat WHERE country = 'ID')")
     q["group_quota"] = _q(",\n".join([CP_CHAIN, CF_SCORES, QUOTA]), "SELECT item, rank, nbr, round(score, 6) AS score FROM quota")
+    q["sentences"] = _q(",\n".join([EV, SENT]), "SELECT u AS user, CAST(day AS VARCHAR) AS day, chunk, sentence FROM sent")
+    for sp in ("cosine", "l2", "ip"):
+        q[f"knn_{sp}"] = _q(knn_sql(sp, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
     return q
