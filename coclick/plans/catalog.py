@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coclick.operators import graph, itemcf, swing, topk, usercf, vectors
+from coclick.operators import gnn, graph, itemcf, lookup, rerank, swing, topk, usercf, vectors
 from coclick.sources import clicks as C
 from coclick.plans import params as P
 from coclick.sources import testdata as T
@@ -246,6 +246,63 @@ def similar_items(spark, sf):
     return vectors.similar_items(model, k=5).select("qid", "rank", "cid", _r("dist"))
 
 
+# ---------------------------------------------- GNN / in-batch metrics ---
+def emb_pairs(spark, sf):
+    """Consecutive embedding ids (2p, 2p+1) form pair p; batches of BATCH_SIZE pairs."""
+    e = T.embeddings(spark, sf)
+    a = e.where(F.col("id") % 2 == 0).select((F.col("id") / 2).cast("bigint").alias("pair"), F.col("vec").alias("a"))
+    b = e.where(F.col("id") % 2 == 1).select(((F.col("id") - 1) / 2).cast("bigint").alias("pair"), F.col("vec").alias("b"))
+    return a.join(b, "pair").select(F.floor(F.col("pair") / P.BATCH_SIZE).cast("bigint").alias("batch"),
+                                    F.pmod(F.col("pair"), F.lit(P.BATCH_SIZE)).cast("bigint").alias("pos"), "a", "b")
+
+
+def inbatch_loss(spark, sf):
+    return gnn.inbatch_softmax_loss(emb_pairs(spark, sf)).select("batch", "pos", _r("loss"), _r("p_pos"))
+
+
+def inbatch_metrics(spark, sf):
+    return gnn.inbatch_metrics(emb_pairs(spark, sf)).select(
+        "batch", "n", *[_r(c) for c in ("pos_cos", "neg_cos", "p_at_1", "mrr")])
+
+
+def gnn_embeddings(spark, sf):
+    samples = graph.two_hop_samples(g_labels(spark, sf), g_adj(spark, sf), k1=P.HOP1, k2=P.HOP2, seed=P.SEED)
+    e = T.embeddings(spark, sf)
+    W = gnn.init_weights(64, 32, 16, seed=0)
+    return gnn.neighbour_max_pool(samples, e, W, P.HOP1, P.HOP2)
+
+
+# ------------------------------------------------------ MMR / dictionary ---
+def mmr_candidates(spark, sf):
+    """Per embedding: its MMR_K nearest other embeddings, score = cosine similarity."""
+    e = T.embeddings(spark, sf)
+    nn = vectors.knn_exact(e, e, P.MMR_K + 1, "cosine").where(F.col("qid") != F.col("cid"))
+    nn = topk.top_k_by_key(nn.drop("rank"), ["qid"], [F.round("dist", topk.RANK_DIGITS), "cid"], P.MMR_K)
+    return nn.select(F.col("qid").alias("query"), F.col("cid").alias("item"), (F.lit(1.0) - F.col("dist")).alias("score"))
+
+
+def mmr_top2(spark, sf):
+    out = rerank.mmr_rerank(mmr_candidates(spark, sf), T.embeddings(spark, sf), lam=0.5, top_n=2)
+    return out.select("query", "rank", "item", _r("mmr"))
+
+
+def mmr_rerank(spark, sf):
+    out = rerank.mmr_rerank(mmr_candidates(spark, sf), T.embeddings(spark, sf), lam=0.5, top_n=P.MMR_TOP_N)
+    return out.select("query", "rank", "item", _r("mmr"))
+
+
+def mmr_sim_table(spark, sf):
+    cand = mmr_candidates(spark, sf)
+    sims = cand.select(F.col("query").alias("item_a"), F.col("item").alias("item_b"), F.col("score").alias("sim"))
+    out = rerank.mmr_rerank_pairs(cand, sims, lam=0.5, top_n=P.MMR_TOP_N)
+    return out.select("query", "rank", "item", _r("mmr"))
+
+
+def dictionary_match(spark, sf):
+    return lookup.match_counts(T.table(spark, sf, "documents").select("doc_id", "text"),
+                               T.table(spark, sf, "benchmark").select("text"))
+
+
 QUERIES: dict[str, Query] = {
     "itemcf_daily": itemcf_daily,
     "itemcf_merged": itemcf_merged,
@@ -282,6 +339,13 @@ QUERIES: dict[str, Query] = {
     "knn_recall": knn_recall,
     "item2vec": item2vec,
     "similar_items": similar_items,
+    "inbatch_loss": inbatch_loss,
+    "inbatch_metrics": inbatch_metrics,
+    "gnn_embeddings": gnn_embeddings,
+    "mmr_top2": mmr_top2,
+    "mmr_rerank": mmr_rerank,
+    "mmr_sim_table": mmr_sim_table,
+    "dictionary_match": dictionary_match,
 }
 
 

@@ -183,6 +183,43 @@ knn AS (SELECT * FROM (SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDE
         cid, dist FROM pairs) WHERE rank <= {k})"""
 
 
+INBATCH = f"""{EMB},
+pr AS (SELECT a.id // 2 AS pair, a.v AS av, b.v AS bv FROM emb a JOIN emb b ON b.id = a.id + 1 WHERE a.id % 2 = 0),
+bp AS (SELECT CAST(pair // {P.BATCH_SIZE} AS BIGINT) AS batch, CAST(pair % {P.BATCH_SIZE} AS BIGINT) AS pos, av, bv FROM pr),
+sc AS (SELECT x.batch, x.pos AS i, y.pos AS j, list_dot_product(x.av, y.bv) AS s, round(list_dot_product(x.av, y.bv), 9) AS r
+       FROM bp x JOIN bp y ON x.batch = y.batch),
+lossr AS (SELECT batch, i, exp(max(CASE WHEN i = j THEN s END) - max(s)) / sum(exp(s - m)) AS p_pos
+          FROM (SELECT *, max(s) OVER (PARTITION BY batch, i) AS m FROM sc) GROUP BY batch, i),
+dg AS (SELECT batch, i, r AS d, s AS diag FROM sc WHERE i = j),
+rowm AS (SELECT c.batch, c.i, max(dg.diag) AS diag, sum(CASE WHEN c.i <> c.j THEN c.s END) AS off_sum,
+                sum(CASE WHEN c.i <> c.j THEN 1 ELSE 0 END) AS off_n,
+                1 + sum(CASE WHEN c.r > dg.d OR (c.r = dg.d AND c.j < c.i) THEN 1 ELSE 0 END) AS rank
+         FROM sc c JOIN dg ON c.batch = dg.batch AND c.i = dg.i GROUP BY c.batch, c.i),
+met AS (SELECT batch, CAST(count(*) AS BIGINT) AS n, avg(diag) AS pos_cos, sum(off_sum) / sum(off_n) AS neg_cos,
+               avg(CASE WHEN rank = 1 THEN 1.0 ELSE 0.0 END) AS p_at_1, avg(1.0 / rank) AS mrr FROM rowm GROUP BY batch)"""
+
+MMR2 = f"""{knn_sql('cosine', P.MMR_K + 1)},
+cand0 AS (SELECT qid, cid, dist, row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), cid) AS rk FROM knn WHERE qid <> cid),
+cand AS (SELECT qid AS query, cid AS item, 1.0 - dist AS score FROM cand0 WHERE rk <= {P.MMR_K}),
+first AS (SELECT * FROM (SELECT query, item, score, 0.5 * score - 0.5 * 0.0 AS mmr,
+          row_number() OVER (PARTITION BY query ORDER BY round(0.5 * score - 0.5 * 0.0, 9) DESC, round(score, 9) DESC, item) AS k
+          FROM cand) WHERE k = 1),
+sec0 AS (SELECT c.query, c.item, c.score,
+                0.5 * c.score - 0.5 * greatest(0.0, list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v))) AS mmr
+         FROM cand c JOIN first f ON c.query = f.query AND c.item <> f.item
+         JOIN emb a ON a.id = c.item JOIN emb b ON b.id = f.item),
+second AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(mmr, 9) DESC, round(score, 9) DESC, item) AS k
+           FROM sec0) WHERE k = 1),
+mmr2 AS (SELECT query, CAST(1 AS BIGINT) AS rank, item, mmr FROM first UNION ALL SELECT query, CAST(2 AS BIGINT), item, mmr FROM second)"""
+
+DICT = """tok AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \t\n\r]+')) AS word FROM documents),
+tokw AS (SELECT * FROM tok WHERE length(word) > 0),
+dwords AS (SELECT DISTINCT word FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r]+')) AS word FROM benchmark) WHERE length(word) > 0),
+dm AS (SELECT t.doc_id, CAST(count(*) AS BIGINT) AS n_words,
+              CAST(count(*) FILTER (WHERE t.word IN (SELECT word FROM dwords)) AS BIGINT) AS n_matched
+       FROM tokw t GROUP BY t.doc_id)"""
+
+
 def _h(tag: str, *ctx: str) -> str:
     parts = ", ".join(["'" + P.SEED + "'", "'" + tag + "'", *ctx, "j"])
     return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT % (j + 1)"
@@ -288,4 +325,10 @@ def sql() -> dict[str, str]:
     q["sentences"] = _q(",\n".join([EV, SENT]), "SELECT u AS user, CAST(day AS VARCHAR) AS day, chunk, sentence FROM sent")
     for sp in ("cosine", "l2", "ip"):
         q[f"knn_{sp}"] = _q(knn_sql(sp, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
+    q["inbatch_loss"] = _q(INBATCH, "SELECT batch, i AS pos, round(-ln(p_pos + 1e-8) * 1.0, 6) + 0.0 AS loss, "
+                                    "round(p_pos, 6) + 0.0 AS p_pos FROM lossr")
+    q["inbatch_metrics"] = _q(INBATCH, "SELECT batch, n, round(pos_cos, 6) + 0.0 AS pos_cos, round(neg_cos, 6) + 0.0 AS neg_cos, "
+                                       "round(p_at_1, 6) + 0.0 AS p_at_1, round(mrr, 6) + 0.0 AS mrr FROM met")
+    q["mmr_top2"] = _q(MMR2, "SELECT query, rank, item, round(mmr, 6) + 0.0 AS mmr FROM mmr2")
+    q["dictionary_match"] = _q(DICT, "SELECT doc_id, n_words, n_matched FROM dm")
     return q

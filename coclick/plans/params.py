@@ -20,3 +20,5 @@ SEED = "coclick"
 KNN_K = 10
 BATCH_SIZE = 32
 EVENTS_MIN_WEIGHT = 3
+MMR_K = 20
+MMR_TOP_N = 10
