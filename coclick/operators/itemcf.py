@@ -50,15 +50,17 @@ def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: s
     c = c.withColumn("n", F.count(F.lit(1)).over(whole)).where(F.col("n") >= min_user_items)
     c = c.withColumn("pos", F.row_number().over(whole.orderBy("ts", "item")))
 
+    # One blocked self-join gives both outputs: the self-match of each click
+    # (pos_a = pos_b) carries its count w^2, later positions give the pairs.
     dkeys = [day_col] if day_col else []
-    counts = c.groupBy(*dkeys, "item").agg(F.sum(F.col("w") * F.col("w")).alias("weight")) \
-        .select(*dkeys, F.col("item").alias("vi"), F.lit(0).cast("bigint").alias("vj"), "weight")
-    p = window_pairs(c, keys, "pos", "n", ["item", "w"], window_size, block) \
-        .where(F.col("item_a") != F.col("item_b"))
-    vi, vj = canonical_pair("item_a", "item_b")
-    pairs = p.select(*dkeys, vi.alias("vi"), vj.alias("vj"), (F.col("w_a") * F.col("w_b")).alias("weight")) \
+    p = window_pairs(c, keys, "pos", "n", ["item", "w"], window_size, block, include_self=True)
+    own = F.col("pos_a") == F.col("pos_b")
+    p = p.where(own | (F.col("item_a") != F.col("item_b")))
+    lo, hi = canonical_pair("item_a", "item_b")
+    vi = F.when(own, F.col("item_a")).otherwise(lo)
+    vj = F.when(own, F.lit(0).cast("bigint")).otherwise(hi)
+    return p.select(*dkeys, vi.alias("vi"), vj.alias("vj"), (F.col("w_a") * F.col("w_b")).alias("weight")) \
         .groupBy(*dkeys, "vi", "vj").agg(F.sum("weight").alias("weight"))
-    return pairs.unionByName(counts)
 
 
 def merge_counts(daily: DataFrame, *, whitelist: DataFrame | None = None, day_col: str | None = None,

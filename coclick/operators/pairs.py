@@ -29,7 +29,8 @@ def canonical_pair(a, b) -> tuple[Column, Column]:
 
 
 def window_pairs(ranked: DataFrame, group_cols: list[str], pos_col: str, size_col: str,
-                 value_cols: list[str], window: int, block: int = DEFAULT_BLOCK) -> DataFrame:
+                 value_cols: list[str], window: int, block: int = DEFAULT_BLOCK,
+                 include_self: bool = False) -> DataFrame:
     """WN1: pair every row with the next ``window`` positions of its group.
 
     ``ranked`` has a dense 1-based position ``pos_col`` and the group size
@@ -37,7 +38,9 @@ def window_pairs(ranked: DataFrame, group_cols: list[str], pos_col: str, size_co
     is sent to every block its window reaches, so the join key is
     ``(group, block)`` and holds at most ``window + block`` left rows and
     ``block`` right rows.  Output columns: group cols, ``<v>_a``, ``<v>_b`` for
-    each value col, plus ``pos_a``/``pos_b``.
+    each value col, plus ``pos_a``/``pos_b``.  With ``include_self`` every row
+    is also matched with itself once (``pos_a = pos_b``), which lets callers
+    derive per-row aggregates from the same join instead of a second scan.
     """
     pos = F.col(pos_col)
     blk = F.floor((pos - 1) / block).cast("bigint")
@@ -49,8 +52,8 @@ def window_pairs(ranked: DataFrame, group_cols: list[str], pos_col: str, size_co
     right = ranked.select(*group_cols, pos.alias("pos_b"),
                           *[F.col(v).alias(f"{v}_b") for v in value_cols], blk.alias("__blk"))
     joined = left.join(right, on=[*group_cols, "__blk"], how="inner")
-    return joined.where((F.col("pos_b") > F.col("pos_a")) & (F.col("pos_b") <= F.col("pos_a") + window)) \
-        .drop("__blk")
+    lower = (F.col("pos_b") >= F.col("pos_a")) if include_self else (F.col("pos_b") > F.col("pos_a"))
+    return joined.where(lower & (F.col("pos_b") <= F.col("pos_a") + window)).drop("__blk")
 
 
 def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
