@@ -42,9 +42,13 @@ def main():
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
     tmp = tempfile.mkdtemp(prefix="bench-", dir="/tmp")
-    spark = build_session(master=f"local[{cpus}]", app="coclick-bench", shuffle_partitions=2 * cpus,
-                          extra={"spark.driver.memory": "16g", "spark.local.dir": os.path.join(tmp, "local"),
-                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m"})
+    extra = {"spark.driver.memory": "16g", "spark.local.dir": os.path.join(tmp, "local"),
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": os.environ.get("BENCH_ADVISORY", "32m")}
+    for kv in filter(None, os.environ.get("BENCH_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        extra[k] = v
+    spark = build_session(master=f"local[{cpus}]", app="coclick-bench",
+                          shuffle_partitions=int(os.environ.get("BENCH_PARTITIONS", 2 * cpus)), extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark, os.path.join(tmp, "checkpoints"))
     # warm-up on the smallest scale: JIT, codegen caches, Python workers

@@ -122,14 +122,3 @@ def symmetrise(df: DataFrame, a_cols: list[str], b_cols: list[str], out_a: list[
     rev = F.struct(*[F.col(c).alias(o) for c, o in zip(b_cols, out_a)],
                    *[F.col(c).alias(o) for c, o in zip(a_cols, out_b)])
     return df.select(*keep, F.explode(F.array(fwd, rev)).alias("__d")).select(*keep, "__d.*")
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
-    """Broadcast hint only when the side is proven small (row count bound).
-
-    The probe reads at most ``max_rows + 1`` rows.  Beyond the bound the plain
-    DataFrame is returned and the planner / AQE choose a shuffle join from the
-    runtime size.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

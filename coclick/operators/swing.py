@@ -63,19 +63,22 @@ def user_weights(ui: DataFrame) -> DataFrame:
 
 
 def item_pair_user_pairs(ipu: DataFrame, whitelist: DataFrame | None = None,
-                         block: int = DEFAULT_BLOCK) -> DataFrame:
+                         block: int = DEFAULT_BLOCK, dedupe: bool = True) -> DataFrame:
     """SW5: users of each item pair, over all days; all user pairs ui < uj.
 
     With ``whitelist`` both items are filtered first (same result as the
     reference's later filter, far fewer paths).  Pairs with one user give
-    nothing and are dropped by the size filter before the join.
+    nothing and are dropped by the size filter before the join.  ``dedupe``
+    removes repeats of (pair, user) across days; a single-window input is
+    already distinct and can skip that shuffle.
     """
     d = ipu.select("itemi", "itemj", "user")
     if whitelist is not None:
         wl = whitelist.select(F.col("item").alias("__w"))
         d = d.join(wl, F.col("itemi") == F.col("__w"), "left_semi") \
             .join(wl, F.col("itemj") == F.col("__w"), "left_semi")
-    d = d.distinct()
+    if dedupe:
+        d = d.distinct()
     p = group_pairs(d, ["itemi", "itemj"], "user", min_size=2, block=block)
     return p.select("itemi", "itemj", F.col("a").alias("ui"), F.col("b").alias("uj"))
 
@@ -87,20 +90,28 @@ def swing_scores(paths: DataFrame, u2u: DataFrame, uweights: DataFrame, whitelis
         wl = whitelist.select(F.col("item").alias("__w"))
         paths = paths.join(wl, F.col("itemi") == F.col("__w"), "left_semi") \
             .join(wl, F.col("itemj") == F.col("__w"), "left_semi")
+    # paths meet their user-pair counts first (paths are far fewer than user
+    # pairs), then pick up the two user weights; same inner-join result.
     uw = uweights.select("user", "weight")
-    uu = u2u.join(uw.select(F.col("user").alias("ui"), F.col("weight").alias("uiw")), "ui") \
+    p = paths.select("itemi", "itemj", "ui", "uj").join(u2u.select("ui", "uj", "weight"), ["ui", "uj"]) \
+        .join(uw.select(F.col("user").alias("ui"), F.col("weight").alias("uiw")), "ui") \
         .join(uw.select(F.col("user").alias("uj"), F.col("weight").alias("ujw")), "uj")
-    per_path = paths.join(uu, ["ui", "uj"]).select(
-        "itemi", "itemj", (F.col("uiw") * F.col("ujw") / (F.lit(alpha) + F.col("weight"))).alias("s"))
+    per_path = p.select("itemi", "itemj", (F.col("uiw") * F.col("ujw") / (F.lit(alpha) + F.col("weight"))).alias("s"))
     one_way = per_path.groupBy("itemi", "itemj").agg(F.sum("s").alias("swing_score"))
     return symmetrise(one_way, ["itemi"], ["itemj"], ["itemi"], ["itemj"], keep=["swing_score"])
 
 
 def swing_pipeline(ui: DataFrame, whitelist: DataFrame | None = None, day_col: str | None = None,
                    alpha: float = ALPHA) -> DataFrame:
-    """SW1..SW6 end to end from (day,) user, item rows."""
-    ipu = item_pair_users(ui, day_col)
-    paths = item_pair_user_pairs(ipu, whitelist)
+    """SW1..SW6 end to end from (day,) user, item rows.
+
+    Paths only involve whitelisted items, so item pairs are generated from the
+    whitelisted clicks alone (exactly the same paths, a fraction of the pairs);
+    user weights and user-pair counts still see every item.
+    """
+    pair_src = ui if whitelist is None else ui.join(whitelist.select("item"), "item", "left_semi")
+    ipu = item_pair_users(pair_src, day_col)
+    paths = item_pair_user_pairs(ipu, dedupe=day_col is not None)
     return swing_scores(paths, user_pair_counts(ui, day_col), user_weights(ui), None, alpha)
 
 

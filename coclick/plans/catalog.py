@@ -185,6 +185,22 @@ def usercf_recommend(spark, sf):
     return uc_recs(spark, sf).select("user", "rank", "item", _r("value"))
 
 
+def usercf_lines(spark, sf):
+    return usercf.recommend_text(uc_recs(spark, sf))
+
+
+def usercf_history_lines(spark, sf):
+    return usercf.history_text(uc_hist(spark, sf))
+
+
+def item_ids(spark, sf):
+    """SRC3 / SRC4 on every event payload: strict digit parse and lenient cast."""
+    from coclick.functions.ids import item_id_cast, item_id_strict
+    ev = T.table(spark, sf, "events").select("event_id", "props")
+    return ev.select("event_id", item_id_strict("props", "$.k").alias("item_strict"),
+                     item_id_cast("props", "$.k").alias("item_cast"))
+
+
 def eval_hit_ratio(spark, sf):
     labels = T.event_clicks(spark, sf).where(C.local_day_ts_filter("ts", P.LABEL_DAY, P.TZ))
     return usercf.hit_ratio(labels, uc_recs(spark, sf)).select("user", _r("score"))
@@ -327,7 +343,10 @@ QUERIES: dict[str, Query] = {
     "usercf_history": usercf_history,
     "usercf_similarity": usercf_similarity,
     "usercf_recommend": usercf_recommend,
+    "usercf_lines": usercf_lines,
+    "usercf_history_lines": usercf_history_lines,
     "eval_hit_ratio": eval_hit_ratio,
+    "item_ids": item_ids,
     "local_day": local_day,
     "latest_partition": latest_partition,
     "group_quota": group_quota,

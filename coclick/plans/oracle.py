@@ -317,6 +317,12 @@ def sql() -> dict[str, str]:
     q["usercf_history"] = _q(uc, "SELECT u AS user, rank, item FROM hist")
     q["usercf_similarity"] = _q(uc, "SELECT u1, u2, weight, weight_a, weight_b, round(score, 6) AS score FROM usim")
     q["usercf_recommend"] = _q(uc, "SELECT u AS user, rank, item, round(value, 6) AS value FROM recs")
+    q["usercf_lines"] = _q(uc, "SELECT u AS user, CAST(u AS VARCHAR) || chr(9) || string_agg(CAST(item AS VARCHAR), ',' ORDER BY rank) "
+                               "AS line FROM recs GROUP BY u")
+    q["usercf_history_lines"] = _q(uc, "SELECT u AS user, string_agg(CAST(item AS VARCHAR) || ':' || CAST(1.0 AS VARCHAR), ',' "
+                                       "ORDER BY rank) AS itemlist FROM hist GROUP BY u")
+    q["item_ids"] = ("SELECT event_id, " + STRICT_K + " AS item_strict, "
+                     "TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_cast FROM events")
     q["eval_hit_ratio"] = _q(uc, "SELECT u AS user, round(score, 6) AS score FROM hr")
     q["local_day"] = _q(EV, f"SELECT eid, u AS user, item FROM ev_ok WHERE ts >= TIMESTAMP '{_LS}' AND ts < TIMESTAMP '{_LE}'")
     q["latest_partition"] = _q(FEAT.split(",\nrw AS")[0], "SELECT itemid, round(ctcvr30, 6) AS ctcvr30, dt FROM feat "
