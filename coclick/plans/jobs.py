@@ -13,6 +13,7 @@ through storage, so a lost executor only re-runs the current stage.
 
 from __future__ import annotations
 
+import logging
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ from coclick import sinks
 from coclick.operators import graph, itemcf, swing, usercf, vectors
 from coclick.sources.clicks import day_range_filter, latest_snapshot
 
+log = logging.getLogger("coclick.jobs")
+
 # Retention of the reference's jobs (fixed values).
 KEEP = {"cf_day": 62, "cf_merge": 10, "swing_day": 200, "swing_merge": 3, "graph_day": 1000, "graph_merge": 10}
 
@@ -30,9 +33,17 @@ def _p(base: str, region: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), region, *parts])
 
 
+def _counted(df: DataFrame, path: str, write=sinks.write_parquet) -> str:
+    """Write with a row-count metric gathered by the write itself (AG9)."""
+    df, obs = sinks.observed(df)
+    write(df, path)
+    log.info("%s: %s rows", path, obs.get.get("rows"))
+    return path
+
+
 def _write_day(df: DataFrame, base: str, region: str, dataset: str, day: str, keep: int) -> str:
     path = _p(base, region, dataset, f"day={day}")
-    sinks.write_parquet(df.drop("day") if "day" in df.columns else df, path)
+    _counted(df.drop("day") if "day" in df.columns else df, path)
     sinks.keep_latest(df.sparkSession, _p(base, region, dataset), keep)
     return path
 
@@ -60,7 +71,7 @@ def itemcf_merge(spark: SparkSession, base: str, region: str, day: str, merge_da
     """merge_data: days D-n..D -> whitelisted, thresholded snapshot."""
     daily = _read_days(spark, base, region, "day_data", day, merge_days)
     merged = itemcf.merge_counts(daily, whitelist=whitelist)
-    snap = sinks.write_snapshot(merged, _p(base, region, "merge_data"), str(int(time.time())))
+    snap = _counted(merged, _p(base, region, "merge_data", str(int(time.time()))))
     sinks.keep_latest(spark, _p(base, region, "merge_data"), KEEP["cf_merge"])
     return snap
 
@@ -114,7 +125,7 @@ def swing_join(spark: SparkSession, base: str, region: str, whitelist: DataFrame
     paths = _latest(spark, _p(base, region, "merge_i2i2u2u_data"))
     u2u = _latest(spark, _p(base, region, "merge_u2u_data"))
     uw = _latest(spark, _p(base, region, "merge_u_weight_data"))
-    path = sinks.write_parquet(swing.swing_scores(paths, u2u, uw, whitelist), _p(base, region, "join_data"))
+    path = _counted(swing.swing_scores(paths, u2u, uw, whitelist), _p(base, region, "join_data"))
     if shops is not None:
         sinks.write_lines(swing.case_report(spark.read.parquet(path), shops), _p(base, region, "case_data"))
     return path

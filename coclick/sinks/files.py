@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SUCCESS = "_SUCCESS"
 
@@ -36,6 +37,13 @@ def complete_snapshots(spark: SparkSession, base: str) -> list[str]:
     return sorted(out, key=lambda s: s.rstrip("/").rsplit("/", 1)[-1], reverse=True)
 
 
+def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
+    """AG9: attach a row-count metric that is filled by whatever action runs
+    next (the write), instead of a separate ``count()`` pass."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def write_parquet(df: DataFrame, path: str, files: int | None = None) -> str:
     """SNK1: overwrite ``path`` with snappy Parquet; ``files`` fixes the file
     count (a repartition, for layout only), otherwise AQE sizes the output."""
