@@ -88,12 +88,29 @@ def adjacency_lists(adj: DataFrame) -> DataFrame:
         .select("va", F.transform("__l", lambda x: F.struct(x["vb"].alias("vb"), x["w"].alias("w"))).alias("nbrs"))
 
 
-def label_contexts(labels: DataFrame, centre: str = "va", other: str = "vb", weight: str = "w") -> DataFrame:
-    """GR5 / F8: each label edge repeated int(w) times, tag = 0..int(w)-1."""
+TAG_CHUNK = 4096     # tags generated per row at a time
+
+
+def label_contexts(labels: DataFrame, centre: str = "va", other: str = "vb", weight: str = "w",
+                   chunk: int = TAG_CHUNK) -> DataFrame:
+    """GR5 / F8: each label edge repeated int(w) times, tag = 0..int(w)-1.
+
+    Tags are generated in two steps: an edge first becomes ceil(n / chunk)
+    chunk rows, which a hash repartition on (edge, chunk) spreads over tasks,
+    then each chunk expands to at most ``chunk`` tags.  An edge with a huge
+    weight therefore never builds one giant array in one task.
+    """
     n = F.floor(F.col(weight)).cast("bigint")
-    return labels.where(n >= 1).select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)).alias("tag"),
-        F.col(centre).cast("bigint").alias("va"), F.col(other).cast("bigint").alias("vb"))
+    e = labels.select(F.col(centre).cast("bigint").alias("va"), F.col(other).cast("bigint").alias("vb"),
+                      n.alias("__n")).where(F.col("__n") >= 1)
+    chunks = e.select("va", "vb", "__n", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                               F.floor((F.col("__n") - 1) / chunk).cast("bigint")))
+                      .alias("__c"))
+    big = chunks.where(F.col("__n") > chunk).repartition("va", "vb", "__c")
+    chunks = chunks.where(F.col("__n") <= chunk).unionByName(big)
+    lo = F.col("__c") * chunk
+    hi = F.least(lo + chunk, F.col("__n")) - 1
+    return chunks.select(F.explode(F.sequence(lo, hi)).alias("tag"), "va", "vb")
 
 
 def hop1_samples(ctx: DataFrame, adj: DataFrame, k: int = HOP1, seed: str = "coclick") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coclick.operators.pairs import DEFAULT_BLOCK, canonical_pair, symmetrise, window_pairs
-from coclick.operators.topk import rank_key, clamp, collect_ranked, floor_filter, top_k_by_key
+from coclick.operators.topk import clamp, collect_ranked, first_n_rows, floor_filter, rank_key, top_k_by_key
 from coclick.sources.clicks import day_range_filter
 from coclick.functions.text import score_pairs_text
 
@@ -44,11 +44,15 @@ def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: s
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     c = clicks.where(F.col(item_col).isNotNull() & (F.col(item_col) != 0)) \
         .select(*keys, F.col(item_col).cast("bigint").alias("item"), F.col(ts_col).alias("ts"), w.alias("w"))
+    # per-user click counts from a map-side combined aggregate (no window over a hot user)
+    sizes = c.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    c = c.join(sizes.where(F.col("n") >= min_user_items), keys)
     if max_user_items is not None:
-        c = top_k_by_key(c, keys, [F.col("w").desc(), "item", "ts"], max_user_items, "__cap").drop("__cap")
-    whole = Window.partitionBy(*keys)
-    c = c.withColumn("n", F.count(F.lit(1)).over(whole)).where(F.col("n") >= min_user_items)
-    c = c.withColumn("pos", F.row_number().over(whole.orderBy("ts", "item")))
+        c = first_n_rows(c, keys, [F.col("w").desc(), F.col("item")], ["w", "item"], ["ts"], max_user_items, "n") \
+            .withColumn("n", F.least(F.col("n"), F.lit(max_user_items)))
+        c = c.where(F.col("n") >= min_user_items)
+    # positions: each user now has at most max_user_items rows
+    c = c.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "item")))
 
     # One blocked self-join gives both outputs: the self-match of each click
     # (pos_a = pos_b) carries its count w^2, later positions give the pairs.

@@ -59,6 +59,34 @@ def collect_ranked(df: DataFrame, key_cols: list[str], rank_col: str, fields: li
         F.transform(arr, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(out_col))
 
 
+def first_n_rows(df: DataFrame, key_cols: list[str], coarse: list, coarse_cols: list[str], fine: list,
+                 n: int, size_col: str) -> DataFrame:
+    """Exactly the first ``n`` rows per key in the order ``coarse + fine``,
+    for large ``n`` and keys of any size.
+
+    ``df`` carries the key's row count in ``size_col``.  Keys with at most n
+    rows pass untouched.  For larger keys, rows are counted per coarse value
+    (``coarse_cols``, a map-side combined aggregate), a running sum over those
+    counts finds the cut, every coarse group before the cut is kept whole and
+    only the one group at the cut is ranked by ``fine``.  So no task ever
+    ranks a key's rows; the widest window runs over one key's distinct coarse
+    values.
+    """
+    small = df.where(F.col(size_col) <= n)
+    big = df.where(F.col(size_col) > n)
+    g = big.groupBy(*key_cols, *coarse_cols).agg(F.count(F.lit(1)).alias("__cnt"))
+    run = Window.partitionBy(*key_cols).orderBy(*coarse).rowsBetween(Window.unboundedPreceding, 0)
+    g = g.withColumn("__before", F.sum("__cnt").over(run) - F.col("__cnt")) \
+        .where(F.col("__before") < n) \
+        .withColumn("__take", F.least(F.col("__cnt"), F.lit(n) - F.col("__before")))
+    rows = big.join(g.select(*key_cols, *coarse_cols, "__cnt", "__take"), [*key_cols, *coarse_cols])
+    whole = rows.where(F.col("__take") == F.col("__cnt"))
+    cut = rows.where(F.col("__take") < F.col("__cnt"))
+    cut = cut.withColumn("__r", F.row_number().over(Window.partitionBy(*key_cols, *coarse_cols).orderBy(*fine))) \
+        .where(F.col("__r") <= F.col("__take")).drop("__r")
+    return small.unionByName(whole.drop("__cnt", "__take")).unionByName(cut.drop("__cnt", "__take"))
+
+
 def cap_per_group(df: DataFrame, key_cols: list[str], group_expr: Column, order_cols: list,
                   per_group: int = 5, total: int = 500, rank_col: str = "rank") -> DataFrame:
     """WN9: walk a ranked list, keep at most ``per_group`` rows per group value,

@@ -34,7 +34,9 @@ for f in [p for p in glob.glob(logdir + "/**", recursive=True) if os.path.isfile
             i = e["Stage Info"]
             if "Submission Time" in i and "Completion Time" in i:
                 rec = sum(a.get("Value", 0) for a in i.get("Accumulables", []) if a.get("Name") == "internal.metrics.shuffle.write.recordsWritten")
+                rdds = ",".join(sorted({r.get("Scope", "{}") and json.loads(r.get("Scope", "{}")).get("name", "")
+                                        for r in i.get("RDD Info", []) if r.get("Scope")}))
                 stages[i["Stage ID"]] = (i["Completion Time"] - i["Submission Time"], i["Number of Tasks"], rec,
-                                         i["Stage Name"][:60], i.get("Details", "").split("\n")[0][:0])
+                                         rdds[:110], "")
 for sid, (ms, n, rec, nm, _) in sorted(stages.items(), key=lambda x: -x[1][0])[:12]:
     print(f"stage {sid:4d} {ms:6d} ms tasks={n:4d} shuffle_rows={int(rec):10d} {nm}")

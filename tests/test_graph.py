@@ -79,3 +79,9 @@ def test_training_rows_join_both_sides(spark):
     # (2, 9): node 9 has no edge over the threshold -> the whole row is dropped
     assert sorted((r.tag, r.va, r.vb) for r in t) == [(0, 1, 2), (1, 1, 2)]
     assert all(r.va_hop1 == "[2,2]" and r.vb_hop1 in ("[1,3]", "[3,1]", "[1,1]", "[3,3]") for r in t)
+
+
+def test_label_contexts_chunks(spark):
+    labels = spark.createDataFrame([(1, 2, 10.7), (3, 4, 0.5), (5, 6, 3.0)], "va bigint, vb bigint, w double")
+    got = graph.label_contexts(labels, chunk=4)
+    assert rows(got, "va", "vb", "tag") == [(1, 2, t) for t in range(10)] + [(5, 6, t) for t in range(3)]

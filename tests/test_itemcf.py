@@ -90,3 +90,20 @@ def test_day_range_merge_sums_days(spark):
     daily = itemcf.daily_cooccurrence(df, day_col="day")
     m = itemcf.merge_counts(daily, day_col="day", day="2024-01-03", n_days=2, min_weight=0)  # 3 days
     assert {(r.va, r.vb): r.weight for r in m.collect()} == {(1, 0): 2.0, (2, 0): 2.0, (1, 2): 2.0}
+
+
+def test_cap_cut_inside_a_group(spark):
+    # item 5 clicked at ts 1, 2, 3 and item 7 at ts 0; cap 2 keeps the two earliest clicks of item 5
+    d = itemcf.daily_cooccurrence(clicks(spark, [(1, 5, 3), (1, 7, 0), (1, 5, 1), (1, 5, 2), (2, 7, 1), (2, 8, 2)]),
+                                  max_user_items=2)
+    assert rows(d, "vi", "vj", "weight") == [(5, 0, 2.0), (7, 0, 1.0), (7, 8, 1.0), (8, 0, 1.0)]
+
+
+def test_first_n_rows_matches_ranking(spark):
+    from pyspark.sql import Window
+    data = [(k, (i * 7) % 5, i) for k in range(3) for i in range(k * 9 + 4)]
+    df = spark.createDataFrame(data, "k bigint, c bigint, f bigint")
+    df = df.join(df.groupBy("k").count().withColumnRenamed("count", "n"), "k")
+    got = topk.first_n_rows(df, ["k"], [F.col("c")], ["c"], ["f"], 6, "n")
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("c", "f"))).where("r <= 6")
+    assert rows(got, "k", "c", "f") == rows(want, "k", "c", "f")
