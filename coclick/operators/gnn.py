@@ -178,6 +178,6 @@ def inbatch_metrics(pairs: DataFrame, batch: str = "batch", pos: str = "pos", a_
     return per_row.groupBy("batch").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg("diag").alias("pos_cos"),
-        (F.sum("off_sum") / F.sum("off_n")).alias("neg_cos"),
+        F.try_divide(F.sum("off_sum"), F.sum("off_n")).alias("neg_cos"),   # null for a one-row batch
         F.avg(F.when(F.col("rank") == 1, 1.0).otherwise(0.0)).alias("p_at_1"),
         F.avg(F.lit(1.0) / F.col("rank")).alias("mrr"))

@@ -85,3 +85,18 @@ def test_label_contexts_chunks(spark):
     labels = spark.createDataFrame([(1, 2, 10.7), (3, 4, 0.5), (5, 6, 3.0)], "va bigint, vb bigint, w double")
     got = graph.label_contexts(labels, chunk=4)
     assert rows(got, "va", "vb", "tag") == [(1, 2, t) for t in range(10)] + [(5, 6, t) for t in range(3)]
+
+
+def test_adjacency_index_with_hub_buckets(spark):
+    # node 0 is a hub with 40 neighbours; block 4 spreads it over 10 hash buckets
+    edges = spark.createDataFrame([(0, j, 5.0) for j in range(1, 41)] + [(j, 0, 5.0) for j in range(1, 41)],
+                                  "va bigint, vb bigint, w double")
+    adj = graph.adjacency(edges, edge_thre=3, block=4)
+    hub = adj.where("va = 0").collect()
+    assert sorted(r.idx for r in hub) == list(range(40))
+    assert sorted(r.vb for r in hub) == list(range(1, 41)) and {r.deg for r in hub} == {40}
+    labels = spark.createDataFrame([(0, 1, 2.0)], "va bigint, vb bigint, w double")
+    s = graph.two_hop_samples(labels, adj, k1=10, k2=3).collect()
+    for r in s:
+        assert len(r.hop1s) == 10 and len(set(r.hop1s)) == 10 and all(1 <= x <= 40 for x in r.hop1s)
+        assert all(h2 == [] for h2 in r.hop2s)          # every neighbour only knows the hub
