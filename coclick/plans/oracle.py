@@ -112,7 +112,7 @@ GRAPH = f"""g AS (SELECT user_id AS u, CAST(ts AS DATE) AS day, TRY_CAST(json_ex
              ts, event_id AS eid FROM events WHERE user_id > 0),
 g_next AS (SELECT day, item AS a, lead(item) OVER (PARTITION BY u, day ORDER BY ts, eid) AS b
            FROM g WHERE item IS NOT NULL AND ts IS NOT NULL),
-g_daily AS (SELECT day, va, vb, sum(1.0) AS w FROM (
+g_daily AS (SELECT day, va, vb, sum(1.0::DOUBLE) AS w FROM (
               SELECT day, a AS va, b AS vb FROM g_next WHERE b IS NOT NULL AND a <> b
               UNION ALL SELECT day, b AS va, a AS vb FROM g_next WHERE b IS NOT NULL AND a <> b) GROUP BY ALL),
 g_merged AS (SELECT va, vb, sum(w) AS w FROM g_daily

@@ -34,10 +34,17 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
-    want = duck.execute(E.oracle_sql()[name]).df()
+    q = E.queries()[name](spark, SF_SMALL)
+    sql = E.oracle_sql()[name]
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in q.dtypes} == duck_types
+    got = q.toPandas()
+    want = duck.execute(sql).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert _norm(got).equals(_norm(want))
