@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coclick.functions.vectors import dot
+from coclick.session import ship_package
 from coclick.operators.topk import RANK_DIGITS
 
 LEAKY_ALPHA = 0.02   # leaky-relu slope of the aggregator
@@ -126,6 +127,7 @@ def neighbour_max_pool(samples: DataFrame, vectors: DataFrame, W: dict, k1: int,
         out = forward(centre, hop1, m1, hop2, m2, weights, mask_padding)
         return pd.Series([o.astype(np.float32).tolist() if h else None for o, h in zip(out, has_centre)])
 
+    ship_package(rows.sparkSession)
     return rows.select(*keys, embed("refs").alias("emb")).where(F.col("emb").isNotNull())
 
 

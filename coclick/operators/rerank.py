@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coclick.session import ship_package
 from coclick.operators.topk import RANK_DIGITS
 
 LAMBDA = 0.5
@@ -82,6 +83,7 @@ def mmr_rerank(candidates: DataFrame, vectors: DataFrame, lam: float = LAMBDA, t
                              "item": [int(items[i]) for i, _ in chosen],
                              "score": [float(scores[i]) for i, _ in chosen], "mmr": [o for _, o in chosen]})
 
+    ship_package(joined.sparkSession)
     return joined.groupBy("query").applyInPandas(per_query, _OUT)
 
 
@@ -124,4 +126,5 @@ def mmr_rerank_pairs(candidates: DataFrame, sims: DataFrame, lam: float = LAMBDA
                              "item": [int(items[i]) for i, _ in chosen],
                              "score": [float(scores[i]) for i, _ in chosen], "mmr": [o for _, o in chosen]})
 
+    ship_package(rows.sparkSession)
     return rows.groupBy("query").applyInPandas(per_query, _OUT)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coclick.operators.pairs import sequence_index
+from coclick.session import ship_package
 from coclick.operators.topk import RANK_DIGITS, rank_key, top_k_by_key
 
 SPACES = ("cosine", "l2", "ip")
@@ -112,6 +113,7 @@ def _tiled_topk(queries: DataFrame, corpus: DataFrame, k: int, space: str, block
         return tile_topk(left.rename(columns={"qid": "id", "qvec": "vec"}),
                          right.rename(columns={"cid": "id", "cvec": "vec"}), k, space)
 
+    ship_package(lq.sparkSession)
     keys = [*g, "qb", "cb"]
     return lq.groupBy(*keys).cogroup(rc.groupBy(*keys)).applyInPandas(kernel, _PAIR_SCHEMA)
 
@@ -165,6 +167,7 @@ def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str =
         idx = np.argsort(d, axis=1, kind="stable")[:, :probe]
         return pd.Series([row.astype(np.int64).tolist() for row in idx])
 
+    ship_package(queries.sparkSession)
     qx = queries.select("id", "vec", F.explode(nearest_lists(F.col("vec").cast("array<double>"))).alias("list"))
     cand = _tiled_topk(qx, lists_c, k, space, block, group_cols=["list"])
     return top_k_by_key(cand, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")

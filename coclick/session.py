@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,32 @@ def local_test_session(tmp_root: str, cores: int = 8, partitions: int = 8) -> Sp
                                  "spark.local.dir": os.path.join(tmp_root, "spark-local")})
     checkpoint_dir(spark, os.path.join(tmp_root, "checkpoints"))
     return spark
+
+
+_SHIPPED: set[str] = set()
+_ZIP: list[str] = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``coclick`` importable in the Python workers of this application.
+
+    Operators that run Python inside tasks (Arrow UDFs, cogroups) pickle
+    functions of this package by reference; ``addPyFile`` distributes a zip of
+    the package to every executor.  Harmless when it is already installed
+    there; done once per SparkContext.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    if not _ZIP:
+        root = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="coclick-pyfiles-"), "coclick.zip")
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+            for d, _, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(d, f)
+                        z.write(full, os.path.join("coclick", os.path.relpath(full, root)))
+        _ZIP.append(path)
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(sc.applicationId)

@@ -58,3 +58,19 @@ def test_deterministic_across_partitionings(spark):
         out.append(_norm(E.queries()["swing_topk"](spark, SF_SMALL).toPandas()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert out[0].equals(out[2]) and out[1].equals(out[3])
+
+
+def test_python_udf_queries_run_from_any_directory(scratch):
+    import subprocess
+    import sys
+    import tempfile
+    code = (
+        "import importlib.util\n"
+        "spec = importlib.util.spec_from_file_location('e', '/root/repo/__spark_entry__.py')\n"
+        "E = importlib.util.module_from_spec(spec); spec.loader.exec_module(E)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('ROWS', E.queries()['mmr_top2'](s, '/root/testdata/sf0.001').count())\n")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(dir=scratch), capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
