@@ -34,7 +34,8 @@ def session_edges(clicks: DataFrame, session_cols: list[str], item_col: str = "i
     Rows with a null session, item or time are dropped first (FLT1).
     Returns ``[day_col,] va, vb, w``.
     """
-    order = [ts_col] + ([tiebreak] if tiebreak else [])
+    # total order up to identical rows, so a retried task numbers ties the same way
+    order = [ts_col] + ([tiebreak] if tiebreak else []) + [item_col]
     keep = list(dict.fromkeys(session_cols + ([day_col] if day_col else []) + [item_col] + order))
     d = clicks.select(*keep).na.drop(subset=list(dict.fromkeys(session_cols + [item_col, ts_col])))
     idx = sequence_index(d, session_cols, order, F.date_trunc("hour", F.col(ts_col)))

@@ -190,8 +190,9 @@ def session_sentences(clicks: DataFrame, session_cols: list[str], item_col: str
     same), so no task holds an unbounded list.  Returns session cols, chunk,
     sentence, tokens.
     """
-    order = [ts_col] + ([tiebreak] if tiebreak else [])
-    d = clicks.select(*session_cols, item_col, *order).na.drop(subset=[*session_cols, item_col, ts_col])
+    # total order up to identical rows, so a retried task numbers ties the same way
+    order = [ts_col] + ([tiebreak] if tiebreak else []) + [item_col]
+    d = clicks.select(*session_cols, *dict.fromkeys([item_col, *order])).na.drop(subset=[*session_cols, item_col, ts_col])
     idx = sequence_index(d, session_cols, order, F.date_trunc("hour", F.col(ts_col)))
     idx = idx.withColumn("chunk", F.floor((F.col("pos") - 1) / max_len).cast("bigint"))
     g = idx.groupBy(*session_cols, "chunk").agg(
