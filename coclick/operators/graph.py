@@ -83,12 +83,6 @@ def adjacency(edges: DataFrame, edge_thre: float = EDGE_THRE, block: int = INDEX
                 F.col("deg").cast("bigint").alias("deg"))
 
 
-def adjacency_lists(adj: DataFrame) -> DataFrame:
-    """GR3 export form: (va, nbrs array<struct<vb, w>>) in index order."""
-    return adj.groupBy("va").agg(F.array_sort(F.collect_list(F.struct("idx", "vb", "w"))).alias("__l")) \
-        .select("va", F.transform("__l", lambda x: F.struct(x["vb"].alias("vb"), x["w"].alias("w"))).alias("nbrs"))
-
-
 TAG_CHUNK = 4096     # tags generated per row at a time
 
 
@@ -114,40 +108,56 @@ def label_contexts(labels: DataFrame, centre: str = "va", other: str = "vb", wei
     return chunks.select(F.explode(F.sequence(lo, hi)).alias("tag"), "va", "vb")
 
 
-def hop1_samples(ctx: DataFrame, adj: DataFrame, k: int = HOP1, seed: str = "coclick") -> DataFrame:
+def hop1_samples(ctx: DataFrame, adj: DataFrame, k: int = HOP1, seed: str = "coclick",
+                 carry: list[str] | None = None) -> DataFrame:
     """GR4 at hop 1: for every (tag, va, vb), exactly k neighbours of va.
 
-    Contexts whose centre has no neighbour are dropped (inner join).
-    Returns (tag, va, vb, pos, hop1).
+    Contexts whose centre has no neighbour are dropped (inner join).  ``carry``
+    columns ride along as extra keys.  Returns ([carry,] tag, va, vb, pos, hop1).
     """
+    carry = carry or []
     deg = adj.select("va", "deg").distinct()
     c = ctx.join(deg, "va")
-    draws = c.select("tag", "va", "vb", F.posexplode(
+    draws = c.select(*carry, "tag", "va", "vb", F.posexplode(
         balanced_draws("deg", k, seed, F.lit("h1"), "tag", "va", "vb")).alias("pos", "idx"))
     nb = adj.select(F.col("va"), "idx", F.col("vb").alias("hop1"))
-    return draws.join(nb, ["va", "idx"]).select("tag", "va", "vb", F.col("pos").cast("bigint").alias("pos"), "hop1")
+    return draws.join(nb, ["va", "idx"]).select(*carry, "tag", "va", "vb", F.col("pos").cast("bigint").alias("pos"),
+                                                "hop1")
 
 
-def hop2_samples(h1: DataFrame, adj: DataFrame, k: int = HOP2, seed: str = "coclick") -> DataFrame:
+def hop2_samples(h1: DataFrame, adj: DataFrame, k: int = HOP2, seed: str = "coclick",
+                 carry: list[str] | None = None) -> DataFrame:
     """GR4 at hop 2: for each hop-1 draw, k neighbours of the hop-1 node other
     than the centre (empty when it has none).  Each draw position samples
     independently.  Hop-1 nodes without any neighbour are dropped, as the
     reference's inner join does.
 
-    Returns (tag, va, vb, pos, hop1, n2) joined with rows (pos2, hop2); rows
-    with n2 = 0 carry null pos2/hop2.
+    Returns ([carry,] tag, va, vb, pos, hop1, n2) joined with rows (pos2, hop2);
+    rows with n2 = 0 carry null pos2/hop2.
     """
+    carry = carry or []
     deg = adj.select(F.col("va").alias("hop1"), F.col("deg").alias("deg1")).distinct()
     centre_idx = adj.select(F.col("va").alias("hop1"), F.col("vb").alias("va"), F.col("idx").alias("cidx"))
     c = h1.join(deg, "hop1").join(centre_idx, ["hop1", "va"], "left")
     c = c.withColumn("n2", F.col("deg1") - F.when(F.col("cidx").isNotNull(), 1).otherwise(0))
-    draws = c.select("tag", "va", "vb", "pos", "hop1", "n2", "cidx", F.posexplode_outer(
+    draws = c.select(*carry, "tag", "va", "vb", "pos", "hop1", "n2", "cidx", F.posexplode_outer(
         balanced_draws("n2", k, seed, F.lit("h2"), "tag", "va", "vb", "pos")).alias("pos2", "j"))
     draws = draws.withColumn("idx", F.col("j") + F.when(F.col("cidx").isNotNull() & (F.col("j") >= F.col("cidx")), 1)
                              .otherwise(0))
     nb = adj.select(F.col("va").alias("hop1"), "idx", F.col("vb").alias("hop2"))
     return draws.join(nb, ["hop1", "idx"], "left").select(
-        "tag", "va", "vb", "pos", "hop1", "n2", F.col("pos2").cast("bigint").alias("pos2"), "hop2")
+        *carry, "tag", "va", "vb", "pos", "hop1", "n2", F.col("pos2").cast("bigint").alias("pos2"), "hop2")
+
+
+def _assemble(h2: DataFrame, carry: list[str]) -> DataFrame:
+    """Per sample: hop1s in draw order and the aligned hop2 lists (bounded by k1, k1 x k2)."""
+    keys = [*carry, "tag", "va", "vb"]
+    per_hop1 = h2.groupBy(*keys, "pos", "hop1").agg(
+        F.array_sort(F.collect_list(F.when(F.col("hop2").isNotNull(), F.struct("pos2", "hop2")))).alias("__l"))
+    per_hop1 = per_hop1.select(*keys, "pos", "hop1", F.transform("__l", lambda x: x["hop2"]).alias("hop2s"))
+    rows = per_hop1.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "hop1", "hop2s"))).alias("__s"))
+    return rows.select(*keys, F.transform("__s", lambda x: x["hop1"]).alias("hop1s"),
+                       F.transform("__s", lambda x: x["hop2s"]).alias("hop2s"))
 
 
 def two_hop_samples(labels: DataFrame, adj: DataFrame, *, centre: str = "va", other: str = "vb",
@@ -157,29 +167,27 @@ def two_hop_samples(labels: DataFrame, adj: DataFrame, *, centre: str = "va", ot
     Lists are bounded (k1, k1 x k2), so collecting them per sample is safe.
     """
     h1 = hop1_samples(label_contexts(labels, centre, other, weight), adj, k1, seed)
-    h2 = hop2_samples(h1, adj, k2, seed)
-    per_hop1 = h2.groupBy("tag", "va", "vb", "pos", "hop1").agg(
-        F.array_sort(F.collect_list(F.when(F.col("hop2").isNotNull(), F.struct("pos2", "hop2")))).alias("__l"))
-    per_hop1 = per_hop1.select("tag", "va", "vb", "pos", "hop1",
-                               F.transform("__l", lambda x: x["hop2"]).alias("hop2s"))
-    rows = per_hop1.groupBy("tag", "va", "vb").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "hop1", "hop2s"))).alias("__s"))
-    return rows.select("tag", "va", "vb", F.transform("__s", lambda x: x["hop1"]).alias("hop1s"),
-                       F.transform("__s", lambda x: x["hop2s"]).alias("hop2s"))
+    return _assemble(hop2_samples(h1, adj, k2, seed), [])
 
 
 def training_rows(labels: DataFrame, adj: DataFrame, *, va: str = "va", vb: str = "vb", weight: str = "w",
                   k1: int = HOP1, k2: int = HOP2, seed: str = "coclick", as_text: bool = True) -> DataFrame:
     """GR6: va-side and vb-side samples joined on (tag, va, vb) (JN9).
 
+    Both sides are sampled in one pass: their contexts are unioned with a
+    ``side`` key (draws depend only on (tag, centre, other), so they equal
+    two separate passes), which halves the joins against the adjacency.
     Columns tag, va, vb, va_hop1, va_hop2, vb_hop1, vb_hop2; with ``as_text``
     the lists are rendered ``[1,2]`` / ``[[1],[2,3]]`` (SC10) for the TSV sink.
     """
-    a = two_hop_samples(labels, adj, centre=va, other=vb, weight=weight, k1=k1, k2=k2, seed=seed) \
-        .select("tag", "va", "vb", F.col("hop1s").alias("va_hop1"), F.col("hop2s").alias("va_hop2"))
-    b = two_hop_samples(labels, adj, centre=vb, other=va, weight=weight, k1=k1, k2=k2, seed=seed) \
-        .select("tag", F.col("va").alias("vb"), F.col("vb").alias("va"),
-                F.col("hop1s").alias("vb_hop1"), F.col("hop2s").alias("vb_hop2"))
+    ctx = label_contexts(labels, va, vb, weight).withColumn("side", F.lit(0)) \
+        .unionByName(label_contexts(labels, vb, va, weight).withColumn("side", F.lit(1)))
+    h1 = hop1_samples(ctx, adj, k1, seed, carry=["side"])
+    both = _assemble(hop2_samples(h1, adj, k2, seed, carry=["side"]), ["side"])
+    a = both.where(F.col("side") == 0).select("tag", "va", "vb", F.col("hop1s").alias("va_hop1"),
+                                              F.col("hop2s").alias("va_hop2"))
+    b = both.where(F.col("side") == 1).select("tag", F.col("va").alias("vb"), F.col("vb").alias("va"),
+                                              F.col("hop1s").alias("vb_hop1"), F.col("hop2s").alias("vb_hop2"))
     j = a.join(b, ["tag", "va", "vb"])
     if not as_text:
         return j
