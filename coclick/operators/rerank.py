@@ -128,3 +128,46 @@ def mmr_rerank_pairs(candidates: DataFrame, sims: DataFrame, lam: float = LAMBDA
 
     ship_package(rows.sparkSession)
     return rows.groupBy("query").applyInPandas(per_query, _OUT)
+
+
+def mmr_rerank_iterative(candidates: DataFrame, vectors: DataFrame, lam: float = LAMBDA, top_n: int = TOP_N,
+                         query_col: str = "query", item_col: str = "item", score_col: str = "score") -> DataFrame:
+    """RR1 for candidate lists of any length: the same greedy selection as
+    :func:`mmr_rerank`, with no query's list held by one task.
+
+    Each of the ``top_n`` steps is a distributed argmax per query (``max_by``
+    with the same tie order: rounded objective, rounded score, lower id) and a
+    join that folds the new pick's cosine into every candidate's running max
+    similarity.  Both results are written as reliable checkpoints in
+    ``spark.checkpoint.dir`` (required), so lineage stays one step deep.
+    Returns (query, rank, item, score, mmr).
+    """
+    from coclick.functions.vectors import dot, l2_normalize
+    from coclick.session import cut_lineage
+
+    v = vectors.select(F.col("id").alias("item"), l2_normalize(F.col("vec")).alias("vec"))
+    c = candidates.select(F.col(query_col).cast("bigint").alias("query"), F.col(item_col).cast("bigint").alias("item"),
+                          F.col(score_col).cast("double").alias("score"))
+    cand = cut_lineage(c.join(v, "item", "left").select(
+        "query", "item", "score", "vec", F.lit(0.0).alias("max_sim"), F.lit(False).alias("done")))
+    picks = []
+    for step in range(1, top_n + 1):
+        obj = F.lit(lam) * F.col("score") - F.lit(1.0 - lam) * F.col("max_sim")
+        order = F.struct(F.round(obj, RANK_DIGITS), F.round(F.col("score"), RANK_DIGITS), -F.col("item"))
+        best = cut_lineage(cand.where(~F.col("done")).groupBy("query").agg(
+            F.max_by(F.struct("item", "vec", "score", obj.alias("mmr")), order).alias("b")).select(
+            "query", F.lit(step).cast("bigint").alias("rank"), F.col("b.item").alias("item"),
+            F.col("b.score").alias("score"), F.col("b.mmr").alias("mmr"), F.col("b.vec").alias("svec")))
+        picks.append(best.drop("svec"))
+        if step == top_n:
+            break
+        sel = best.select("query", F.col("item").alias("__sel"), "svec")
+        sim = F.when(F.col("vec").isNotNull() & F.col("svec").isNotNull(), dot("vec", "svec")).otherwise(F.lit(0.0))
+        cand = cut_lineage(cand.join(sel, "query", "left").select(
+            "query", "item", "score", "vec",
+            F.when(F.col("__sel").isNotNull(), F.greatest("max_sim", sim)).otherwise(F.col("max_sim")).alias("max_sim"),
+            (F.col("done") | (F.col("item") == F.col("__sel"))).alias("done")))
+    out = picks[0]
+    for p in picks[1:]:
+        out = out.unionByName(p)
+    return out

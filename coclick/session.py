@@ -57,7 +57,7 @@ def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
     """Reliable checkpoint (never a local one): survives executor loss."""
     spark = df.sparkSession
     if not checkpoint_dir(spark, fallback_dir):
-        raise ValueError("spark.checkpoint.dir is not set")
+        raise ValueError("spark.checkpoint.dir is not set: name a shared folder for reliable checkpoints")
     return df.checkpoint(eager=True)
 
 

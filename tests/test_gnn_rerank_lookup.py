@@ -58,3 +58,14 @@ def test_f18_dictionary(spark):
     words = spark.createDataFrame([("ab",), ("a",), ("abc",)], "word string")
     d = spark.createDataFrame([("ab",), ("abc",), ("ab",)], "word string")
     assert rows(lookup.dictionary_match(words, d)) == [("ab",), ("abc",)]
+
+
+def test_mmr_iterative_equals_grouped(spark):
+    rng = np.random.RandomState(5)
+    cand = [(q, i, float(rng.uniform())) for q in range(3) for i in range(q * 100, q * 100 + 25)]
+    vec = [(i, rng.normal(size=6).tolist()) for q in range(3) for i in range(q * 100, q * 100 + 25)]
+    c = spark.createDataFrame(cand, "query bigint, item bigint, score double")
+    v = spark.createDataFrame(vec, "id bigint, vec array<double>")
+    a = rows(rerank.mmr_rerank(c, v, lam=0.6, top_n=6), "query", "rank", "item")
+    b = rows(rerank.mmr_rerank_iterative(c, v, lam=0.6, top_n=6), "query", "rank", "item")
+    assert a == b and len(a) == 18
