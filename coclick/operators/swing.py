@@ -38,27 +38,32 @@ def user_item(clicks: DataFrame, user_col: str = "user", item_col: str = "item",
         *keys, F.col(user_col).alias("user"), F.col(item_col).cast("bigint").alias("item"))
 
 
-def item_pair_users(ui: DataFrame, day_col: str | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
+def item_pair_users(ui: DataFrame, day_col: str | None = None, block: int = DEFAULT_BLOCK,
+                    assume_distinct: bool = False) -> DataFrame:
     """SW2: per (day,) user with >= 2 distinct items, every item pair i < j -> (itemi, itemj, user)."""
     keys = [day_col] if day_col else []
-    d = ui.select(*keys, "user", "item").distinct()
+    d = ui.select(*keys, "user", "item")
+    d = d if assume_distinct else d.distinct()
     p = group_pairs(d, [*keys, "user"], "item", min_size=2, block=block)
     return p.select(*keys, F.col("a").alias("itemi"), F.col("b").alias("itemj"), "user")
 
 
 def user_pair_counts(ui: DataFrame, day_col: str | None = None, min_users: int = MIN_ITEM_USERS,
-                     max_users: int | None = MAX_ITEM_USERS, block: int = DEFAULT_BLOCK) -> DataFrame:
+                     max_users: int | None = MAX_ITEM_USERS, block: int = DEFAULT_BLOCK,
+                     assume_distinct: bool = False) -> DataFrame:
     """SW3: per (day, item) with min..max distinct users, count each user pair;
     summed over days -> (ui, uj, weight bigint)."""
     keys = [day_col] if day_col else []
-    d = ui.select(*keys, "item", "user").distinct()
+    d = ui.select(*keys, "item", "user")
+    d = d if assume_distinct else d.distinct()
     p = group_pairs(d, [*keys, "item"], "user", min_size=min_users, max_size=max_users, block=block)
     return p.groupBy(F.col("a").alias("ui"), F.col("b").alias("uj")).agg(F.count(F.lit(1)).alias("weight"))
 
 
-def user_weights(ui: DataFrame) -> DataFrame:
+def user_weights(ui: DataFrame, assume_distinct: bool = False) -> DataFrame:
     """SW4 / AG5: (user, weight = 1 / sqrt(#distinct items over all days))."""
-    d = ui.select("user", "item").distinct()
+    d = ui.select("user", "item")
+    d = d if assume_distinct else d.distinct()
     return d.groupBy("user").agg((F.lit(1.0) / F.sqrt(F.count(F.lit(1)))).alias("weight"))
 
 
@@ -109,10 +114,15 @@ def swing_pipeline(ui: DataFrame, whitelist: DataFrame | None = None, day_col: s
     whitelisted clicks alone (exactly the same paths, a fraction of the pairs);
     user weights and user-pair counts still see every item.
     """
-    pair_src = ui if whitelist is None else ui.join(whitelist.select("item"), "item", "left_semi")
-    ipu = item_pair_users(pair_src, day_col)
+    keys = [day_col] if day_col else []
+    # one dedup of the clicks feeds all three branches (one scan of the source)
+    ud = ui.select(*keys, "user", "item").distinct()
+    pair_src = ud if whitelist is None else ud.join(whitelist.select("item"), "item", "left_semi")
+    ipu = item_pair_users(pair_src, day_col, assume_distinct=True)
     paths = item_pair_user_pairs(ipu, dedupe=day_col is not None)
-    return swing_scores(paths, user_pair_counts(ui, day_col), user_weights(ui), None, alpha)
+    u2u = user_pair_counts(ud, day_col, assume_distinct=True)
+    uw = user_weights(ud, assume_distinct=day_col is None)
+    return swing_scores(paths, u2u, uw, None, alpha)
 
 
 def swing_lists(scores: DataFrame, k: int = LIST_K, score_col: str = "swing_score") -> DataFrame:

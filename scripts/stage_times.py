@@ -21,12 +21,14 @@ spark = build_session("local[8]", shuffle_partitions=16,
                       extra={"spark.driver.memory": "16g", "spark.eventLog.enabled": "true",
                              "spark.eventLog.dir": logdir, "spark.eventLog.compress": "false"})
 spark.sparkContext.setLogLevel("ERROR")
-catalog.QUERIES[name](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
+if os.environ.get("WARM", "1") == "1":
+    catalog.QUERIES[name](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
 t = time.perf_counter()
 catalog.QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
 print("total", round(time.perf_counter() - t, 2))
 spark.stop()
 stages = {}
+read_total = 0
 for f in [p for p in glob.glob(logdir + "/**", recursive=True) if os.path.isfile(p)]:
     for line in open(f):
         e = json.loads(line)
@@ -34,9 +36,15 @@ for f in [p for p in glob.glob(logdir + "/**", recursive=True) if os.path.isfile
             i = e["Stage Info"]
             if "Submission Time" in i and "Completion Time" in i:
                 rec = sum(a.get("Value", 0) for a in i.get("Accumulables", []) if a.get("Name") == "internal.metrics.shuffle.write.recordsWritten")
+                rd = sum(a.get("Value", 0) for a in i.get("Accumulables", [])
+                         if a.get("Name") == "internal.metrics.input.recordsRead")
+                read_total += rd
+                if rd and os.environ.get("SHOW_READS"):
+                    print("  reads", int(rd), "stage", i["Stage ID"])
                 rdds = ",".join(sorted({r.get("Scope", "{}") and json.loads(r.get("Scope", "{}")).get("name", "")
                                         for r in i.get("RDD Info", []) if r.get("Scope")}))
                 stages[i["Stage ID"]] = (i["Completion Time"] - i["Submission Time"], i["Number of Tasks"], rec,
                                          rdds[:110], "")
+print("input records read (all scans):", int(read_total))
 for sid, (ms, n, rec, nm, _) in sorted(stages.items(), key=lambda x: -x[1][0])[:12]:
     print(f"stage {sid:4d} {ms:6d} ms tasks={n:4d} shuffle_rows={int(rec):10d} {nm}")
