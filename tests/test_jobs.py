@@ -40,3 +40,31 @@ def test_graph_jobs_write_training_rows(spark, scratch):
     labels = graph.session_edges(ev.where(F.col("day") == F.lit(DAYS[-1]).cast("date")), ["user", "day"], tiebreak="eid")
     want = graph.training_rows(labels, graph.adjacency(merged, 0), k1=3, k2=2)
     assert sorted(tuple(r) for r in t.collect()) == sorted(tuple(str(x) for x in r) for r in want.collect())
+
+
+def test_swing_jobs_equal_in_memory_plan(spark, scratch):
+    from coclick.operators import swing
+    base = tempfile.mkdtemp(prefix="sjobs-", dir=scratch)
+    clicks = T.event_clicks(spark, SF_SMALL, strict_ids=False)
+    wl = T.part_whitelist(spark, SF_SMALL)
+    for d in DAYS:
+        out = jobs.swing_gen_day(spark, clicks.where(F.col("day") == F.lit(d).cast("date")), base, "ID", d)
+        assert jobs.swing_gen_day(spark, clicks.limit(0), base, "ID", d) == out      # complete days are skipped
+    jobs.swing_merge(spark, base, "ID", DAYS[-1], 4, wl)
+    path = jobs.swing_join(spark, base, "ID", wl, T.part_shops(spark, SF_SMALL))
+    prof = jobs.swing_group(spark, base, "ID", T.part_features(spark, SF_SMALL)).collect()
+    ui = swing.user_item(clicks.select("day", "user", "item"), day_col="day")
+    want = swing.swing_pipeline(ui, whitelist=wl, day_col="day")
+    assert rows(spark.read.parquet(path), "itemi", "itemj") == rows(want, "itemi", "itemj")
+    assert {r.list for r in prof} == {"final_data", "final_data_ctr_cr"}
+
+
+def test_usercf_jobs(spark, scratch):
+    base = tempfile.mkdtemp(prefix="ujobs-", dir=scratch)
+    clicks = T.event_clicks(spark, SF_SMALL)
+    out = jobs.usercf_lists(spark, clicks.where(F.col("day") < F.lit("2024-01-30").cast("date")), base, "ID")
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert lines and all("\t" in ln for ln in lines)
+    ev = jobs.usercf_eval(spark, clicks.where(F.col("day") == F.lit("2024-01-30").cast("date")), base, "ID")
+    vals = [float(r.value.split("\t")[1]) for r in spark.read.text(ev).collect()]
+    assert all(0.0 <= v <= 1.0 for v in vals)
