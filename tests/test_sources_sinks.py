@@ -68,3 +68,29 @@ def test_if_missing_and_text(spark, scratch):
     tsv = os.path.join(os.path.dirname(out), "tsv")
     sinks.write_tsv(spark.createDataFrame([(1, "[1,2]")], "a int, b string"), tsv)
     assert [r.value for r in spark.read.text(tsv).collect()] == ["1\t[1,2]"]
+
+
+def test_text_and_vector_readers_round_trip(spark, scratch):
+    from coclick.operators import usercf
+    from coclick.sources import read_sentences, read_user_lists, read_vectors
+    root = tempfile.mkdtemp(prefix="readers-", dir=scratch)
+    s_path, u_path, v_path = (os.path.join(root, x) for x in ("sent", "lists", "vec"))
+    sinks.write_lines(spark.createDataFrame([("1 2 3",), ("4 5",)], "line string"), s_path)
+    assert sorted(r.tokens for r in read_sentences(spark, s_path).collect()) == [["1", "2", "3"], ["4", "5"]]
+    sinks.write_lines(spark.createDataFrame([("7\t2,4,9",), ("8\t1",)], "line string"), u_path)
+    lists = read_user_lists(spark, u_path)
+    assert rows(lists, "user", "items") == [(7, [2, 4, 9]), (8, [1])]
+    preds = lists.select("user", F.explode("items").alias("item"))
+    labels = spark.createDataFrame([(7, 1), (7, 2), (7, 3), (7, 4)], "user bigint, item bigint")
+    assert rows(usercf.hit_ratio(labels, preds), "user", "score") == [(7, 0.5)]          # F14 via text lists
+    spark.createDataFrame([(3, [0.5, 1.5])], "k bigint, v array<double>").write.parquet(v_path)
+    assert [(r.id, r.vec) for r in read_vectors(spark, v_path).collect()] == [(3, [0.5, 1.5])]
+
+
+def test_convert_if_absent(spark, scratch):
+    root = tempfile.mkdtemp(prefix="conv-", dir=scratch)
+    pq, tsv = os.path.join(root, "rows"), os.path.join(root, "tsv")
+    sinks.write_parquet(spark.createDataFrame([(1, "[1,2]")], "a int, b string"), pq)
+    assert sinks.convert_if_absent(spark, pq, tsv) is True
+    assert sinks.convert_if_absent(spark, pq, tsv) is False
+    assert [r.value for r in spark.read.text(tsv).collect()] == ["1\t[1,2]"]
