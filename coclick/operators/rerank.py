@@ -2,11 +2,12 @@
 
 Greedy maximal marginal relevance per query:
     pick argmax_i  lambda * score_i - (1 - lambda) * max(0, max_{j in S} sim(i, j))
-The selection is sequential inside a query, so each query is one
-``applyInPandas`` group; queries run in parallel.  A group holds one query's
-candidate list (the output of a bounded top-k retrieval), and similarities are
-computed from candidate vectors inside the group (top_n x n dot products), so
-no candidate-pair table is materialised.
+The selection is sequential inside a query.  ``mmr_rerank`` makes each
+query's (bounded, top-k retrieved) candidate list one row and runs the greedy
+steps vectorised over all queries of an Arrow batch; similarities come from
+candidate vectors (top_n x n dot products), so no candidate-pair table is
+materialised.  ``mmr_rerank_iterative`` handles lists of any length with one
+distributed aggregation per step.
 """
 
 from __future__ import annotations
@@ -51,40 +52,86 @@ def mmr_select(items: np.ndarray, scores: np.ndarray, sim, lam: float, top_n: in
     return chosen
 
 
+def mmr_batch(items: list, scores: list, vecs: list, lam: float, top_n: int | None):
+    """Greedy MMR for many queries at once (one numpy step per pick for the batch).
+
+    ``items``/``scores``/``vecs`` hold one candidate list per query.  Lists are
+    ordered by (rounded score desc, id), padded, and every step takes the
+    argmax of the rounded objective (first index among ties), exactly like
+    :func:`mmr_select`.  Returns per query (picked items, scores, objectives).
+    """
+    B = len(items)
+    n_max = max((len(x) for x in items), default=0)
+    dim = next((len(v) for vs in vecs for v in vs if v is not None), 1)
+    S = np.zeros((B, n_max))
+    ids = np.zeros((B, n_max), dtype=np.int64)
+    U = np.zeros((B, n_max, dim))
+    valid = np.zeros((B, n_max), dtype=bool)
+    for b in range(B):
+        it = np.asarray(items[b], dtype=np.int64)
+        sc = np.asarray(scores[b], dtype=np.float64)
+        order = np.lexsort((it, -np.round(sc, RANK_DIGITS)))
+        n = len(it)
+        S[b, :n], ids[b, :n], valid[b, :n] = sc[order], it[order], True
+        for j, o in enumerate(order):
+            v = vecs[b][o]
+            if v is not None:
+                v = np.asarray(v, dtype=np.float64)
+                nv = np.linalg.norm(v)
+                U[b, j] = v / nv if nv > 0 else 0.0
+    steps = n_max if top_n is None else min(top_n, n_max)
+    max_sim = np.zeros((B, n_max))
+    remaining = valid.copy()
+    rows = np.arange(B)
+    picks, objs = [], []
+    for _ in range(steps):
+        obj = lam * S - (1.0 - lam) * max_sim
+        best = np.argmax(np.where(remaining, np.round(obj, RANK_DIGITS), -np.inf), axis=1)
+        active = remaining[rows, best]
+        picks.append(np.where(active, best, -1))
+        objs.append(obj[rows, best])
+        remaining[rows[active], best[active]] = False
+        max_sim = np.maximum(max_sim, np.einsum("bnd,bd->bn", U, U[rows, best]))
+    out = []
+    for b in range(B):
+        sel = [(int(p[b]), float(o[b])) for p, o in zip(picks, objs) if p[b] >= 0]
+        out.append(([int(ids[b, i]) for i, _ in sel], [float(S[b, i]) for i, _ in sel], [o for _, o in sel]))
+    return out
+
+
 def mmr_rerank(candidates: DataFrame, vectors: DataFrame, lam: float = LAMBDA, top_n: int | None = TOP_N,
                query_col: str = "query", item_col: str = "item", score_col: str = "score") -> DataFrame:
     """RR1: re-rank each query's candidates; similarity = cosine of item vectors.
 
-    ``candidates``: (query, item, score); ``vectors``: (id, vec).  Candidates
-    without a vector have similarity 0 to everything.
-    Returns (query, rank, item, score, mmr).
+    ``candidates``: (query, item, score) from a bounded top-k retrieval;
+    ``vectors``: (id, vec).  Each query's list becomes one row and the greedy
+    steps run vectorised over all queries of an Arrow batch.  Candidates
+    without a vector have similarity 0 to everything.  For lists of unbounded
+    length use :func:`mmr_rerank_iterative`.  Returns (query, rank, item, score, mmr).
     """
     v = vectors.select(F.col("id").alias("item"), F.col("vec").cast("array<double>").alias("vec"))
     c = candidates.select(F.col(query_col).cast("bigint").alias("query"), F.col(item_col).cast("bigint").alias("item"),
                           F.col(score_col).cast("double").alias("score"))
-    joined = c.join(v, "item", "left")
-
-    def per_query(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(__r=pdf["score"].round(RANK_DIGITS)).sort_values(["__r", "item"], ascending=[False, True])
-        items = pdf["item"].to_numpy(dtype=np.int64)
-        scores = pdf["score"].to_numpy(dtype=np.float64)
-        dim = next((len(x) for x in pdf["vec"] if x is not None), 0)
-        mat = np.stack([np.asarray(x, dtype=np.float64) if x is not None else np.zeros(dim) for x in pdf["vec"]]) \
-            if dim else np.zeros((len(pdf), 1))
-        norms = np.linalg.norm(mat, axis=1)
-        unit = mat / np.where(norms > 0, norms, 1.0)[:, None]
-
-        def sim(j):
-            return unit @ unit[j]
-
-        chosen = mmr_select(items, scores, sim, lam, top_n)
-        q = int(pdf["query"].iloc[0])
-        return pd.DataFrame({"query": [q] * len(chosen), "rank": np.arange(1, len(chosen) + 1, dtype=np.int64),
-                             "item": [int(items[i]) for i, _ in chosen],
-                             "score": [float(scores[i]) for i, _ in chosen], "mmr": [o for _, o in chosen]})
-
-    ship_package(joined.sparkSession)
-    return joined.groupBy("query").applyInPandas(per_query, _OUT)
+    lists = c.join(v, "item", "left").groupBy("query").agg(
+        F.collect_list(F.struct("item", "score", "vec")).alias("l"))
+    lists = lists.select("query", F.transform("l", lambda x: x["item"]).alias("items"),
+                         F.transform("l", lambda x: x["score"]).alias("scores"),
+                         F.transform("l", lambda x: x["vec"]).alias("vecs"))
+    out_t = T.StructType([T.StructField("items", T.ArrayType(T.LongType())),
+                          T.StructField("scores", T.ArrayType(T.DoubleType())),
+                          T.StructField("mmrs", T.ArrayType(T.DoubleType()))])
+
+    @F.pandas_udf(out_t)
+    def rerank_lists(items: pd.Series, scores: pd.Series, vecs: pd.Series) -> pd.DataFrame:
+        res = mmr_batch([list(x) for x in items], [list(x) for x in scores],
+                        [[None if v is None else list(v) for v in x] for x in vecs], lam, top_n)
+        return pd.DataFrame({"items": [r[0] for r in res], "scores": [r[1] for r in res], "mmrs": [r[2] for r in res]})
+
+    ship_package(lists.sparkSession)
+    r = lists.select("query", rerank_lists("items", "scores", "vecs").alias("r"))
+    z = r.select("query", F.posexplode(F.arrays_zip("r.items", "r.scores", "r.mmrs")).alias("pos", "z"))
+    return z.select("query", (F.col("pos") + 1).cast("bigint").alias("rank"), F.col("z.items").alias("item"),
+                    F.col("z.scores").alias("score"), F.col("z.mmrs").alias("mmr"))
 
 
 def mmr_rerank_pairs(candidates: DataFrame, sims: DataFrame, lam: float = LAMBDA, top_n: int | None = TOP_N,
