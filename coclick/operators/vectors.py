@@ -138,8 +138,8 @@ def _normalise_expr(vec: str) -> F.Column:
 
 
 def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "cosine",
-               n_lists: int = 16, n_probe: int = 4, seed: int = 7, block: int = 4096,
-               max_iter: int = 20) -> DataFrame:
+               n_lists: int = 16, n_probe: int = 8, seed: int = 7, block: int = 4096,
+               max_iter: int = 10) -> DataFrame:
     """VEC3: approximate kNN with an IVF index (Spark ML KMeans lists).
 
     Each query probes its ``n_probe`` nearest lists; candidates in those lists
