@@ -90,6 +90,24 @@ swing AS (SELECT itemi, itemj, swing_score FROM s1 UNION SELECT itemj AS itemi,
 swing_top AS (SELECT * FROM (SELECT itemi, CAST(row_number() OVER (PARTITION BY itemi ORDER BY round(swing_score, 9) DESC, itemj) AS BIGINT) AS rank,
               itemj, swing_score FROM swing) WHERE rank <= 200)"""
 
+SWING_DAILY = """evl AS (SELECT CAST(ts AS DATE) AS day, user_id AS u, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS item
+        FROM events WHERE event_type = 'click' AND user_id > 0),
+dui AS (SELECT DISTINCT day, u, item FROM evl WHERE item IS NOT NULL),
+duw AS (SELECT u, 1.0 / sqrt(count(DISTINCT item)) AS weight FROM dui GROUP BY u),
+disz AS (SELECT day, item FROM dui GROUP BY day, item HAVING count(*) BETWEEN 2 AND 1000),
+du2u AS (SELECT a.u AS ui, b.u AS uj, CAST(count(*) AS BIGINT) AS weight
+         FROM dui a JOIN dui b ON a.day = b.day AND a.item = b.item AND a.u < b.u
+         WHERE (a.day, a.item) IN (SELECT (day, item) FROM disz) GROUP BY 1, 2),
+di2iu AS (SELECT DISTINCT a.item AS itemi, b.item AS itemj, a.u AS u
+          FROM dui a JOIN dui b ON a.day = b.day AND a.u = b.u AND a.item < b.item),
+dpaths AS (SELECT a.itemi, a.itemj, a.u AS ui, b.u AS uj
+           FROM di2iu a JOIN di2iu b ON a.itemi = b.itemi AND a.itemj = b.itemj AND a.u < b.u
+           WHERE a.itemi IN (SELECT item FROM wl) AND a.itemj IN (SELECT item FROM wl)),
+ds1 AS (SELECT p.itemi, p.itemj, sum(w1.weight * w2.weight * 1 / (1 + c.weight)) AS swing_score
+        FROM dpaths p JOIN du2u c ON p.ui = c.ui AND p.uj = c.uj
+        JOIN duw w1 ON p.ui = w1.u JOIN duw w2 ON p.uj = w2.u GROUP BY 1, 2),
+dswing AS (SELECT itemi, itemj, swing_score FROM ds1 UNION ALL SELECT itemj, itemi, swing_score FROM ds1)"""
+
 FEAT = """feat AS (
   SELECT p_partkey AS itemid, p_retailprice / 4000.0 AS ctcvr30, 'ID' AS country, '2024-01-29' AS dt FROM part
   UNION ALL
@@ -288,6 +306,8 @@ def sql() -> dict[str, str]:
                            "string_agg(printf('%d:%.6f', nbr, round(score, 6)), ';' ORDER BY rank) AS line "
                            "FROM lists GROUP BY item")
     sw = ",\n".join([CP, WL, SWING])
+    q["swing_daily_scores"] = _q(",\n".join([WL, SWING_DAILY]),
+                                 "SELECT itemi, itemj, round(swing_score, 6) AS swing_score FROM dswing")
     q["swing_user_weight"] = _q(sw, "SELECT u AS user, round(weight, 6) AS weight FROM uw")
     q["swing_u2u"] = _q(sw, "SELECT ui, uj, weight FROM u2u")
     q["swing_i2i_users"] = _q(sw, "SELECT itemi, itemj, u AS user FROM i2iu")
