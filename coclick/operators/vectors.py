@@ -17,13 +17,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coclick.functions.vectors import l2_normalize
 from coclick.operators.pairs import sequence_index
 from coclick.session import ship_package
-from coclick.operators.topk import RANK_DIGITS, rank_key, top_k_by_key
+from coclick.operators.topk import RANK_DIGITS, top_k_by_key
 
 SPACES = ("cosine", "l2", "ip")
 # Fixed values of the reference's vector jobs.
@@ -132,11 +133,6 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "
     return top_k_by_key(cand, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
 
 
-def _normalise_expr(vec: str) -> F.Column:
-    n = F.sqrt(F.aggregate(F.col(vec), F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double")))
-    return F.transform(F.col(vec), lambda x: (x.cast("double") / F.when(n > 0, n).otherwise(F.lit(1.0))))
-
-
 def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "cosine",
                n_lists: int = 16, n_probe: int = 8, seed: int = 7, block: int = 4096,
                max_iter: int = 10) -> DataFrame:
@@ -150,8 +146,8 @@ def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str =
     from pyspark.ml.functions import array_to_vector
 
     if space == "cosine":
-        corpus = corpus.select("id", _normalise_expr("vec").alias("vec"))
-        queries = queries.select("id", _normalise_expr("vec").alias("vec"))
+        corpus = corpus.select("id", l2_normalize("vec").alias("vec"))
+        queries = queries.select("id", l2_normalize("vec").alias("vec"))
     cv = corpus.select("id", "vec", array_to_vector(F.col("vec").cast("array<double>")).alias("features"))
     model = KMeans(k=n_lists, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="list").fit(cv)
     centres = np.stack([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])  # n_lists x dim: small

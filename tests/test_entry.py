@@ -1,5 +1,4 @@
 import duckdb
-import pandas as pd
 import pytest
 
 import __spark_entry__ as E

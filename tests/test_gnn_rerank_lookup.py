@@ -1,7 +1,6 @@
 import math
 
 import numpy as np
-import pytest
 
 from coclick.operators import gnn, lookup, rerank
 from conftest import rows

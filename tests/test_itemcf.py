@@ -1,6 +1,5 @@
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from coclick.functions.ids import item_id_strict
