@@ -101,34 +101,48 @@ def neighbour_max_pool(samples: DataFrame, vectors: DataFrame, W: dict, k1: int,
     mean = np.zeros(in_dim) if norm_mean is None else np.asarray(norm_mean, dtype=np.float64)
     std = np.ones(in_dim) if norm_std is None else np.asarray(norm_std, dtype=np.float64)
     weights = {k: np.asarray(a, dtype=np.float64) for k, a in W.items()}
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def embed(col: pd.Series) -> pd.Series:
-        B = len(col)
-        centre = np.zeros((B, in_dim))
-        hop1 = np.zeros((B, k1, in_dim))
-        m1 = np.zeros((B, k1), dtype=bool)
-        hop2 = np.zeros((B, k1, k2, in_dim))
-        m2 = np.zeros((B, k1, k2), dtype=bool)
-        has_centre = np.zeros(B, dtype=bool)
-        for b, refs in enumerate(col):
-            for r in refs:
-                p, q, vec = int(r["p"]), int(r["q"]), (np.asarray(r["vec"], dtype=np.float64) - mean) / std
-                if p < 0:
-                    centre[b] = vec
-                    has_centre[b] = True
-                elif q < 0:
-                    if p < k1:
-                        hop1[b, p] = vec
-                        m1[b, p] = True
-                elif p < k1 and q < k2:
-                    hop2[b, p, q] = vec
-                    m2[b, p, q] = True
-        out = forward(centre, hop1, m1, hop2, m2, weights, mask_padding)
-        return pd.Series([o.astype(np.float32).tolist() if h else None for o, h in zip(out, has_centre)])
+    key_types = dict(rows.dtypes)
+    out_schema = ", ".join(f"{k} {key_types[k]}" for k in keys) + ", emb array<float>"
+
+    def embed(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for rb in batches:
+            B = rb.num_rows
+            refs = rb.column("refs")
+            # one flat view of all references of the batch: row id, p, q, vector
+            lens = pc.list_value_length(refs).fill_null(0).to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(B), lens)
+            flat = pc.list_flatten(refs)
+            p = pc.struct_field(flat, "p").to_numpy(zero_copy_only=False).astype(np.int64)
+            q = pc.struct_field(flat, "q").to_numpy(zero_copy_only=False).astype(np.int64)
+            vec = pc.list_flatten(pc.struct_field(flat, "vec")).to_numpy(zero_copy_only=False)
+            vec = (vec.reshape(len(p), in_dim) - mean) / std if len(p) else np.zeros((0, in_dim))
+            centre = np.zeros((B, in_dim))
+            hop1 = np.zeros((B, k1, in_dim))
+            m1 = np.zeros((B, k1), dtype=bool)
+            hop2 = np.zeros((B, k1, k2, in_dim))
+            m2 = np.zeros((B, k1, k2), dtype=bool)
+            has_centre = np.zeros(B, dtype=bool)
+            c = p < 0
+            centre[row[c]] = vec[c]
+            has_centre[row[c]] = True
+            h1 = (p >= 0) & (p < k1) & (q < 0)
+            hop1[row[h1], p[h1]] = vec[h1]
+            m1[row[h1], p[h1]] = True
+            h2 = (p >= 0) & (p < k1) & (q >= 0) & (q < k2)
+            hop2[row[h2], p[h2], q[h2]] = vec[h2]
+            m2[row[h2], p[h2], q[h2]] = True
+            out = forward(centre, hop1, m1, hop2, m2, weights, mask_padding).astype(np.float32)
+            keep = np.nonzero(has_centre)[0]
+            emb = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * out.shape[1]),
+                                           pa.array(out[keep].ravel()))
+            cols = [rb.column(k).take(pa.array(keep)) for k in keys] + [emb]
+            yield pa.RecordBatch.from_arrays(cols, names=[*keys, "emb"])
 
     ship_package(rows.sparkSession)
-    return rows.select(*keys, embed("refs").alias("emb")).where(F.col("emb").isNotNull())
+    return rows.select(*keys, "refs").mapInArrow(embed, out_schema)
 
 
 def _batch_scores(pairs: DataFrame, batch: str, pos: str, a_vec: str, b_vec: str) -> DataFrame:
