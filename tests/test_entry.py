@@ -73,3 +73,16 @@ def test_python_udf_queries_run_from_any_directory(scratch):
     out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(dir=scratch), capture_output=True,
                          text=True, timeout=600)
     assert "ROWS" in out.stdout, out.stderr[-2000:]
+
+
+def test_more_queries_deterministic_and_without_aqe(spark):
+    names = ["itemcf_topk", "knn_cosine", "mmr_top2", "usercf_recommend", "group_quota"]
+    base = {n: _norm(E.queries()[n](spark, SF_SMALL).toPandas()) for n in names}
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for n in names:
+            assert _norm(E.queries()[n](spark, SF_SMALL).toPandas()).equals(base[n]), n
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
