@@ -86,6 +86,8 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     if not _ZIP:
+        # driver-side staging of the code archive only; Spark copies it to every
+        # executor through its file server (no data is kept in this folder)
         root = os.path.dirname(os.path.abspath(__file__))
         path = os.path.join(tempfile.mkdtemp(prefix="coclick-pyfiles-"), "coclick.zip")
         with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
