@@ -28,7 +28,7 @@ SCORE_FLOOR = 0.001       # later neighbours need score > floor
 def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: str = "item",
                        ts_col: str = "ts", day_col: str | None = None, weight_col: str | None = None,
                        max_user_items: int | None = MAX_USER_ITEMS, min_user_items: int = MIN_USER_ITEMS,
-                       window_size: int = WINDOW_SIZE, block: int = DEFAULT_BLOCK) -> DataFrame:
+                       window_size: int = WINDOW_SIZE, block: int | None = None) -> DataFrame:
     """CF1: per (day,) user: pair counts inside a sliding window of clicks.
 
     1. keep a user's first ``max_user_items`` clicks by (-weight, item, ts)
@@ -38,8 +38,11 @@ def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: s
        clicks, skip equal items, key by (min, max), weight w_i * w_j (WN1);
     4. an item's own count is the sum of w^2 over its clicks (``vj = 0``).
 
-    Returns ``[day_col,] vi, vj, weight``.
+    ``block`` (default max(window, 2048)) is the position block of the
+    windowed self-join; a block of at least the window sends each click to at
+    most two blocks.  Returns ``[day_col,] vi, vj, weight``.
     """
+    block = block or max(window_size, DEFAULT_BLOCK)
     keys = ([day_col] if day_col else []) + [user_col]
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     c = clicks.where(F.col(item_col).isNotNull() & (F.col(item_col) != 0)) \
