@@ -85,17 +85,18 @@ def neighbour_max_pool(samples: DataFrame, vectors: DataFrame, W: dict, k1: int,
     missing neighbour vectors count as padding.  Returns key cols + ``emb``.
     """
     keys = list(key_cols)
-    s = samples.select(*keys, "hop1s", "hop2s").withColumn("__sid", F.xxhash64(*keys))
-    refs_c = s.select("__sid", F.lit(-1).cast("int").alias("p"), F.lit(-1).cast("int").alias("q"),
-                      F.col("va").alias("node"))
-    refs_1 = s.select("__sid", F.posexplode("hop1s").alias("p", "node")).select(
-        "__sid", "p", F.lit(-1).cast("int").alias("q"), "node")
-    refs_2 = s.select("__sid", F.posexplode("hop2s").alias("p", "l")).select(
-        "__sid", "p", F.posexplode("l").alias("q", "node"))
-    refs = refs_c.unionByName(refs_1).unionByName(refs_2)
+    # every vector reference of a sample in one explode: centre (-1, -1),
+    # hop-1 node (p, -1), hop-2 node (p, q); one pass over the samples
+    ref = "struct<p:int,q:int,node:bigint>"
+    centre = F.array(F.struct(F.lit(-1).alias("p"), F.lit(-1).alias("q"), F.col("va").cast("bigint").alias("node")))
+    hop1 = F.transform("hop1s", lambda x, i: F.struct(i.alias("p"), F.lit(-1).alias("q"), x.alias("node")))
+    hop2 = F.flatten(F.transform("hop2s", lambda l, i: F.transform(
+        l, lambda x, j: F.struct(i.alias("p"), j.alias("q"), x.alias("node")))))
+    refs = samples.select(*keys, F.explode(F.concat(centre.cast(f"array<{ref}>"), hop1.cast(f"array<{ref}>"),
+                                                    hop2.cast(f"array<{ref}>"))).alias("r")) \
+        .select(*keys, "r.p", "r.q", "r.node")
     v = vectors.select(F.col("id").alias("node"), F.col("vec").cast("array<double>").alias("vec"))
-    got = refs.join(v, "node").groupBy("__sid").agg(F.collect_list(F.struct("p", "q", "vec")).alias("refs"))
-    rows = s.select(*keys, "__sid").join(got, "__sid")
+    rows = refs.join(v, "node").groupBy(*keys).agg(F.collect_list(F.struct("p", "q", "vec")).alias("refs"))
 
     in_dim = W["self1_w"].shape[0]
     mean = np.zeros(in_dim) if norm_mean is None else np.asarray(norm_mean, dtype=np.float64)
