@@ -106,7 +106,7 @@ def swing_scores(paths: DataFrame, u2u: DataFrame, uweights: DataFrame, whitelis
     return symmetrise(one_way, ["itemi"], ["itemj"], ["itemi"], ["itemj"], keep=["swing_score"])
 
 
-def swing_pipeline(ui: DataFrame, whitelist: DataFrame | None = None, day_col: str | None = None,
+def swing_from_clicks(ui: DataFrame, whitelist: DataFrame | None = None, day_col: str | None = None,
                    alpha: float = ALPHA) -> DataFrame:
     """SW1..SW6 end to end from (day,) user, item rows.
 

@@ -68,13 +68,13 @@ def cp_ui(spark, sf):
 
 
 def cp_swing(spark, sf):
-    return swing.swing_pipeline(cp_ui(spark, sf), whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE))
+    return swing.swing_from_clicks(cp_ui(spark, sf), whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE))
 
 
 def swing_daily_scores(spark, sf):
     """Swing with per-day user-pair counts over the 30 days of events (SW3 per day, SW5 across days)."""
     ui = swing.user_item(T.event_clicks(spark, sf, strict_ids=False), day_col="day")
-    return swing.swing_pipeline(ui, whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE), day_col="day") \
+    return swing.swing_from_clicks(ui, whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE), day_col="day") \
         .select("itemi", "itemj", _r("swing_score"))
 
 

@@ -54,7 +54,7 @@ def test_swing_jobs_equal_in_memory_plan(spark, scratch):
     path = jobs.swing_join(spark, base, "ID", wl, T.part_shops(spark, SF_SMALL))
     prof = jobs.swing_group(spark, base, "ID", T.part_features(spark, SF_SMALL)).collect()
     ui = swing.user_item(clicks.select("day", "user", "item"), day_col="day")
-    want = swing.swing_pipeline(ui, whitelist=wl, day_col="day")
+    want = swing.swing_from_clicks(ui, whitelist=wl, day_col="day")
     assert rows(spark.read.parquet(path), "itemi", "itemj") == rows(want, "itemi", "itemj")
     assert {r.list for r in prof} == {"final_data", "final_data_ctr_cr"}
 

@@ -14,7 +14,7 @@ def test_f2_swing_one_day(spark):
     d = ui(spark, [(1, 10), (1, 20), (2, 10), (2, 20), (3, 10), (3, 30)])
     u2u = {(r.ui, r.uj): r.weight for r in swing.user_pair_counts(d).collect()}
     assert u2u == {(1, 2): 2, (1, 3): 1, (2, 3): 1}
-    s = {(r.itemi, r.itemj): r.swing_score for r in swing.swing_pipeline(d).collect()}
+    s = {(r.itemi, r.itemj): r.swing_score for r in swing.swing_from_clicks(d).collect()}
     w = 1 / math.sqrt(2)
     assert set(s) == {(10, 20), (20, 10)}
     assert math.isclose(s[(10, 20)], w * w / 3) and math.isclose(s[(20, 10)], w * w / 3)
@@ -23,7 +23,7 @@ def test_f2_swing_one_day(spark):
 def test_f3_cross_day_pair_dropped(spark):
     d = ui(spark, [(1, 1, 10), (1, 1, 20), (2, 2, 10), (2, 2, 20)], day=True)
     assert swing.item_pair_user_pairs(swing.item_pair_users(d, "day")).count() == 1
-    assert swing.swing_pipeline(d, day_col="day").count() == 0
+    assert swing.swing_from_clicks(d, day_col="day").count() == 0
 
 
 def test_item_user_cap(spark):
@@ -44,7 +44,7 @@ def test_salted_pairs_equal_plain(spark):
 
 def test_scores_positive(spark):
     data = [(u, (u * 3 + i) % 7) for u in range(12) for i in range(4)]
-    s = swing.swing_pipeline(ui(spark, data))
+    s = swing.swing_from_clicks(ui(spark, data))
     assert s.where("swing_score <= 0").count() == 0
 
 
