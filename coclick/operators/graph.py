@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from coclick.functions.hashing import balanced_draws
 from coclick.functions.text import array_text, nested_array_text
-from coclick.operators.pairs import next_pairs, sequence_index
+from coclick.operators.pairs import next_pairs, sequence_index, time_bucket
 from coclick.sources.clicks import day_range_filter
 
 # Fixed values of the reference's graph job.
@@ -38,7 +38,7 @@ def session_edges(clicks: DataFrame, session_cols: list[str], item_col: str = "i
     order = [ts_col] + ([tiebreak] if tiebreak else []) + [item_col]
     keep = list(dict.fromkeys(session_cols + ([day_col] if day_col else []) + [item_col] + order))
     d = clicks.select(*keep).na.drop(subset=list(dict.fromkeys(session_cols + [item_col, ts_col])))
-    idx = sequence_index(d, session_cols, order, F.date_trunc("hour", F.col(ts_col)))
+    idx = sequence_index(d, session_cols, order, time_bucket(d, ts_col))
     if day_col and day_col not in session_cols:
         raise ValueError("day_col must be one of the session columns")
     pairs = next_pairs(idx, session_cols, item_col).where(F.col("a") != F.col("b"))

@@ -85,6 +85,17 @@ def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
         .where(F.col("a") < F.col("b")).drop("__ba", "__bb")
 
 
+def time_bucket(df: DataFrame, ts_col: str) -> Column:
+    """A bucket that never decreases with ``ts``: the hour for timestamps and
+    dates, ``floor(ts / 3600)`` for numeric times (epoch seconds or any unit)."""
+    t = dict(df.dtypes)[ts_col]
+    if t.startswith("timestamp"):
+        return F.date_trunc("hour", F.col(ts_col))
+    if t == "date":
+        return F.col(ts_col)
+    return F.floor(F.col(ts_col) / 3600)
+
+
 def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list, bucket: Column,
                    pos_col: str = "pos") -> DataFrame:
     """Dense 1-based position of each row inside its group, by ``order_cols``.

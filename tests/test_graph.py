@@ -100,3 +100,11 @@ def test_adjacency_index_with_hub_buckets(spark):
     for r in s:
         assert len(r.hop1s) == 10 and len(set(r.hop1s)) == 10 and all(1 <= x <= 40 for x in r.hop1s)
         assert all(h2 == [] for h2 in r.hop2s)          # every neighbour only knows the hub
+
+
+def test_session_edges_with_epoch_timestamps(spark):
+    # the raw click log carries event_timestamp as bigint epoch seconds
+    df = spark.createDataFrame([("s", 5, 100), ("s", 7, 7300), ("s", 9, 7301), ("t", 1, 5), ("t", 2, 4)],
+                               "session string, item bigint, ts bigint")
+    e = graph.session_edges(df, ["session"])
+    assert rows(e, "va", "vb") == [(1, 2), (2, 1), (5, 7), (7, 5), (7, 9), (9, 7)]
