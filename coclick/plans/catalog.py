@@ -254,6 +254,12 @@ def knn_approx(spark, sf):
     return vectors.knn_approx(e, e, P.KNN_K, "cosine").select("qid", "rank", "cid", _r("dist"))
 
 
+def knn_ivf_all_lists(spark, sf):
+    """IVF search probing every list: must equal the exact kNN (checks lists, tiles and merge)."""
+    e = T.embeddings(spark, sf)
+    return vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=8, n_probe=8).select("qid", "rank", "cid", _r("dist"))
+
+
 def knn_recall(spark, sf):
     e = T.embeddings(spark, sf)
     return vectors.recall_at_k(vectors.knn_approx(e, e, P.KNN_K, "cosine"), vectors.knn_exact(e, e, P.KNN_K, "cosine"))
@@ -363,6 +369,7 @@ QUERIES: dict[str, Query] = {
     "knn_l2": _knn("l2"),
     "knn_ip": _knn("ip"),
     "knn_approx": knn_approx,
+    "knn_ivf_all_lists": knn_ivf_all_lists,
     "knn_recall": knn_recall,
     "item2vec": item2vec,
     "similar_items": similar_items,

@@ -351,6 +351,7 @@ def sql() -> dict[str, str]:
     q["sentences"] = _q(",\n".join([EV, SENT]), "SELECT u AS user, CAST(day AS VARCHAR) AS day, chunk, sentence FROM sent")
     for sp in ("cosine", "l2", "ip"):
         q[f"knn_{sp}"] = _q(knn_sql(sp, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
+    q["knn_ivf_all_lists"] = q["knn_cosine"]
     q["inbatch_loss"] = _q(INBATCH, "SELECT batch, i AS pos, round(-ln(p_pos + 1e-8) * 1.0, 6) + 0.0 AS loss, "
                                     "round(p_pos, 6) + 0.0 AS p_pos FROM lossr")
     q["inbatch_metrics"] = _q(INBATCH, "SELECT batch, n, round(pos_cos, 6) + 0.0 AS pos_cos, round(neg_cos, 6) + 0.0 AS neg_cos, "
