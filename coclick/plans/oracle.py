@@ -230,6 +230,39 @@ second AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER
            FROM sec0) WHERE k = 1),
 mmr2 AS (SELECT query, CAST(1 AS BIGINT) AS rank, item, mmr FROM first UNION ALL SELECT query, CAST(2 AS BIGINT), item, mmr FROM second)"""
 
+def mmr_full_sql(csim: str) -> str:
+    """Greedy MMR (top_n picks) as a recursive CTE; ``csim`` defines (query, i, j, sim >= 0)."""
+    return f"""{knn_sql('cosine', P.MMR_K + 1)},
+cand0 AS (SELECT qid, cid, dist, row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), cid) AS rk FROM knn WHERE qid <> cid),
+cand AS (SELECT qid AS query, cid AS item, 1.0 - dist AS score FROM cand0 WHERE rk <= {P.MMR_K}),
+csim AS ({csim}),
+first AS (SELECT * FROM (SELECT query, item, 0.5 * score - 0.5 * 0.0 AS mmr,
+          row_number() OVER (PARTITION BY query ORDER BY round(0.5 * score - 0.5 * 0.0, 9) DESC, round(score, 9) DESC, item) AS k
+          FROM cand) WHERE k = 1),
+steps AS (
+  SELECT query, CAST(1 AS BIGINT) AS rank, item, mmr, [item] AS chosen FROM first
+  UNION ALL
+  SELECT s.query, s.rank + 1, b.item, b.mmr, list_append(s.chosen, b.item)
+  FROM steps s JOIN LATERAL (
+      SELECT c.item, c.score, 0.5 * c.score - 0.5 * COALESCE(max(x.sim), 0.0) AS mmr
+      FROM cand c LEFT JOIN csim x ON x.query = c.query AND x.i = c.item AND list_contains(s.chosen, x.j)
+      WHERE c.query = s.query AND NOT list_contains(s.chosen, c.item)
+      GROUP BY c.item, c.score
+      ORDER BY round(0.5 * c.score - 0.5 * COALESCE(max(x.sim), 0.0), 9) DESC, round(c.score, 9) DESC, c.item
+      LIMIT 1) b ON TRUE
+  WHERE s.rank < {P.MMR_TOP_N})"""
+
+
+# similarity = cosine of the two candidates' vectors
+CSIM_VECTORS = """SELECT a.query, a.item AS i, b.item AS j,
+       greatest(0.0, list_dot_product(ea.v, eb.v) / sqrt(list_dot_product(ea.v, ea.v)) / sqrt(list_dot_product(eb.v, eb.v))) AS sim
+FROM cand a JOIN cand b ON a.query = b.query AND a.item <> b.item JOIN emb ea ON ea.id = a.item JOIN emb eb ON eb.id = b.item"""
+
+# similarity table = the candidate lists themselves (item_a's list holds item_b with that score); else 0
+CSIM_TABLE = """SELECT a.query, a.item AS i, b.item AS j, greatest(0.0, t.score) AS sim
+FROM cand a JOIN cand b ON a.query = b.query AND a.item <> b.item JOIN cand t ON t.query = a.item AND t.item = b.item"""
+
+
 DICT = """tok AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[ \t\n\r]+')) AS word FROM documents),
 tokw AS (SELECT * FROM tok WHERE length(word) > 0),
 dwords AS (SELECT DISTINCT word FROM (SELECT unnest(regexp_split_to_array(text, '[ \t\n\r]+')) AS word FROM benchmark) WHERE length(word) > 0),
@@ -285,8 +318,8 @@ def _arr2(c: str) -> str:
     return f"'[' || array_to_string({inner}, ',') || ']'"
 
 
-def _q(ctes: str, body: str) -> str:
-    return f"WITH {ctes}\n{body}"
+def _q(ctes: str, body: str, recursive: bool = False) -> str:
+    return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{body}"
 
 
 def sql() -> dict[str, str]:
@@ -357,5 +390,9 @@ def sql() -> dict[str, str]:
     q["inbatch_metrics"] = _q(INBATCH, "SELECT batch, n, round(pos_cos, 6) + 0.0 AS pos_cos, round(neg_cos, 6) + 0.0 AS neg_cos, "
                                        "round(p_at_1, 6) + 0.0 AS p_at_1, round(mrr, 6) + 0.0 AS mrr FROM met")
     q["mmr_top2"] = _q(MMR2, "SELECT query, rank, item, round(mmr, 6) + 0.0 AS mmr FROM mmr2")
+    q["mmr_rerank"] = _q(mmr_full_sql(CSIM_VECTORS), "SELECT query, rank, item, round(mmr, 6) + 0.0 AS mmr FROM steps",
+                         recursive=True)
+    q["mmr_sim_table"] = _q(mmr_full_sql(CSIM_TABLE), "SELECT query, rank, item, round(mmr, 6) + 0.0 AS mmr FROM steps",
+                            recursive=True)
     q["dictionary_match"] = _q(DICT, "SELECT doc_id, n_words, n_matched FROM dm")
     return q
