@@ -75,14 +75,16 @@ def forward(centre: np.ndarray, hop1: np.ndarray, m1: np.ndarray, hop2: np.ndarr
 
 def neighbour_max_pool(samples: DataFrame, vectors: DataFrame, W: dict, k1: int, k2: int,
                        norm_mean: np.ndarray | None = None, norm_std: np.ndarray | None = None,
-                       mask_padding: bool = True, key_cols: tuple[str, ...] = ("tag", "va", "vb")) -> DataFrame:
+                       mask_padding: bool = True, key_cols: tuple[str, ...] = ("tag", "va", "vb"),
+                       out_type: str = "float") -> DataFrame:
     """NN1: embeddings of the sample centres.
 
     ``samples``: key cols, ``hop1s array<bigint>``, ``hop2s array<array<bigint>>``
     (GR5 output, centre = ``va``); ``vectors``: (id, vec).  Inputs are
     normalised with the supplied constants first (the reference's
     Normalization layers).  Samples whose centre has no vector are dropped;
-    missing neighbour vectors count as padding.  Returns key cols + ``emb``.
+    missing neighbour vectors count as padding.  Returns key cols + ``emb``
+    (``array<float>``, or ``array<double>`` with ``out_type="double"``).
     """
     keys = list(key_cols)
     # every vector reference of a sample in one explode: centre (-1, -1),
@@ -103,7 +105,8 @@ def neighbour_max_pool(samples: DataFrame, vectors: DataFrame, W: dict, k1: int,
     std = np.ones(in_dim) if norm_std is None else np.asarray(norm_std, dtype=np.float64)
     weights = {k: np.asarray(a, dtype=np.float64) for k, a in W.items()}
     key_types = dict(rows.dtypes)
-    out_schema = ", ".join(f"{k} {key_types[k]}" for k in keys) + ", emb array<float>"
+    out_schema = ", ".join(f"{k} {key_types[k]}" for k in keys) + f", emb array<{out_type}>"
+    np_type = np.float32 if out_type == "float" else np.float64
 
     def embed(batches):
         import pyarrow as pa
@@ -135,7 +138,7 @@ def neighbour_max_pool(samples: DataFrame, vectors: DataFrame, W: dict, k1: int,
             h2 = (p >= 0) & (p < k1) & (q >= 0) & (q < k2)
             hop2[row[h2], p[h2], q[h2]] = vec[h2]
             m2[row[h2], p[h2], q[h2]] = True
-            out = forward(centre, hop1, m1, hop2, m2, weights, mask_padding).astype(np.float32)
+            out = forward(centre, hop1, m1, hop2, m2, weights, mask_padding).astype(np_type)
             keep = np.nonzero(has_centre)[0]
             emb = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * out.shape[1]),
                                            pa.array(out[keep].ravel()))

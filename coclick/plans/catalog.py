@@ -294,11 +294,17 @@ def inbatch_metrics(spark, sf):
         "batch", "n", *[_r(c) for c in ("pos_cos", "neg_cos", "p_at_1", "mrr")])
 
 
+GNN_DIMS = (64, 32, 16)   # input (embedding) size, hidden size, output size
+GNN_SEED = 0
+
+
 def gnn_embeddings(spark, sf):
+    """NN1 on the graph samples with the embeddings as node vectors; one row per output dimension."""
     samples = graph.two_hop_samples(g_labels(spark, sf), g_adj(spark, sf), k1=P.HOP1, k2=P.HOP2, seed=P.SEED)
-    e = T.embeddings(spark, sf)
-    W = gnn.init_weights(64, 32, 16, seed=0)
-    return gnn.neighbour_max_pool(samples, e, W, P.HOP1, P.HOP2)
+    W = gnn.init_weights(*GNN_DIMS, seed=GNN_SEED)
+    emb = gnn.neighbour_max_pool(samples, T.embeddings(spark, sf), W, P.HOP1, P.HOP2, out_type="double")
+    return emb.select("tag", "va", "vb", F.posexplode("emb").alias("dim", "value")) \
+        .select("tag", "va", "vb", F.col("dim").cast("bigint").alias("dim"), _r("value"))
 
 
 # ------------------------------------------------------ MMR / dictionary ---

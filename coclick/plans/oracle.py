@@ -309,6 +309,49 @@ def sampler(prefix: str, centre: str, other: str) -> str:
                  FROM {prefix}_hop1 GROUP BY tag, va, vb)"""
 
 
+def gnn_sql() -> str:
+    """NN1 forward pass over the graph samples as joins and aggregates.
+
+    The supplied weights are literal tables; vectors are exploded to
+    (id, j, x); each layer is a join on the input index plus a grouped sum,
+    max-pooling a grouped max, then L2 normalisation."""
+    import numpy as np
+    from coclick.operators.gnn import init_weights
+    from coclick.plans.catalog import GNN_DIMS, GNN_SEED
+
+    W = init_weights(*GNN_DIMS, seed=GNN_SEED)
+    mats = ", ".join(f"('{m}', {j}, {k}, {float(v)!r})" for m in ("mlp2_w", "self2_w", "neigh2_w", "mlp1_w",
+                                                                   "self1_w", "neigh1_w")
+                     for (j, k), v in np.ndenumerate(W[m]))
+    bias = ", ".join(f"('{m}', {k}, {float(v)!r})" for m in ("mlp2_b", "mlp1_b") for k, v in enumerate(W[m]))
+    leaky = "CASE WHEN {0} >= 0 THEN {0} ELSE 0.02 * ({0}) END"
+    return f"""wt(m, j, k, w) AS (VALUES {mats}),
+bt(m, k, b) AS (VALUES {bias}),
+ev AS (SELECT vec_id AS id, unnest(range(len(embedding))) AS j, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings),
+g2 AS (SELECT h.tag, h.va, h.vb, h.pos, h.pos2, w.k, sum(e.x * w.w) AS s
+       FROM sa_h2 h JOIN ev e ON e.id = h.hop2 JOIN wt w ON w.m = 'mlp2_w' AND w.j = e.j GROUP BY ALL),
+pool2 AS (SELECT g.tag, g.va, g.vb, g.pos, g.k, max({leaky.format('g.s + b.b')}) AS p
+          FROM g2 g JOIN bt b ON b.m = 'mlp2_b' AND b.k = g.k GROUP BY ALL),
+h1s AS (SELECT c.tag, c.va, c.vb, c.pos, w.k, sum(e.x * w.w) AS s
+        FROM sa_c2 c JOIN ev e ON e.id = c.hop1 JOIN wt w ON w.m = 'self2_w' AND w.j = e.j GROUP BY ALL),
+h1n AS (SELECT p.tag, p.va, p.vb, p.pos, w.k, sum(p.p * w.w) AS s
+        FROM pool2 p JOIN wt w ON w.m = 'neigh2_w' AND w.j = p.k GROUP BY ALL),
+out2 AS (SELECT a.tag, a.va, a.vb, a.pos, a.k, {leaky.format('a.s + COALESCE(n.s, 0.0)')} AS o
+         FROM h1s a LEFT JOIN h1n n ON a.tag = n.tag AND a.va = n.va AND a.vb = n.vb AND a.pos = n.pos AND a.k = n.k),
+g1 AS (SELECT o.tag, o.va, o.vb, o.pos, w.k, sum(o.o * w.w) AS s
+       FROM out2 o JOIN wt w ON w.m = 'mlp1_w' AND w.j = o.k GROUP BY ALL),
+pool1 AS (SELECT g.tag, g.va, g.vb, g.k, max({leaky.format('g.s + b.b')}) AS p
+          FROM g1 g JOIN bt b ON b.m = 'mlp1_b' AND b.k = g.k GROUP BY ALL),
+cs AS (SELECT r.tag, r.va, r.vb, w.k, sum(e.x * w.w) AS s
+       FROM (SELECT DISTINCT tag, va, vb FROM sa_c2) r JOIN ev e ON e.id = r.va
+       JOIN wt w ON w.m = 'self1_w' AND w.j = e.j GROUP BY ALL),
+cn AS (SELECT p.tag, p.va, p.vb, w.k, sum(p.p * w.w) AS s
+       FROM pool1 p JOIN wt w ON w.m = 'neigh1_w' AND w.j = p.k GROUP BY ALL),
+gout AS (SELECT a.tag, a.va, a.vb, a.k, a.s + COALESCE(n.s, 0.0) AS o
+         FROM cs a LEFT JOIN cn n ON a.tag = n.tag AND a.va = n.va AND a.vb = n.vb AND a.k = n.k),
+gnorm AS (SELECT tag, va, vb, sqrt(sum(o * o)) AS n FROM gout GROUP BY ALL)"""
+
+
 def _arr(c: str) -> str:
     return f"'[' || array_to_string(list_transform({c}, lambda x: CAST(x AS VARCHAR)), ',') || ']'"
 
@@ -361,6 +404,10 @@ def sql() -> dict[str, str]:
     q["graph_adjacency"] = _q(gr, "SELECT va, idx, vb, w, deg FROM adj")
     q["graph_hop1"] = _q(",\n".join([gr, sampler("sa", "va", "vb")]), "SELECT tag, va, vb, pos, hop1 FROM sa_h1")
     q["graph_hop2"] = _q(",\n".join([gr, sampler("sa", "va", "vb")]), "SELECT tag, va, vb, pos, pos2, hop2 FROM sa_h2")
+    q["gnn_embeddings"] = _q(",\n".join([gr, sampler("sa", "va", "vb"), gnn_sql()]),
+                             "SELECT o.tag, o.va, o.vb, CAST(o.k AS BIGINT) AS dim, "
+                             "round(o.o / greatest(n.n, 1e-12), 6) + 0.0 AS value "
+                             "FROM gout o JOIN gnorm n ON o.tag = n.tag AND o.va = n.va AND o.vb = n.vb")
     q["graph_training_rows"] = _q(
         ",\n".join([gr, sampler("sa", "va", "vb"), sampler("sb", "vb", "va")]),
         f"SELECT a.tag, a.va, a.vb, {_arr('a.hop1s')} AS va_hop1, {_arr2('a.hop2s')} AS va_hop2, "
