@@ -133,40 +133,75 @@ def knn_exact(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "
     return top_k_by_key(cand, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
 
 
-def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "cosine",
-               n_lists: int = 16, n_probe: int = 8, seed: int = 7, block: int = 4096,
-               max_iter: int = 10) -> DataFrame:
-    """VEC3: approximate kNN with an IVF index (Spark ML KMeans lists).
-
-    Each query probes its ``n_probe`` nearest lists; candidates in those lists
-    are ranked exactly.  ``n_probe = n_lists`` gives the exact answer.
-    Returns (qid, rank, cid, dist).
+def ivf_search(queries: DataFrame, corpus: DataFrame, centres: np.ndarray, k: int = 10, space: str = "cosine",
+               n_probe: int = 8, block: int = 4096) -> DataFrame:
+    """VEC3 search given IVF centroids (``n_lists x dim``, a small model).
+
+    Every corpus vector joins the list of its nearest centroid, every query
+    probes its ``n_probe`` nearest lists (squared L2; ties to the lower list
+    id, on distances rounded to 9 places), and candidates are ranked exactly
+    per list with the tiled kernel.  With cosine, vectors are L2-normalised
+    first.  Returns (qid, rank, cid, dist).
     """
+    if space == "cosine":
+        corpus = corpus.select("id", l2_normalize("vec").alias("vec"))
+        queries = queries.select("id", l2_normalize("vec").alias("vec"))
+    centres = np.asarray(centres, dtype=np.float64)
+
+    def nearest(probe: int):
+        @F.pandas_udf(T.ArrayType(T.LongType()))
+        def lists(v: pd.Series) -> pd.Series:
+            x = _stack(v)
+            if len(x) == 0:
+                return pd.Series([], dtype=object)
+            d = (x * x).sum(1)[:, None] + (centres * centres).sum(1)[None, :] - 2.0 * (x @ centres.T)
+            idx = np.argsort(np.round(d, RANK_DIGITS), axis=1, kind="stable")[:, :probe]
+            return pd.Series([row.astype(np.int64).tolist() for row in idx])
+        return lists
+
+    ship_package(queries.sparkSession)
+    probe = int(min(n_probe, len(centres)))
+    cx = corpus.select("id", "vec", nearest(1)(F.col("vec").cast("array<double>"))[0].alias("list"))
+    qx = queries.select("id", "vec", F.explode(nearest(probe)(F.col("vec").cast("array<double>"))).alias("list"))
+    cand = _tiled_topk(qx, cx, k, space, block, group_cols=["list"])
+    return top_k_by_key(cand, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
+
+
+def kmeans_centres(corpus: DataFrame, n_lists: int = 16, space: str = "cosine", seed: int = 7,
+                   max_iter: int = 10) -> np.ndarray:
+    """IVF training with Spark ML KMeans; returns the ``n_lists x dim`` centroids."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     if space == "cosine":
         corpus = corpus.select("id", l2_normalize("vec").alias("vec"))
-        queries = queries.select("id", l2_normalize("vec").alias("vec"))
-    cv = corpus.select("id", "vec", array_to_vector(F.col("vec").cast("array<double>")).alias("features"))
-    model = KMeans(k=n_lists, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="list").fit(cv)
-    centres = np.stack([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])  # n_lists x dim: small
-    lists_c = model.transform(cv).select("id", "vec", F.col("list").cast("bigint").alias("list"))
-    probe = int(min(n_probe, len(centres)))
+    cv = corpus.select(array_to_vector(F.col("vec").cast("array<double>")).alias("features"))
+    model = KMeans(k=n_lists, seed=seed, maxIter=max_iter, featuresCol="features").fit(cv)
+    return np.stack([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def nearest_lists(v: pd.Series) -> pd.Series:
-        x = _stack(v)
-        if len(x) == 0:
-            return pd.Series([], dtype=object)
-        d = (x * x).sum(1)[:, None] + (centres * centres).sum(1)[None, :] - 2.0 * (x @ centres.T)
-        idx = np.argsort(d, axis=1, kind="stable")[:, :probe]
-        return pd.Series([row.astype(np.int64).tolist() for row in idx])
 
-    ship_package(queries.sparkSession)
-    qx = queries.select("id", "vec", F.explode(nearest_lists(F.col("vec").cast("array<double>"))).alias("list"))
-    cand = _tiled_topk(qx, lists_c, k, space, block, group_cols=["list"])
-    return top_k_by_key(cand, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
+def seed_centres(corpus: DataFrame, n_lists: int = 16, space: str = "cosine", seed: str = "coclick") -> np.ndarray:
+    """IVF centroids by sampling: the ``n_lists`` corpus vectors with the
+    smallest MD5 of (seed, id) -- random-init k-means seeds without the
+    iterations, reproducible by any engine.  Reads n_lists rows only."""
+    from coclick.functions.hashing import uniform_hash
+
+    c = corpus.select("id", l2_normalize("vec").alias("vec")) if space == "cosine" else corpus
+    picked = c.orderBy(uniform_hash(F.lit(seed), F.col("id")), "id").limit(n_lists).collect()
+    return np.stack([np.asarray(r.vec, dtype=np.float64) for r in picked])
+
+
+def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "cosine",
+               n_lists: int = 16, n_probe: int = 8, seed: int = 7, block: int = 4096,
+               max_iter: int = 10) -> DataFrame:
+    """VEC3: approximate kNN with an IVF index trained by Spark ML KMeans.
+
+    Each query probes its ``n_probe`` nearest lists; candidates in those lists
+    are ranked exactly.  ``n_probe = n_lists`` gives the exact answer.
+    Returns (qid, rank, cid, dist).
+    """
+    centres = kmeans_centres(corpus, n_lists, space, seed, max_iter)
+    return ivf_search(queries, corpus, centres, k, space, n_probe, block)
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:

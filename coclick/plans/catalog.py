@@ -260,6 +260,13 @@ def knn_ivf_all_lists(spark, sf):
     return vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=8, n_probe=8).select("qid", "rank", "cid", _r("dist"))
 
 
+def knn_ivf_seeded(spark, sf):
+    """IVF search with partial probing (8 of 16 lists) over MD5-seeded centroids."""
+    e = T.embeddings(spark, sf)
+    centres = vectors.seed_centres(e, 16, "cosine", P.SEED)
+    return vectors.ivf_search(e, e, centres, P.KNN_K, "cosine", n_probe=8).select("qid", "rank", "cid", _r("dist"))
+
+
 def knn_recall(spark, sf):
     e = T.embeddings(spark, sf)
     return vectors.recall_at_k(vectors.knn_approx(e, e, P.KNN_K, "cosine"), vectors.knn_exact(e, e, P.KNN_K, "cosine"))
@@ -376,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "knn_ip": _knn("ip"),
     "knn_approx": knn_approx,
     "knn_ivf_all_lists": knn_ivf_all_lists,
+    "knn_ivf_seeded": knn_ivf_seeded,
     "knn_recall": knn_recall,
     "item2vec": item2vec,
     "similar_items": similar_items,

@@ -271,6 +271,23 @@ dm AS (SELECT t.doc_id, CAST(count(*) AS BIGINT) AS n_words,
        FROM tokw t GROUP BY t.doc_id)"""
 
 
+def ivf_seeded_sql(n_lists: int, n_probe: int, k: int) -> str:
+    return f"""{EMB},
+en AS (SELECT id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM emb),
+cen AS (SELECT * FROM (SELECT row_number() OVER (ORDER BY h, id) - 1 AS list, v
+        FROM (SELECT id, v, ('0x' || substr(md5(concat_ws('|', '{P.SEED}', id)), 1, 15))::BIGINT AS h FROM en))
+        WHERE list < {n_lists}),
+dc AS (SELECT e.id, c.list, list_dot_product(e.v, e.v) + list_dot_product(c.v, c.v) - 2 * list_dot_product(e.v, c.v) AS d
+       FROM en e CROSS JOIN cen c),
+rk AS (SELECT id, list, row_number() OVER (PARTITION BY id ORDER BY round(d, 9), list) AS r FROM dc),
+ivf_cand AS (SELECT p.id AS qid, a.id AS cid,
+             1 - list_dot_product(q.v, c.v) / sqrt(list_dot_product(q.v, q.v)) / sqrt(list_dot_product(c.v, c.v)) AS dist
+             FROM rk p JOIN rk a ON a.list = p.list AND a.r = 1 JOIN en q ON q.id = p.id JOIN en c ON c.id = a.id
+             WHERE p.r <= {n_probe}),
+knn AS (SELECT * FROM (SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), cid) AS BIGINT) AS rank,
+        cid, dist FROM ivf_cand) WHERE rank <= {k})"""
+
+
 def _h(tag: str, *ctx: str) -> str:
     parts = ", ".join(["'" + P.SEED + "'", "'" + tag + "'", *ctx, "j"])
     return f"('0x' || substr(md5(concat_ws('|', {parts})), 1, 15))::BIGINT % (j + 1)"
@@ -432,6 +449,7 @@ def sql() -> dict[str, str]:
     for sp in ("cosine", "l2", "ip"):
         q[f"knn_{sp}"] = _q(knn_sql(sp, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
     q["knn_ivf_all_lists"] = q["knn_cosine"]
+    q["knn_ivf_seeded"] = _q(ivf_seeded_sql(16, 8, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
     q["inbatch_loss"] = _q(INBATCH, "SELECT batch, i AS pos, round(-ln(p_pos + 1e-8) * 1.0, 6) + 0.0 AS loss, "
                                     "round(p_pos, 6) + 0.0 AS p_pos FROM lossr")
     q["inbatch_metrics"] = _q(INBATCH, "SELECT batch, n, round(pos_cos, 6) + 0.0 AS pos_cos, round(neg_cos, 6) + 0.0 AS neg_cos, "
