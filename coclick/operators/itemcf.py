@@ -28,7 +28,8 @@ SCORE_FLOOR = 0.001       # later neighbours need score > floor
 def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: str = "item",
                        ts_col: str = "ts", day_col: str | None = None, weight_col: str | None = None,
                        max_user_items: int | None = MAX_USER_ITEMS, min_user_items: int = MIN_USER_ITEMS,
-                       window_size: int = WINDOW_SIZE, block: int | None = None) -> DataFrame:
+                       window_size: int = WINDOW_SIZE, block: int | None = None,
+                       item_bucket: int | None = None) -> DataFrame:
     """CF1: per (day,) user: pair counts inside a sliding window of clicks.
 
     1. keep a user's first ``max_user_items`` clicks by (-weight, item, ts)
@@ -40,7 +41,10 @@ def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: s
 
     ``block`` (default max(window, 2048)) is the position block of the
     windowed self-join; a block of at least the window sends each click to at
-    most two blocks.  Returns ``[day_col,] vi, vj, weight``.
+    most two blocks.  ``item_bucket`` (e.g. 65536) finds a heavy user's cap
+    cut among item-id buckets first, bounding every window for users with
+    huge numbers of distinct items at the price of one more branch over the
+    clicks.  Returns ``[day_col,] vi, vj, weight``.
     """
     block = block or max(window_size, DEFAULT_BLOCK)
     keys = ([day_col] if day_col else []) + [user_col]
@@ -51,8 +55,15 @@ def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: s
     sizes = c.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     c = c.join(sizes.where(F.col("n") >= min_user_items), keys)
     if max_user_items is not None:
-        c = first_n_rows(c, keys, [F.col("w").desc(), F.col("item")], ["w", "item"], ["ts"], max_user_items, "n") \
-            .withColumn("n", F.least(F.col("n"), F.lit(max_user_items)))
+        buckets = None
+        if item_bucket:
+            # cut found among item-id buckets first, then among the items of one bucket
+            c = c.withColumn("__ib", F.floor(F.col("item") / item_bucket).cast("bigint"))
+            buckets = ([F.col("w").desc(), F.col("__ib")], ["w", "__ib"])
+        c = first_n_rows(c, keys, [F.col("w").desc(), F.col("item")], ["w", "item"], ["ts"], max_user_items, "n",
+                         buckets=buckets).withColumn("n", F.least(F.col("n"), F.lit(max_user_items)))
+        if item_bucket:
+            c = c.drop("__ib")
         c = c.where(F.col("n") >= min_user_items)
     # positions: each user now has at most max_user_items rows
     c = c.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "item")))

@@ -51,3 +51,9 @@ def test_swing_pairs_with_hot_user_match_sql(spark):
         WHERE a.item IN (SELECT item FROM ok) GROUP BY 1, 2""").fetchall())
     assert (got_ipu, got_paths) == (n_ipu, n_paths)
     assert got_u2u == [tuple(int(x) for x in r) for r in want_u2u]
+
+
+def test_itemcf_item_buckets_equal_default(spark):
+    a = itemcf.daily_cooccurrence(hot_clicks(spark), max_user_items=300, window_size=20)
+    b = itemcf.daily_cooccurrence(hot_clicks(spark), max_user_items=300, window_size=20, item_bucket=64)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
