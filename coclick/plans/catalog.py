@@ -267,6 +267,13 @@ def knn_ivf_seeded(spark, sf):
     return vectors.ivf_search(e, e, centres, P.KNN_K, "cosine", n_probe=8).select("qid", "rank", "cid", _r("dist"))
 
 
+def knn_recall_seeded(spark, sf):
+    """recall@k of the seeded IVF search (8 of 16 lists) against the exact kNN."""
+    e = T.embeddings(spark, sf)
+    approx = vectors.ivf_search(e, e, vectors.seed_centres(e, 16, "cosine", P.SEED), P.KNN_K, "cosine", n_probe=8)
+    return vectors.recall_at_k(approx, vectors.knn_exact(e, e, P.KNN_K, "cosine")).select(_r("recall"), "queries")
+
+
 def knn_recall(spark, sf):
     e = T.embeddings(spark, sf)
     return vectors.recall_at_k(vectors.knn_approx(e, e, P.KNN_K, "cosine"), vectors.knn_exact(e, e, P.KNN_K, "cosine"))
@@ -384,6 +391,7 @@ QUERIES: dict[str, Query] = {
     "knn_approx": knn_approx,
     "knn_ivf_all_lists": knn_ivf_all_lists,
     "knn_ivf_seeded": knn_ivf_seeded,
+    "knn_recall_seeded": knn_recall_seeded,
     "knn_recall": knn_recall,
     "item2vec": item2vec,
     "similar_items": similar_items,

@@ -191,14 +191,14 @@ sent AS (SELECT u, day, CAST((pos - 1) // 1000 AS BIGINT) AS chunk,
 EMB = """emb AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"""
 
 
-def knn_sql(space: str, k: int) -> str:
+def knn_sql(space: str, k: int, name: str = "knn", with_emb: bool = True) -> str:
     dist = {"cosine": "1 - list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v))",
             "ip": "1 - list_dot_product(a.v, b.v)",
             "l2": "list_sum(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))"}[space]
-    return f"""{EMB},
-pairs AS (SELECT a.id AS qid, b.id AS cid, {dist} AS dist FROM emb a CROSS JOIN emb b),
-knn AS (SELECT * FROM (SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), cid) AS BIGINT) AS rank,
-        cid, dist FROM pairs) WHERE rank <= {k})"""
+    head = f"{EMB},\n" if with_emb else ""
+    return f"""{head}{name}_pairs AS (SELECT a.id AS qid, b.id AS cid, {dist} AS dist FROM emb a CROSS JOIN emb b),
+{name} AS (SELECT * FROM (SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY round(dist, 9), cid) AS BIGINT) AS rank,
+        cid, dist FROM {name}_pairs) WHERE rank <= {k})"""
 
 
 INBATCH = f"""{EMB},
@@ -450,6 +450,11 @@ def sql() -> dict[str, str]:
         q[f"knn_{sp}"] = _q(knn_sql(sp, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
     q["knn_ivf_all_lists"] = q["knn_cosine"]
     q["knn_ivf_seeded"] = _q(ivf_seeded_sql(16, 8, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
+    q["knn_recall_seeded"] = _q(
+        ivf_seeded_sql(16, 8, P.KNN_K) + ",\n" + knn_sql("cosine", P.KNN_K, "exact", with_emb=False),
+        "SELECT round(avg(r), 6) + 0.0 AS recall, CAST(count(*) AS BIGINT) AS queries FROM ("
+        "SELECT e.qid, count(a.cid) / count(*) AS r FROM exact e LEFT JOIN knn a ON a.qid = e.qid AND a.cid = e.cid "
+        "GROUP BY e.qid)")
     q["inbatch_loss"] = _q(INBATCH, "SELECT batch, i AS pos, round(-ln(p_pos + 1e-8) * 1.0, 6) + 0.0 AS loss, "
                                     "round(p_pos, 6) + 0.0 AS p_pos FROM lossr")
     q["inbatch_metrics"] = _q(INBATCH, "SELECT batch, n, round(pos_cos, 6) + 0.0 AS pos_cos, round(neg_cos, 6) + 0.0 AS neg_cos, "
