@@ -13,9 +13,11 @@ bijections of 32-bit integers; nothing else is drawn.
 Plan: equal sets collapse to one representative (smallest doc_id); every band
 of every representative is a row; buckets with one member go.  Round 1 compares
 each bucket's most central member with all others (linear in the bucket) and
-confirms on full sets.  Round 2 compares, in blocks, the members that are still
-outside their bucket's largest component with the whole bucket, so no link of
-any candidate pair is lost, and a large group of copies costs no pair list.
+confirms on full sets.  Round 2 compares, in blocks of bounded size, the members
+that are still outside their bucket's largest component with the whole bucket:
+signatures first, then the full sets of the nodes that have candidates, sent to
+the block once each.  So no link of any candidate pair is lost, and no step
+makes a row per pair of a group.
 With 32 bands of 4 a pair at 0.8 shares a bucket with probability 1 - 5e-8.
 
 Defined cases: null text = empty; rows repeating a doc_id stay separate rows,
@@ -171,21 +173,41 @@ def _close(least: float):
     return run
 
 
+def _groups(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of each run of equal ``by``; rows come sorted by it."""
+    rest: dict[str, np.ndarray] = {}
+    for batch in batches:
+        new = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
+        rest = {c: np.concatenate([rest[c], new[c]]) for c in new} if rest else new
+        cuts = np.flatnonzero(np.diff(rest[by])) + 1
+        for lo, hi in zip([0, *cuts[:-1]], cuts, strict=False):
+            yield {c: v[lo:hi] for c, v in rest.items()}
+        if len(cuts):
+            rest = {c: v[cuts[-1]:] for c, v in rest.items()}
+    if rest and len(rest[by]):
+        yield rest
+
+
 def _across(least: float, rows: int):
-    """Close pairs of one block of stragglers (side 0) and one block of its bucket (side 1), group after group.
+    """Candidates between one block of stragglers (side 0) and one block of their bucket (side 1).
 
-    Rows come sorted by group.  A pair must join two components and is given in
-    the first band only in which its signatures agree.
+    A candidate pair joins two components, has close signatures, and is taken in
+    the first band only in which these agree.  Out come, for every block, a row
+    per straggler with the list of its candidates, and a row per node involved
+    (with no list): never a row per pair.
     """
-    def pairs(group: dict) -> tuple[list, list]:
-        side = group["side"]
-        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        a, b = [], []
-        if len(one) and len(two):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, "block"):
+            side = group["side"]
+            one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            if not len(one) or not len(two):
+                continue
             band = int(group["band"][0])
             sketch = np.frombuffer(b"".join(group["sketch"].tolist()), np.uint16).reshape(len(side), -1)
-            node, label = group["node"][two], group["label"][two]
-            straggler, right = group["straggler"][two], sketch[two]
+            node, label, straggler, right = group["node"][two], group["label"][two], group["straggler"][two], sketch[two]
+            names: list[int] = []
+            lists: list[list[int] | None] = []
+            involved: set[int] = set()
             for i in one:
                 # two stragglers meet from the side of the smaller node
                 may = np.flatnonzero((label != group["label"][i]) & (~straggler | (node > group["node"][i])))
@@ -193,29 +215,40 @@ def _across(least: float, rows: int):
                 ok = same.mean(axis=1) >= least
                 if band:
                     ok &= ~same[:, :band * rows].reshape(len(may), band, rows).all(axis=2).any(axis=1)
-                for y in node[may[ok]].tolist():
-                    x = int(group["node"][i])
-                    a.append(min(x, y))
-                    b.append(max(x, y))
-        return a, b
+                if ok.any():
+                    names.append(int(group["node"][i]))
+                    lists.append(node[may[ok]].tolist())
+                    involved.update(lists[-1], names[-1:])
+            names += sorted(involved)
+            lists += [None] * len(involved)
+            if names:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(names), group["block"][0])), pa.array(names, pa.int64()),
+                     pa.array(lists, pa.list_(pa.int64()))], names=["block", "node", "near"])
+    return run
+
 
+def _confirm_blocks(percent: int):
+    """Links among the candidates of each block, on the full sets that were sent to it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: dict[str, np.ndarray] = {}
-        names = ["block", "band", "side", "node", "label", "straggler", "sketch"]
-        for batch in batches:
-            new = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-            rest = {c: np.concatenate([rest[c], new[c]]) for c in names} if rest else new
-            cuts = np.flatnonzero(np.diff(rest["block"])) + 1
-            found: tuple[list, list] = ([], [])
-            for lo, hi in zip(np.concatenate([[0], cuts[:-1]]), cuts, strict=True) if len(cuts) else ():
-                a, b = pairs({c: rest[c][lo:hi] for c in names})
-                found[0].extend(a)
-                found[1].extend(b)
-            if len(cuts):
-                rest = {c: rest[c][cuts[-1]:] for c in names}
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["a", "b"])
-        if rest:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in pairs(rest)], names=["a", "b"])
+        for group in _groups(batches, "block"):
+            sets = {int(n): np.frombuffer(m, np.uint64)
+                    for n, m in zip(group["node"], group["members"], strict=True) if m is not None}
+            a, b = [], []
+            for u, near in zip(group["node"].tolist(), group["near"], strict=True):
+                if near is None or u not in sets:
+                    continue
+                own = sets[u]
+                near = [v for v in near.tolist() if v in sets]
+                size = np.array([len(sets[v]) for v in near])
+                every = np.concatenate([sets[v] for v in near])
+                at = np.minimum(np.searchsorted(own, every), len(own) - 1)
+                inter = np.add.reduceat((own[at] == every).astype(np.int64), np.cumsum(size) - size)
+                for v in np.flatnonzero(100 * inter >= percent * (len(own) + size - inter)):
+                    a.append(min(u, near[v]))
+                    b.append(max(u, near[v]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return run
 
 
@@ -228,11 +261,16 @@ def _picked(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left_semi").select("text")
 
 
+def _full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """(node, members): the whole shingle sets of ``nodes``."""
+    return materialise(_picked(docs, classes, nodes).mapInArrow(_sets(shingle), "node long, members binary"),
+                       "near-sets")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Those of the distinct ``pairs`` (a, b) whose full shingle sets are similar enough."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = materialise(_picked(docs, classes, ends).mapInArrow(_sets(shingle), "node long, members binary"),
-                       "near-sets")
+    sets = _full_sets(ends, docs, classes, shingle)
     return pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("set_x")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("members").alias("set_y")), "b") \
         .select("a", "b", "set_x", "set_y").mapInArrow(_confirm(percent), "a long, b long")
@@ -284,10 +322,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         .unionByName(left_over.select(
             *columns, F.lit(1).alias("side"), every(F.col("few")).alias("x"), spread(F.col("blocks")).alias("y")))
     sides = sides.withColumn("block", F.xxhash64("band", "bucket", "x", "y"))
-    across = sides.repartition("block").sortWithinPartitions("block") \
-        .select("block", "band", "side", "node", "label", "straggler", "sketch") \
-        .mapInArrow(_across(least, rows), "a long, b long").distinct().join(close, ["a", "b"], "left_anti")
-    more = materialise(_confirmed(materialise(across, "near-across"), docs, classes, shingle, percent), "near-links")
+    across = materialise(
+        sides.repartition("block").sortWithinPartitions("block")
+        .select("block", "band", "side", "node", "label", "straggler", "sketch")
+        .mapInArrow(_across(least, rows), "block long, node long, near array<long>"), "near-across")
+    involved = across.where("near is null").select("block", "node")
+    sets = _full_sets(involved.select("node").distinct(), docs, classes, shingle)
+    sent = involved.join(sets, "node").select("block", "node", F.lit(None).cast("array<long>").alias("near"), "members") \
+        .unionByName(across.where("near is not null").withColumn("members", F.lit(None).cast("binary")))
+    more = materialise(sent.repartition("block").sortWithinPartitions("block")
+                       .mapInArrow(_confirm_blocks(percent), "a long, b long"), "near-links")
     labels = min_labels(links.unionByName(more))
     # every document gets the smallest id of its class's component
     labelled = materialise(classes.join(labels, "node", "left")
