@@ -226,7 +226,7 @@ def delete(index: LineIndex, doc_ids: DataFrame) -> LineIndex:
     shipped(doc_ids.sparkSession)
     ids = doc_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     gone = index.holders.join(ids, "doc_id", "left_semi").distinct()
-    stay = materialise(index.holders.join(ids, "doc_id", "left_anti"), "line-holders")
+    stay = materialise(index.holders.join(ids, "doc_id", "left_anti").select("k1", "k2", "doc_id"), "line-holders")
     lost = materialise(gone.groupBy("k1", "k2").agg((-F.count("*")).alias("n_docs")), "line-change")
     # the largest holder of a touched key, from the exact table
     last = stay.join(lost.select("k1", "k2"), ["k1", "k2"], "left_semi") \
