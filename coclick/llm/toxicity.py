@@ -39,7 +39,8 @@ from coclick.llm.store import materialise, shipped
 
 SAMPLE = 4_000
 LEXICON = 5_000
-LEAST_TERM_DOCS, LEAST_STEM_DOCS = 8, 20
+#: Least evidence (log-likelihood ratio of an entry's documents against chance) and least log-odds.
+TERM_EVIDENCE, STEM_EVIDENCE = 9.0, 18.0
 LEAST_ODDS = 3.0
 CONTEXT, WINDOW = 6, 50
 QUOTED = 0.3
@@ -49,7 +50,7 @@ MEMO_WORDS, MEMO_STATES = 500_000, 200_000
 #: Verbs of attribution.
 ATTRIBUTION = frozenset("said says called calls wrote writes quoted quote quotes reported reportedly alleged claimed "
                         "dit disait appelle sagte schrieb nannte dijo llamó escribió".split())
-_EDGE = "\"'“”„‚‘’«»‹›()[]{}<>.,;:!?…-–—*_~`"
+_EDGE = "\"'“”„‚‘’«»‹›()[]{}<>.,;:!?…-–—*_~`#$%&|+=/\\^@"
 _OPEN, _CLOSE = "“„«‹", "”»›"
 
 
@@ -227,10 +228,14 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> list[tuple[str, boo
         F.split(bare, r"[ \t-\r]+"), lambda w: F.btrim(w, F.lit(_EDGE))))).alias("word")) \
         .where(F.length("word").between(3, 40))
     odds = F.log((F.col("toxic_docs") + 0.5) / totals[True]) - F.log((F.col("other_docs") + 0.5) / totals[False])
+    rate = totals[True] / (totals[True] + totals[False])
+    both = F.col("toxic_docs") + F.col("other_docs")
+    evidence = F.col("toxic_docs") * F.log(F.col("toxic_docs") / both / rate) + F.when(
+        F.col("other_docs") > 0, F.col("other_docs") * F.log(F.col("other_docs") / both / (1 - rate))).otherwise(0.0)
     count = lambda flag: F.sum(F.col("n") * (F.col("toxic") == F.lit(flag)).cast("long"))
     counts = materialise(words.groupBy("word", "toxic").agg(F.count("*").alias("n")), "toxic-words")
     terms = counts.groupBy("word").agg(count(True).alias("toxic_docs"), count(False).alias("other_docs")) \
-        .where(F.col("toxic_docs") >= LEAST_TERM_DOCS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS) \
+        .where((F.col("toxic_docs") > 0) & (evidence >= TERM_EVIDENCE)).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS) \
         .orderBy(F.desc(F.col("toxic_docs") * F.col("odds")), "word").limit(size).collect()
     # stems: beginnings that several words share
     begun = counts.select("toxic", "n", "word", F.explode(F.expr(
@@ -240,7 +245,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> list[tuple[str, boo
         count(True).alias("toxic_docs"), count(False).alias("other_docs"),
         F.countDistinct(F.when(F.col("toxic"), F.col("word"))).alias("words"),
         F.max(F.when(F.col("toxic"), F.col("n"))).alias("most")) \
-        .where((F.col("toxic_docs") >= LEAST_STEM_DOCS) & (F.col("words") >= 4)
+        .where((F.col("toxic_docs") > 0) & (evidence >= STEM_EVIDENCE) & (F.col("words") >= 4)
                & (F.col("most") < 0.7 * F.col("toxic_docs"))) \
         .withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS) \
         .orderBy(F.desc(F.col("toxic_docs") * F.col("odds")), "stem").limit(size).collect()
