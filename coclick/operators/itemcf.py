@@ -1,15 +1,22 @@
 """Item-CF: co-click counts, N-day merge, cosine scores, neighbour lists (CF1-CF4).
 
-Daily counts use the reference's layout: ``(vi, vj, weight)`` with ``vi < vj``
-for pairs and ``vj = 0`` rows carrying an item's own count (ids are > 0).
+Daily counts are rows ``(vi, vj, weight)``: ``vi < vj`` for pairs, ``vi = vj`` for
+an item's own count (the diagonal, so no id is reserved).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coclick.operators.pairs import DEFAULT_BLOCK, canonical_pair, symmetrise, window_pairs
+from coclick.operators.pairs import (
+    DEFAULT_BLOCK,
+    canonical_pair,
+    sequence_index,
+    symmetrise,
+    time_bucket,
+    window_pairs,
+)
 from coclick.operators.topk import clamp, collect_ranked, first_n_rows, floor_filter, rank_key, top_k_by_key
 from coclick.sources.clicks import day_range_filter
 from coclick.functions.text import score_pairs_text
@@ -23,62 +30,63 @@ LIST_K1 = 1000            # neighbours kept per item before truncation
 LIST_K2 = 200             # final list length
 MIN_KEEP = 50             # always kept, whatever the score
 SCORE_FLOOR = 0.001       # later neighbours need score > floor
+ITEM_BUCKET = 65536       # ids per bucket when a user's cap is cut
 
 
-def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: str = "item",
-                       ts_col: str = "ts", day_col: str | None = None, weight_col: str | None = None,
-                       max_user_items: int | None = MAX_USER_ITEMS, min_user_items: int = MIN_USER_ITEMS,
-                       window_size: int = WINDOW_SIZE, block: int | None = None,
-                       item_bucket: int | None = None) -> DataFrame:
-    """CF1: per (day,) user: pair counts inside a sliding window of clicks.
+def ranked_clicks(clicks: DataFrame, keys: list[str], *, item_col: str = "item", ts_col: str = "ts",
+                  weight_col: str | None = None, max_user_items: int | None = MAX_USER_ITEMS,
+                  min_user_items: int = MIN_USER_ITEMS, item_bucket: int = ITEM_BUCKET) -> DataFrame:
+    """Clicks that count, numbered per key by (ts, item): ``keys, item, ts, w, n, pos``.
 
-    1. keep a user's first ``max_user_items`` clicks by (-weight, item, ts)
-       (lowest ids when weights tie -- not the most recent; WN3);
-    2. skip users with fewer than ``min_user_items`` clicks (FLT2);
-    3. order by (ts, item), pair each click with the next ``window_size``
-       clicks, skip equal items, key by (min, max), weight w_i * w_j (WN1);
-    4. an item's own count is the sum of w^2 over its clicks (``vj = 0``).
-
-    ``block`` (default max(window, 2048)) is the position block of the
-    windowed self-join; a block of at least the window sends each click to at
-    most two blocks.  ``item_bucket`` (e.g. 65536) finds a heavy user's cap
-    cut among item-id buckets first, bounding every window for users with
-    huge numbers of distinct items at the price of one more branch over the
-    clicks.  Returns ``[day_col,] vi, vj, weight``.
+    A key keeps its first ``max_user_items`` clicks by (-weight, item, ts)
+    (lowest ids when weights tie -- not the most recent; WN3); keys with fewer
+    than ``min_user_items`` clicks are skipped (FLT2).
     """
-    block = block or max(window_size, DEFAULT_BLOCK)
-    keys = ([day_col] if day_col else []) + [user_col]
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    c = clicks.where(F.col(item_col).isNotNull() & (F.col(item_col) != 0)) \
+    c = clicks.where(F.col(item_col).isNotNull()) \
         .select(*keys, F.col(item_col).cast("bigint").alias("item"), F.col(ts_col).alias("ts"), w.alias("w"))
     # per-user click counts from a map-side combined aggregate (no window over a hot user)
     sizes = c.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     c = c.join(sizes.where(F.col("n") >= min_user_items), keys)
     if max_user_items is not None:
-        buckets = None
-        if item_bucket:
-            # cut found among item-id buckets first, then among the items of one bucket
-            c = c.withColumn("__ib", F.floor(F.col("item") / item_bucket).cast("bigint"))
-            buckets = ([F.col("w").desc(), F.col("__ib")], ["w", "__ib"])
+        # the cut is found among item-id buckets first, then among the items of one bucket
+        c = c.withColumn("__ib", F.floor(F.col("item") / item_bucket).cast("bigint"))
         c = first_n_rows(c, keys, [F.col("w").desc(), F.col("item")], ["w", "item"], ["ts"], max_user_items, "n",
-                         buckets=buckets).withColumn("n", F.least(F.col("n"), F.lit(max_user_items)))
-        if item_bucket:
-            c = c.drop("__ib")
-        c = c.where(F.col("n") >= min_user_items)
-    # positions: each user now has at most max_user_items rows
-    c = c.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "item")))
-
-    # One blocked self-join gives both outputs: the self-match of each click
-    # (pos_a = pos_b) carries its count w^2, later positions give the pairs.
+                         buckets=([F.col("w").desc(), F.col("__ib")], ["w", "__ib"])).drop("__ib") \
+            .withColumn("n", F.least(F.col("n"), F.lit(max_user_items))).where(F.col("n") >= min_user_items)
+    # numbered inside time buckets, shifted by the counts of the earlier ones
+    return sequence_index(c, keys, ["ts", "item", "w"], time_bucket(c, "ts"), "pos")
+
+
+def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: str = "item",
+                       ts_col: str = "ts", day_col: str | None = None, weight_col: str | None = None,
+                       max_user_items: int | None = MAX_USER_ITEMS, min_user_items: int = MIN_USER_ITEMS,
+                       window_size: int = WINDOW_SIZE, block: int = DEFAULT_BLOCK,
+                       item_bucket: int = ITEM_BUCKET, whitelist: DataFrame | None = None) -> DataFrame:
+    """CF1: per (day,) user: pair counts inside a sliding window of clicks.
+
+    Clicks are chosen and numbered by :func:`ranked_clicks`; each click pairs
+    with the next ``window_size`` clicks of its user, equal items are skipped,
+    pairs are keyed by (min, max) with weight w_i * w_j (WN1).  An item's own
+    count is the sum of w^2 over its clicks, a plain aggregate, on the diagonal
+    (``vi = vj``), so every id is usable.
+
+    With ``whitelist`` only recommendable clicks are paired, at their positions
+    among all clicks: the same rows that CF2 would keep, without building the
+    others.  Returns ``[day_col,] vi, vj, weight``.
+    """
     dkeys = [day_col] if day_col else []
-    p = window_pairs(c, keys, "pos", "n", ["item", "w"], window_size, block, include_self=True)
-    own = F.col("pos_a") == F.col("pos_b")
-    p = p.where(own | (F.col("item_a") != F.col("item_b")))
+    keys = dkeys + [user_col]
+    c = ranked_clicks(clicks, keys, item_col=item_col, ts_col=ts_col, weight_col=weight_col,
+                      max_user_items=max_user_items, min_user_items=min_user_items, item_bucket=item_bucket)
+    if whitelist is not None:
+        c = c.join(whitelist.select("item"), "item", "left_semi")
+    own = c.groupBy(*dkeys, F.col("item").alias("vi")).agg(F.sum(F.col("w") * F.col("w")).alias("weight")) \
+        .select(*dkeys, "vi", F.col("vi").alias("vj"), "weight")
+    p = window_pairs(c, keys, "pos", "n", ["item", "w"], window_size, block).where(F.col("item_a") != F.col("item_b"))
     lo, hi = canonical_pair("item_a", "item_b")
-    vi = F.when(own, F.col("item_a")).otherwise(lo)
-    vj = F.when(own, F.lit(0).cast("bigint")).otherwise(hi)
-    return p.select(*dkeys, vi.alias("vi"), vj.alias("vj"), (F.col("w_a") * F.col("w_b")).alias("weight")) \
-        .groupBy(*dkeys, "vi", "vj").agg(F.sum("weight").alias("weight"))
+    pairs = p.groupBy(*dkeys, lo.alias("vi"), hi.alias("vj")).agg(F.sum(F.col("w_a") * F.col("w_b")).alias("weight"))
+    return pairs.unionByName(own)
 
 
 def merge_counts(daily: DataFrame, *, whitelist: DataFrame | None = None, day_col: str | None = None,
@@ -86,17 +94,14 @@ def merge_counts(daily: DataFrame, *, whitelist: DataFrame | None = None, day_co
     """CF2: sum daily counts over days D-n..D, whitelist both ends, threshold.
 
     The threshold also removes item-count rows, so a pair survives CF3 only if
-    both items reach it.  Returns ``va, vb, weight`` (``vb = 0``: item count).
+    both items reach it.  Returns ``va, vb, weight`` (``va = vb``: item count).
     """
     d = daily
     if day_col is not None and day is not None:
         d = d.where(day_range_filter(day_col, day, n_days or 0))
     if whitelist is not None:
         wl = whitelist.select(F.col("item").alias("__w"))
-        d = d.join(wl, F.col("vi") == F.col("__w"), "left_semi")
-        own = d.where(F.col("vj") == 0)
-        prs = d.where(F.col("vj") != 0).join(wl, F.col("vj") == F.col("__w"), "left_semi")
-        d = prs.unionByName(own)
+        d = d.join(wl, F.col("vi") == F.col("__w"), "left_semi").join(wl, F.col("vj") == F.col("__w"), "left_semi")
     return d.groupBy("vi", "vj").agg(F.sum("weight").alias("weight")) \
         .where(F.col("weight") >= min_weight) \
         .select(F.col("vi").alias("va"), F.col("vj").alias("vb"), "weight")
@@ -104,8 +109,8 @@ def merge_counts(daily: DataFrame, *, whitelist: DataFrame | None = None, day_co
 
 def attach_counts(merged: DataFrame) -> DataFrame:
     """JN1: pairs joined to both items' counts -> ``va, vb, weight, weight_a, weight_b``."""
-    pairs = merged.where(F.col("vb") != 0)
-    own = merged.where(F.col("vb") == 0)
+    pairs = merged.where(F.col("va") != F.col("vb"))
+    own = merged.where(F.col("va") == F.col("vb"))
     a = own.select(F.col("va"), F.col("weight").alias("weight_a"))
     b = own.select(F.col("va").alias("vb"), F.col("weight").alias("weight_b"))
     return pairs.join(a, "va").join(b, "vb").select("va", "vb", "weight", "weight_a", "weight_b")

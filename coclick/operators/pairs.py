@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 # Rows per block.  A join key then holds at most about BLOCK x BLOCK candidate
 # pairs, whatever the size of the group it came from.
 DEFAULT_BLOCK = 2048
+SALTS = 4
 
 
 def canonical_pair(a, b) -> tuple[Column, Column]:
@@ -29,8 +30,7 @@ def canonical_pair(a, b) -> tuple[Column, Column]:
 
 
 def window_pairs(ranked: DataFrame, group_cols: list[str], pos_col: str, size_col: str,
-                 value_cols: list[str], window: int, block: int = DEFAULT_BLOCK,
-                 include_self: bool = False) -> DataFrame:
+                 value_cols: list[str], window: int, block: int = DEFAULT_BLOCK) -> DataFrame:
     """WN1: pair every row with the next ``window`` positions of its group.
 
     ``ranked`` has a dense 1-based position ``pos_col`` and the group size
@@ -38,9 +38,7 @@ def window_pairs(ranked: DataFrame, group_cols: list[str], pos_col: str, size_co
     is sent to every block its window reaches, so the join key is
     ``(group, block)`` and holds at most ``window + block`` left rows and
     ``block`` right rows.  Output columns: group cols, ``<v>_a``, ``<v>_b`` for
-    each value col, plus ``pos_a``/``pos_b``.  With ``include_self`` every row
-    is also matched with itself once (``pos_a = pos_b``), which lets callers
-    derive per-row aggregates from the same join instead of a second scan.
+    each value col, plus ``pos_a``/``pos_b``.
     """
     pos = F.col(pos_col)
     blk = F.floor((pos - 1) / block).cast("bigint")
@@ -52,8 +50,7 @@ def window_pairs(ranked: DataFrame, group_cols: list[str], pos_col: str, size_co
     right = ranked.select(*group_cols, pos.alias("pos_b"),
                           *[F.col(v).alias(f"{v}_b") for v in value_cols], blk.alias("__blk"))
     joined = left.join(right, on=[*group_cols, "__blk"], how="inner")
-    lower = (F.col("pos_b") >= F.col("pos_a")) if include_self else (F.col("pos_b") > F.col("pos_a"))
-    return joined.where(lower & (F.col("pos_b") <= F.col("pos_a") + window)).drop("__blk")
+    return joined.where((F.col("pos_b") > F.col("pos_a")) & (F.col("pos_b") <= F.col("pos_a") + window)).drop("__blk")
 
 
 def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
@@ -74,7 +71,10 @@ def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
     if max_size is not None:
         cond = cond & (F.col("__n") <= max_size)
     sizes = sizes.where(cond).select(*group_cols, F.ceil(F.col("__n") / block).cast("bigint").alias("__s"))
-    m = members.join(sizes, on=group_cols, how="inner") \
+    # a hot group's members meet its size under SALTS keys, so it is not one join key
+    salted = members.withColumn("__salt", F.pmod(F.xxhash64(F.col(member_col)), F.lit(SALTS)).cast("int"))
+    sizes = sizes.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    m = salted.join(sizes, on=[*group_cols, "__salt"], how="inner").drop("__salt") \
         .withColumn("__b", F.pmod(F.xxhash64(F.col(member_col)), F.col("__s")))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__s") - 1))
     left = m.select(*group_cols, F.col(member_col).alias("a"), *[F.col(c).alias(f"{c}_a") for c in carry],

@@ -23,14 +23,14 @@ def test_itemcf_with_hot_user_matches_sql(spark):
     cap, window = 700, 50
     got = itemcf.daily_cooccurrence(hot_clicks(spark), max_user_items=cap, window_size=window, block=64)
     got = sorted((r.vi, r.vj, round(r.weight, 6)) for r in got.collect())
-    sql = f"""WITH c AS ({HOT.format(sf=SF_SMALL)} WHERE l.l_partkey <> 0),
+    sql = f"""WITH c AS ({HOT.format(sf=SF_SMALL)}),
       cap AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY item, ts) AS r FROM c) WHERE r <= {cap}),
       sz AS (SELECT *, count(*) OVER (PARTITION BY u) AS n FROM cap),
       rk AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY ts, item) AS pos FROM sz WHERE n >= 2),
       p AS (SELECT least(a.item, b.item) AS vi, greatest(a.item, b.item) AS vj, count(*) * 1.0 AS w
             FROM rk a JOIN rk b ON a.u = b.u AND b.pos > a.pos AND b.pos <= a.pos + {window}
             WHERE a.item <> b.item GROUP BY 1, 2)
-      SELECT vi, vj, w FROM p UNION ALL SELECT item, 0, count(*) * 1.0 FROM rk GROUP BY item"""
+      SELECT vi, vj, w FROM p UNION ALL SELECT item, item, count(*) * 1.0 FROM rk GROUP BY item"""
     want = sorted((int(a), int(b), round(float(w), 6)) for a, b, w in duckdb.sql(sql).fetchall())
     assert got == want
 

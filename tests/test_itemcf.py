@@ -18,7 +18,7 @@ def test_f1_daily_counts(spark):
     d = itemcf.daily_cooccurrence(clicks(spark, F1))
     got = {(r.vi, r.vj): r.weight for r in d.collect()}
     # user 3 has one click: skipped; counts over click occurrences
-    assert got == {(10, 0): 3.0, (20, 0): 2.0, (10, 20): 3.0}
+    assert got == {(10, 10): 3.0, (20, 20): 2.0, (10, 20): 3.0}
 
 
 def test_f1_threshold_3_leaves_no_pair(spark):
@@ -38,10 +38,10 @@ def test_window_and_cap(spark):
     # one user, items clicked in time order 1,2,3,4; window 1 pairs neighbours only
     data = [(1, i, i) for i in (1, 2, 3, 4)]
     d = itemcf.daily_cooccurrence(clicks(spark, data), window_size=1)
-    assert rows(d.where("vj != 0"), "vi", "vj") == [(1, 2), (2, 3), (3, 4)]
+    assert rows(d.where("vj != vi"), "vi", "vj") == [(1, 2), (2, 3), (3, 4)]
     # cap keeps the lowest ids (not the most recent clicks)
     d2 = itemcf.daily_cooccurrence(clicks(spark, [(1, 9, 1), (1, 5, 2), (1, 7, 3)]), max_user_items=2)
-    assert rows(d2, "vi", "vj") == [(5, 0), (5, 7), (7, 0)]
+    assert rows(d2, "vi", "vj") == [(5, 5), (5, 7), (7, 7)]
 
 
 def test_window_blocks_do_not_change_result(spark):
@@ -88,14 +88,14 @@ def test_day_range_merge_sums_days(spark):
         .withColumn("day", F.to_date("day"))
     daily = itemcf.daily_cooccurrence(df, day_col="day")
     m = itemcf.merge_counts(daily, day_col="day", day="2024-01-03", n_days=2, min_weight=0)  # 3 days
-    assert {(r.va, r.vb): r.weight for r in m.collect()} == {(1, 0): 2.0, (2, 0): 2.0, (1, 2): 2.0}
+    assert {(r.va, r.vb): r.weight for r in m.collect()} == {(1, 1): 2.0, (2, 2): 2.0, (1, 2): 2.0}
 
 
 def test_cap_cut_inside_a_group(spark):
     # item 5 clicked at ts 1, 2, 3 and item 7 at ts 0; cap 2 keeps the two earliest clicks of item 5
     d = itemcf.daily_cooccurrence(clicks(spark, [(1, 5, 3), (1, 7, 0), (1, 5, 1), (1, 5, 2), (2, 7, 1), (2, 8, 2)]),
                                   max_user_items=2)
-    assert rows(d, "vi", "vj", "weight") == [(5, 0, 2.0), (7, 0, 1.0), (7, 8, 1.0), (8, 0, 1.0)]
+    assert rows(d, "vi", "vj", "weight") == [(5, 5, 2.0), (7, 7, 1.0), (7, 8, 1.0), (8, 8, 1.0)]
 
 
 def test_first_n_rows_matches_ranking(spark):
@@ -117,3 +117,16 @@ def test_first_n_rows_two_level_matches_ranking(spark):
         got = topk.first_n_rows(df, ["k"], [F.col("c")], ["c"], ["f"], n, "n", buckets=([F.col("b")], ["b"]))
         want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("c", "f"))).where(f"r <= {n}")
         assert rows(got, "k", "c", "f") == rows(want, "k", "c", "f")
+
+
+def test_item_zero_counts_like_any_other(spark):
+    d = itemcf.daily_cooccurrence(clicks(spark, [(1, 0, 1), (1, 5, 2), (2, 0, 1), (2, 5, 2)]))
+    assert rows(d, "vi", "vj", "weight") == [(0, 0, 2.0), (0, 5, 2.0), (5, 5, 2.0)]
+
+
+def test_whitelist_before_pairing_equals_whitelist_after(spark):
+    data = [(u, (u * 7 + i * 3) % 23, i) for u in range(1, 5) for i in range(40)]
+    wl = spark.createDataFrame([(i,) for i in range(0, 23, 2)], "item bigint")
+    before = itemcf.merge_counts(itemcf.daily_cooccurrence(clicks(spark, data), window_size=5, whitelist=wl), min_weight=0)
+    after = itemcf.merge_counts(itemcf.daily_cooccurrence(clicks(spark, data), window_size=5), whitelist=wl, min_weight=0)
+    assert rows(before) == rows(after)
