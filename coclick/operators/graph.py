@@ -23,7 +23,7 @@ EDGE_THRE = 3        # adjacency keeps merged edges with w > 3 (strict)
 MIN_WEIGHT = 0       # merge keeps w >= 0
 HOP1 = 10            # hop-1 draws per label edge copy
 HOP2 = 10            # hop-2 draws per hop-1 draw
-INDEX_BLOCK = 4096   # neighbours per index bucket of a node
+INDEX_BLOCK = 4096   # neighbour ids per numbered range of a node
 
 
 def session_edges(clicks: DataFrame, session_cols: list[str], item_col: str = "item", ts_col: str = "ts",
@@ -64,21 +64,20 @@ def merge_edges(daily: DataFrame, *, whitelist: DataFrame | None = None, day_col
 def adjacency(edges: DataFrame, edge_thre: float = EDGE_THRE, block: int = INDEX_BLOCK) -> DataFrame:
     """GR3: edges with ``w > edge_thre`` as rows (va, idx, vb, w, deg).
 
-    ``idx`` is 0..deg-1.  Neighbours are ordered by (bucket, vb) where a node
-    with more than ``block`` neighbours spreads them over hash buckets; index
-    offsets of buckets come from a window over one row per (node, bucket), so
-    a hub is numbered by many tasks.  For nodes up to ``block`` neighbours the
-    order is simply by vb.
+    ``idx`` is 0..deg-1 in the order of ``vb``, for nodes of any degree.
+    Neighbours are numbered inside ranges of ``block`` ids and shifted by the
+    counts of the lower ranges (a window over one row per range), so a hub is
+    numbered by many tasks.
     """
-    e = edges.where(F.col("w") > edge_thre).select("va", "vb", "w")
-    deg = e.groupBy("va").agg(F.count(F.lit(1)).alias("deg"))
-    e = e.join(deg, "va").withColumn(
-        "__bk", F.pmod(F.xxhash64("vb"), F.ceil(F.col("deg") / block)).cast("bigint"))
+    e = edges.where(F.col("w") > edge_thre) \
+        .select("va", "vb", "w", F.floor(F.col("vb") / block).cast("bigint").alias("__bk"))
     counts = e.groupBy("va", "__bk").agg(F.count(F.lit(1)).alias("__c"))
-    w_off = Window.partitionBy("va").orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("va", "__bk", F.coalesce(F.sum("__c").over(w_off), F.lit(0)).alias("__off"))
-    w_in = Window.partitionBy("va", "__bk").orderBy("vb")
-    return e.withColumn("__rn", F.row_number().over(w_in)).join(offs, ["va", "__bk"]) \
+    node = Window.partitionBy("va")
+    below = node.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("va", "__bk", F.coalesce(F.sum("__c").over(below), F.lit(0)).alias("__off"),
+                         F.sum("__c").over(node).alias("deg"))
+    within = Window.partitionBy("va", "__bk").orderBy("vb")
+    return e.withColumn("__rn", F.row_number().over(within)).join(offs, ["va", "__bk"]) \
         .select("va", (F.col("__off") + F.col("__rn") - 1).cast("bigint").alias("idx"), "vb", "w",
                 F.col("deg").cast("bigint").alias("deg"))
 
@@ -92,17 +91,15 @@ def label_contexts(labels: DataFrame, centre: str = "va", other: str = "vb", wei
 
     Tags are generated in two steps: an edge first becomes ceil(n / chunk)
     chunk rows, which a hash repartition on (edge, chunk) spreads over tasks,
-    then each chunk expands to at most ``chunk`` tags.  An edge with a huge
-    weight therefore never builds one giant array in one task.
+    then each chunk expands to at most ``chunk`` tags.  No edge builds one
+    giant array in one task, and every edge takes the same way.
     """
     n = F.floor(F.col(weight)).cast("bigint")
     e = labels.select(F.col(centre).cast("bigint").alias("va"), F.col(other).cast("bigint").alias("vb"),
                       n.alias("__n")).where(F.col("__n") >= 1)
     chunks = e.select("va", "vb", "__n", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                                F.floor((F.col("__n") - 1) / chunk).cast("bigint")))
-                      .alias("__c"))
-    big = chunks.where(F.col("__n") > chunk).repartition("va", "vb", "__c")
-    chunks = chunks.where(F.col("__n") <= chunk).unionByName(big)
+                      .alias("__c")).repartition("va", "vb", "__c")
     lo = F.col("__c") * chunk
     hi = F.least(lo + chunk, F.col("__n")) - 1
     return chunks.select(F.explode(F.sequence(lo, hi)).alias("tag"), "va", "vb")
@@ -116,7 +113,7 @@ def hop1_samples(ctx: DataFrame, adj: DataFrame, k: int = HOP1, seed: str = "coc
     columns ride along as extra keys.  Returns ([carry,] tag, va, vb, pos, hop1).
     """
     carry = carry or []
-    deg = adj.select("va", "deg").distinct()
+    deg = adj.where(F.col("idx") == 0).select("va", "deg")
     c = ctx.join(deg, "va")
     draws = c.select(*carry, "tag", "va", "vb", F.posexplode(
         balanced_draws("deg", k, seed, F.lit("h1"), "tag", "va", "vb")).alias("pos", "idx"))
@@ -136,7 +133,7 @@ def hop2_samples(h1: DataFrame, adj: DataFrame, k: int = HOP2, seed: str = "cocl
     rows with n2 = 0 carry null pos2/hop2.
     """
     carry = carry or []
-    deg = adj.select(F.col("va").alias("hop1"), F.col("deg").alias("deg1")).distinct()
+    deg = adj.where(F.col("idx") == 0).select(F.col("va").alias("hop1"), F.col("deg").alias("deg1"))
     centre_idx = adj.select(F.col("va").alias("hop1"), F.col("vb").alias("va"), F.col("idx").alias("cidx"))
     c = h1.join(deg, "hop1").join(centre_idx, ["hop1", "va"], "left")
     c = c.withColumn("n2", F.col("deg1") - F.when(F.col("cidx").isNotNull(), 1).otherwise(0))
@@ -180,8 +177,10 @@ def training_rows(labels: DataFrame, adj: DataFrame, *, va: str = "va", vb: str
     Columns tag, va, vb, va_hop1, va_hop2, vb_hop1, vb_hop2; with ``as_text``
     the lists are rendered ``[1,2]`` / ``[[1],[2,3]]`` (SC10) for the TSV sink.
     """
-    ctx = label_contexts(labels, va, vb, weight).withColumn("side", F.lit(0)) \
-        .unionByName(label_contexts(labels, vb, va, weight).withColumn("side", F.lit(1)))
+    ctx = label_contexts(labels, va, vb, weight).select("tag", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("va"), F.col("vb")),
+        F.struct(F.lit(1).alias("side"), F.col("vb").alias("va"), F.col("va").alias("vb")))).alias("e")) \
+        .select("tag", "e.side", "e.va", "e.vb")
     h1 = hop1_samples(ctx, adj, k1, seed, carry=["side"])
     both = _assemble(hop2_samples(h1, adj, k2, seed, carry=["side"]), ["side"])
     a = both.where(F.col("side") == 0).select("tag", "va", "vb", F.col("hop1s").alias("va_hop1"),
