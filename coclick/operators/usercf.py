@@ -69,6 +69,33 @@ def user_cf_recommend(sim: DataFrame, hist: DataFrame, cap: int = LIST_CAP) -> D
         .select(F.col("u1").alias("user"), "rank", "item", "value")
 
 
+def recommend_from_histories(hist: DataFrame, cap: int | None = LIST_CAP) -> DataFrame:
+    """UC2 + UC3 without user pairs: the rows of :func:`user_cf_recommend` over the users of ``hist``.
+
+    With I(u) the distinct items of u, the value is
+    sum over other users v of |I(u) & I(v)| / sqrt(|I(u)| |I(v)|) * cnt(v, i).
+    Summing over the shared items first gives an item matrix
+    M[j, i] = sum over users v with j of cnt(v, i) / sqrt(|I(v)|), and
+    value(u, i) = (sum over j in I(u) of M[j, i]) / sqrt(|I(u)|) - cnt(u, i).
+    The number of (shared item, user) paths, less u's own |I(u)| when u has i,
+    tells exactly which rows another user supports.  The fan-out is a user's
+    distinct items squared, never users squared.
+    """
+    own = hist.groupBy("user", "item").agg(F.sum("weight").alias("cnt"))
+    sizes = own.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    h = own.join(sizes, "user")
+    matrix = h.select("user", F.col("item").alias("j")) \
+        .join(h.select("user", "item", (F.col("cnt") / F.sqrt("n")).alias("part")), "user") \
+        .groupBy("j", "item").agg(F.sum("part").alias("m"), F.count(F.lit(1)).alias("paths"))
+    reached = h.select("user", F.col("item").alias("j"), "n").join(matrix, "j") \
+        .groupBy("user", "item", "n").agg(F.sum("m").alias("m"), F.sum("paths").alias("paths"))
+    v = reached.join(own, ["user", "item"], "left") \
+        .where(F.col("paths") - F.when(F.col("cnt").isNotNull(), F.col("n")).otherwise(0) > 0) \
+        .select("user", "item", (F.col("m") / F.sqrt("n") - F.coalesce("cnt", F.lit(0.0))).alias("value"))
+    return top_k_by_key(v, ["user"], [rank_key("value"), F.col("item").cast("string")], cap) \
+        .select("user", "rank", "item", "value")
+
+
 def recommend_text(recs: DataFrame) -> DataFrame:
     """SNK10: ``user<TAB>item,item,...`` in rank order (column ``line``)."""
     arr = recs.groupBy("user").agg(F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("l"))

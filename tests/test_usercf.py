@@ -28,3 +28,11 @@ def test_user_similarity_cosine(spark):
     ui = spark.createDataFrame([(1, 10), (1, 20), (2, 10), (3, 30)], "user bigint, item bigint")
     s = {(r.u1, r.u2): r.score for r in usercf.user_similarity(ui).collect()}
     assert set(s) == {(1, 2), (2, 1)} and math.isclose(s[(1, 2)], 1 / math.sqrt(2))
+
+
+def test_recommendation_without_user_pairs_is_the_same(spark):
+    data = [(u, r, (u * u * 3 + r * 5) % 17, 1.0) for u in range(1, 15) for r in range(1, 2 + u % 6)]
+    hist = spark.createDataFrame(data, "user bigint, rank bigint, item bigint, weight double")
+    a = usercf.user_cf_recommend(usercf.user_similarity(hist), hist)
+    b = usercf.recommend_from_histories(hist)
+    assert [(r[:3], round(r[3], 9)) for r in rows(a)] == [(r[:3], round(r[3], 9)) for r in rows(b)]
