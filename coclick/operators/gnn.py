@@ -25,6 +25,10 @@ LEAKY_ALPHA = 0.02   # leaky-relu slope of the aggregator
 LOG_EPS = 1e-8       # loss = -ln(p + eps)
 
 
+# Numbers in the padded neighbourhood tensor of one slice.
+SLICE_CELLS = 8_000_000
+
+
 def init_weights(in_dim: int, hidden: int = 32, out_dim: int = 16, seed: int = 0) -> dict[str, np.ndarray]:
     """Deterministic weights in the reference's initialisation scheme:
     truncated-normal(0.001) MLP kernels and biases, Glorot-uniform projections."""
@@ -112,7 +116,9 @@ def neighbour_max_pool(samples: DataFrame, vectors: DataFrame, W: dict, k1: int,
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for rb in batches:
+        # bounded slices: a slice's padded neighbourhood takes at most about SLICE_CELLS numbers
+        step = max(1, SLICE_CELLS // (k1 * (k2 + 1) * in_dim))
+        for rb in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
             B = rb.num_rows
             refs = rb.column("refs")
             # one flat view of all references of the batch: row id, p, q, vector
@@ -123,6 +129,8 @@ def neighbour_max_pool(samples: DataFrame, vectors: DataFrame, W: dict, k1: int,
             q = pc.struct_field(flat, "q").to_numpy(zero_copy_only=False).astype(np.int64)
             vec = pc.list_flatten(pc.struct_field(flat, "vec")).to_numpy(zero_copy_only=False)
             vec = (vec.reshape(len(p), in_dim) - mean) / std if len(p) else np.zeros((0, in_dim))
+            if len(p) and (p.max() >= k1 or q.max() >= k2):
+                raise ValueError(f"sample positions up to ({p.max()}, {q.max()}); k1 = {k1} and k2 = {k2} leave them out")
             centre = np.zeros((B, in_dim))
             hop1 = np.zeros((B, k1, in_dim))
             m1 = np.zeros((B, k1), dtype=bool)

@@ -26,10 +26,9 @@ def match_counts(docs: DataFrame, dict_docs: DataFrame, id_col: str = "doc_id",
                  dict_text_col: str = "text") -> DataFrame:
     """Per document: number of tokens and number found in the dictionary
     built from the tokens of ``dict_docs``.  Returns (doc_id, n_words, n_matched)."""
-    t = tokens(docs, id_col, text_col)
+    t = tokens(docs, id_col, text_col).groupBy("id", "word").agg(F.count(F.lit(1)).alias("n"))
     dwords = dict_docs.select(F.explode(F.split(F.col(dict_text_col), TOKEN_PATTERN)).alias("word")) \
-        .where(F.length("word") > 0)
-    hit = dictionary_match(t, dwords).groupBy("id").agg(F.count(F.lit(1)).alias("n_matched"))
-    n = t.groupBy("id").agg(F.count(F.lit(1)).alias("n_words"))
-    return n.join(hit, "id", "left").select(F.col("id").alias(id_col), "n_words",
-                                            F.coalesce("n_matched", F.lit(0)).cast("bigint").alias("n_matched"))
+        .where(F.length("word") > 0).distinct().withColumn("known", F.lit(1))
+    return t.join(dwords, "word", "left").groupBy("id").agg(
+        F.sum("n").alias("n_words"), F.sum(F.when(F.col("known") == 1, F.col("n")).otherwise(0)).alias("n_matched")) \
+        .select(F.col("id").alias(id_col), "n_words", "n_matched")

@@ -15,6 +15,8 @@ candidates are re-ranked exactly with the same tiled kernel per list.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,7 +34,8 @@ W2V_DIM = 32
 W2V_WINDOW = 10
 W2V_ITER = 15
 W2V_PARTITIONS = 15
-MAX_SENTENCE = 1000   # Word2Vec splits longer sentences anyway
+MAX_SENTENCE = 1000   # tokens per sentence chunk
+MAX_LISTS_BYTES = 64 << 20   # largest IVF centroid table that travels with the tasks
 
 _PAIR_SCHEMA = T.StructType([T.StructField("qid", T.LongType()), T.StructField("cid", T.LongType()),
                              T.StructField("dist", T.DoubleType())])
@@ -67,19 +70,19 @@ def tile_topk(q: pd.DataFrame, c: pd.DataFrame, k: int, space: str) -> pd.DataFr
     cids = c["id"].to_numpy(dtype=np.int64)
     qids = q["id"].to_numpy(dtype=np.int64)
     kk = min(k, d.shape[1])
-    out_q, out_c, out_d = [], [], []
-    for i in range(d.shape[0]):
-        row = dr[i]
-        if kk < len(row):
-            t = np.partition(row, kk - 1)[kk - 1]
-            cand = np.nonzero(row <= t)[0]
-        else:
-            cand = np.arange(len(row))
-        order = cand[np.lexsort((cids[cand], row[cand]))][:kk]
-        out_q.append(np.full(len(order), qids[i], dtype=np.int64))
-        out_c.append(cids[order])
-        out_d.append(d[i, order])
-    return pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c), "dist": np.concatenate(out_d)})
+    # columns in id order, so a stable sort breaks ties by id
+    by_id = np.argsort(cids, kind="stable")
+    d, dr, cids = d[:, by_id], dr[:, by_id], cids[by_id]
+    if kk < d.shape[1]:
+        part = np.sort(np.argpartition(dr, kk - 1, axis=1)[:, :kk], axis=1)
+        top = np.take_along_axis(part, np.argsort(np.take_along_axis(dr, part, 1), axis=1, kind="stable"), 1)
+        # rows whose cut falls among equal distances are sorted whole
+        tied = np.flatnonzero((dr <= np.take_along_axis(dr, top[:, -1:], 1)).sum(axis=1) > kk)
+        top[tied] = np.argsort(dr[tied], axis=1, kind="stable")[:, :kk]
+    else:
+        top = np.argsort(dr, axis=1, kind="stable")
+    return pd.DataFrame({"qid": np.repeat(qids, kk), "cid": cids[top].ravel(),
+                         "dist": np.take_along_axis(d, top, 1).ravel()})
 
 
 def _tiled_topk(queries: DataFrame, corpus: DataFrame, k: int, space: str, block: int,
@@ -89,12 +92,17 @@ def _tiled_topk(queries: DataFrame, corpus: DataFrame, k: int, space: str, block
     q = queries.select(*g, F.col("id").cast("bigint").alias("id"), F.col("vec"))
     c = corpus.select(*g, F.col("id").cast("bigint").alias("id"), F.col("vec"))
     if g:
-        # per group: block counts from per-group sizes
-        qn = q.groupBy(*g).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).cast("bigint").alias("__nq"))
-        cn = c.groupBy(*g).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).cast("bigint").alias("__nc"))
-        sizes = qn.join(cn, g)
-        q = q.join(sizes, g)
-        c = c.join(sizes, g)
+        # group sizes are read off the persisted inputs (one row per group: the lists of a bounded index)
+        blocks = {name: {r[g[0]]: -(-r["count"] // block) for r in side.groupBy(*g).count().collect()}
+                  for name, side in (("__nq", q), ("__nc", c))}
+        both = sorted(set(blocks["__nq"]) & set(blocks["__nc"]))
+        if not both:
+            return q.select(F.col("id").alias("qid"), F.col("id").alias("cid"), F.lit(0.0).alias("dist")).limit(0)
+        for name, sizes in blocks.items():
+            number = F.create_map(*[F.lit(x).cast("bigint") for x in itertools.chain.from_iterable(
+                (k, sizes[k]) for k in both)])
+            q, c = q.withColumn(name, number[F.col(g[0])]), c.withColumn(name, number[F.col(g[0])])
+        q, c = q.where(F.col("__nc").isNotNull()), c.where(F.col("__nq").isNotNull())
     else:
         # block counts of both sides as scalar subqueries (computed once)
         spark = q.sparkSession
@@ -147,6 +155,8 @@ def ivf_search(queries: DataFrame, corpus: DataFrame, centres: np.ndarray, k: in
         corpus = corpus.select("id", l2_normalize("vec").alias("vec"))
         queries = queries.select("id", l2_normalize("vec").alias("vec"))
     centres = np.asarray(centres, dtype=np.float64)
+    if centres.nbytes > MAX_LISTS_BYTES:
+        raise ValueError(f"{centres.nbytes} bytes of centroids; at most {MAX_LISTS_BYTES} are sent to the tasks")
 
     def nearest(probe: int):
         @F.pandas_udf(T.ArrayType(T.LongType()))
@@ -161,8 +171,9 @@ def ivf_search(queries: DataFrame, corpus: DataFrame, centres: np.ndarray, k: in
 
     ship_package(queries.sparkSession)
     probe = int(min(n_probe, len(centres)))
-    cx = corpus.select("id", "vec", nearest(1)(F.col("vec").cast("array<double>"))[0].alias("list"))
-    qx = queries.select("id", "vec", F.explode(nearest(probe)(F.col("vec").cast("array<double>"))).alias("list"))
+    # persisted: the lists are assigned once for the group sizes and the search
+    cx = corpus.select("id", "vec", nearest(1)(F.col("vec").cast("array<double>"))[0].alias("list")).persist()
+    qx = queries.select("id", "vec", F.explode(nearest(probe)(F.col("vec").cast("array<double>"))).alias("list")).persist()
     cand = _tiled_topk(qx, cx, k, space, block, group_cols=["list"])
     return top_k_by_key(cand, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
 
@@ -191,16 +202,17 @@ def seed_centres(corpus: DataFrame, n_lists: int = 16, space: str = "cosine", se
     return np.stack([np.asarray(r.vec, dtype=np.float64) for r in picked])
 
 
-def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "cosine",
-               n_lists: int = 16, n_probe: int = 8, seed: int = 7, block: int = 4096,
-               max_iter: int = 10) -> DataFrame:
-    """VEC3: approximate kNN with an IVF index trained by Spark ML KMeans.
+def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "cosine", *, n_lists: int,
+               n_probe: int, seed: str = "coclick", block: int = 4096, centres: np.ndarray | None = None) -> DataFrame:
+    """VEC3: approximate kNN with an IVF index.
 
-    Each query probes its ``n_probe`` nearest lists; candidates in those lists
-    are ranked exactly.  ``n_probe = n_lists`` gives the exact answer.
-    Returns (qid, rank, cid, dist).
+    Centroids are ``n_lists`` hashed corpus vectors (:func:`seed_centres`)
+    unless given (e.g. :func:`kmeans_centres`).  Each query probes its
+    ``n_probe`` nearest lists; candidates in those lists are ranked exactly.
+    ``n_probe = n_lists`` gives the exact answer.  Returns (qid, rank, cid, dist).
     """
-    centres = kmeans_centres(corpus, n_lists, space, seed, max_iter)
+    if centres is None:
+        centres = seed_centres(corpus, n_lists, space, seed)
     return ivf_search(queries, corpus, centres, k, space, n_probe, block)
 
 

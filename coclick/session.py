@@ -53,10 +53,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     return d
 
 
-def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never a local one): survives executor loss."""
     spark = df.sparkSession
-    if not checkpoint_dir(spark, fallback_dir):
+    if not checkpoint_dir(spark):
         raise ValueError("spark.checkpoint.dir is not set: name a shared folder for reliable checkpoints")
     return df.checkpoint(eager=True)
 
