@@ -13,6 +13,7 @@ through storage, so a lost executor only re-runs the current stage.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import time
 
@@ -48,11 +49,28 @@ def _write_day(df: DataFrame, base: str, region: str, dataset: str, day: str, ke
     return path
 
 
-def _read_days(spark: SparkSession, base: str, region: str, dataset: str, day: str, n_days: int) -> DataFrame:
+def _read_days(spark: SparkSession, base: str, region: str, dataset: str, day: str, n_days: int,
+               strict: bool = True) -> DataFrame:
+    """Days D-n..D of a daily dataset; ``strict`` raises if one is missing or unfinished."""
+    if strict:
+        last = dt.date.fromisoformat(day)
+        days = [str(last - dt.timedelta(days=i)) for i in range(n_days, -1, -1)]
+        lost = [d for d in days if not sinks.is_complete(spark, _p(base, region, dataset, f"day={d}"))]
+        if lost:
+            raise FileNotFoundError(f"{_p(base, region, dataset)}: missing or unfinished days {', '.join(lost)}")
     return spark.read.option("basePath", _p(base, region, dataset)).parquet(_p(base, region, dataset)) \
         .where(day_range_filter("day", day, n_days))
 
 
+# The horizon whose snapshots have the plain dataset names (fixed value).
+MAIN_HORIZON = 30
+
+
+def _for_horizon(dataset: str, merge_days: int) -> str:
+    """Each merge horizon has its own datasets, so a 7-day merge is never read as the main one."""
+    return dataset if merge_days == MAIN_HORIZON else f"{dataset}_{merge_days}"
+
+
 def _latest(spark: SparkSession, base: str) -> DataFrame:
     path = latest_snapshot(spark, base)
     if path is None:
@@ -67,23 +85,25 @@ def itemcf_gen_day(spark: SparkSession, clicks: DataFrame, base: str, region: st
 
 
 def itemcf_merge(spark: SparkSession, base: str, region: str, day: str, merge_days: int,
-                 whitelist: DataFrame | None) -> str:
-    """merge_data: days D-n..D -> whitelisted, thresholded snapshot."""
-    daily = _read_days(spark, base, region, "day_data", day, merge_days)
+                 whitelist: DataFrame | None, strict: bool = True) -> str:
+    """merge_data: days D-n..D -> whitelisted, thresholded snapshot of this horizon."""
+    daily = _read_days(spark, base, region, "day_data", day, merge_days, strict)
     merged = itemcf.merge_counts(daily, whitelist=whitelist)
-    snap = _counted(merged, _p(base, region, "merge_data", str(int(time.time()))))
-    sinks.keep_latest(spark, _p(base, region, "merge_data"), KEEP["cf_merge"])
+    into = _p(base, region, _for_horizon("merge_data", merge_days))
+    snap = _counted(merged, f"{into}/{int(time.time())}")
+    sinks.keep_latest(spark, into, KEEP["cf_merge"])
     return snap
 
 
-def itemcf_join_group(spark: SparkSession, base: str, region: str) -> str:
-    """join + group: latest snapshot -> scores -> lists (Parquet rows + gzip text)."""
-    scores = itemcf.cosine_scores(_latest(spark, _p(base, region, "merge_data")))
-    sinks.write_parquet(scores, _p(base, region, "join_cnt"))
-    lists = itemcf.neighbour_lists(spark.read.parquet(_p(base, region, "join_cnt")))
-    sinks.write_parquet(lists, _p(base, region, "group_data"))
-    text = itemcf.neighbour_text(spark.read.parquet(_p(base, region, "group_data")))
-    return sinks.write_lines(text, _p(base, region, "final_data"))
+def itemcf_join_group(spark: SparkSession, base: str, region: str, merge_days: int = MAIN_HORIZON) -> str:
+    """join + group: the horizon's latest snapshot -> scores -> lists (Parquet rows + gzip text)."""
+    at = lambda dataset: _p(base, region, _for_horizon(dataset, merge_days))
+    scores = itemcf.cosine_scores(_latest(spark, at("merge_data")))
+    sinks.write_parquet(scores, at("join_cnt"))
+    lists = itemcf.neighbour_lists(spark.read.parquet(at("join_cnt")))
+    sinks.write_parquet(lists, at("group_data"))
+    text = itemcf.neighbour_text(spark.read.parquet(at("group_data")))
+    return sinks.write_lines(text, at("final_data"))
 
 
 # --------------------------------------------------------------- Swing ---
@@ -103,12 +123,12 @@ def swing_gen_day(spark: SparkSession, clicks: DataFrame, base: str, region: str
 
 
 def swing_merge(spark: SparkSession, base: str, region: str, day: str, merge_days: int,
-                whitelist: DataFrame | None = None) -> list[str]:
+                whitelist: DataFrame | None = None, strict: bool = True) -> list[str]:
     """merge_u2u / merge_u_weight / merge_i2i2u2u over days D-n..D."""
-    ui = _read_days(spark, base, region, "user_item_day_data", day, merge_days)
-    u2u = _read_days(spark, base, region, "u2u_day_data", day, merge_days) \
+    ui = _read_days(spark, base, region, "user_item_day_data", day, merge_days, strict)
+    u2u = _read_days(spark, base, region, "u2u_day_data", day, merge_days, strict) \
         .groupBy("ui", "uj").agg(F.sum("weight").alias("weight"))
-    ipu = _read_days(spark, base, region, "i2i2u_day_data", day, merge_days)
+    ipu = _read_days(spark, base, region, "i2i2u_day_data", day, merge_days, strict)
     out = []
     for dataset, df in (("merge_u2u_data", u2u), ("merge_u_weight_data", swing.user_weights(ui)),
                         ("merge_i2i2u2u_data", swing.item_pair_user_pairs(ipu, whitelist))):
@@ -157,20 +177,22 @@ def graph_gen_day(spark: SparkSession, clicks: DataFrame, base: str, region: str
 
 
 def graph_merge(spark: SparkSession, base: str, region: str, day: str, merge_days: int,
-                whitelist: DataFrame | None, min_weight: float = graph.MIN_WEIGHT) -> str:
-    daily = _read_days(spark, base, region, "day_data", day, merge_days)
-    snap = sinks.write_snapshot(graph.merge_edges(daily, whitelist=whitelist, min_weight=min_weight),
-                                _p(base, region, "merge_data"), str(int(time.time())))
-    sinks.keep_latest(spark, _p(base, region, "merge_data"), KEEP["graph_merge"])
+                whitelist: DataFrame | None, min_weight: float = graph.MIN_WEIGHT, strict: bool = True) -> str:
+    daily = _read_days(spark, base, region, "day_data", day, merge_days, strict)
+    into = _p(base, region, _for_horizon("merge_data", merge_days))
+    snap = sinks.write_snapshot(graph.merge_edges(daily, whitelist=whitelist, min_weight=min_weight), into,
+                                str(int(time.time())))
+    sinks.keep_latest(spark, into, KEEP["graph_merge"])
     return snap
 
 
 def graph_train_rows(spark: SparkSession, base: str, region: str, day: str, csv_path: str,
                      edge_thre: float = graph.EDGE_THRE, k1: int = graph.HOP1, k2: int = graph.HOP2,
-                     seed: str = "coclick") -> str:
+                     seed: str = "coclick", merge_days: int = MAIN_HORIZON) -> str:
     """gen_va_hop + gen_vb_hop + gen_train_data: TSV training rows for one day's label edges."""
-    adj_path = _p(base, region, "adjacency", day)
-    sinks.write_parquet(graph.adjacency(_latest(spark, _p(base, region, "merge_data")), edge_thre), adj_path)
+    adj_path = _p(base, region, _for_horizon("adjacency", merge_days), day)
+    merged = _latest(spark, _p(base, region, _for_horizon("merge_data", merge_days)))
+    sinks.write_parquet(graph.adjacency(merged, edge_thre), adj_path)
     adj = spark.read.parquet(adj_path)
     labels = spark.read.parquet(_p(base, region, "day_data", f"day={day}"))
     rows = graph.training_rows(labels, adj, k1=k1, k2=k2, seed=seed)
@@ -183,8 +205,7 @@ def usercf_lists(spark: SparkSession, clicks: DataFrame, base: str, region: str,
     hist = usercf.user_histories(clicks, whitelist)
     sinks.write_parquet(hist, _p(base, region, "user_history"))
     hist = spark.read.parquet(_p(base, region, "user_history"))
-    sim = usercf.user_similarity(hist)
-    recs = usercf.user_cf_recommend(sim, hist)
+    recs = usercf.recommend_from_histories(hist)
     sinks.write_parquet(recs, _p(base, region, "recommended_rows"))
     return sinks.write_lines(usercf.recommend_text(spark.read.parquet(_p(base, region, "recommended_rows"))),
                              _p(base, region, "recommended_list_test"))

@@ -18,7 +18,7 @@ def test_itemcf_jobs_equal_in_memory_plan(spark, scratch):
     for d in DAYS:
         jobs.itemcf_gen_day(spark, clicks.where(F.col("day") == F.lit(d).cast("date")), base, "ID", d)
     jobs.itemcf_merge(spark, base, "ID", DAYS[-1], 3, wl)          # days 2..5
-    out = jobs.itemcf_join_group(spark, base, "ID")
+    out = jobs.itemcf_join_group(spark, base, "ID", 3)
     assert os.path.exists(os.path.join(out, "_SUCCESS"))
     daily = itemcf.daily_cooccurrence(clicks, day_col="day")
     want = itemcf.neighbour_text(itemcf.neighbour_lists(itemcf.cosine_scores(
@@ -32,7 +32,8 @@ def test_graph_jobs_write_training_rows(spark, scratch):
     for d in DAYS:
         jobs.graph_gen_day(spark, ev.where(F.col("day") == F.lit(d).cast("date")), base, "ID", d, ["user", "day"], "eid")
     jobs.graph_merge(spark, base, "ID", DAYS[-1], 4, None)
-    out = jobs.graph_train_rows(spark, base, "ID", DAYS[-1], os.path.join(base, "csv"), edge_thre=0, k1=3, k2=2)
+    out = jobs.graph_train_rows(spark, base, "ID", DAYS[-1], os.path.join(base, "csv"), edge_thre=0, k1=3, k2=2,
+                                merge_days=4)
     t = spark.read.option("sep", "\t").csv(out)
     assert len(t.columns) == 7
     merged = graph.merge_edges(graph.session_edges(ev, ["user", "day"], tiebreak="eid", day_col="day"),
@@ -68,3 +69,20 @@ def test_usercf_jobs(spark, scratch):
     ev = jobs.usercf_eval(spark, clicks.where(F.col("day") == F.lit("2024-01-30").cast("date")), base, "ID")
     vals = [float(r.value.split("\t")[1]) for r in spark.read.text(ev).collect()]
     assert all(0.0 <= v <= 1.0 for v in vals)
+
+
+def test_merge_needs_every_day_and_keeps_horizons_apart(spark, scratch):
+    import pytest
+    base = tempfile.mkdtemp(prefix="hjobs-", dir=scratch)
+    clicks = T.event_clicks(spark, SF_SMALL)
+    for d in DAYS[:3]:
+        jobs.itemcf_gen_day(spark, clicks.where(F.col("day") == F.lit(d).cast("date")), base, "ID", d)
+    with pytest.raises(FileNotFoundError, match=DAYS[3]):
+        jobs.itemcf_merge(spark, base, "ID", DAYS[4], 4, None)
+    os.remove(os.path.join(base, "ID", "day_data", f"day={DAYS[0]}", "_SUCCESS"))
+    with pytest.raises(FileNotFoundError, match=DAYS[0]):
+        jobs.itemcf_merge(spark, base, "ID", DAYS[2], 2, None)
+    assert "merge_data_2/" in jobs.itemcf_merge(spark, base, "ID", DAYS[2], 2, None, strict=False)
+    assert "merge_data_1/" in jobs.itemcf_merge(spark, base, "ID", DAYS[2], 1, None)
+    with pytest.raises(FileNotFoundError):
+        jobs.itemcf_join_group(spark, base, "ID")
