@@ -27,7 +27,9 @@ def cp_daily(spark, sf):
 
 
 def cp_merged(spark, sf):
-    return itemcf.merge_counts(cp_daily(spark, sf), whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE))
+    # only recommendable clicks are paired
+    wl = T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE)
+    return itemcf.merge_counts(itemcf.daily_cooccurrence(T.copurchase(spark, sf), whitelist=wl))
 
 
 def cp_scores(spark, sf):
@@ -42,6 +44,18 @@ def itemcf_daily(spark, sf):
     return cp_daily(spark, sf).select("vi", "vj", _r("weight"))
 
 
+def itemcf_capped(spark, sf):
+    """CF1 where the caps bind: 20 clicks a user, a window of 3."""
+    d = itemcf.daily_cooccurrence(T.copurchase(spark, sf), max_user_items=20, window_size=3, item_bucket=64)
+    return d.select("vi", "vj", _r("weight"))
+
+
+def itemcf_short_lists(spark, sf):
+    """CF4 where the list rules bind: 10 neighbours, 5 kept whatever the score, floor 0.2, clamp 0.3."""
+    lists = itemcf.neighbour_lists(cp_scores(spark, sf), k1=1000, k2=10, min_keep=5, floor=0.2, clamp_at=0.3)
+    return lists.select("item", "rank", "nbr", _r("score"))
+
+
 def itemcf_merged(spark, sf):
     daily = itemcf.daily_cooccurrence(T.event_clicks(spark, sf), day_col="day")
     return itemcf.merge_counts(daily, whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE),
@@ -86,6 +100,27 @@ def swing_u2u(spark, sf):
     return swing.user_pair_counts(cp_ui(spark, sf))
 
 
+def swing_u2u_rare_items(spark, sf):
+    """SW3 where the item-size bound binds: items of at most 25 users."""
+    return swing.user_pair_counts(cp_ui(spark, sf), max_users=25)
+
+
+def cp_swing_lines(spark, sf):
+    lists = swing.swing_lists(cp_swing(spark, sf)).withColumn("swing_score", F.round("swing_score", 6))
+    return swing.swing_text(lists, fmt="%d:%.6f")
+
+
+def swing_lines(spark, sf):
+    """The Swing list text."""
+    return cp_swing_lines(spark, sf)
+
+
+def swing_lines_parsed(spark, sf):
+    """SC8: list text read back to rows."""
+    from coclick.sources.text import parse_score_lists
+    return parse_score_lists(cp_swing_lines(spark, sf), "line").select("key", "item", _r("score"))
+
+
 def swing_i2i_users(spark, sf):
     return swing.item_pair_users(cp_ui(spark, sf))
 
@@ -150,6 +185,13 @@ def graph_adjacency(spark, sf):
     return g_adj(spark, sf).select("va", "idx", "vb", "w", "deg")
 
 
+def graph_adjacency_blocks(spark, sf):
+    """GR3 with 4 ids per numbered range: the same order by vb."""
+    merged = graph.merge_edges(g_daily(spark, sf), whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE),
+                               day_col="day", day=P.DAY, n_days=P.MERGE_DAYS)
+    return graph.adjacency(merged, edge_thre=P.EDGE_THRE, block=4).select("va", "idx", "vb", "w", "deg")
+
+
 def graph_hop1(spark, sf):
     ctx = graph.label_contexts(g_labels(spark, sf))
     return graph.hop1_samples(ctx, g_adj(spark, sf), P.HOP1, P.SEED)
@@ -162,8 +204,18 @@ def graph_hop2(spark, sf):
         .select("tag", "va", "vb", "pos", "pos2", "hop2")
 
 
+def g_shared(spark, sf):
+    """(label edges, adjacency): daily edges and adjacency are built once and kept for their several uses."""
+    daily = g_daily(spark, sf).persist()
+    merged = graph.merge_edges(daily, whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE),
+                               day_col="day", day=P.DAY, n_days=P.MERGE_DAYS)
+    labels = daily.where(F.col("day") == F.lit(P.DAY).cast("date")).select("va", "vb", "w")
+    return labels, graph.adjacency(merged, edge_thre=P.EDGE_THRE).persist()
+
+
 def graph_training_rows(spark, sf):
-    return graph.training_rows(g_labels(spark, sf), g_adj(spark, sf), k1=P.HOP1, k2=P.HOP2, seed=P.SEED)
+    labels, adj = g_shared(spark, sf)
+    return graph.training_rows(labels, adj, k1=P.HOP1, k2=P.HOP2, seed=P.SEED)
 
 
 # ------------------------------------------------------ user-CF / eval ---
@@ -177,7 +229,28 @@ def uc_sim(spark, sf):
 
 
 def uc_recs(spark, sf):
-    return usercf.user_cf_recommend(uc_sim(spark, sf), uc_hist(spark, sf))
+    return usercf.recommend_from_histories(uc_hist(spark, sf))
+
+
+def usercf_short(spark, sf):
+    """UC1-UC3 where the caps bind: 5 clicks of history, 10 items a list."""
+    ev = T.event_clicks(spark, sf).where(C.local_days_ts_filter("ts", P.PRED_DAY, P.MERGE_DAYS, P.TZ))
+    hist = usercf.user_histories(ev, whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE), cap=5)
+    return usercf.recommend_from_histories(hist, cap=10).select("user", "rank", "item", _r("value"))
+
+
+def click_log(spark, sf):
+    """SRC1/SRC2/SRC5: the raw click-log scan over ``events`` in the log's schema: payload, region, placement, local day."""
+    ev = T.table(spark, sf, "events")
+    raw = ev.select(
+        F.col("user_id").alias("userid"), F.col("event_id").alias("event_timestamp"), F.col("event_type").alias("operation"),
+        F.lit("item").alias("target_type"), F.lit("home").alias("page_type"), F.col("props").alias("data"),
+        F.when(F.col("event_id") % 2 == 0, F.array(F.lit("daily"), F.lit("x"))).otherwise(F.array(F.lit("x"), F.lit("daily")))
+        .alias("page_section"),
+        F.when(F.col("user_id") % 3 == 1, "ID").otherwise("SG").alias("region"),
+        F.to_date("ts").alias("utc_date"), F.hour("ts").alias("hour"))
+    return C.read_clicks(raw, region="ID", day=P.LABEL_DAY, tz_hours=P.TZ, placement=("home", "daily"), session_col=None,
+                         item_path="$.k")
 
 
 def usercf_history(spark, sf):
@@ -232,6 +305,16 @@ def group_quota(spark, sf):
     return capped.select("item", "rank", "nbr", _r("score"))
 
 
+def group_quota_low32(spark, sf):
+    """WN9 / SC9: ids whose low 32 bits are the shop; 2 per shop, 10 in all."""
+    sym = itemcf.symmetric_pairs(cp_scores(spark, sf))
+    shops = T.part_shops(spark, sf).select(F.col("item_id").alias("nbr"), "shop_id")
+    wide = sym.join(shops, "nbr").withColumn("nbr", F.shiftleft("nbr", 32).bitwiseOR(F.col("shop_id")))
+    capped = topk.cap_per_group(wide, ["item"], F.col("nbr").bitwiseAND(F.lit(0xFFFFFFFF)),
+                                [topk.rank_key("score"), "nbr"], per_group=2, total=10)
+    return capped.select("item", "rank", "nbr", _r("score"))
+
+
 # ------------------------------------------------------------- vectors ---
 def ev_sentences(spark, sf):
     return vectors.session_sentences(T.event_clicks(spark, sf), ["user", "day"], tiebreak="eid")
@@ -251,7 +334,8 @@ def _knn(space):
 
 def knn_approx(spark, sf):
     e = T.embeddings(spark, sf)
-    return vectors.knn_approx(e, e, P.KNN_K, "cosine").select("qid", "rank", "cid", _r("dist"))
+    return vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=16, n_probe=4, seed=P.SEED) \
+        .select("qid", "rank", "cid", _r("dist"))
 
 
 def knn_ivf_all_lists(spark, sf):
@@ -276,7 +360,8 @@ def knn_recall_seeded(spark, sf):
 
 def knn_recall(spark, sf):
     e = T.embeddings(spark, sf)
-    return vectors.recall_at_k(vectors.knn_approx(e, e, P.KNN_K, "cosine"), vectors.knn_exact(e, e, P.KNN_K, "cosine"))
+    approx = vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=16, n_probe=4, seed=P.SEED)
+    return vectors.recall_at_k(approx, vectors.knn_exact(e, e, P.KNN_K, "cosine")).select(_r("recall"), "queries")
 
 
 def item2vec(spark, sf):
@@ -284,6 +369,12 @@ def item2vec(spark, sf):
     return vectors.model_vectors(model)
 
 
+def item2vec_facts(spark, sf):
+    """VEC1 by what can be checked: vocabulary, dimension, finite vectors."""
+    return item2vec(spark, sf).select("id", F.size("vec").cast("bigint").alias("dim"), F.forall(
+        "vec", lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))).alias("finite"))
+
+
 def similar_items(spark, sf):
     model = vectors.item2vec_fit(ev_sentences(spark, sf))
     return vectors.similar_items(model, k=5).select("qid", "rank", "cid", _r("dist"))
@@ -314,7 +405,8 @@ GNN_SEED = 0
 
 def gnn_embeddings(spark, sf):
     """NN1 on the graph samples with the embeddings as node vectors; one row per output dimension."""
-    samples = graph.two_hop_samples(g_labels(spark, sf), g_adj(spark, sf), k1=P.HOP1, k2=P.HOP2, seed=P.SEED)
+    labels, adj = g_shared(spark, sf)
+    samples = graph.two_hop_samples(labels, adj, k1=P.HOP1, k2=P.HOP2, seed=P.SEED)
     W = gnn.init_weights(*GNN_DIMS, seed=GNN_SEED)
     emb = gnn.neighbour_max_pool(samples, T.embeddings(spark, sf), W, P.HOP1, P.HOP2, out_type="double")
     return emb.select("tag", "va", "vb", F.posexplode("emb").alias("dim", "value")) \
@@ -358,8 +450,11 @@ QUERIES: dict[str, Query] = {
     "itemcf_scores": itemcf_scores,
     "itemcf_topk": itemcf_topk,
     "itemcf_lines": itemcf_lines,
+    "itemcf_capped": itemcf_capped,
+    "itemcf_short_lists": itemcf_short_lists,
     "swing_user_weight": swing_user_weight,
     "swing_u2u": swing_u2u,
+    "swing_u2u_rare_items": swing_u2u_rare_items,
     "swing_i2i_users": swing_i2i_users,
     "swing_paths": swing_paths,
     "swing_scores": swing_scores,
@@ -367,10 +462,13 @@ QUERIES: dict[str, Query] = {
     "swing_topk": swing_topk,
     "swing_reweighted": swing_reweighted,
     "swing_cases": swing_cases,
+    "swing_lines": swing_lines,
+    "swing_lines_parsed": swing_lines_parsed,
     "list_length_profile": list_length_profile,
     "graph_session_edges": graph_session_edges,
     "graph_merged": graph_merged,
     "graph_adjacency": graph_adjacency,
+    "graph_adjacency_blocks": graph_adjacency_blocks,
     "graph_hop1": graph_hop1,
     "graph_hop2": graph_hop2,
     "graph_training_rows": graph_training_rows,
@@ -378,12 +476,15 @@ QUERIES: dict[str, Query] = {
     "usercf_similarity": usercf_similarity,
     "usercf_recommend": usercf_recommend,
     "usercf_lines": usercf_lines,
+    "usercf_short": usercf_short,
     "usercf_history_lines": usercf_history_lines,
     "eval_hit_ratio": eval_hit_ratio,
     "item_ids": item_ids,
     "local_day": local_day,
+    "click_log": click_log,
     "latest_partition": latest_partition,
     "group_quota": group_quota,
+    "group_quota_low32": group_quota_low32,
     "sentences": sentences,
     "knn_cosine": _knn("cosine"),
     "knn_l2": _knn("l2"),
@@ -394,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "knn_recall_seeded": knn_recall_seeded,
     "knn_recall": knn_recall,
     "item2vec": item2vec,
+    "item2vec_facts": item2vec_facts,
     "similar_items": similar_items,
     "inbatch_loss": inbatch_loss,
     "inbatch_metrics": inbatch_metrics,

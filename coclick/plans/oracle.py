@@ -27,39 +27,38 @@ ev_ok AS (SELECT * FROM ev WHERE item <> 0)"""
 WL = f"""wl AS (SELECT DISTINCT p_partkey AS item FROM part WHERE p_size <= {P.WHITELIST_MAX_SIZE})"""
 
 
-def cf_daily(src: str, keys: str, name: str = "daily") -> str:
+def cf_daily(src: str, keys: str, name: str = "daily", cap: int = 100000, window: int = 10000) -> str:
     """CTEs for CF1 over relation ``src(u, item, ts[, day])`` grouped by ``keys``."""
     dk = keys.replace("u", "").strip(", ")
     dsel = f"{dk}, " if dk else ""
-    return f"""{name}_c AS (SELECT {keys}, item, ts, 1.0::DOUBLE AS w FROM {src} WHERE item IS NOT NULL AND item <> 0),
+    return f"""{name}_c AS (SELECT {keys}, item, ts, 1.0::DOUBLE AS w FROM {src} WHERE item IS NOT NULL),
 {name}_cap AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY w DESC, item, ts) AS r
-               FROM {name}_c) WHERE r <= 100000),
+               FROM {name}_c) WHERE r <= {cap}),
 {name}_sz AS (SELECT *, count(*) OVER (PARTITION BY {keys}) AS n FROM {name}_cap),
 {name}_rk AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY ts, item) AS pos FROM {name}_sz WHERE n >= 2),
-{name}_pairs AS (
-  SELECT {''.join(f'a.{k.strip()}, ' for k in dk.split(',') if k.strip())}least(a.item, b.item) AS vi, greatest(a.item, b.item) AS vj, sum(a.w * b.w) AS weight
-  FROM {name}_rk a JOIN {name}_rk b ON {' AND '.join(f'a.{k.strip()} = b.{k.strip()}' for k in keys.split(','))}
-       AND b.pos > a.pos AND b.pos <= a.pos + 10000
-  WHERE a.item <> b.item GROUP BY ALL),
 {name} AS (
-  SELECT {dsel}vi, vj, weight FROM {name}_pairs
-  UNION ALL
-  SELECT {dsel}item AS vi, CAST(0 AS BIGINT) AS vj, sum(w * w) AS weight FROM {name}_rk GROUP BY ALL)"""
+  SELECT {dsel}vi, vj, sum(w) AS weight FROM (
+    SELECT {''.join(f'a.{k.strip()}, ' for k in dk.split(',') if k.strip())}least(a.item, b.item) AS vi, greatest(a.item, b.item) AS vj, a.w * b.w AS w
+    FROM {name}_rk a JOIN {name}_rk b ON {' AND '.join(f'a.{k.strip()} = b.{k.strip()}' for k in keys.split(','))}
+         AND b.pos BETWEEN a.pos AND a.pos + {window}
+    WHERE (a.item = b.item) = (a.pos = b.pos))
+  GROUP BY ALL)"""
 
 
 def cf_merged(daily: str, name: str = "merged", min_weight: float = 3, day_filter: str = "TRUE") -> str:
     return f"""{name} AS (
   SELECT vi AS va, vj AS vb, sum(weight) AS weight FROM {daily}
-  WHERE {day_filter} AND vi IN (SELECT item FROM wl) AND (vj = 0 OR vj IN (SELECT item FROM wl))
+  WHERE {day_filter} AND vi IN (SELECT item FROM wl) AND vj IN (SELECT item FROM wl)
   GROUP BY vi, vj HAVING sum(weight) >= {min_weight})"""
 
 
-CF_SCORES = """scores AS (
-  SELECT t1.va, t1.vb, t1.weight, t2.weight AS weight_a, t3.weight AS weight_b,
-         t1.weight / sqrt(t2.weight) / sqrt(t3.weight) AS score
-  FROM merged t1 JOIN merged t2 ON t1.va = t2.va AND t2.vb = 0
-                 JOIN merged t3 ON t1.vb = t3.va AND t3.vb = 0
-  WHERE t1.vb <> 0)"""
+# cosine = co-count over the geometric mean of the two diagonal counts
+CF_SCORES = """diagonal AS (SELECT map_from_entries(list((va, weight))) AS own FROM merged WHERE va = vb),
+scores AS (
+  SELECT m.va, m.vb, m.weight, d.own[m.va] AS weight_a, d.own[m.vb] AS weight_b,
+         m.weight / sqrt(d.own[m.va] * d.own[m.vb]) AS score
+  FROM merged m, diagonal d
+  WHERE m.va < m.vb AND map_contains(d.own, m.va) AND map_contains(d.own, m.vb))"""
 
 CF_LISTS = """sym AS (
   SELECT va AS item, vb AS nbr, score, weight, weight_a, weight_b FROM scores
@@ -67,7 +66,9 @@ CF_LISTS = """sym AS (
   SELECT vb AS item, va AS nbr, score, weight, weight_b AS weight_a, weight_a AS weight_b FROM scores),
 rk AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY round(score, 9) DESC, nbr) AS rank FROM sym),
 lists AS (SELECT item, CAST(rank AS BIGINT) AS rank, nbr, least(score, 1.0) AS score, weight, weight_a, weight_b
-          FROM rk WHERE rank <= 200 AND (rank <= 50 OR least(score, 1.0) > 0.001))"""
+          FROM rk WHERE rank <= 200 AND (rank <= 50 OR least(score, 1.0) > 0.001)),
+lists_short AS (SELECT item, CAST(rank AS BIGINT) AS rank, nbr, least(score, 0.3) AS score
+          FROM rk WHERE rank <= 10 AND (rank <= 5 OR least(score, 0.3) > 0.2))"""
 
 CP_CHAIN = ",\n".join([CP, WL, cf_daily("cp", "u"), cf_merged("daily")])
 
@@ -81,32 +82,38 @@ u2u AS (SELECT a.u AS ui, b.u AS uj, CAST(count(*) AS BIGINT) AS weight
 i2iu AS (SELECT a.item AS itemi, b.item AS itemj, a.u AS u FROM ui a JOIN ui b ON a.u = b.u AND a.item < b.item),
 paths AS (SELECT a.itemi, a.itemj, a.u AS ui, b.u AS uj
           FROM i2iu a JOIN i2iu b ON a.itemi = b.itemi AND a.itemj = b.itemj AND a.u < b.u),
-pw AS (SELECT * FROM paths WHERE itemi IN (SELECT item FROM wl) AND itemj IN (SELECT item FROM wl)),
-uu AS (SELECT a.ui, a.uj, b.weight AS uiw, c.weight AS ujw, a.weight AS weight
-       FROM u2u a JOIN uw b ON a.ui = b.u JOIN uw c ON a.uj = c.u),
-s1 AS (SELECT a.itemi, a.itemj, sum(uiw * ujw * 1 / (1 + b.weight)) AS swing_score
-       FROM pw a JOIN uu b ON a.ui = b.ui AND a.uj = b.uj GROUP BY 1, 2),
-swing AS (SELECT itemi, itemj, swing_score FROM s1 UNION SELECT itemj AS itemi, itemi AS itemj, swing_score FROM s1),
+-- Swing of an item pair: over user pairs that share both items, 1 / sqrt(|I_u| |I_v|) / (1 + shared items)
+basket AS (SELECT u, count(*) AS n, list(item) FILTER (WHERE item IN (SELECT item FROM isz)) AS shared FROM ui GROUP BY u),
+buyers AS (SELECT itemi, itemj, list(u) AS users FROM i2iu
+           WHERE itemi IN (SELECT item FROM wl) AND itemj IN (SELECT item FROM wl)
+           GROUP BY itemi, itemj HAVING count(*) > 1),
+pairing AS (SELECT itemi, itemj, x.u AS u, unnest(list_filter(users, lambda y: y > x.u)) AS v
+            FROM buyers, unnest(users) AS x(u)),
+overlap AS (SELECT p.u, p.v, len(list_intersect(x.shared, y.shared)) AS together,
+                   (1.0 / sqrt(x.n)) * (1.0 / sqrt(y.n)) AS closeness
+            FROM (SELECT DISTINCT u, v FROM pairing) p JOIN basket x ON x.u = p.u JOIN basket y ON y.u = p.v),
+half AS (SELECT itemi, itemj, sum(closeness / (1 + together)) AS s
+         FROM pairing p JOIN overlap o ON o.u = p.u AND o.v = p.v WHERE together > 0 GROUP BY itemi, itemj),
+swing AS (SELECT unnest([itemi, itemj]) AS itemi, unnest([itemj, itemi]) AS itemj, s AS swing_score FROM half),
 swing_top AS (SELECT * FROM (SELECT itemi, CAST(row_number() OVER (PARTITION BY itemi ORDER BY round(swing_score, 9) DESC, itemj) AS BIGINT) AS rank,
               itemj, swing_score FROM swing) WHERE rank <= 200)"""
 
 SWING_DAILY = """evl AS (SELECT CAST(ts AS DATE) AS day, user_id AS u, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS item
         FROM events WHERE event_type = 'click' AND user_id > 0),
 dui AS (SELECT DISTINCT day, u, item FROM evl WHERE item IS NOT NULL),
-duw AS (SELECT u, 1.0 / sqrt(count(DISTINCT item)) AS weight FROM dui GROUP BY u),
-disz AS (SELECT day, item FROM dui GROUP BY day, item HAVING count(*) BETWEEN 2 AND 1000),
-du2u AS (SELECT a.u AS ui, b.u AS uj, CAST(count(*) AS BIGINT) AS weight
-         FROM dui a JOIN dui b ON a.day = b.day AND a.item = b.item AND a.u < b.u
-         WHERE (a.day, a.item) IN (SELECT (day, item) FROM disz) GROUP BY 1, 2),
-di2iu AS (SELECT DISTINCT a.item AS itemi, b.item AS itemj, a.u AS u
-          FROM dui a JOIN dui b ON a.day = b.day AND a.u = b.u AND a.item < b.item),
-dpaths AS (SELECT a.itemi, a.itemj, a.u AS ui, b.u AS uj
-           FROM di2iu a JOIN di2iu b ON a.itemi = b.itemi AND a.itemj = b.itemj AND a.u < b.u
-           WHERE a.itemi IN (SELECT item FROM wl) AND a.itemj IN (SELECT item FROM wl)),
-ds1 AS (SELECT p.itemi, p.itemj, sum(w1.weight * w2.weight * 1 / (1 + c.weight)) AS swing_score
-        FROM dpaths p JOIN du2u c ON p.ui = c.ui AND p.uj = c.uj
-        JOIN duw w1 ON p.ui = w1.u JOIN duw w2 ON p.uj = w2.u GROUP BY 1, 2),
-dswing AS (SELECT itemi, itemj, swing_score FROM ds1 UNION ALL SELECT itemj, itemi, swing_score FROM ds1)"""
+counted AS (SELECT day, item FROM dui GROUP BY day, item HAVING count(*) BETWEEN 2 AND 1000),
+dbasket AS (SELECT u, count(DISTINCT item) AS n,
+                   list((day, item)) FILTER (WHERE (day, item) IN (SELECT (day, item) FROM counted)) AS shared
+            FROM dui GROUP BY u),
+dbuyers AS (SELECT a.item AS itemi, b.item AS itemj, list(DISTINCT a.u) AS users
+            FROM dui a JOIN dui b ON a.day = b.day AND a.u = b.u AND a.item < b.item
+            WHERE a.item IN (SELECT item FROM wl) AND b.item IN (SELECT item FROM wl) GROUP BY 1, 2),
+dpairing AS (SELECT itemi, itemj, x.u AS u, unnest(list_filter(users, lambda y: y > x.u)) AS v
+             FROM dbuyers, unnest(users) AS x(u)),
+dhalf AS (SELECT itemi, itemj, sum((1.0 / sqrt(x.n)) * (1.0 / sqrt(y.n)) / (1 + len(list_intersect(x.shared, y.shared)))) AS s
+          FROM dpairing p JOIN dbasket x ON x.u = p.u JOIN dbasket y ON y.u = p.v
+          WHERE len(list_intersect(x.shared, y.shared)) > 0 GROUP BY itemi, itemj),
+dswing AS (SELECT unnest([itemi, itemj]) AS itemi, unnest([itemj, itemi]) AS itemj, s AS swing_score FROM dhalf)"""
 
 FEAT = """feat AS (
   SELECT p_partkey AS itemid, p_retailprice / 4000.0 AS ctcvr30, 'ID' AS country, '2024-01-29' AS dt FROM part
@@ -184,6 +191,28 @@ quota AS (SELECT * FROM (SELECT item, CAST(row_number() OVER (PARTITION BY item
           FROM q1) WHERE rank <= 500)"""
 
 
+# user-CF with short histories and lists
+USERCF_SHORT = """sh AS (SELECT * FROM (SELECT u, item, row_number() OVER (PARTITION BY u ORDER BY ts DESC, item) AS rank
+         FROM hist_src) WHERE rank <= 5),
+si AS (SELECT u, list(DISTINCT item) AS items FROM sh GROUP BY u),
+sl AS (SELECT a.u AS u, b.u AS v, len(list_intersect(a.items, b.items)) / sqrt(len(a.items) * len(b.items)) AS like_
+       FROM si a JOIN si b ON a.u <> b.u AND list_has_any(a.items, b.items)),
+sv AS (SELECT l.u, h.item, sum(l.like_) AS value FROM sl l JOIN sh h ON h.u = l.v GROUP BY l.u, h.item),
+srec AS (SELECT * FROM (SELECT u, CAST(row_number() OVER (PARTITION BY u ORDER BY round(value, 9) DESC, CAST(item AS VARCHAR)) AS BIGINT) AS rank,
+         item, value FROM sv) WHERE rank <= 10)"""
+
+QUOTA_LOW32 = """low AS (SELECT va AS item, (vb << 32) | shop_id AS nbr, score FROM (
+            SELECT va, vb, score FROM scores UNION ALL SELECT vb, va, score FROM scores)
+          JOIN (SELECT p_partkey AS vb, CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) AS shop_id FROM part) USING (vb)),
+low1 AS (SELECT *, row_number() OVER (PARTITION BY item, nbr & 4294967295 ORDER BY round(score, 9) DESC, nbr) AS gr FROM low),
+low2 AS (SELECT item, CAST(row_number() OVER (PARTITION BY item ORDER BY round(score, 9) DESC, nbr) AS BIGINT) AS rank, nbr, score
+         FROM low1 WHERE gr <= 2)"""
+
+CLICK_LOG = f"""log AS (SELECT user_id AS u, {STRICT_K} AS item, event_id AS ts, event_type, ts AS utc, props FROM events),
+picked AS (SELECT u, item, ts FROM log
+           WHERE u > 0 AND length(props) > 0 AND event_type = 'click' AND u % 3 = 1 AND ts % 2 = 0
+             AND CAST(utc + INTERVAL {P.TZ} HOUR AS DATE) = DATE '{P.LABEL_DAY}' AND item <> 0)"""
+
 SENT = """sent_rk AS (SELECT u, day, item, row_number() OVER (PARTITION BY u, day ORDER BY ts, eid) AS pos FROM ev_ok),
 sent AS (SELECT u, day, CAST((pos - 1) // 1000 AS BIGINT) AS chunk,
                 string_agg(CAST(item AS VARCHAR), ' ' ORDER BY pos) AS sentence FROM sent_rk GROUP BY ALL)"""
@@ -398,7 +427,16 @@ def sql() -> dict[str, str]:
                            "SELECT item, CAST(item AS VARCHAR) || chr(9) || "
                            "string_agg(printf('%d:%.6f', nbr, round(score, 6)), ';' ORDER BY rank) AS line "
                            "FROM lists GROUP BY item")
+    q["itemcf_capped"] = _q(",\n".join([CP, cf_daily("cp", "u", cap=20, window=3)]),
+                            "SELECT vi, vj, round(weight, 6) AS weight FROM daily")
+    q["itemcf_short_lists"] = _q(",\n".join([CP_CHAIN, CF_SCORES, CF_LISTS]),
+                                 "SELECT item, rank, nbr, round(score, 6) AS score FROM lists_short")
     sw = ",\n".join([CP, WL, SWING])
+    q["swing_u2u_rare_items"] = _q(sw.replace("BETWEEN 2 AND 1000", "BETWEEN 2 AND 25"), "SELECT ui, uj, weight FROM u2u")
+    q["swing_lines"] = _q(sw, "SELECT itemi, CAST(itemi AS VARCHAR) || chr(9) || "
+                              "string_agg(printf('%d:%.6f', itemj, round(swing_score, 6)), ';' ORDER BY rank) AS line "
+                              "FROM swing_top GROUP BY itemi")
+    q["swing_lines_parsed"] = _q(sw, "SELECT itemi AS key, itemj AS item, round(swing_score, 6) AS score FROM swing_top")
     q["swing_daily_scores"] = _q(",\n".join([WL, SWING_DAILY]),
                                  "SELECT itemi, itemj, round(swing_score, 6) AS swing_score FROM dswing")
     q["swing_user_weight"] = _q(sw, "SELECT u AS user, round(weight, 6) AS weight FROM uw")
@@ -438,6 +476,8 @@ def sql() -> dict[str, str]:
                                "AS line FROM recs GROUP BY u")
     q["usercf_history_lines"] = _q(uc, "SELECT u AS user, string_agg(CAST(item AS VARCHAR) || ':' || CAST(1.0 AS VARCHAR), ',' "
                                        "ORDER BY rank) AS itemlist FROM hist GROUP BY u")
+    q["usercf_short"] = _q(uc + ",\n" + USERCF_SHORT, "SELECT u AS user, rank, item, round(value, 6) AS value FROM srec")
+    q["click_log"] = _q(CLICK_LOG, "SELECT u AS user, item, ts FROM picked")
     q["item_ids"] = ("SELECT event_id, " + STRICT_K + " AS item_strict, "
                      "TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_cast FROM events")
     q["eval_hit_ratio"] = _q(uc, "SELECT u AS user, round(score, 6) AS score FROM hr")
@@ -445,6 +485,12 @@ def sql() -> dict[str, str]:
     q["latest_partition"] = _q(FEAT.split(",\nrw AS")[0], "SELECT itemid, round(ctcvr30, 6) AS ctcvr30, dt FROM feat "
                                "WHERE country = 'ID' AND dt = (SELECT max(dt) FROM feat WHERE country = 'ID')")
     q["group_quota"] = _q(",\n".join([CP_CHAIN, CF_SCORES, QUOTA]), "SELECT item, rank, nbr, round(score, 6) AS score FROM quota")
+    q["group_quota_low32"] = _q(",\n".join([CP_CHAIN, CF_SCORES, QUOTA_LOW32]),
+                                "SELECT item, rank, nbr, round(score, 6) AS score FROM low2 WHERE rank <= 10")
+    q["graph_adjacency_blocks"] = q["graph_adjacency"]
+    q["item2vec_facts"] = _q(",\n".join([EV, SENT]),
+                             "SELECT item AS id, CAST(32 AS BIGINT) AS dim, true AS finite FROM sent_rk "
+                             "GROUP BY item HAVING count(*) >= 5")
     q["sentences"] = _q(",\n".join([EV, SENT]), "SELECT u AS user, CAST(day AS VARCHAR) AS day, chunk, sentence FROM sent")
     for sp in ("cosine", "l2", "ip"):
         q[f"knn_{sp}"] = _q(knn_sql(sp, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
@@ -455,6 +501,12 @@ def sql() -> dict[str, str]:
         "SELECT round(avg(r), 6) + 0.0 AS recall, CAST(count(*) AS BIGINT) AS queries FROM ("
         "SELECT e.qid, count(a.cid) / count(*) AS r FROM exact e LEFT JOIN knn a ON a.qid = e.qid AND a.cid = e.cid "
         "GROUP BY e.qid)")
+    q["knn_approx"] = _q(ivf_seeded_sql(16, 4, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
+    q["knn_recall"] = _q(
+        ivf_seeded_sql(16, 4, P.KNN_K) + ",\n" + knn_sql("cosine", P.KNN_K, "exact", with_emb=False),
+        "SELECT round(avg(r), 6) + 0.0 AS recall, CAST(count(*) AS BIGINT) AS queries FROM ("
+        "SELECT e.qid, count(a.cid) / count(*) AS r FROM exact e LEFT JOIN knn a ON a.qid = e.qid AND a.cid = e.cid "
+        "GROUP BY e.qid)")
     q["inbatch_loss"] = _q(INBATCH, "SELECT batch, i AS pos, round(-ln(p_pos + 1e-8) * 1.0, 6) + 0.0 AS loss, "
                                     "round(p_pos, 6) + 0.0 AS p_pos FROM lossr")
     q["inbatch_metrics"] = _q(INBATCH, "SELECT batch, n, round(pos_cos, 6) + 0.0 AS pos_cos, round(neg_cos, 6) + 0.0 AS neg_cos, "

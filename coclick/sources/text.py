@@ -28,3 +28,13 @@ def read_vectors(spark: SparkSession, path: str, id_col: str | None = None,
     id_col = id_col or df.columns[0]
     vec_col = vec_col or df.columns[1]
     return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<float>").alias("vec"))
+
+
+def parse_score_lists(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """SC8: ``key<TAB>id:score;id:score`` lines -> rows (key, pos, item, score)."""
+    parts = F.split(F.col(line_col), "\t")
+    rows = lines.select(parts.getItem(0).cast("bigint").alias("key"),
+                        F.posexplode(F.split(parts.getItem(1), ";")).alias("pos", "entry"))
+    entry = F.split("entry", ":")
+    return rows.select("key", (F.col("pos") + 1).cast("bigint").alias("pos"), entry.getItem(0).cast("bigint").alias("item"),
+                       entry.getItem(1).cast("double").alias("score"))
