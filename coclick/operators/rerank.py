@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from coclick.session import ship_package
 from coclick.operators.topk import RANK_DIGITS
 
+SLICE_CELLS = 8_000_000   # numbers in the padded candidate tensor of one slice
 LAMBDA = 0.5
 TOP_N = 20
 
@@ -73,12 +74,11 @@ def mmr_batch(items: list, scores: list, vecs: list, lam: float, top_n: int | No
         order = np.lexsort((it, -np.round(sc, RANK_DIGITS)))
         n = len(it)
         S[b, :n], ids[b, :n], valid[b, :n] = sc[order], it[order], True
-        for j, o in enumerate(order):
-            v = vecs[b][o]
-            if v is not None:
-                v = np.asarray(v, dtype=np.float64)
-                nv = np.linalg.norm(v)
-                U[b, j] = v / nv if nv > 0 else 0.0
+        known = np.array([vecs[b][o] is not None for o in order], dtype=bool)
+        if known.any():
+            v = np.array([vecs[b][o] for o in order[known]], dtype=np.float64)
+            norm = np.linalg.norm(v, axis=1, keepdims=True)
+            U[b, np.flatnonzero(known)] = np.divide(v, norm, out=np.zeros_like(v), where=norm > 0)
     steps = n_max if top_n is None else min(top_n, n_max)
     max_sim = np.zeros((B, n_max))
     remaining = valid.copy()
@@ -123,8 +123,13 @@ def mmr_rerank(candidates: DataFrame, vectors: DataFrame, lam: float = LAMBDA, t
 
     @F.pandas_udf(out_t)
     def rerank_lists(items: pd.Series, scores: pd.Series, vecs: pd.Series) -> pd.DataFrame:
-        res = mmr_batch([list(x) for x in items], [list(x) for x in scores],
-                        [[None if v is None else list(v) for v in x] for x in vecs], lam, top_n)
+        # bounded slices: the padded tensor of a slice takes about SLICE_CELLS numbers (or one list)
+        longest = max((len(x) for x in items), default=0)
+        dim = next((len(v) for x in vecs for v in x if v is not None), 1)
+        step = max(1, SLICE_CELLS // max(1, longest * dim))
+        res = [r for at in range(0, len(items), step)
+               for r in mmr_batch(items[at:at + step].tolist(), scores[at:at + step].tolist(),
+                                  vecs[at:at + step].tolist(), lam, top_n)]
         return pd.DataFrame({"items": [r[0] for r in res], "scores": [r[1] for r in res], "mmrs": [r[2] for r in res]})
 
     ship_package(lists.sparkSession)
