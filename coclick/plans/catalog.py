@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from coclick.operators import gnn, graph, itemcf, lookup, rerank, swing, topk, usercf, vectors
@@ -413,6 +413,23 @@ def gnn_embeddings(spark, sf):
         .select("tag", "va", "vb", F.col("dim").cast("bigint").alias("dim"), _r("value"))
 
 
+def gnn_two_tower_loss(spark, sf):
+    """NN1 on both sides of every label edge, NN2 over the pairs of one centre as a batch."""
+    labels, adj = g_shared(spark, sf)
+    W = gnn.init_weights(*GNN_DIMS, seed=GNN_SEED)
+    vec = T.embeddings(spark, sf)
+
+    def tower(centre, other):
+        s = graph.two_hop_samples(labels, adj, centre=centre, other=other, k1=P.HOP1, k2=P.HOP2, seed=P.SEED)
+        return gnn.neighbour_max_pool(s, vec, W, P.HOP1, P.HOP2, out_type="double")
+
+    b = tower("vb", "va").select("tag", F.col("va").alias("vb"), F.col("vb").alias("va"), F.col("emb").alias("b"))
+    pairs = tower("va", "vb").withColumnRenamed("emb", "a").join(b, ["tag", "va", "vb"])
+    pos = F.row_number().over(Window.partitionBy("va").orderBy("tag", "vb")) - 1
+    pairs = pairs.select(F.col("va").alias("batch"), pos.cast("bigint").alias("pos"), "a", "b")
+    return gnn.inbatch_softmax_loss(pairs).select("batch", "pos", _r("loss"), _r("p_pos"))
+
+
 # ------------------------------------------------------ MMR / dictionary ---
 def mmr_candidates(spark, sf):
     """Per embedding: its MMR_K nearest other embeddings, score = cosine similarity."""
@@ -500,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "inbatch_loss": inbatch_loss,
     "inbatch_metrics": inbatch_metrics,
     "gnn_embeddings": gnn_embeddings,
+    "gnn_two_tower_loss": gnn_two_tower_loss,
     "mmr_top2": mmr_top2,
     "mmr_rerank": mmr_rerank,
     "mmr_sim_table": mmr_sim_table,

@@ -8,6 +8,8 @@ BIGINT on both sides.
 
 from __future__ import annotations
 
+import re
+
 from coclick.plans import params as P
 
 # ---------------------------------------------------------------- inputs ---
@@ -398,6 +400,26 @@ gout AS (SELECT a.tag, a.va, a.vb, a.k, a.s + COALESCE(n.s, 0.0) AS o
 gnorm AS (SELECT tag, va, vb, sqrt(sum(o * o)) AS n FROM gout GROUP BY ALL)"""
 
 
+def two_tower_sql() -> str:
+    """Both towers, then the softmax loss over the pairs that share a centre."""
+    shared, own = gnn_sql().split("\ng2 AS", 1)
+    names = "g2 pool2 h1s h1n out2 g1 pool1 cs cn gout gnorm".split()
+    other = re.sub(rf"\b({'|'.join(names)})\b", r"\1_b", "g2 AS" + own).replace("sa_", "sb_")
+    return f"""{shared}
+g2 AS{own},
+{other},
+ta AS (SELECT o.tag, o.va, o.vb, o.k, o.o / greatest(n.n, 1e-12) AS x FROM gout o JOIN gnorm n USING (tag, va, vb)),
+tb AS (SELECT o.tag, o.vb AS va, o.va AS vb, o.k, o.o / greatest(n.n, 1e-12) AS x
+       FROM gout_b o JOIN gnorm_b n USING (tag, va, vb)),
+both_towers AS (SELECT tag, va, vb, row_number() OVER (PARTITION BY va ORDER BY tag, vb) - 1 AS pos
+                FROM (SELECT DISTINCT tag, va, vb FROM ta) SEMI JOIN tb USING (tag, va, vb)),
+tsc AS (SELECT p.va AS batch, p.pos AS i, q.pos AS j, sum(a.x * b.x) AS s
+        FROM both_towers p JOIN both_towers q ON p.va = q.va
+        JOIN ta a ON a.tag = p.tag AND a.va = p.va AND a.vb = p.vb
+        JOIN tb b ON b.tag = q.tag AND b.va = q.va AND b.vb = q.vb AND b.k = a.k GROUP BY ALL),
+tloss AS (SELECT batch, i AS pos, max(CASE WHEN i = j THEN exp(s) END) / sum(exp(s)) AS p_pos FROM tsc GROUP BY batch, i)"""
+
+
 def _arr(c: str) -> str:
     return f"'[' || array_to_string(list_transform({c}, lambda x: CAST(x AS VARCHAR)), ',') || ']'"
 
@@ -463,6 +485,9 @@ def sql() -> dict[str, str]:
                              "SELECT o.tag, o.va, o.vb, CAST(o.k AS BIGINT) AS dim, "
                              "round(o.o / greatest(n.n, 1e-12), 6) + 0.0 AS value "
                              "FROM gout o JOIN gnorm n ON o.tag = n.tag AND o.va = n.va AND o.vb = n.vb")
+    q["gnn_two_tower_loss"] = _q(",\n".join([gr, sampler("sa", "va", "vb"), sampler("sb", "vb", "va"), two_tower_sql()]),
+                                 "SELECT batch, CAST(pos AS BIGINT) AS pos, round(-ln(p_pos + 1e-8), 6) + 0.0 AS loss, "
+                                 "round(p_pos, 6) + 0.0 AS p_pos FROM tloss")
     q["graph_training_rows"] = _q(
         ",\n".join([gr, sampler("sa", "va", "vb"), sampler("sb", "vb", "va")]),
         f"SELECT a.tag, a.va, a.vb, {_arr('a.hop1s')} AS va_hop1, {_arr2('a.hop2s')} AS va_hop2, "
