@@ -38,7 +38,12 @@ def partitions_for(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_task))
 
 
+#: Rows per Arrow batch: texts are long, and a batch is held by the JVM and the Python worker at once.
+ROWS_PER_BATCH = 1000
+
+
 def shipped(spark: SparkSession) -> SparkSession:
-    """Executors can import this package from here on."""
+    """Executors can import this package from here on; texts go to Python in small batches."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     return spark

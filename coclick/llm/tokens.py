@@ -18,7 +18,7 @@ import regex
 #: Public tokenizer file used by the registered queries.
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-MEMO_WORDS = 300_000
+MEMO_WORDS = 600_000
 
 _PLAIN = re.compile(r"[!-~¡-ɏ]+")
 #: Fixed value: the tokenizer file's split pattern.
