@@ -94,7 +94,7 @@ def fit(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, grades: int) -> tu
     weight = weight / weight.sum()
     for step in range(1, STEPS + 1):
         cut = t[0] + np.concatenate([[0.0], np.cumsum(np.exp(t[1:]))])
-        z = x @ w
+        z = (x @ w.astype(x.dtype)).astype(np.float64)
         edge = np.concatenate([[-np.inf], cut, [np.inf]])
         up, down = _sigmoid(edge[grade + 1] - z), _sigmoid(edge[grade] - z)
         p = np.maximum(up - down, 1e-12)
@@ -103,7 +103,7 @@ def fit(x: np.ndarray, grade: np.ndarray, weight: np.ndarray, grades: int) -> tu
         by_cut = np.array([(weight * (-du / p * (grade == k) + dd / p * (grade == k + 1))).sum()
                            for k in range(grades - 1)])
         tail = np.cumsum(by_cut[::-1])[::-1]
-        g = np.concatenate([x.T @ by_z + RIDGE * w, [tail[0]], tail[1:] * np.exp(t[1:])])
+        g = np.concatenate([by_z.astype(x.dtype) @ x + RIDGE * w, [tail[0]], tail[1:] * np.exp(t[1:])])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, t = w - move[:len(w)], t - move[len(w):]
@@ -183,7 +183,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray] | No
             above = np.zeros((batch.num_rows, len(cut)))
             for lo, hi in W.slices(offsets):
                 base = offsets[lo]
-                z = features(data[base:offsets[hi]], offsets[lo:hi + 1] - base) @ w
+                z = features(data[base:offsets[hi]], offsets[lo:hi + 1] - base) @ w.astype(np.float32)
                 above[lo:hi] = _sigmoid(z[:, None] - cut)
             expected = grades[0] + above @ np.diff(grades)
             yield pa.RecordBatch.from_arrays(

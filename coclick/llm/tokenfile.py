@@ -159,5 +159,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
 def read_token_files(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone."""
     shipped(manifest.sparkSession)
-    return manifest.repartition("bucket").mapInArrow(
+    # a fixed number of tasks: a bucket's row is small, its files are not
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.repartition(tasks, "bucket").mapInArrow(
         _reader, "doc_id long, start long, n_tokens long, ids_crc32 long")
