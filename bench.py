@@ -63,7 +63,7 @@ def main():
     for name in names:
         runs = []
         for _ in range(repeat):
-            t0 = time.perf_counter()   # includes plan building (e.g. the KMeans fit of knn_approx)
+            t0 = time.perf_counter()   # includes plan building
             df = catalog.QUERIES[name](spark, sf_dir)
             df.write.format("noop").mode("overwrite").save()
             runs.append(round(time.perf_counter() - t0, 3))

@@ -23,8 +23,3 @@ def norm(a) -> Column:
 def l2_normalize(a) -> Column:
     n = norm(a)
     return F.transform(_col(a), lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
-
-
-def leaky_relu(x, alpha: float = 0.02) -> Column:
-    x = _col(x)
-    return F.when(x >= 0, x).otherwise(x * F.lit(alpha))

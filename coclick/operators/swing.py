@@ -107,7 +107,7 @@ def swing_scores(paths: DataFrame, u2u: DataFrame, uweights: DataFrame, whitelis
 
 
 def swing_from_clicks(ui: DataFrame, whitelist: DataFrame | None = None, day_col: str | None = None,
-                   alpha: float = ALPHA) -> DataFrame:
+                      alpha: float = ALPHA, assume_distinct: bool = False) -> DataFrame:
     """SW1..SW6 end to end from (day,) user, item rows.
 
     Paths only involve whitelisted items, so item pairs are generated from the
@@ -115,8 +115,10 @@ def swing_from_clicks(ui: DataFrame, whitelist: DataFrame | None = None, day_col
     user weights and user-pair counts still see every item.
     """
     keys = [day_col] if day_col else []
-    # one dedup of the clicks feeds all three branches (one scan of the source)
-    ud = ui.select(*keys, "user", "item").distinct()
+    # three branches read the deduplicated clicks: pass a persisted or stored table (``assume_distinct``)
+    # and the source is read and deduplicated once
+    ud = ui.select(*keys, "user", "item")
+    ud = ud if assume_distinct else ud.distinct()
     pair_src = ud if whitelist is None else ud.join(whitelist.select("item"), "item", "left_semi")
     ipu = item_pair_users(pair_src, day_col, assume_distinct=True)
     paths = item_pair_user_pairs(ipu, dedupe=day_col is not None)

@@ -82,7 +82,8 @@ def cp_ui(spark, sf):
 
 
 def cp_swing(spark, sf):
-    return swing.swing_from_clicks(cp_ui(spark, sf), whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE))
+    return swing.swing_from_clicks(cp_ui(spark, sf).distinct().persist(), assume_distinct=True,
+                                   whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE))
 
 
 def swing_daily_scores(spark, sf):

@@ -129,20 +129,9 @@ def latest_partition(df: DataFrame, part_col: str, by: list[str] | None = None)
     return df.join(newest, on=by, how="inner").where(F.col(part_col) == F.col("__newest")).drop("__newest")
 
 
-def latest_snapshot(spark, base: str, marker: str = "_SUCCESS") -> str | None:
-    """SRC10: newest child directory of ``base`` holding a success marker.
+def latest_snapshot(spark, base: str) -> str | None:
+    """SRC10: newest child directory of ``base`` holding a success marker; None when there is none."""
+    from coclick.sinks.files import complete_snapshots
 
-    Driver-side listing through the Hadoop FileSystem API (works on HDFS, S3A,
-    local).  Returns None when no complete snapshot exists.
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return None
-    done = []
-    for st in fs.listStatus(path):
-        if st.isDirectory() and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), marker)):
-            done.append(st.getPath().toString())
-    return max(done, key=lambda p: p.rstrip("/").rsplit("/", 1)[-1]) if done else None
+    done = complete_snapshots(spark, base)
+    return done[0] if done else None
