@@ -1,15 +1,18 @@
 """Token ids of texts, with a bounded memo of words.
 
 The tokenizer file's pre-tokenizer never joins characters across white space,
-so a text's ids are those of its white-space separated words in order.  Words
-are remembered (as little-endian unsigned 32-bit bytes) in two generations of
-bounded size; words met first are encoded together in one call.
+so a text's ids are those of its white-space separated words in order, and a
+word's are those of its pieces, as the tokenizer's own model splits them.
+Words and pieces are remembered (ids as little-endian unsigned 32-bit bytes) in
+generations of bounded size.  Words with characters outside Latin letters and
+ASCII, and tokenizer files for which a probe shows another structure, go through
+the whole tokenizer.
 """
 
 from __future__ import annotations
 
 import re
-import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -18,18 +21,56 @@ import regex
 #: Public tokenizer file used by the registered queries.
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-MEMO_WORDS = 600_000
+MEMO_WORDS, MEMO_PIECES = 200_000, 300_000
 
 _PLAIN = re.compile(r"[!-~¡-ɏ]+")
 #: Fixed value: the tokenizer file's split pattern.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+def _byte_characters() -> list[str]:
+    """The printable character that stands for each byte: itself if it is one, else the next from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
+
+
+_CHARACTER = _byte_characters()
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
+class _Pieces(dict):
+    """piece -> ids, by the tokenizer's model."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else "".join([_CHARACTER[b] for b in piece.encode()])
+        out = self[piece] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return out
+
+
+class _Words(dict):
+    """word -> ids; ``old`` is the generation before."""
+
+    def __init__(self, encoder: WordEncoder, old: dict[str, bytes]):
+        super().__init__({"": b""})
+        self.encoder, self.old = encoder, old
+
+    def __missing__(self, word: str) -> bytes:
+        out = self.old.get(word)
+        if out is None:
+            out = self.encoder.word(word)
+        self[word] = out
+        return out
+
+
 class WordEncoder:
     """Encodes texts with one tokenizer file; one instance per Python worker and file."""
 
@@ -37,61 +78,38 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.by_word = self._splits_at_space() and any(t.endswith("</w>") for t in vocabulary)
-        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, dtype=bool)
-        if self.by_word:
-            self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.memo_words = memo_words
-        self.young: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-
-    def _splits_at_space(self) -> bool:
-        """Whether ids of a probe text are those of its words (else texts are encoded whole)."""
-        probe = "of the theaest, don't 12a  Él\tein\nß x"
-        ids = lambda s: self.tokenizer.encode(s, add_special_tokens=False).ids
-        return ids(probe) == [i for w in probe.split() for i in ids(w)]
-
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if _PLAIN.fullmatch(w) and not any(s in w for s in self.special)]
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(plain)], add_special_tokens=False)[0].ids,
-                           dtype="<u4")
-            # every piece of a word closes with an end-of-word id
-            pieces = np.cumsum([len(_PIECES.findall(unicodedata.normalize("NFC", w).lower())) for w in plain])
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == pieces[-1]:
-                lo = 0
-                raw = ids.tobytes()
-                for w, hi in zip(plain, stops[pieces - 1].tolist(), strict=True):
-                    self.young[w] = raw[4 * lo:4 * hi]
-                    lo = hi
-            else:
-                plain = []
-        known = set(plain)
-        rest = [w for w in words if w not in known]
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.young[w] = np.array(e.ids, dtype="<u4").tobytes()
+        self.pieces = _Pieces(self.tokenizer.model)
+        self.words = _Words(self, {})
+        self.by_word = True
+        self.by_word = self._is_word_by_word()
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _is_word_by_word(self) -> bool:
+        """Whether a probe text's ids are those of its words' pieces."""
+        probe = "Of the theaest, don't 12a  Él\tein\nß x-ray çà."
+        return self._whole(probe) == b"".join(map(self.word, probe.split()))
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word without white space."""
+        if _PLAIN.fullmatch(word) and not any(s in word for s in self.special):
+            return b"".join([self.pieces[p] for p in _PIECES.findall(word.lower())])
+        return self._whole(word)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
         if not self.by_word:
-            batch = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in batch]
-        split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        missing = []
-        for w in set().union(*split) if split else ():
-            if w not in self.young:
-                if w in self.old:
-                    self.young[w] = self.old[w]
-                else:
-                    missing.append(w)
-        for i in range(0, len(missing), 4096):
-            self._learn(missing[i:i + 4096])
-        get = self.young.__getitem__
-        out = [b"".join(map(get, words)) for words in split]
-        if len(self.young) > self.memo_words:
-            self.old, self.young = self.young, {"": b""}
+            return [self._whole(t or "") for t in texts]
+        out = []
+        for t in texts:
+            words = (t or "").replace("\n", " ").replace("\t", " ").split(" ")
+            out.append(b"".join(map(self.words.__getitem__, words)))
+            if len(self.words) > self.memo_words:
+                self.words = _Words(self, dict(self.words))
+                if len(self.pieces) > MEMO_PIECES:
+                    self.pieces.clear()
         return out
 
 
