@@ -17,7 +17,7 @@ from coclick.operators.pairs import (
     time_bucket,
     window_pairs,
 )
-from coclick.operators.topk import clamp, collect_ranked, first_n_rows, floor_filter, rank_key, top_k_by_key
+from coclick.operators.topk import clamp, collect_ranked, floor_filter, rank_key, top_k_by_key
 from coclick.sources.clicks import day_range_filter
 from coclick.functions.text import score_pairs_text
 
@@ -45,17 +45,15 @@ def ranked_clicks(clicks: DataFrame, keys: list[str], *, item_col: str = "item",
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     c = clicks.where(F.col(item_col).isNotNull()) \
         .select(*keys, F.col(item_col).cast("bigint").alias("item"), F.col(ts_col).alias("ts"), w.alias("w"))
-    # per-user click counts from a map-side combined aggregate (no window over a hot user)
-    sizes = c.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    c = c.join(sizes.where(F.col("n") >= min_user_items), keys)
+    # the cap: clicks numbered in (-weight, item, ts) order inside item-id buckets, so no task ranks a whole user
+    by_rank = F.struct((-F.col("w")).alias("w"), F.floor(F.col("item") / item_bucket).alias("b"))
+    c = sequence_index(c, keys, [F.col("w").desc(), "item", "ts"], by_rank, "__r", size_col="n") \
+        .where(F.col("n") >= min_user_items)
     if max_user_items is not None:
-        # the cut is found among item-id buckets first, then among the items of one bucket
-        c = c.withColumn("__ib", F.floor(F.col("item") / item_bucket).cast("bigint"))
-        c = first_n_rows(c, keys, [F.col("w").desc(), F.col("item")], ["w", "item"], ["ts"], max_user_items, "n",
-                         buckets=([F.col("w").desc(), F.col("__ib")], ["w", "__ib"])).drop("__ib") \
-            .withColumn("n", F.least(F.col("n"), F.lit(max_user_items))).where(F.col("n") >= min_user_items)
-    # numbered inside time buckets, shifted by the counts of the earlier ones
-    return sequence_index(c, keys, ["ts", "item", "w"], time_bucket(c, "ts"), "pos")
+        c = c.where(F.col("__r") <= max_user_items).withColumn("n", F.least(F.col("n"), F.lit(max_user_items))) \
+            .where(F.col("n") >= min_user_items)
+    # positions in time, numbered inside time buckets
+    return sequence_index(c.drop("__r"), keys, ["ts", "item", "w"], time_bucket(c, "ts"), "pos")
 
 
 def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: str = "item",

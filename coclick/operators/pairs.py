@@ -97,8 +97,9 @@ def time_bucket(df: DataFrame, ts_col: str) -> Column:
 
 
 def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list, bucket: Column,
-                   pos_col: str = "pos") -> DataFrame:
-    """Dense 1-based position of each row inside its group, by ``order_cols``.
+                   pos_col: str = "pos", size_col: str | None = None) -> DataFrame:
+    """Dense 1-based position of each row inside its group, by ``order_cols``
+    (and the group's size as ``size_col`` if asked for).
 
     ``bucket`` must be non-decreasing in the order (e.g. the hour of the
     timestamp).  Positions are numbered inside (group, bucket) and shifted by
@@ -109,7 +110,8 @@ def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list, bucke
     d = df.withColumn("__bk", bucket)
     counts = d.groupBy(*group_cols, "__bk").agg(F.count(F.lit(1)).alias("__c"))
     w_off = Window.partitionBy(*group_cols).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, "__bk", F.coalesce(F.sum("__c").over(w_off), F.lit(0)).alias("__off"))
+    size = [F.sum("__c").over(Window.partitionBy(*group_cols)).alias(size_col)] if size_col else []
+    offsets = counts.select(*group_cols, "__bk", F.coalesce(F.sum("__c").over(w_off), F.lit(0)).alias("__off"), *size)
     w_in = Window.partitionBy(*group_cols, "__bk").orderBy(*order_cols)
     numbered = d.withColumn("__rn", F.row_number().over(w_in))
     return numbered.join(offsets, on=[*group_cols, "__bk"], how="inner") \

@@ -59,49 +59,6 @@ def collect_ranked(df: DataFrame, key_cols: list[str], rank_col: str, fields: li
         F.transform(arr, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(out_col))
 
 
-def _cut(rows: DataFrame, key_cols: list[str], levels: list, fine: list, quota) -> DataFrame:
-    """Keep the first ``quota`` rows per key (quota: int or column) level by level."""
-    order, cols = levels[0]
-    g = rows.groupBy(*key_cols, *cols).agg(F.count(F.lit(1)).alias("__cnt"))
-    if not isinstance(quota, int):
-        g = g.join(rows.select(*key_cols, quota).distinct(), key_cols)
-    q = F.lit(quota) if isinstance(quota, int) else F.col(quota)
-    run = Window.partitionBy(*key_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    g = g.withColumn("__before", F.sum("__cnt").over(run) - F.col("__cnt")).where(F.col("__before") < q) \
-        .withColumn("__take", F.least(F.col("__cnt"), q - F.col("__before")))
-    drop = [c for c in ([quota] if not isinstance(quota, int) else [])]
-    j = rows.drop(*drop).join(g.select(*key_cols, *cols, "__cnt", "__take"), [*key_cols, *cols])
-    whole = j.where(F.col("__take") == F.col("__cnt")).drop("__cnt", "__take")
-    at_cut = j.where(F.col("__take") < F.col("__cnt")).drop("__cnt")
-    if len(levels) > 1:
-        rest = _cut(at_cut.withColumnRenamed("__take", "__quota"), key_cols, levels[1:], fine, "__quota")
-    else:
-        rest = at_cut.withColumn("__r", F.row_number().over(Window.partitionBy(*key_cols, *cols).orderBy(*fine))) \
-            .where(F.col("__r") <= F.col("__take")).drop("__r", "__take")
-    return whole.unionByName(rest)
-
-
-def first_n_rows(df: DataFrame, key_cols: list[str], coarse: list, coarse_cols: list[str], fine: list,
-                 n: int, size_col: str, buckets: tuple[list, list[str]] | None = None) -> DataFrame:
-    """Exactly the first ``n`` rows per key in the order ``coarse + fine``,
-    for large ``n`` and keys of any size.
-
-    ``df`` carries the key's row count in ``size_col``.  Keys with at most n
-    rows pass untouched.  For larger keys, rows are counted per coarse value
-    (``coarse_cols``, a map-side combined aggregate), a running sum over those
-    counts finds the cut, every coarse group before the cut is kept whole and
-    only the one group at the cut is ranked by ``fine``.  With ``buckets``
-    (order, columns of a grouping coarser than ``coarse`` and consistent with
-    its order) the cut is found in two steps, first among buckets, then among
-    the coarse values of the one cut bucket, so every window stays small.
-    No task ever ranks a whole key.
-    """
-    small = df.where(F.col(size_col) <= n)
-    big = df.where(F.col(size_col) > n)
-    levels = ([buckets] if buckets else []) + [(coarse, coarse_cols)]
-    return small.unionByName(_cut(big, key_cols, levels, fine, n))
-
-
 def cap_per_group(df: DataFrame, key_cols: list[str], group_expr: Column, order_cols: list,
                   per_group: int = 5, total: int = 500, rank_col: str = "rank") -> DataFrame:
     """WN9: walk a ranked list, keep at most ``per_group`` rows per group value,

@@ -98,27 +98,6 @@ def test_cap_cut_inside_a_group(spark):
     assert rows(d, "vi", "vj", "weight") == [(5, 5, 2.0), (7, 7, 1.0), (7, 8, 1.0), (8, 8, 1.0)]
 
 
-def test_first_n_rows_matches_ranking(spark):
-    from pyspark.sql import Window
-    data = [(k, (i * 7) % 5, i) for k in range(3) for i in range(k * 9 + 4)]
-    df = spark.createDataFrame(data, "k bigint, c bigint, f bigint")
-    df = df.join(df.groupBy("k").count().withColumnRenamed("count", "n"), "k")
-    got = topk.first_n_rows(df, ["k"], [F.col("c")], ["c"], ["f"], 6, "n")
-    want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("c", "f"))).where("r <= 6")
-    assert rows(got, "k", "c", "f") == rows(want, "k", "c", "f")
-
-
-def test_first_n_rows_two_level_matches_ranking(spark):
-    from pyspark.sql import Window
-    data = [(k, (i * 7) % 23, i % 3, i) for k in range(3) for i in range(k * 11 + 5)]
-    df = spark.createDataFrame(data, "k bigint, c bigint, x bigint, f bigint")
-    df = df.join(df.groupBy("k").count().withColumnRenamed("count", "n"), "k").withColumn("b", F.floor(F.col("c") / 4))
-    for n in (1, 4, 9, 30):
-        got = topk.first_n_rows(df, ["k"], [F.col("c")], ["c"], ["f"], n, "n", buckets=([F.col("b")], ["b"]))
-        want = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("c", "f"))).where(f"r <= {n}")
-        assert rows(got, "k", "c", "f") == rows(want, "k", "c", "f")
-
-
 def test_item_zero_counts_like_any_other(spark):
     d = itemcf.daily_cooccurrence(clicks(spark, [(1, 0, 1), (1, 5, 2), (2, 0, 1), (2, 5, 2)]))
     assert rows(d, "vi", "vj", "weight") == [(0, 0, 2.0), (0, 5, 2.0), (5, 5, 2.0)]
