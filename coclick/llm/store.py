@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +32,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(spark: SparkSession, rows: int, per_task: int) -> int:
-    """Number of tasks so that each holds about ``per_task`` rows; at least the session's."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / per_task))
-
-
 #: Rows per Arrow batch: texts are long, and a batch is held by the JVM and the Python worker at once.
 ROWS_PER_BATCH = 1000
 
