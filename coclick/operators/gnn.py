@@ -12,10 +12,8 @@ NN2 / NN3 score every pair inside a batch with a self-join on the batch id
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from coclick.functions.vectors import dot
 from coclick.session import ship_package
