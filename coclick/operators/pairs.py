@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 # Rows per block.  A join key then holds at most about BLOCK x BLOCK candidate
 # pairs, whatever the size of the group it came from.
 DEFAULT_BLOCK = 2048
-SALTS = 4
 
 
 def canonical_pair(a, b) -> tuple[Column, Column]:
@@ -71,10 +70,8 @@ def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
     if max_size is not None:
         cond = cond & (F.col("__n") <= max_size)
     sizes = sizes.where(cond).select(*group_cols, F.ceil(F.col("__n") / block).cast("bigint").alias("__s"))
-    # a hot group's members meet its size under SALTS keys, so it is not one join key
-    salted = members.withColumn("__salt", F.pmod(F.xxhash64(F.col(member_col)), F.lit(SALTS)).cast("int"))
-    sizes = sizes.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    m = salted.join(sizes, on=[*group_cols, "__salt"], how="inner").drop("__salt") \
+    # one size row per group: AQE splits the members of a hot group over tasks in this join
+    m = members.join(sizes, on=group_cols, how="inner") \
         .withColumn("__b", F.pmod(F.xxhash64(F.col(member_col)), F.col("__s")))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__s") - 1))
     left = m.select(*group_cols, F.col(member_col).alias("a"), *[F.col(c).alias(f"{c}_a") for c in carry],

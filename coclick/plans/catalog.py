@@ -82,7 +82,7 @@ def cp_ui(spark, sf):
 
 
 def cp_swing(spark, sf):
-    return swing.swing_from_clicks(cp_ui(spark, sf).distinct().persist(), assume_distinct=True,
+    return swing.swing_from_clicks(cp_ui(spark, sf),
                                    whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE))
 
 
