@@ -6,7 +6,7 @@ an item's own count (the diagonal, so no id is reserved).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coclick.operators.pairs import (
@@ -49,11 +49,13 @@ def ranked_clicks(clicks: DataFrame, keys: list[str], *, item_col: str = "item",
     by_rank = F.struct((-F.col("w")).alias("w"), F.floor(F.col("item") / item_bucket).alias("b"))
     c = sequence_index(c, keys, [F.col("w").desc(), "item", "ts"], by_rank, "__r", size_col="n") \
         .where(F.col("n") >= min_user_items)
-    if max_user_items is not None:
-        c = c.where(F.col("__r") <= max_user_items).withColumn("n", F.least(F.col("n"), F.lit(max_user_items))) \
-            .where(F.col("n") >= min_user_items)
-    # positions in time, numbered inside time buckets
-    return sequence_index(c.drop("__r"), keys, ["ts", "item", "w"], time_bucket(c, "ts"), "pos")
+    if max_user_items is None:
+        # users of any size: positions numbered inside time buckets
+        return sequence_index(c.drop("__r"), keys, ["ts", "item", "w"], time_bucket(c, "ts"), "pos")
+    c = c.where(F.col("__r") <= max_user_items).withColumn("n", F.least(F.col("n"), F.lit(max_user_items))) \
+        .where(F.col("n") >= min_user_items).drop("__r")
+    # a user has at most max_user_items rows here
+    return c.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "item", "w")))
 
 
 def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: str = "item",
