@@ -165,6 +165,25 @@ def test_quality_rules_keep_good_texts(spark):
     assert np.mean([x["kept"] for x in r if not x["quality"]]) < 0.1
 
 
+@pytest.mark.parametrize("low", [False, True])
+def test_quality_bands_hold_with_a_third_of_junk(spark, low):
+    """35 % junk on one side of one language, texts of 25 to 200 words; the other languages as they are."""
+    rng = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").collect()
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    rows = [tuple(r) for r in docs if labels.get(r["doc_id"], 1)]
+    words = [w for _, t, la in rows if la == "en" for w in t.split()]
+    few = ["the", "that", "then", "they", "there", "these", "than"]
+    n = round(sum(la == "en" for _, _, la in rows) * 35 / 65)
+    junk = [" ".join(rng.choice(few) if low else rng.choice(words).upper() + rng.choice(["$#", "#%", "&*", "%$"])
+                     for _ in range(rng.randint(25, 200))) for _ in range(n)]
+    rows += [(10 ** 9 + i, t, "en") for i, t in enumerate(junk)]
+    got = perplexity.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    bad = [r["kept"] for r in got if r["doc_id"] >= 10 ** 9 and not r["base_failed"]]
+    good = [r["kept"] for r in got if labels.get(r["doc_id"]) and not r["base_failed"]]
+    assert len(bad) > 0.3 * n and np.mean(bad) < 0.1 and np.mean(good) > 0.98
+
+
 PAGE = """<!doctype html><html><head><title>T &amp; t</title><style>p{}</style></head><body class="has-sidebar">
 <header><a href="/">Home</a></header><nav><ul><li><a href=a>Menu one</a><li><a href=b>Menu two</a></ul></nav>
 <div class="cookie-notice">We use cookies to improve this site for you.</div>
