@@ -10,7 +10,11 @@ minimum cut (by maximum flow) is the labelling of least total cost.
 
 Defined cases: null or empty html, or a page without content, gives an empty
 text; broken mark-up (unclosed tags, cut-off entities or pages) is read as
-browsers do, as far as a tag is complete; repeated rows are rows; an empty table
+browsers do, as far as a tag is complete: script, style, iframe, textarea and
+title run to their end tag or the page's end, a head ends at the first tag or
+text of the body, an svg or select at a tag that cannot stand in it.  Text in a
+noscript, template, svg or select is left out; unlike in browsers one that is
+never closed hides nothing, nor does an object; repeated rows are rows; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -31,11 +35,12 @@ from coclick.llm.store import shipped
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|textarea|select|title|head)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|iframe|textarea|title)(?=[\s/>]).*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-z][^<]*\Z"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
+_HIDDEN_END = re.compile(r"</(noscript|template|svg|select|object)(?=[\s/>])", re.I)
 _ATTR = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,10 +54,19 @@ CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "
                        "nav ol pre section table ul".split()}
 #: Implied ends do not reach beyond these.
 SCOPE = set("article aside body div footer form header html main nav ol section table td th ul blockquote dl".split())
+#: Text inside these is not shown, if they are closed.
+HIDDEN = set("noscript template svg select".split())
+#: Implied ends do not leave these.
+INNER = HIDDEN | {"object"}
+#: Start tags that leave a head open.
+HEAD = set("base basefont bgsound head link meta noframes noscript script style template title".split())
+#: Start tags that end an open svg (outside its foreignObject) or select.
+LEAVES = {"svg": BLOCK | set("b big br code em embed i img s small span strike strong sub sup tt u var".split()),
+          "select": set("article aside body footer form h1 h2 h3 h4 h5 h6 header input main nav p section table".split())}
 
 GOOD_TAGS = {"article": 3.5, "main": 2.0}
 BAD_TAGS = {"nav": 9.0, "footer": 9.0, "aside": 9.0, "form": 9.0, "button": 9.0, "menu": 9.0, "dialog": 9.0,
-            "label": 4.0, "figcaption": 0.5}
+            "object": 9.0, "label": 4.0, "figcaption": 0.5}
 GOOD_WORDS = set("article articlebody content entry main post story text body prose".split())
 BAD_WORDS = set("ad ads advert advertisement adverts banner breadcrumb breadcrumbs byline comment comments complementary "
                 "contentinfo consent cookie cookies copyright discussion disqus footer form gdpr header login masthead "
@@ -85,6 +99,7 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[int, str, float, bool]] = []  # number, name, evidence, negative
     pieces: list[tuple[str, bool]] = []
     number = 0
+    last_end: dict[str, int] | None = None  # of each element that hides text
 
     def flush() -> None:
         nonlocal pieces
@@ -97,13 +112,19 @@ def blocks(html: str) -> list[Block]:
         pieces = []
 
     def pop(i: int) -> None:
-        if any(s[1] in BLOCK for s in stack[i:]):
-            flush()
+        # blocks inside a hidden element leave the text around it whole
+        if not any(s[1] in HIDDEN for s in stack[:i]):
+            inner = next((j for j in range(i, len(stack)) if stack[j][1] in HIDDEN), len(stack))
+            if any(s[1] in BLOCK for s in stack[i:inner]):
+                flush()
         del stack[i:]
 
     for m in _TOKEN.finditer(html):
         if m["text"] is not None:
-            pieces.append((m["text"], any(s[1] == "a" for s in stack)))
+            if stack and stack[-1][1] == "head" and not m["text"].isspace():
+                pop(len(stack) - 1)
+            if not any(s[1] in HIDDEN for s in stack):
+                pieces.append((m["text"], any(s[1] == "a" for s in stack)))
             continue
         if m["name"] is None:
             continue
@@ -114,16 +135,30 @@ def blocks(html: str) -> list[Block]:
                     pop(i)
                     break
             continue
-        if name in BLOCK:
+        if stack and stack[-1][1] == "head" and name not in HEAD:
+            pop(len(stack) - 1)
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][1] == "foreignobject":
+                break
+            if name in LEAVES.get(stack[i][1], ()):
+                pop(i)
+                break
+        if name in INNER:
+            if last_end is None:
+                last_end = {e[1].lower(): e.start() for e in _HIDDEN_END.finditer(html)}
+            if last_end.get(name, -1) < m.start():
+                continue  # never closed: it does not hide the rest of the page
+        hidden = any(s[1] in HIDDEN for s in stack)
+        if name in BLOCK and not hidden:
             flush()
         closes = CLOSES.get(name)
         if closes:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][1] in closes:
                     pop(i)
-                elif stack[i][1] in SCOPE:
+                elif stack[i][1] in SCOPE or stack[i][1] in INNER:
                     break
-        if name == "br":
+        if name == "br" and not hidden:
             pieces.append((" ", False))
         if name in VOID or (m["attrs"] or "").rstrip().endswith("/"):
             continue

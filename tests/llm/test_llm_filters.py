@@ -206,6 +206,26 @@ def test_main_text_of_a_page(frame):
     assert extract.main_text(PAGE % frame.format(*BODY)) == WANT
 
 
+@pytest.mark.parametrize("before, inside", [
+    ("<head><title>x</title><meta charset=utf-8>", ""), ("<head><title>x</title></head>", ""), ("<head>\n", ""),
+    ("<svg viewBox='0 0 1 1'/>", ""), ("<svg><path d='M0'>", ""), ("<object data=x>", ""), ("<noscript>", ""),
+    ("<template>", ""), ("<select><option>one<option>two", ""), ("<select-box>", ""), ("<svg-icon name=x>", ""),
+    ("<title-bar></title-bar>", ""), ("<script>var a = '<p>'</script x>", ""),
+    ("", "<svg><title>t</title><text>no</text></svg>"), ("", "<select><option>no<option>not this</select>"),
+    ("", "<noscript><div>no</div><p>script</noscript>"), ("", "<template><p>no</p></template>"),
+    ("", "<svg><foreignObject><div>no</div></foreignObject></svg>"), ("", "<style>p::after { content: '<b>' }</style>")])
+def test_hidden_elements_end_where_browsers_end_them(before, inside):
+    first, *rest = BODY[1:]
+    page = f"<html>{before}<body>{before}<article><h1>{BODY[0]}</h1><p>{first}</p>" \
+        f"<p>{rest[0].replace(', ', ', ' + inside, 1)}</p><p>{rest[1]}</p></article></body></html>"
+    assert extract.main_text(page) == WANT
+
+
+def test_text_of_an_object_is_not_content():
+    frame = "<article><h1>{}</h1><p>{}</p><object data=x><p>No reader for this kind of file.</p></object><p>{}</p><p>{}</p></article>"
+    assert extract.main_text(PAGE % frame.format(*BODY)) == WANT
+
+
 def test_minimum_cut_equals_brute_force():
     rng = random.Random(4)
     for _ in range(60):
