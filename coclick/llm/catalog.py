@@ -23,7 +23,7 @@ from coclick.llm.store import table
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.edit_probe(table(spark, sf_dir, "documents"))
+    return fingerprint.edit_probe(table(spark, sf_dir, "documents"), whole=True)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,13 @@ k-mers hashed as a tuple: one coordinate.  Two texts agree in a coordinate if
 the selected elements are the same and stand in the same order, so shared
 content in another order does not count as equal (unlike plain MinHash).
 
-Each order ranks the k-mers of a fixed eighth of the hash space before all
-others; a text with at least ``keep`` of those needs only them, which changes
-nothing in the result.
+With ``whole`` (as the registered query has it) every element takes part in every
+order: an order ranks by a byte of its own first, then by a hash of its own.  A
+text with at least ``keep`` elements whose byte is under ``EARLY`` has its
+smallest among them, so only those are ranked further: the others are larger by
+the order itself.  Without ``whole`` all orders look at the k-mers of one fixed
+eighth of the hash space before all others, so a text with ``keep`` of those is
+known by them alone and edits elsewhere do not show.
 
 Defined cases: null = empty; an empty text has the fingerprint of all zeros; a
 text shorter than k is one k-mer; equal texts have equal fingerprints and
@@ -40,6 +44,8 @@ _BASE = 0xC2B2AE3D27D4EB4F
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bits of a rank that hold the element's position within a slice.
 _PLACE_BITS = 26
+#: Elements whose leading byte in an order is under this are ranked further.
+EARLY = 8
 _ORDERS = np.random.Generator(np.random.PCG64(64)).integers(1, 1 << 63, (2, 4096), dtype=np.uint64) | np.uint64(1)
 
 
@@ -98,7 +104,62 @@ def _coordinates(kmer: np.ndarray, first: np.ndarray, size: int, keep: int) -> n
     return out
 
 
-def signatures(texts: list[str], k: int = KMER, keep: int = KEEP, size: int = SIZE) -> np.ndarray:
+def _repeats(kmer: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """As :func:`_occurrences`; only k-mers that may stand twice in their document are compared in full."""
+    doc = np.repeat(np.arange(len(first) - 1, dtype=np.uint64), np.diff(first))
+    low = np.uint64((1 << _PLACE_BITS) - 1)
+    key = ((kmer + mix(np.arange(len(first) - 1, dtype=np.uint64))[doc]) & ~low) | np.arange(len(kmer), dtype=np.uint64)
+    key.sort()
+    same = (key[1:] ^ key[:-1]) <= low
+    many = np.zeros(len(key), dtype=bool)
+    many[1:] |= same
+    many[:-1] |= same
+    at = np.sort(key[many] & low).astype(np.int64)
+    out = np.zeros(len(kmer), dtype=np.uint64)
+    out[at] = _occurrences(kmer[at], np.searchsorted(at, first))
+    return out
+
+
+def _whole(kmer: np.ndarray, first: np.ndarray, size: int, keep: int) -> np.ndarray:
+    """(documents, size) coordinates over all elements; every document has at least one."""
+    element = mix(kmer + mix(_repeats(kmer, first) + np.uint64(1)))
+    count = np.diff(first)
+    low = np.uint64((1 << _PLACE_BITS) - 1)
+    out = np.empty((len(count), size), dtype=np.uint32)
+    for d in range(size):
+        if d % 8 == 0:
+            lead = mix(element ^ _ORDERS[1, d]).astype("<u8", copy=False).view(np.uint8).reshape(-1, 8).T.copy()
+        at = np.flatnonzero(lead[d % 8] < EARLY)
+        bounds = np.searchsorted(at, first)
+        few = np.flatnonzero(np.diff(bounds) < np.minimum(keep, count))
+        if len(few):
+            # these are ranked whole
+            at = np.sort(np.concatenate([at, *(np.arange(first[x], first[x + 1]) for x in few)]))
+            at = at[np.append(True, at[1:] != at[:-1])]
+            bounds = np.searchsorted(at, first)
+        rank = (element[at] ^ _ORDERS[0, d]) * _ORDERS[1, d]
+        rank ^= rank >> np.uint64(32)
+        rank *= _ORDERS[0, d]
+        rank >>= np.uint64(8)
+        rank |= lead[d % 8][at].astype(np.uint64) << np.uint64(56)
+        rank &= ~low
+        rank |= np.arange(len(at), dtype=np.uint64)
+        chosen = np.empty((keep, len(count)), dtype=np.int64)
+        for i in range(keep):
+            chosen[i] = (np.minimum.reduceat(rank, bounds[:-1]) & low).astype(np.int64)
+            # documents with fewer elements repeat their last
+            if i:
+                chosen[i] = np.where(count > i, chosen[i], chosen[i - 1])
+            rank[chosen[i]] |= ~low
+        chosen.sort(axis=0)
+        h = np.full(len(count), keep, dtype=np.uint64)
+        for i in range(keep):
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + kmer[at[chosen[i]]])
+        out[:, d] = (h >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    return out
+
+
+def signatures(texts: list[str], k: int = KMER, keep: int = KEEP, size: int = SIZE, whole: bool = False) -> np.ndarray:
     """(texts, size) uint32 coordinates; zeros for empty texts."""
     out = np.zeros((len(texts), size), dtype=np.uint32)
     i = 0
@@ -110,6 +171,12 @@ def signatures(texts: list[str], k: int = KMER, keep: int = KEEP, size: int = SI
         points = np.frombuffer("".join(texts[i:j]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts[i:j]])]).astype(np.int64)
         kmer, first = _kmers(points, offsets, k)
+        if whole:
+            full = np.flatnonzero(np.diff(first))
+            if len(full):
+                out[i + full] = _whole(kmer, np.append(first[full], first[-1]), size, keep)
+            i = j
+            continue
         early = kmer < np.uint64(1 << 61)
         enough = np.add.reduceat(np.append(early, False).astype(np.int32), np.minimum(first[:-1], len(early))) >= keep
         enough &= np.diff(first) > 0
@@ -173,7 +240,7 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-def _rows(k: int, keep: int, size: int):
+def _rows(k: int, keep: int, size: int, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the row whose successor is in the next batch
         for batch in batches:
@@ -187,22 +254,22 @@ def _rows(k: int, keep: int, size: int):
                 while hi < len(text) and chars < 4 * SLICE_CHARS:
                     chars += len(text[hi])
                     hi += 1
-                sign = signatures(text[lo:hi], k, keep, size)
+                sign = signatures(text[lo:hi], k, keep, size, whole)
                 rows = list(zip(place[lo:hi], ahead[lo:hi], name[lo:hi], text[lo:hi], sign, strict=True))
                 rows = ([held] if held else []) + rows
                 held = rows[-1]
                 # a row that looks ahead only serves the row before it
                 pairs = [(x, y) for x, y in zip(rows[:-1], rows[1:], strict=True) if not x[1]]
                 if pairs:
-                    yield _out(pairs, k, keep, size)
+                    yield _out(pairs, k, keep, size, whole)
                 lo = hi
     return run
 
 
-def _out(pairs: list[tuple], k: int, keep: int, size: int) -> pa.RecordBatch:
+def _out(pairs: list[tuple], k: int, keep: int, size: int, whole: bool) -> pa.RecordBatch:
     changed = [edited(x[3], y[3]) for x, y in pairs]
     own, following = np.stack([x[4] for x, _ in pairs]), np.stack([y[4] for _, y in pairs])
-    other = signatures(changed, k, keep, size)
+    other = signatures(changed, k, keep, size, whole)
     as_hex = lambda s: [r.tobytes().hex() for r in s.astype(">u4")]
     return pa.RecordBatch.from_arrays(
         [pa.array([x[2] for x, _ in pairs], pa.int64()), pa.array([len(x[3]) for x, _ in pairs], pa.int64()),
@@ -213,14 +280,14 @@ def _out(pairs: list[tuple], k: int, keep: int, size: int) -> pa.RecordBatch:
 
 
 def edit_probe(docs: DataFrame, k: int = KMER, keep: int = KEEP, size: int = SIZE,
-               rows_per_bucket: int = order.ROWS_PER_BUCKET) -> DataFrame:
+               rows_per_bucket: int = order.ROWS_PER_BUCKET, whole: bool = False) -> DataFrame:
     """Fingerprints of every text and of its edit by the next document's text, with their likeness."""
     shipped(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bounds = order.id_bounds(docs, rows_per_bucket)
     return order.in_order(order.with_buckets(docs, bounds, look_ahead=True)) \
         .select("bucket", "ahead", "doc_id", "text") \
-        .mapInArrow(_rows(k, keep, size), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+        .mapInArrow(_rows(k, keep, size, whole), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                     "edited_fingerprint string, near_edited double, near_next double")
 
 
