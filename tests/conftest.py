@@ -8,9 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from coclick.session import build_session, checkpoint_dir  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def scratch():
@@ -27,9 +24,3 @@ def spark(scratch):
     checkpoint_dir(s, os.path.join(scratch, "checkpoints"))
     yield s
     s.stop()
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the given columns."""
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.select(*cols).collect())

@@ -3,7 +3,7 @@ import math
 import numpy as np
 
 from coclick.operators import gnn, lookup, rerank
-from conftest import rows
+from support import rows
 
 
 def test_f15_inbatch_metrics(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from coclick.functions.hashing import balanced_draws, floyd_sample
 from coclick.functions.text import array_text, nested_array_text
 from coclick.operators import graph, pairs
-from conftest import rows
+from support import rows
 
 
 def test_f4_session_edges(spark):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from coclick.operators import itemcf, swing
 from coclick.sources import testdata as T
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 HOT = """SELECT CASE WHEN o.o_custkey % 3 = 0 THEN 1 ELSE o.o_custkey END AS u, l.l_partkey AS item,
                 o.o_orderdate AS ts

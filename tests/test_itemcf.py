@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from coclick.functions.ids import item_id_strict
 from coclick.operators import itemcf, topk
-from conftest import rows
+from support import rows
 
 
 def clicks(spark, data):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from coclick.operators import graph, itemcf
 from coclick.plans import jobs
 from coclick.sources import testdata as T
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 DAYS = ["2024-01-0%d" % d for d in range(1, 6)]
 

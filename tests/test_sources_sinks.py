@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from coclick import sinks
 from coclick.sources import clicks as C
-from conftest import rows
+from support import rows
 
 
 def test_f9_local_day_partitions(spark):
@@ -102,7 +102,7 @@ def test_reference_click_log_schema_end_to_end(spark):
     and item-CF equals the direct path over the same local day."""
     from coclick.operators import itemcf
     from coclick.sources import testdata as T
-    from conftest import SF_SMALL
+    from support import SF_SMALL
     ev = T.table(spark, SF_SMALL, "events")
     log = ev.select(
         F.col("user_id").alias("userid"), F.concat_ws("-", "user_id", F.to_date("ts").cast("string")).alias("session_id"),

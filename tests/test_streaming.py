@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from coclick.operators import itemcf
 from coclick.sources import testdata as T
 from coclick.streaming import daily_cooccurrence_stream
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 
 def test_incremental_daily_counts_equal_batch(spark, scratch):

@@ -1,7 +1,7 @@
 import math
 
 from coclick.operators import pairs, swing
-from conftest import rows
+from support import rows
 
 
 def ui(spark, data, day=False):

@@ -1,7 +1,7 @@
 import math
 
 from coclick.operators import usercf
-from conftest import rows
+from support import rows
 
 
 def test_f14_hit_ratio(spark):
