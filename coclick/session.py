@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder.
+
+    A local master without the setting gets a folder of its own; a cluster has
+    to name one that all executors share.
+    """
+    local = spark.sparkContext.master.startswith("local")
+    root = checkpoint_dir(spark) or (checkpoint_dir(spark, tempfile.mkdtemp(prefix="coclick-")) if local else None)
+    if not root:
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: lineage is cut, lost executors cost nothing."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_test_session(tmp_root: str, cores: int = 8, partitions: int = 8) -> SparkSession:
     """Session for tests / bench: local master, checkpoint dir under tmp_root."""
     spark = build_session(master=f"local[{cores}]", shuffle_partitions=partitions,
