@@ -16,6 +16,7 @@ from coclick.llm import (
     ordinal,
     packing,
     perplexity,
+    prefixtrie,
     tokenfile,
     toxicity,
 )
@@ -64,10 +65,14 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_files(tokenfile.write_token_files(table(spark, sf_dir, "documents")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_order_minhash, op2_toxicity, op3_line_dedup, op4_quality_rules, op5_html_extraction, op6_ordinal_quality,
-        op7_circulant_minhash, op8_poisson_mixing, op9_best_fit_packing, op10_token_files)
+        op7_circulant_minhash, op8_poisson_mixing, op9_best_fit_packing, op10_token_files, op11_prefix_trie)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
