@@ -17,6 +17,7 @@ from coclick.llm import (
     packing,
     perplexity,
     prefixtrie,
+    repeats,
     tokenfile,
     toxicity,
 )
@@ -69,10 +70,16 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixtrie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_order_minhash, op2_toxicity, op3_line_dedup, op4_quality_rules, op5_html_extraction, op6_ordinal_quality,
-        op7_circulant_minhash, op8_poisson_mixing, op9_best_fit_packing, op10_token_files, op11_prefix_trie)
+        op7_circulant_minhash, op8_poisson_mixing, op9_best_fit_packing, op10_token_files, op11_prefix_trie,
+        op12_suffix_dedup)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -52,7 +52,15 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, n + 1 offsets) of a text column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    return _flat(pc.fill_null(column.cast(pa.large_string()), ""))
+
+
+def flat_bytes(column) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, n + 1 offsets) of a binary column; null counts as empty."""
+    return _flat(pc.fill_null(column.cast(pa.large_binary()), b""))
+
+
+def _flat(column) -> tuple[np.ndarray, np.ndarray]:
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1] \
         if len(column) else np.zeros(1, dtype=np.int64)
