@@ -18,6 +18,7 @@ from coclick.llm import (
     perplexity,
     prefixtrie,
     repeats,
+    search,
     tokenfile,
     toxicity,
 )
@@ -75,11 +76,15 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_order_minhash, op2_toxicity, op3_line_dedup, op4_quality_rules, op5_html_extraction, op6_ordinal_quality,
         op7_circulant_minhash, op8_poisson_mixing, op9_best_fit_packing, op10_token_files, op11_prefix_trie,
-        op12_suffix_dedup)
+        op12_suffix_dedup, op13_nra_search)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -104,4 +109,7 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INTEGER)) AS BIGINT) A
 FROM marked GROUP BY doc_id
 """,
     "op8_poisson_mixing": mixing.SQL,
+    "op11_prefix_trie": prefixtrie.SQL,
+    "op12_suffix_dedup": repeats.SQL,
+    "op13_nra_search": search.SQL,
 }

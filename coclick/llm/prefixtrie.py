@@ -239,3 +239,42 @@ def prefix_trie(conversations: DataFrame, band: int = BAND) -> DataFrame:
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", F.col("leaves").alias("n_leaves"),
         F.col("saved").alias("saved_tokens"), F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256))
         .alias("ends_sha256"))
+
+
+#: DuckDB SQL of ``prefix_trie(conversations)`` where no two turns of a conversation have one number.
+SQL = f"""
+WITH turns AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS own
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hashed AS (
+    SELECT *, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                                                lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda crc, byte: list_reduce(
+            list_prepend(xor(crc, byte), list_transform(range(8), lambda x: CAST(x AS BIGINT))),
+            lambda v, i: xor(v >> 1, 3988292384 * (v & 1))))) % {SHARED} AS h
+    FROM turns),
+rebuilt AS (
+    SELECT a.conv_id, list_concat(list_slice(coalesce(b.own, []), 1, a.h), list_slice(a.own, a.h + 1, len(a.own))) AS path
+    FROM hashed a LEFT JOIN hashed b ON b.conv_id = a.conv_id - ((a.conv_id % {FAMILY}) + {FAMILY}) % {FAMILY}),
+prefixes AS (
+    SELECT conv_id, d, len(path) AS n, list_slice(path, 1, d) AS pre
+    FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT pre, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+    FROM prefixes GROUP BY pre),
+children AS (
+    SELECT list_slice(pre, 1, depth - 1) AS pre, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (
+    SELECT n.*, coalesce(c.n_children, 0) AS n_children, CASE WHEN c.n_children IS NULL THEN 1 ELSE 0 END AS leaf,
+        CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(n.pre[depth].text) END AS saved
+    FROM nodes n LEFT JOIN children c ON n.pre = c.pre),
+totals AS (
+    SELECT list_slice(pre, 1, a) AS pre, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT pre, leaf, saved, unnest(range(0, depth + 1)) AS a FROM valued) GROUP BY 1)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+    CAST(t.n_leaves AS BIGINT) AS n_leaves, CAST(t.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM valued v JOIN totals t ON v.pre = t.pre
+LEFT JOIN nodes p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.pre = list_slice(v.pre, 1, v.depth - 1)
+"""

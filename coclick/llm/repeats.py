@@ -291,3 +291,35 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, step
     for c in ADDED[1:]:
         schema = schema.add(c, "long")
     return joined.select(*own, "__text", "__spans").mapInArrow(_remove, schema)
+
+
+#: DuckDB SQL of the digest of ``remove_repeats(documents)``: every window by its bytes.
+SQL = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS hex FROM documents),
+chunks AS (
+    SELECT r, base, substr(hex, 2 * base + 1, {2 * (500 + LENGTH - 1)}) AS part
+    FROM (SELECT r, hex, unnest(range(0, len(hex) // 2, 500)) AS base FROM texts)),
+windows AS (
+    SELECT r, base + s AS s, md5(substr(part, 2 * s + 1, {2 * LENGTH})) AS code
+    FROM (SELECT r, base, part, unnest(range(0, greatest(0, len(part) // 2 - {LENGTH - 1}))) AS s FROM chunks)),
+repeated AS (
+    SELECT r, s FROM windows WHERE code IN (SELECT code FROM windows GROUP BY code HAVING count(*) > 1)),
+opened AS (
+    SELECT r, s, CASE WHEN s <= lag(s) OVER (PARTITION BY r ORDER BY s) + {LENGTH} THEN 0 ELSE 1 END AS opens
+    FROM repeated),
+numbered AS (
+    SELECT r, s, sum(opens) OVER (PARTITION BY r ORDER BY s) AS no FROM opened),
+spans AS (
+    SELECT r, no, min(s) AS a, max(s) + {LENGTH} AS b FROM numbered GROUP BY r, no),
+before AS (
+    SELECT *, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS prior FROM spans),
+cut AS (
+    SELECT p.r, count(*) AS n_spans, sum(p.b - p.a) AS n_removed,
+        string_agg(substr(t.hex, 2 * p.prior + 1, 2 * (p.a - p.prior)), '' ORDER BY p.a)
+            || substr(any_value(t.hex), 2 * max(p.b) + 1) AS kept
+    FROM before p JOIN texts t ON p.r = t.r GROUP BY p.r)
+SELECT t.doc_id, CAST(len(t.hex) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(c.n_removed, 0) AS BIGINT) AS n_removed,
+    CAST(coalesce(c.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(c.kept, t.hex))) AS kept_sha256
+FROM texts t LEFT JOIN cut c ON t.r = c.r
+"""

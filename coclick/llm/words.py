@@ -18,6 +18,10 @@ SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Letters and digits of ASCII, and every byte of a longer character.
+_TERM = np.ones(256, dtype=bool)
+for _first, _last in ((0x00, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7F)):
+    _TERM[_first:_last + 1] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -102,6 +106,11 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> Spans:
     return _spans(~_SPACE[data], offsets)
 
 
+def term_spans(data: np.ndarray, offsets: np.ndarray) -> Spans:
+    """Maximal runs of ASCII letters, digits and characters beyond ASCII."""
+    return _spans(_TERM[data], offsets)
+
+
 def line_spans(data: np.ndarray, offsets: np.ndarray) -> Spans:
     """Non-empty lines (split at line feeds)."""
     return _spans(data != 0x0A, offsets)
