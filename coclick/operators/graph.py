@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from coclick.functions.hashing import balanced_draws
 from coclick.functions.text import array_text, nested_array_text
-from coclick.operators.pairs import next_pairs, sequence_index, time_bucket
+from coclick.operators.pairs import next_pairs
+from coclick.operators.positions import numbered
+from coclick.operators.skew import heavy_keys, split_join
+from coclick.session import stored
 from coclick.sources.clicks import day_range_filter
 
 # Fixed values of the reference's graph job.
@@ -27,7 +30,8 @@ INDEX_BLOCK = 4096   # neighbour ids per numbered range of a node
 
 
 def session_edges(clicks: DataFrame, session_cols: list[str], item_col: str = "item", ts_col: str = "ts",
-                  tiebreak: str | None = None, day_col: str | None = None) -> DataFrame:
+                  tiebreak: str | None = None, day_col: str | None = None,
+                  rows_per_task: int | None = None) -> DataFrame:
     """GR1: consecutive clicks of a session (ordered by ts, tiebreak), both
     directions, equal items skipped, weight 1 each, summed per (day,) edge.
 
@@ -38,7 +42,7 @@ def session_edges(clicks: DataFrame, session_cols: list[str], item_col: str = "i
     order = [ts_col] + ([tiebreak] if tiebreak else []) + [item_col]
     keep = list(dict.fromkeys(session_cols + ([day_col] if day_col else []) + [item_col] + order))
     d = clicks.select(*keep).na.drop(subset=list(dict.fromkeys(session_cols + [item_col, ts_col])))
-    idx = sequence_index(d, session_cols, order, time_bucket(d, ts_col))
+    idx = numbered(d, session_cols, list(dict.fromkeys(order)), rows_per_task=rows_per_task)
     if day_col and day_col not in session_cols:
         raise ValueError("day_col must be one of the session columns")
     pairs = next_pairs(idx, session_cols, item_col).where(F.col("a") != F.col("b"))
@@ -106,7 +110,7 @@ def label_contexts(labels: DataFrame, centre: str = "va", other: str = "vb", wei
 
 
 def hop1_samples(ctx: DataFrame, adj: DataFrame, k: int = HOP1, seed: str = "coclick",
-                 carry: list[str] | None = None) -> DataFrame:
+                 carry: list[str] | None = None, rows_per_piece: int | None = None) -> DataFrame:
     """GR4 at hop 1: for every (tag, va, vb), exactly k neighbours of va.
 
     Contexts whose centre has no neighbour are dropped (inner join).  ``carry``
@@ -114,16 +118,18 @@ def hop1_samples(ctx: DataFrame, adj: DataFrame, k: int = HOP1, seed: str = "coc
     """
     carry = carry or []
     deg = adj.where(F.col("idx") == 0).select("va", "deg")
-    c = ctx.join(deg, "va")
+    # centres of very many contexts are split by their measured size in both joins (JN7)
+    heavy = heavy_keys(ctx, ["va"], rows_per_piece)
+    c = split_join(ctx, deg, ["va"], split_right=False, heavy_left=heavy)
     draws = c.select(*carry, "tag", "va", "vb", F.posexplode(
         balanced_draws("deg", k, seed, F.lit("h1"), "tag", "va", "vb")).alias("pos", "idx"))
     nb = adj.select(F.col("va"), "idx", F.col("vb").alias("hop1"))
-    return draws.join(nb, ["va", "idx"]).select(*carry, "tag", "va", "vb", F.col("pos").cast("bigint").alias("pos"),
+    return split_join(draws, nb, ["va", "idx"], split_right=False, heavy_left=heavy, by=["va"]).select(*carry, "tag", "va", "vb", F.col("pos").cast("bigint").alias("pos"),
                                                 "hop1")
 
 
 def hop2_samples(h1: DataFrame, adj: DataFrame, k: int = HOP2, seed: str = "coclick",
-                 carry: list[str] | None = None) -> DataFrame:
+                 carry: list[str] | None = None, rows_per_piece: int | None = None) -> DataFrame:
     """GR4 at hop 2: for each hop-1 draw, k neighbours of the hop-1 node other
     than the centre (empty when it has none).  Each draw position samples
     independently.  Hop-1 nodes without any neighbour are dropped, as the
@@ -135,14 +141,18 @@ def hop2_samples(h1: DataFrame, adj: DataFrame, k: int = HOP2, seed: str = "cocl
     carry = carry or []
     deg = adj.where(F.col("idx") == 0).select(F.col("va").alias("hop1"), F.col("deg").alias("deg1"))
     centre_idx = adj.select(F.col("va").alias("hop1"), F.col("vb").alias("va"), F.col("idx").alias("cidx"))
-    c = h1.join(deg, "hop1").join(centre_idx, ["hop1", "va"], "left")
+    # written once: measured for nodes that are drawn very often, which are split in all three joins (JN8), and read
+    h1 = stored(h1, "hop1")
+    heavy = heavy_keys(h1, ["hop1"], rows_per_piece)
+    c = split_join(split_join(h1, deg, ["hop1"], split_right=False, heavy_left=heavy), centre_idx, ["hop1", "va"], "left",
+                   heavy_left=heavy, by=["hop1"])
     c = c.withColumn("n2", F.col("deg1") - F.when(F.col("cidx").isNotNull(), 1).otherwise(0))
     draws = c.select(*carry, "tag", "va", "vb", "pos", "hop1", "n2", "cidx", F.posexplode_outer(
         balanced_draws("n2", k, seed, F.lit("h2"), "tag", "va", "vb", "pos")).alias("pos2", "j"))
     draws = draws.withColumn("idx", F.col("j") + F.when(F.col("cidx").isNotNull() & (F.col("j") >= F.col("cidx")), 1)
                              .otherwise(0))
     nb = adj.select(F.col("va").alias("hop1"), "idx", F.col("vb").alias("hop2"))
-    return draws.join(nb, ["hop1", "idx"], "left").select(
+    return split_join(draws, nb, ["hop1", "idx"], "left", heavy_left=heavy, by=["hop1"]).select(
         *carry, "tag", "va", "vb", "pos", "hop1", "n2", F.col("pos2").cast("bigint").alias("pos2"), "hop2")
 
 

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from coclick.operators.pairs import (
     DEFAULT_BLOCK,
     canonical_pair,
-    sequence_index,
     symmetrise,
-    time_bucket,
     window_pairs,
 )
+from coclick.operators.positions import numbered
 from coclick.operators.topk import clamp, collect_ranked, floor_filter, rank_key, top_k_by_key
 from coclick.sources.clicks import day_range_filter
 from coclick.functions.text import score_pairs_text
@@ -30,39 +29,38 @@ LIST_K1 = 1000            # neighbours kept per item before truncation
 LIST_K2 = 200             # final list length
 MIN_KEEP = 50             # always kept, whatever the score
 SCORE_FLOOR = 0.001       # later neighbours need score > floor
-ITEM_BUCKET = 65536       # ids per bucket when a user's cap is cut
 
 
 def ranked_clicks(clicks: DataFrame, keys: list[str], *, item_col: str = "item", ts_col: str = "ts",
                   weight_col: str | None = None, max_user_items: int | None = MAX_USER_ITEMS,
-                  min_user_items: int = MIN_USER_ITEMS, item_bucket: int = ITEM_BUCKET) -> DataFrame:
+                  min_user_items: int = MIN_USER_ITEMS, rows_per_task: int | None = None) -> DataFrame:
     """Clicks that count, numbered per key by (ts, item): ``keys, item, ts, w, n, pos``.
 
     A key keeps its first ``max_user_items`` clicks by (-weight, item, ts)
     (lowest ids when weights tie -- not the most recent; WN3); keys with fewer
-    than ``min_user_items`` clicks are skipped (FLT2).
+    than ``min_user_items`` clicks are skipped (FLT2).  Users of more than
+    ``rows_per_task`` clicks are numbered by many tasks (:func:`numbered`).
     """
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
     c = clicks.where(F.col(item_col).isNotNull()) \
         .select(*keys, F.col(item_col).cast("bigint").alias("item"), F.col(ts_col).alias("ts"), w.alias("w"))
-    # the cap: clicks numbered in (-weight, item, ts) order inside item-id buckets, so no task ranks a whole user
-    by_rank = F.struct((-F.col("w")).alias("w"), F.floor(F.col("item") / item_bucket).alias("b"))
-    c = sequence_index(c, keys, [F.col("w").desc(), "item", "ts"], by_rank, "__r", size_col="n") \
-        .where(F.col("n") >= min_user_items)
     if max_user_items is None:
-        # users of any size: positions numbered inside time buckets
-        return sequence_index(c.drop("__r"), keys, ["ts", "item", "w"], time_bucket(c, "ts"), "pos")
-    c = c.where(F.col("__r") <= max_user_items).withColumn("n", F.least(F.col("n"), F.lit(max_user_items))) \
-        .where(F.col("n") >= min_user_items).drop("__r")
+        return numbered(c, keys, ["ts", "item", "w"], "pos", "n", rows_per_task=rows_per_task) \
+            .where(F.col("n") >= min_user_items)
+    c = numbered(c.withColumn("__down", -F.col("w")), keys, ["__down", "item", "ts"], "__r", "n",
+                 rows_per_task=rows_per_task) \
+        .where((F.col("n") >= min_user_items) & (F.col("__r") <= max_user_items)) \
+        .withColumn("n", F.least(F.col("n"), F.lit(max_user_items))).where(F.col("n") >= min_user_items) \
+        .drop("__r", "__down")
     # a user has at most max_user_items rows here
-    return c.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "item", "w")))
+    return c.withColumn("pos", F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "item", "w")).cast("bigint"))
 
 
 def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: str = "item",
                        ts_col: str = "ts", day_col: str | None = None, weight_col: str | None = None,
                        max_user_items: int | None = MAX_USER_ITEMS, min_user_items: int = MIN_USER_ITEMS,
                        window_size: int = WINDOW_SIZE, block: int = DEFAULT_BLOCK,
-                       item_bucket: int = ITEM_BUCKET, whitelist: DataFrame | None = None) -> DataFrame:
+                       rows_per_task: int | None = None, whitelist: DataFrame | None = None) -> DataFrame:
     """CF1: per (day,) user: pair counts inside a sliding window of clicks.
 
     Clicks are chosen and numbered by :func:`ranked_clicks`; each click pairs
@@ -78,7 +76,7 @@ def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: s
     dkeys = [day_col] if day_col else []
     keys = dkeys + [user_col]
     c = ranked_clicks(clicks, keys, item_col=item_col, ts_col=ts_col, weight_col=weight_col,
-                      max_user_items=max_user_items, min_user_items=min_user_items, item_bucket=item_bucket)
+                      max_user_items=max_user_items, min_user_items=min_user_items, rows_per_task=rows_per_task)
     if whitelist is not None:
         c = c.join(whitelist.select("item"), "item", "left_semi")
     own = c.groupBy(*dkeys, F.col("item").alias("vi")).agg(F.sum(F.col("w") * F.col("w")).alias("weight")) \

@@ -6,16 +6,18 @@ or session cannot pin its whole quadratic fan-out on one task:
 
 * :func:`window_pairs`   positional sliding window inside a ranked list (WN1)
 * :func:`group_pairs`    all unordered member pairs of a group (JN12)
-* :func:`sequence_index` dense 1..n position inside a group, computed in time
-  buckets so a hot group is numbered by many tasks
 * :func:`next_pairs`     consecutive elements (lead 1, WN2) as a join on rn+1
+
+Positions come from :func:`coclick.operators.positions.numbered`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coclick.operators.skew import split_join
+
 # Rows per block.  A join key then holds at most about BLOCK x BLOCK candidate
 # pairs, whatever the size of the group it came from.
 DEFAULT_BLOCK = 2048
@@ -54,7 +56,7 @@ def window_pairs(ranked: DataFrame, group_cols: list[str], pos_col: str, size_co
 
 def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
                 min_size: int = 2, max_size: int | None = None, block: int = DEFAULT_BLOCK,
-                carry: list[str] | None = None) -> DataFrame:
+                carry: list[str] | None = None, rows_per_piece: int | None = None) -> DataFrame:
     """JN12: every unordered pair ``a < b`` of distinct members of each group.
 
     ``members`` must be distinct on (group, member).  Groups outside
@@ -62,7 +64,8 @@ def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
     into ``s = ceil(n / block)`` hash blocks; the pair (a, b) is produced under
     the key (group, block(a), block(b)) exactly once, so each join key holds at
     most ~block x block pairs.  Small groups (s = 1) are a plain self-join.
-    Group sizes come from a partial (map-side combined) count.
+    Group sizes come from a partial (map-side combined) count;
+    groups of more than ``rows_per_piece`` members meet theirs in several tasks.
     """
     carry = carry or []
     sizes = members.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
@@ -70,8 +73,8 @@ def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
     if max_size is not None:
         cond = cond & (F.col("__n") <= max_size)
     sizes = sizes.where(cond).select(*group_cols, F.ceil(F.col("__n") / block).cast("bigint").alias("__s"))
-    # one size row per group: AQE splits the members of a hot group over tasks in this join
-    m = members.join(sizes, on=group_cols, how="inner") \
+    # one size row per group; the members of a heavy group are dealt to several tasks
+    m = split_join(members, sizes, group_cols, rows_per_piece=rows_per_piece, split_right=False) \
         .withColumn("__b", F.pmod(F.xxhash64(F.col(member_col)), F.col("__s")))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__s") - 1))
     left = m.select(*group_cols, F.col(member_col).alias("a"), *[F.col(c).alias(f"{c}_a") for c in carry],
@@ -82,40 +85,6 @@ def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
         .where(F.col("a") < F.col("b")).drop("__ba", "__bb")
 
 
-def time_bucket(df: DataFrame, ts_col: str) -> Column:
-    """A bucket that never decreases with ``ts``: the hour for timestamps and
-    dates, ``floor(ts / 3600)`` for numeric times (epoch seconds or any unit)."""
-    t = dict(df.dtypes)[ts_col]
-    if t.startswith("timestamp"):
-        return F.date_trunc("hour", F.col(ts_col))
-    if t == "date":
-        return F.col(ts_col)
-    return F.floor(F.col(ts_col) / 3600)
-
-
-def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list, bucket: Column,
-                   pos_col: str = "pos", size_col: str | None = None) -> DataFrame:
-    """Dense 1-based position of each row inside its group, by ``order_cols``
-    (and the group's size as ``size_col`` if asked for).
-
-    ``bucket`` must be non-decreasing in the order (e.g. the hour of the
-    timestamp).  Positions are numbered inside (group, bucket) and shifted by
-    the row count of the earlier buckets, so a hot group is spread over its
-    buckets instead of one window task.  The offset window runs over one row
-    per (group, bucket).
-    """
-    d = df.withColumn("__bk", bucket)
-    counts = d.groupBy(*group_cols, "__bk").agg(F.count(F.lit(1)).alias("__c"))
-    w_off = Window.partitionBy(*group_cols).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
-    size = [F.sum("__c").over(Window.partitionBy(*group_cols)).alias(size_col)] if size_col else []
-    offsets = counts.select(*group_cols, "__bk", F.coalesce(F.sum("__c").over(w_off), F.lit(0)).alias("__off"), *size)
-    w_in = Window.partitionBy(*group_cols, "__bk").orderBy(*order_cols)
-    numbered = d.withColumn("__rn", F.row_number().over(w_in))
-    return numbered.join(offsets, on=[*group_cols, "__bk"], how="inner") \
-        .withColumn(pos_col, (F.col("__off") + F.col("__rn")).cast("bigint")) \
-        .drop("__bk", "__rn", "__off")
-
-
 def next_pairs(indexed: DataFrame, group_cols: list[str], value_col: str, pos_col: str = "pos") -> DataFrame:
     """WN2: (value at pos, value at pos+1) inside each group, as an equi-join."""
     a = indexed.select(*group_cols, (F.col(pos_col) + 1).alias("__p"), F.col(value_col).alias("a"))

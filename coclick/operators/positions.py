@@ -10,6 +10,9 @@ broadcast of at most that many rows.
 
 The numbered rows are written once before the prefix sums are taken, so a
 repeated task cannot meet other splitters.
+
+:func:`numbered` is the plain front: keys that fit a task go through one window,
+only keys that a frequent-items summary measures as larger take the way above.
 """
 
 from __future__ import annotations
@@ -20,10 +23,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coclick.operators.skew import heavy_keys
 from coclick.session import ship_package, stored
 
 _HEAD_RUN, _FIRST, _LAST = 1, 2, 4
@@ -187,3 +191,36 @@ def running(df: DataFrame, keys: list[str], order: list[str], sums: list[str] |
     if drop_alone:
         fixed = fixed.where("shared_prev > 0 or shared_next > 0")
     return fixed.select(*columns, *added)
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], pos_col: str = "pos", size_col: str | None = None, *,
+             rows_per_task: int | None = None, parts: int | None = None) -> DataFrame:
+    """``df`` with the dense 1-based position of each row inside its key, and the key's size if asked for.
+
+    Keys of more than ``rows_per_task`` rows (default: those of an average task,
+    see :func:`heavy_keys`) are numbered by :func:`running`, all others by a
+    window; without such a key the plan is that window alone.  ``order`` are
+    columns, nulls first; ties should only be left among equal rows.
+    """
+    key = Window.partitionBy(*keys)
+    counted = {pos_col: F.row_number().over(key.orderBy(*order)).cast("bigint")}
+    if size_col:
+        counted[size_col] = F.count(F.lit(1)).over(key)
+    heavy = heavy_keys(df, keys, rows_per_task)
+    if not heavy:
+        return df.withColumns(counted)
+    spark = df.sparkSession
+    named = F.broadcast(spark.createDataFrame([(h,) for h in heavy], "__h long"))
+    hashed = df.withColumn("__h", F.xxhash64(*keys))
+    light = hashed.join(named, "__h", "left_anti").drop("__h").withColumns(counted)
+    ranged = running(hashed.join(named, "__h", "left_semi").drop("__h"), keys, order, parts=parts)
+    ranged = ranged.withColumnRenamed("pos", pos_col) if pos_col != "pos" else ranged
+    if size_col:
+        # one row per heavy key
+        last = ranged.where(F.col("shared_next") < len(keys)).select(
+            *[F.col(k).alias(f"__{k}") for k in keys], F.col(pos_col).alias(size_col))
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+        ranged = ranged.join(F.broadcast(last), same)
+    return light.unionByName(ranged.select(*light.columns))

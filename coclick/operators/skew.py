@@ -35,18 +35,30 @@ def heavy_keys(df: DataFrame, on: list[str], rows_per_piece: int | None = None,
     return {r["item"]: -(-r["count"] // share) for r in summary["top"] or [] if r["count"] > share}
 
 
+def heavy_from_sizes(sizes: DataFrame, on: list[str], size_col: str, rows_per_piece: int,
+                     tracked: int = TRACKED) -> dict[int, int]:
+    """{hash of the key: pieces} where a table already holds one row per key with its (expected) number of rows."""
+    top = sizes.where(F.col(size_col) > rows_per_piece).select(F.xxhash64(*on).alias("h"), F.col(size_col).alias("n")) \
+        .orderBy(F.desc("n"), "h").limit(tracked // 4).collect()
+    return {r["h"]: int(-(-r["n"] // rows_per_piece)) for r in top}
+
+
 def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-               rows_per_piece: int | None = None, split_right: bool = True, least_rows: int = LEAST_ROWS) -> DataFrame:
+               rows_per_piece: int | None = None, split_right: bool = True, least_rows: int = LEAST_ROWS,
+               heavy_left: dict[int, int] | None = None, by: list[str] | None = None) -> DataFrame:
     """``left.join(right, on, how)`` with heavy keys split; ``how`` is inner, left or left_semi.
 
     Rows of a heavy key are dealt by a hash of all their columns, so a repeated
     task deals them the same way.  Only in inner joins is the right side split as
     well (``split_right``); in the others a left row meets all its partners in one task.
+    ``heavy_left`` gives the left side's pieces if they are known; ``by`` names the
+    columns of ``on`` that those keys are of.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"how is inner, left or left_semi, not {how}")
-    heavy_left = heavy_keys(left, on, rows_per_piece, least_rows=least_rows)
-    heavy_right = heavy_keys(right, on, rows_per_piece, least_rows=least_rows) if split_right and how == "inner" else {}
+    if heavy_left is None:
+        heavy_left = heavy_keys(left, by or on, rows_per_piece, least_rows=least_rows)
+    heavy_right = heavy_keys(right, by or on, rows_per_piece, least_rows=least_rows) if split_right and how == "inner" else {}
     named = sorted({*heavy_left, *heavy_right})
     if not named:
         return left.join(right, on, how)
@@ -55,7 +67,7 @@ def split_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inn
         [(h, heavy_left.get(h, 1), heavy_right.get(h, 1)) for h in named], "__h long, __l long, __r long"))
 
     def dealt(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
-        d = df.withColumn("__h", F.xxhash64(*on)).join(pieces, "__h", "left")
+        d = df.withColumn("__h", F.xxhash64(*(by or on))).join(pieces, "__h", "left")
         many = F.coalesce(F.col(other), F.lit(1).cast("long"))
         return d.withColumns({
             own_salt: F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.lit("deal")),

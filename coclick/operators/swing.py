@@ -9,7 +9,9 @@ c_uv row is dropped (inner join), as in the reference ("approx1").
 Plan notes: the item-pair paths are filtered by the whitelist and reduced to
 pairs with at least two users *before* the user pairs are generated, which
 Catalyst would not do by itself; every pair generation is a blocked equi-join
-(:func:`coclick.operators.pairs.group_pairs`).
+(:func:`coclick.operators.pairs.group_pairs`).  User weights ride along with the
+clicks, so the paths -- the largest table -- are joined once, with the user-pair
+counts; user pairs that share very many items are split there by their size.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coclick.operators.pairs import DEFAULT_BLOCK, group_pairs, symmetrise
+from coclick.operators.skew import heavy_from_sizes, split_join
 from coclick.operators.topk import rank_key, top_k_by_key
+from coclick.session import stored
 from coclick.sources.clicks import latest_partition
 from coclick.functions.text import score_pairs_text
 
@@ -28,6 +32,7 @@ MAX_ITEM_USERS = 1000   # ... and at most 1000
 ALPHA = 1.0             # smoothing in 1 / (alpha + c_uv)
 LIST_K = 200            # list length
 CASE_K = 100            # neighbours in the case report
+PATHS_PER_PIECE = 1_000_000   # paths of one user pair that meet its count in one task
 
 
 def user_item(clicks: DataFrame, user_col: str = "user", item_col: str = "item",
@@ -40,12 +45,17 @@ def user_item(clicks: DataFrame, user_col: str = "user", item_col: str = "item",
 
 def item_pair_users(ui: DataFrame, day_col: str | None = None, block: int = DEFAULT_BLOCK,
                     assume_distinct: bool = False) -> DataFrame:
-    """SW2: per (day,) user with >= 2 distinct items, every item pair i < j -> (itemi, itemj, user)."""
+    """SW2: per (day,) user with >= 2 distinct items, every item pair i < j -> (itemi, itemj, user).
+
+    A ``user_weight`` column of ``ui`` (a function of the user) rides along.
+    """
     keys = [day_col] if day_col else []
-    d = ui.select(*keys, "user", "item")
+    carry = [c for c in ("user_weight",) if c in ui.columns]
+    d = ui.select(*keys, "user", "item", *carry)
     d = d if assume_distinct else d.distinct()
-    p = group_pairs(d, [*keys, "user"], "item", min_size=2, block=block)
-    return p.select(*keys, F.col("a").alias("itemi"), F.col("b").alias("itemj"), "user")
+    p = group_pairs(d, [*keys, "user"], "item", min_size=2, block=block, carry=carry)
+    return p.select(*keys, F.col("a").alias("itemi"), F.col("b").alias("itemj"), "user",
+                    *[F.col(f"{c}_a").alias(c) for c in carry])
 
 
 def user_pair_counts(ui: DataFrame, day_col: str | None = None, min_users: int = MIN_ITEM_USERS,
@@ -75,32 +85,41 @@ def item_pair_user_pairs(ipu: DataFrame, whitelist: DataFrame | None = None,
     reference's later filter, far fewer paths).  Pairs with one user give
     nothing and are dropped by the size filter before the join.  ``dedupe``
     removes repeats of (pair, user) across days; a single-window input is
-    already distinct and can skip that shuffle.
+    already distinct and can skip that shuffle.  A ``user_weight`` column gives
+    each path its two users' weights ``uiw``, ``ujw``.
     """
-    d = ipu.select("itemi", "itemj", "user")
+    carry = [c for c in ("user_weight",) if c in ipu.columns]
+    d = ipu.select("itemi", "itemj", "user", *carry)
     if whitelist is not None:
         wl = whitelist.select(F.col("item").alias("__w"))
         d = d.join(wl, F.col("itemi") == F.col("__w"), "left_semi") \
             .join(wl, F.col("itemj") == F.col("__w"), "left_semi")
     if dedupe:
         d = d.distinct()
-    p = group_pairs(d, ["itemi", "itemj"], "user", min_size=2, block=block)
-    return p.select("itemi", "itemj", F.col("a").alias("ui"), F.col("b").alias("uj"))
+    p = group_pairs(d, ["itemi", "itemj"], "user", min_size=2, block=block, carry=carry)
+    weights = [F.col(f"user_weight_{x}").alias(n) for x, n in (("a", "uiw"), ("b", "ujw"))] if carry else []
+    return p.select("itemi", "itemj", F.col("a").alias("ui"), F.col("b").alias("uj"), *weights)
 
 
-def swing_scores(paths: DataFrame, u2u: DataFrame, uweights: DataFrame, whitelist: DataFrame | None = None,
-                 alpha: float = ALPHA) -> DataFrame:
-    """SW6: (itemi, itemj, swing_score), both directions."""
+def swing_scores(paths: DataFrame, u2u: DataFrame, uweights: DataFrame | None = None,
+                 whitelist: DataFrame | None = None, alpha: float = ALPHA,
+                 heavy: dict[int, int] | None = None) -> DataFrame:
+    """SW6: (itemi, itemj, swing_score), both directions.
+
+    ``uweights`` is needed unless the paths carry ``uiw`` and ``ujw``; ``heavy``
+    are the pieces of the user pairs with very many paths (:func:`heavy_from_sizes`).
+    """
     if whitelist is not None:
         wl = whitelist.select(F.col("item").alias("__w"))
         paths = paths.join(wl, F.col("itemi") == F.col("__w"), "left_semi") \
             .join(wl, F.col("itemj") == F.col("__w"), "left_semi")
     # paths meet their user-pair counts first (paths are far fewer than user
     # pairs), then pick up the two user weights; same inner-join result.
-    uw = uweights.select("user", "weight")
-    p = paths.select("itemi", "itemj", "ui", "uj").join(u2u.select("ui", "uj", "weight"), ["ui", "uj"]) \
-        .join(uw.select(F.col("user").alias("ui"), F.col("weight").alias("uiw")), "ui") \
-        .join(uw.select(F.col("user").alias("uj"), F.col("weight").alias("ujw")), "uj")
+    p = split_join(paths, u2u.select("ui", "uj", "weight"), ["ui", "uj"], split_right=False, heavy_left=heavy or {})
+    if not {"uiw", "ujw"} <= set(paths.columns):
+        uw = uweights.select("user", F.col("weight").alias("__uw"))
+        p = p.join(uw.select(F.col("user").alias("ui"), F.col("__uw").alias("uiw")), "ui") \
+            .join(uw.select(F.col("user").alias("uj"), F.col("__uw").alias("ujw")), "uj")
     per_path = p.select("itemi", "itemj", (F.col("uiw") * F.col("ujw") / (F.lit(alpha) + F.col("weight"))).alias("s"))
     one_way = per_path.groupBy("itemi", "itemj").agg(F.sum("s").alias("swing_score"))
     return symmetrise(one_way, ["itemi"], ["itemj"], ["itemi"], ["itemj"], keep=["swing_score"])
@@ -115,16 +134,24 @@ def swing_from_clicks(ui: DataFrame, whitelist: DataFrame | None = None, day_col
     user weights and user-pair counts still see every item.
     """
     keys = [day_col] if day_col else []
-    # three branches read the deduplicated clicks: pass a persisted or stored table (``assume_distinct``)
-    # and the source is read and deduplicated once
+    # three branches read the deduplicated clicks, with their users' weights: written once
     ud = ui.select(*keys, "user", "item")
     ud = ud if assume_distinct else ud.distinct()
+    weights = user_weights(ud, assume_distinct=day_col is None)
+    ud = stored(split_join(ud, weights.withColumnRenamed("weight", "user_weight"), ["user"], split_right=False),
+                "swing-clicks")
     pair_src = ud if whitelist is None else ud.join(whitelist.select("item"), "item", "left_semi")
     ipu = item_pair_users(pair_src, day_col, assume_distinct=True)
     paths = item_pair_user_pairs(ipu, dedupe=day_col is not None)
     u2u = user_pair_counts(ud, day_col, assume_distinct=True)
-    uw = user_weights(ud, assume_distinct=day_col is None)
-    return swing_scores(paths, u2u, uw, None, alpha)
+    # two users share at most the items of the smaller: only then can a pair have too many paths for a task
+    most = ud.agg(F.min("user_weight")).first()[0]
+    heavy = {}
+    if most and (1 / most ** 2) ** 2 / 2 > PATHS_PER_PIECE:
+        u2u = stored(u2u, "swing-user-pairs")
+        heavy = heavy_from_sizes(u2u.withColumn("paths", (F.col("weight") * (F.col("weight") - 1) / 2).cast("bigint")),
+                                 ["ui", "uj"], "paths", PATHS_PER_PIECE)
+    return swing_scores(paths, u2u, alpha=alpha, heavy=heavy)
 
 
 def swing_lists(scores: DataFrame, k: int = LIST_K, score_col: str = "swing_score") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coclick.operators.pairs import DEFAULT_BLOCK, group_pairs, symmetrise
+from coclick.operators.skew import split_join
 from coclick.operators.topk import rank_key, top_k_by_key
 
 # Fixed values of the reference's user-CF job.
@@ -63,7 +64,8 @@ def user_cf_recommend(sim: DataFrame, hist: DataFrame, cap: int = LIST_CAP) -> D
     Returns (user, rank, item, value).
     """
     h = hist.groupBy(F.col("user").alias("u2"), "item").agg(F.sum("weight").alias("cnt"))
-    v = sim.select("u1", "u2", "score").join(h, "u2") \
+    # neighbours of very many users and their histories are split by their size (JN10)
+    v = split_join(sim.select("u1", "u2", "score"), h, ["u2"], split_right=False) \
         .groupBy("u1", "item").agg(F.sum(F.col("score") * F.col("cnt")).alias("value"))
     return top_k_by_key(v, ["u1"], [rank_key("value"), F.col("item").cast("string")], cap) \
         .select(F.col("u1").alias("user"), "rank", "item", "value")
@@ -87,7 +89,8 @@ def recommend_from_histories(hist: DataFrame, cap: int | None = LIST_CAP) -> Dat
     matrix = h.select("user", F.col("item").alias("j")) \
         .join(h.select("user", "item", (F.col("cnt") / F.sqrt("n")).alias("part")), "user") \
         .groupBy("j", "item").agg(F.sum("part").alias("m"), F.count(F.lit(1)).alias("paths"))
-    reached = h.select("user", F.col("item").alias("j"), "n").join(matrix, "j") \
+    # users of a popular item are dealt to several tasks
+    reached = split_join(h.select("user", F.col("item").alias("j"), "n"), matrix, ["j"], split_right=False) \
         .groupBy("user", "item", "n").agg(F.sum("m").alias("m"), F.sum("paths").alias("paths"))
     v = reached.join(own, ["user", "item"], "left") \
         .where(F.col("paths") - F.when(F.col("cnt").isNotNull(), F.col("n")).otherwise(0) > 0) \

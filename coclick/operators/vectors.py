@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coclick.functions.vectors import l2_normalize
-from coclick.operators.pairs import sequence_index, time_bucket
+from coclick.operators.positions import numbered
 from coclick.session import ship_package
 from coclick.operators.topk import RANK_DIGITS, top_k_by_key
 
@@ -236,7 +236,7 @@ def session_sentences(clicks: DataFrame, session_cols: list[str], item_col: str
     # total order up to identical rows, so a retried task numbers ties the same way
     order = [ts_col] + ([tiebreak] if tiebreak else []) + [item_col]
     d = clicks.select(*session_cols, *dict.fromkeys([item_col, *order])).na.drop(subset=[*session_cols, item_col, ts_col])
-    idx = sequence_index(d, session_cols, order, time_bucket(d, ts_col))
+    idx = numbered(d, session_cols, list(dict.fromkeys(order)))
     idx = idx.withColumn("chunk", F.floor((F.col("pos") - 1) / max_len).cast("bigint"))
     g = idx.groupBy(*session_cols, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("pos", F.col(item_col).cast("string").alias("tok")))).alias("__l"))

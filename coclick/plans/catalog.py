@@ -46,7 +46,7 @@ def itemcf_daily(spark, sf):
 
 def itemcf_capped(spark, sf):
     """CF1 where the caps bind: 20 clicks a user, a window of 3."""
-    d = itemcf.daily_cooccurrence(T.copurchase(spark, sf), max_user_items=20, window_size=3, item_bucket=64)
+    d = itemcf.daily_cooccurrence(T.copurchase(spark, sf), max_user_items=20, window_size=3, rows_per_task=200)
     return d.select("vi", "vj", _r("weight"))
 
 

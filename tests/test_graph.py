@@ -5,7 +5,8 @@ from pyspark.sql import Window
 
 from coclick.functions.hashing import balanced_draws, floyd_sample
 from coclick.functions.text import array_text, nested_array_text
-from coclick.operators import graph, pairs
+from coclick.operators import graph
+from coclick.operators.positions import numbered
 from support import rows
 
 
@@ -16,13 +17,13 @@ def test_f4_session_edges(spark):
     assert rows(e, "va", "vb", "w") == [(5, 7, 1.0), (7, 5, 1.0), (7, 9, 1.0), (9, 7, 1.0)]
 
 
-def test_sequence_index_matches_window(spark):
+def test_positions_of_a_hot_session_match_window(spark):
     # one hot session spread over many hours plus small ones
     data = [("hot", (i * 37) % 1000, i * 600 + (i % 3)) for i in range(500)] + \
            [(f"s{j}", j, j * 10) for j in range(20)]
     df = spark.createDataFrame(data, "session string, item bigint, ts bigint").withColumn("eid", F.col("ts")) \
         .withColumn("ts", F.timestamp_seconds("ts"))
-    idx = pairs.sequence_index(df, ["session"], ["ts", "eid"], F.date_trunc("hour", "ts"))
+    idx = numbered(df, ["session"], ["ts", "eid"], rows_per_task=50)
     ref = df.withColumn("pos", F.row_number().over(Window.partitionBy("session").orderBy("ts", "eid")))
     assert rows(idx, "session", "eid", "pos") == rows(ref, "session", "eid", "pos")
 

@@ -3,7 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from coclick.operators import itemcf, swing
+from coclick.operators import graph, itemcf, swing
 from coclick.sources import testdata as T
 from support import SF_SMALL
 
@@ -53,7 +53,28 @@ def test_swing_pairs_with_hot_user_match_sql(spark):
     assert got_u2u == [tuple(int(x) for x in r) for r in want_u2u]
 
 
-def test_itemcf_item_buckets_equal_default(spark):
+def test_itemcf_split_users_equal_default(spark):
     a = itemcf.daily_cooccurrence(hot_clicks(spark), max_user_items=300, window_size=20)
-    b = itemcf.daily_cooccurrence(hot_clicks(spark), max_user_items=300, window_size=20, item_bucket=64)
+    b = itemcf.daily_cooccurrence(hot_clicks(spark), max_user_items=300, window_size=20, rows_per_task=40)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_swing_scores_with_split_user_pairs(spark, monkeypatch):
+    want = {(r.itemi, r.itemj): r.swing_score for r in swing.swing_from_clicks(swing.user_item(hot_clicks(spark))).collect()}
+    monkeypatch.setattr(swing, "PATHS_PER_PIECE", 5)
+    got = {(r.itemi, r.itemj): r.swing_score for r in swing.swing_from_clicks(swing.user_item(hot_clicks(spark))).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_hop_samples_with_split_centres(spark):
+    edges = spark.range(400).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id % 40 END AS va", "id % 37 + 100 AS vb") \
+        .distinct().withColumn("w", F.lit(9.0))
+    edges = edges.unionByName(edges.selectExpr("vb AS va", "va AS vb", "w"))
+    labels = edges.where("va = 1 or va = 5").withColumn("w", F.lit(30.0))
+    adj = graph.adjacency(edges)
+    ctx = graph.label_contexts(labels)
+    plain = graph.hop2_samples(graph.hop1_samples(ctx, adj), adj)
+    split = graph.hop2_samples(graph.hop1_samples(ctx, adj, rows_per_piece=20), adj, rows_per_piece=20)
+    assert "__a" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert "__a" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)
