@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coclick.operators import gnn, graph, itemcf, lookup, rerank, swing, topk, usercf, vectors
+from coclick.operators import gnn, graph, itemcf, lookup, neighbour_graph, rerank, swing, topk, usercf, vectors
 from coclick.sources import clicks as C
 from coclick.plans import params as P
 from coclick.sources import testdata as T
@@ -359,6 +359,20 @@ def knn_recall_seeded(spark, sf):
     return vectors.recall_at_k(approx, vectors.knn_exact(e, e, P.KNN_K, "cosine")).select(_r("recall"), "queries")
 
 
+def knn_graph(spark, sf):
+    """VEC3: queries with an id divisible by 50 through the neighbour graph of all vectors."""
+    e = T.embeddings(spark, sf)
+    return neighbour_graph.knn_graph(e.where("id % 50 = 0"), e, P.KNN_K, "l2").select("qid", "rank", "cid", _r("dist"))
+
+
+def knn_graph_recall(spark, sf):
+    """Whether the graph search finds at least 0.95 of the true neighbours (VEC2) of those queries."""
+    e = T.embeddings(spark, sf)
+    q = e.where("id % 50 = 0")
+    found = vectors.recall_at_k(neighbour_graph.knn_graph(q, e, P.KNN_K, "cosine"), vectors.knn_exact(q, e, P.KNN_K, "cosine"))
+    return found.select("queries", (F.col("recall") >= 0.95).alias("recall_095"))
+
+
 def knn_recall(spark, sf):
     e = T.embeddings(spark, sf)
     approx = vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=16, n_probe=4, seed=P.SEED)
@@ -512,6 +526,8 @@ QUERIES: dict[str, Query] = {
     "knn_ivf_seeded": knn_ivf_seeded,
     "knn_recall_seeded": knn_recall_seeded,
     "knn_recall": knn_recall,
+    "knn_graph": knn_graph,
+    "knn_graph_recall": knn_graph_recall,
     "item2vec": item2vec,
     "item2vec_facts": item2vec_facts,
     "similar_items": similar_items,
