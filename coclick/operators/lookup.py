@@ -6,6 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coclick.operators.skew import split_join
+
+#: Largest dictionary that is sent to all tasks.
+BROADCAST_BYTES = 64 << 20
 TOKEN_PATTERN = "[ \\t\\n\\r]+"
 
 
@@ -23,12 +27,22 @@ def dictionary_match(words: DataFrame, dictionary: DataFrame, word_col: str = "w
 
 
 def match_counts(docs: DataFrame, dict_docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 dict_text_col: str = "text") -> DataFrame:
+                 dict_text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per document: number of tokens and number found in the dictionary
-    built from the tokens of ``dict_docs``.  Returns (doc_id, n_words, n_matched)."""
-    t = tokens(docs, id_col, text_col).groupBy("id", "word").agg(F.count(F.lit(1)).alias("n"))
+    built from the tokens of ``dict_docs``.  Returns (doc_id, n_words, n_matched).
+
+    The token stream meets the distinct dictionary and is summed per document
+    inside each task.  Dictionaries of at most ``broadcast_bytes`` travel to the
+    tokens; for larger ones each document's distinct words travel, with their counts.
+    """
+    t = tokens(docs, id_col, text_col)
     dwords = dict_docs.select(F.explode(F.split(F.col(dict_text_col), TOKEN_PATTERN)).alias("word")) \
         .where(F.length("word") > 0).distinct().withColumn("known", F.lit(1))
-    return t.join(dwords, "word", "left").groupBy("id").agg(
+    size = dwords.agg(F.coalesce(F.sum(F.octet_length("word") + 64), F.lit(0))).first()[0]
+    if size <= broadcast_bytes:
+        counted = t.select("id", "word", F.lit(1).alias("n")).join(F.broadcast(dwords), "word", "left")
+    else:
+        counted = split_join(t.groupBy("id", "word").agg(F.count(F.lit(1)).alias("n")), dwords, ["word"], "left")
+    return counted.groupBy("id").agg(
         F.sum("n").alias("n_words"), F.sum(F.when(F.col("known") == 1, F.col("n")).otherwise(0)).alias("n_matched")) \
         .select(F.col("id").alias(id_col), "n_words", "n_matched")

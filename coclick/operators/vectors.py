@@ -8,9 +8,10 @@ a ``row_number() <= k`` over the tile results (WindowGroupLimit) gives the
 global top-k.  Memory per task is bounded by the block size, not the data.
 
 Approximate kNN replaces the reference's single-machine HNSW index with an
-IVF index that Spark can build and query in parallel: Spark ML KMeans cuts the
-corpus into lists, each query probes its ``n_probe`` nearest lists, and
-candidates are re-ranked exactly with the same tiled kernel per list.
+IVF index that Spark can build and query in parallel: hashed corpus vectors (or
+given centroids) cut the corpus into lists, each query probes its ``n_probe``
+nearest lists, and candidates are re-ranked exactly with the same tiled kernel per
+list.  :mod:`coclick.operators.neighbour_graph` searches without lists.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from coclick.functions.vectors import l2_normalize
 from coclick.operators.positions import numbered
-from coclick.session import ship_package
+from coclick.session import ship_package, stored
 from coclick.operators.topk import RANK_DIGITS, top_k_by_key
 
 SPACES = ("cosine", "l2", "ip")
@@ -92,7 +93,7 @@ def _tiled_topk(queries: DataFrame, corpus: DataFrame, k: int, space: str, block
     q = queries.select(*g, F.col("id").cast("bigint").alias("id"), F.col("vec"))
     c = corpus.select(*g, F.col("id").cast("bigint").alias("id"), F.col("vec"))
     if g:
-        # group sizes are read off the persisted inputs (one row per group: the lists of a bounded index)
+        # group sizes are read off the written inputs (one row per group: the lists of a bounded index)
         blocks = {name: {r[g[0]]: -(-r["count"] // block) for r in side.groupBy(*g).count().collect()}
                   for name, side in (("__nq", q), ("__nc", c))}
         both = sorted(set(blocks["__nq"]) & set(blocks["__nc"]))
@@ -171,9 +172,11 @@ def ivf_search(queries: DataFrame, corpus: DataFrame, centres: np.ndarray, k: in
 
     ship_package(queries.sparkSession)
     probe = int(min(n_probe, len(centres)))
-    # persisted: the lists are assigned once for the group sizes and the search
-    cx = corpus.select("id", "vec", nearest(1)(F.col("vec").cast("array<double>"))[0].alias("list")).persist()
-    qx = queries.select("id", "vec", F.explode(nearest(probe)(F.col("vec").cast("array<double>"))).alias("list")).persist()
+    # written: the lists are assigned once for the group sizes and the search
+    cx = stored(corpus.select("id", "vec", nearest(1)(F.col("vec").cast("array<double>"))[0].alias("list")),
+                "ivf-corpus")
+    qx = stored(queries.select("id", "vec", F.explode(nearest(probe)(F.col("vec").cast("array<double>"))).alias("list")),
+                "ivf-queries")
     cand = _tiled_topk(qx, cx, k, space, block, group_cols=["list"])
     return top_k_by_key(cand, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from coclick.operators import gnn, graph, itemcf, lookup, neighbour_graph, rerank, swing, topk, usercf, vectors
 from coclick.sources import clicks as C
 from coclick.plans import params as P
+from coclick.session import stored
 from coclick.sources import testdata as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,12 +207,12 @@ def graph_hop2(spark, sf):
 
 
 def g_shared(spark, sf):
-    """(label edges, adjacency): daily edges and adjacency are built once and kept for their several uses."""
-    daily = g_daily(spark, sf).persist()
+    """(label edges, adjacency): daily edges and adjacency are written once for their several uses."""
+    daily = stored(g_daily(spark, sf), "daily-edges")
     merged = graph.merge_edges(daily, whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE),
                                day_col="day", day=P.DAY, n_days=P.MERGE_DAYS)
     labels = daily.where(F.col("day") == F.lit(P.DAY).cast("date")).select("va", "vb", "w")
-    return labels, graph.adjacency(merged, edge_thre=P.EDGE_THRE).persist()
+    return labels, stored(graph.adjacency(merged, edge_thre=P.EDGE_THRE), "adjacency")
 
 
 def graph_training_rows(spark, sf):
@@ -335,7 +336,7 @@ def _knn(space):
 
 def knn_approx(spark, sf):
     e = T.embeddings(spark, sf)
-    return vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=16, n_probe=4, seed=P.SEED) \
+    return vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=P.N_LISTS, n_probe=P.N_PROBE, seed=P.SEED) \
         .select("qid", "rank", "cid", _r("dist"))
 
 
@@ -348,14 +349,14 @@ def knn_ivf_all_lists(spark, sf):
 def knn_ivf_seeded(spark, sf):
     """IVF search with partial probing (8 of 16 lists) over MD5-seeded centroids."""
     e = T.embeddings(spark, sf)
-    centres = vectors.seed_centres(e, 16, "cosine", P.SEED)
-    return vectors.ivf_search(e, e, centres, P.KNN_K, "cosine", n_probe=8).select("qid", "rank", "cid", _r("dist"))
+    centres = vectors.seed_centres(e, P.N_LISTS, "cosine", P.SEED)
+    return vectors.ivf_search(e, e, centres, P.KNN_K, "cosine", n_probe=P.N_PROBE_WIDE).select("qid", "rank", "cid", _r("dist"))
 
 
 def knn_recall_seeded(spark, sf):
     """recall@k of the seeded IVF search (8 of 16 lists) against the exact kNN."""
     e = T.embeddings(spark, sf)
-    approx = vectors.ivf_search(e, e, vectors.seed_centres(e, 16, "cosine", P.SEED), P.KNN_K, "cosine", n_probe=8)
+    approx = vectors.ivf_search(e, e, vectors.seed_centres(e, P.N_LISTS, "cosine", P.SEED), P.KNN_K, "cosine", n_probe=P.N_PROBE_WIDE)
     return vectors.recall_at_k(approx, vectors.knn_exact(e, e, P.KNN_K, "cosine")).select(_r("recall"), "queries")
 
 
@@ -375,7 +376,7 @@ def knn_graph_recall(spark, sf):
 
 def knn_recall(spark, sf):
     e = T.embeddings(spark, sf)
-    approx = vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=16, n_probe=4, seed=P.SEED)
+    approx = vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=P.N_LISTS, n_probe=P.N_PROBE, seed=P.SEED)
     return vectors.recall_at_k(approx, vectors.knn_exact(e, e, P.KNN_K, "cosine")).select(_r("recall"), "queries")
 
 

@@ -522,15 +522,15 @@ def sql() -> dict[str, str]:
     q["knn_graph"] = _q(knn_sql("l2", P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn WHERE qid % 50 = 0")
     q["knn_graph_recall"] = "SELECT count(*) AS queries, true AS recall_095 FROM embeddings WHERE vec_id % 50 = 0"
     q["knn_ivf_all_lists"] = q["knn_cosine"]
-    q["knn_ivf_seeded"] = _q(ivf_seeded_sql(16, 8, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
+    q["knn_ivf_seeded"] = _q(ivf_seeded_sql(P.N_LISTS, P.N_PROBE_WIDE, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
     q["knn_recall_seeded"] = _q(
-        ivf_seeded_sql(16, 8, P.KNN_K) + ",\n" + knn_sql("cosine", P.KNN_K, "exact", with_emb=False),
+        ivf_seeded_sql(P.N_LISTS, P.N_PROBE_WIDE, P.KNN_K) + ",\n" + knn_sql("cosine", P.KNN_K, "exact", with_emb=False),
         "SELECT round(avg(r), 6) + 0.0 AS recall, CAST(count(*) AS BIGINT) AS queries FROM ("
         "SELECT e.qid, count(a.cid) / count(*) AS r FROM exact e LEFT JOIN knn a ON a.qid = e.qid AND a.cid = e.cid "
         "GROUP BY e.qid)")
-    q["knn_approx"] = _q(ivf_seeded_sql(16, 4, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
+    q["knn_approx"] = _q(ivf_seeded_sql(P.N_LISTS, P.N_PROBE, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
     q["knn_recall"] = _q(
-        ivf_seeded_sql(16, 4, P.KNN_K) + ",\n" + knn_sql("cosine", P.KNN_K, "exact", with_emb=False),
+        ivf_seeded_sql(P.N_LISTS, P.N_PROBE, P.KNN_K) + ",\n" + knn_sql("cosine", P.KNN_K, "exact", with_emb=False),
         "SELECT round(avg(r), 6) + 0.0 AS recall, CAST(count(*) AS BIGINT) AS queries FROM ("
         "SELECT e.qid, count(a.cid) / count(*) AS r FROM exact e LEFT JOIN knn a ON a.qid = e.qid AND a.cid = e.cid "
         "GROUP BY e.qid)")

@@ -18,6 +18,9 @@ EDGE_THRE = 1
 SEED = "coclick"
 # kNN / vectors
 KNN_K = 10
+N_LISTS = 16
+N_PROBE = 12          # recall@10 0.916 at sf0.01, 0.926 at sf0.1
+N_PROBE_WIDE = 13     # 0.945 and 0.953
 BATCH_SIZE = 32
 EVENTS_MIN_WEIGHT = 3
 MMR_K = 20

@@ -68,3 +68,10 @@ def test_mmr_iterative_equals_grouped(spark):
     a = rows(rerank.mmr_rerank(c, v, lam=0.6, top_n=6), "query", "rank", "item")
     b = rows(rerank.mmr_rerank_iterative(c, v, lam=0.6, top_n=6), "query", "rank", "item")
     assert a == b and len(a) == 18
+
+
+def test_match_counts_either_way(spark):
+    docs = spark.createDataFrame([(1, "a b a c"), (2, ""), (3, "d d"), (4, None)], "doc_id long, text string")
+    words = spark.createDataFrame([("a d",), ("d z",), (None,)], "text string")
+    for limit in (lookup.BROADCAST_BYTES, 0):
+        assert rows(lookup.match_counts(docs, words, broadcast_bytes=limit)) == [(1, 4, 2), (3, 2, 2)]
