@@ -16,14 +16,17 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Public tokenizer file used by the registered queries.
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-MEMO_WORDS, MEMO_PIECES = 200_000, 300_000
+MEMO_WORDS, MEMO_PIECES = 400_000, 300_000
 
 _PLAIN = re.compile(r"[!-~¡-ɏ]+")
+_SIGNS = ".,;:!?"
 #: Fixed value: the tokenizer file's split pattern.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -78,6 +81,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters_are_plain = not any(s.rstrip(_SIGNS).isalpha() for s in self.special)
         self.memo_words = memo_words
         self.pieces = _Pieces(self.tokenizer.model)
         self.words = _Words(self, {})
@@ -94,6 +98,12 @@ class WordEncoder:
 
     def word(self, word: str) -> bytes:
         """Ids of a word without white space."""
+        if self.letters_are_plain and word.isascii():
+            # letters are one piece; most other words are letters and one sign
+            if word.isalpha():
+                return self.pieces[word.lower()]
+            if word[-1] in _SIGNS and word[:-1].isalpha():
+                return self.pieces[word[:-1].lower()] + self.pieces[word[-1]]
         if _PLAIN.fullmatch(word) and not any(s in word for s in self.special):
             return b"".join([self.pieces[p] for p in _PIECES.findall(word.lower())])
         return self._whole(word)
@@ -102,15 +112,25 @@ class WordEncoder:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
         if not self.by_word:
             return [self._whole(t or "") for t in texts]
-        out = []
-        for t in texts:
-            words = (t or "").replace("\n", " ").replace("\t", " ").split(" ")
-            out.append(b"".join(map(self.words.__getitem__, words)))
-            if len(self.words) > self.memo_words:
-                self.words = _Words(self, dict(self.words))
-                if len(self.pieces) > MEMO_PIECES:
-                    self.pieces.clear()
-        return out
+        column = pa.array([t or "" for t in texts], pa.large_string())
+        for space in "\n\t":
+            column = pc.replace_substring(column, space, " ")
+        lists = pc.split_pattern(column, " ")
+        # each distinct word of the batch is looked up once, then its ids are gathered to their places
+        coded = lists.flatten().dictionary_encode()
+        own = list(map(self.words.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        at = coded.indices.to_numpy()
+        count = size[at]
+        ends = np.cumsum(count)
+        shift = (np.cumsum(size) - size)[at] - (ends - count)
+        flat = np.frombuffer(b"".join(own), "<u4")[np.repeat(shift, count) + np.arange(int(count.sum()))]
+        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy()].tolist()
+        if len(self.words) > self.memo_words:
+            self.words = _Words(self, dict(self.words))
+            if len(self.pieces) > MEMO_PIECES:
+                self.pieces.clear()
+        return [flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 @lru_cache(maxsize=2)
