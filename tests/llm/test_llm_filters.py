@@ -36,40 +36,6 @@ def test_edit_probe_takes_the_next_document(messy, documents, nothing, per):
     assert fingerprint.edit_probe(nothing).collect() == []
 
 
-def omh_by_hand(text, k, keep, size):
-    """Order MinHash from its definition, on the same element hashes."""
-    if not text:
-        return [0] * size
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    kmer, _ = fingerprint._kmers(points, np.array([0, len(points)]), k)
-    seen, occ = Counter(), []
-    for h in kmer.tolist():
-        occ.append(seen[h])
-        seen[h] += 1
-    element = fingerprint.mix(kmer + fingerprint.mix(np.array(occ, np.uint64) + np.uint64(1)))
-    early = kmer < np.uint64(1 << 61)
-    out = []
-    for d in range(size):
-        rank = (element ^ fingerprint._ORDERS[0, d]) * fingerprint._ORDERS[1, d]
-        rank ^= rank >> np.uint64(32)
-        rank = (rank * fingerprint._ORDERS[0, d]) >> np.uint64(26)
-        first = sorted(range(len(kmer)), key=lambda i: (not early[i], int(rank[i]), i))[:keep]
-        chosen = sorted(first)
-        chosen += [chosen[-1]] * (keep - len(chosen))
-        h = np.full(1, keep, np.uint64)
-        for i in chosen:
-            h = fingerprint.mix(h * np.uint64(0x9E3779B97F4A7C15) + kmer[i:i + 1])
-        out.append(int(h[0] >> np.uint64(32)) | 1)
-    return out
-
-
-def test_order_minhash_equals_its_definition(texts):
-    some = ["", "a", "ab" * 40, "abcdefghijkl", "abcdefghijklm", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "né" * 9,
-            *[t[:n] for t, n in zip(list(texts.values())[:20], [30, 100, 1000, 13] * 5, strict=True)]]
-    got = fingerprint.signatures(some, size=16)
-    assert [r.tolist() for r in got] == [omh_by_hand(t, fingerprint.KMER, fingerprint.KEEP, 16) for t in some]
-
-
 def whole_by_hand(text, k, keep, size):
     """Order MinHash over every occurrence-numbered k-mer, from the definition of each order."""
     if not text:
@@ -98,10 +64,10 @@ def whole_by_hand(text, k, keep, size):
 def test_registered_fingerprints_rank_every_kmer(spark, texts):
     some = ["", "a", "ab" * 40, "abcdefghijkl", "abcdefghijklm", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "né" * 9, "",
             *[t[:n] for t, n in zip(list(texts.values())[:20], [30, 100, 1000, 13] * 5, strict=True)]]
-    got = fingerprint.signatures(some, size=19, whole=True)
+    got = fingerprint.signatures(some, size=19)
     assert [r.tolist() for r in got] == [whole_by_hand(t, fingerprint.KMER, fingerprint.KEEP, 19) for t in some]
     rows = catalog.op1_order_minhash(spark, SF).limit(200).collect()
-    want = fingerprint.signatures([texts[r["doc_id"]] for r in rows], whole=True)
+    want = fingerprint.signatures([texts[r["doc_id"]] for r in rows])
     assert [r["fingerprint"] for r in rows] == [w.astype(">u4").tobytes().hex() for w in want]
 
 
@@ -110,9 +76,16 @@ def test_one_changed_character_shows():
     a = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(1500)) for _ in range(150)]
     at = [rng.randrange(1500) for _ in a]
     b = [t[:i] + "#" + t[i + 1:] for t, i in zip(a, at, strict=True)]
-    same = [(fingerprint.signatures(a, **kw) == fingerprint.signatures(b, **kw)).all(axis=1).mean()
-            for kw in ({}, {"whole": True})]
-    assert same[1] < 0.5 * same[0], same
+    same = (fingerprint.signatures(a) == fingerprint.signatures(b)).all(axis=1).mean()
+    assert same < 0.15, same
+
+
+def test_signatures_of_edited_texts_need_no_second_look(texts):
+    some = ["", "a", "ab", "", "abcdefghijklm", "a" * 30, *list(texts.values())[:40], "x" * 70_000, "né" * 9, "z"]
+    changed = [fingerprint.edited(x, y) for x, y in zip(some, some[1:] + some[:1], strict=True)]
+    own, other = fingerprint.edit_signatures(some, changed, [len(t) - len(t) // 2 for t in some], size=24)
+    assert (own == fingerprint.signatures(some, size=24)).all()
+    assert (other == fingerprint.signatures(changed, size=24)).all()
 
 
 def test_order_matters(generator):
