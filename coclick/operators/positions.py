@@ -194,9 +194,11 @@ def running(df: DataFrame, keys: list[str], order: list[str], sums: list[str] |
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], pos_col: str = "pos", size_col: str | None = None, *,
-             rows_per_task: int | None = None, parts: int | None = None) -> DataFrame:
+             rows_per_task: int | None = None, parts: int | None = None, sums: list[str] | None = None) -> DataFrame:
     """``df`` with the dense 1-based position of each row inside its key, and the key's size if asked for.
 
+    Long columns of ``sums`` get their running sum ``<s>_upto`` inside the key.
+
     Keys of more than ``rows_per_task`` rows (default: those of an average task,
     see :func:`heavy_keys`) are numbered by :func:`running`, all others by a
     window; without such a key the plan is that window alone.  ``order`` are
@@ -204,6 +206,8 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], pos_col: str = "p
     """
     key = Window.partitionBy(*keys)
     counted = {pos_col: F.row_number().over(key.orderBy(*order)).cast("bigint")}
+    for c in sums or []:
+        counted[f"{c}_upto"] = F.sum(c).over(key.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     if size_col:
         counted[size_col] = F.count(F.lit(1)).over(key)
     heavy = heavy_keys(df, keys, rows_per_task)
@@ -213,7 +217,7 @@ def numbered(df: DataFrame, keys: list[str], order: list[str], pos_col: str = "p
     named = F.broadcast(spark.createDataFrame([(h,) for h in heavy], "__h long"))
     hashed = df.withColumn("__h", F.xxhash64(*keys))
     light = hashed.join(named, "__h", "left_anti").drop("__h").withColumns(counted)
-    ranged = running(hashed.join(named, "__h", "left_semi").drop("__h"), keys, order, parts=parts)
+    ranged = running(hashed.join(named, "__h", "left_semi").drop("__h"), keys, order, sums, parts=parts)
     ranged = ranged.withColumnRenamed("pos", pos_col) if pos_col != "pos" else ranged
     if size_col:
         # one row per heavy key

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coclick.operators import gnn, graph, itemcf, lookup, neighbour_graph, rerank, swing, topk, usercf, vectors
+from coclick.operators import gnn, graph, itemcf, lookup, neighbour_graph, rerank, simjoin, swing, topk, usercf, vectors
 from coclick.sources import clicks as C
 from coclick.plans import params as P
 from coclick.session import stored
@@ -57,6 +57,21 @@ def itemcf_short_lists(spark, sf):
     return lists.select("item", "rank", "nbr", _r("score"))
 
 
+def cp_vectors(spark, sf):
+    return simjoin.click_vectors(T.copurchase(spark, sf), T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE))
+
+
+def itemcf_bounded_lists(spark, sf):
+    """CF4 without the pairs under the floor: the rows of itemcf_short_lists."""
+    lists = simjoin.bounded_lists(cp_vectors(spark, sf), k1=1000, k2=10, min_keep=5, floor=0.2, clamp_at=0.3)
+    return lists.select("item", "rank", "nbr", _r("score"))
+
+
+def itemcf_pairs_over(spark, sf):
+    """CF3 for the pairs with a score over 0.15, from candidates that can reach it."""
+    return simjoin.similar_pairs(cp_vectors(spark, sf), 0.15).select("va", "vb", "weight", "weight_a", "weight_b", _r("score"))
+
+
 def itemcf_merged(spark, sf):
     daily = itemcf.daily_cooccurrence(T.event_clicks(spark, sf), day_col="day")
     return itemcf.merge_counts(daily, whitelist=T.part_whitelist(spark, sf, P.WHITELIST_MAX_SIZE),
@@ -485,6 +500,8 @@ QUERIES: dict[str, Query] = {
     "itemcf_lines": itemcf_lines,
     "itemcf_capped": itemcf_capped,
     "itemcf_short_lists": itemcf_short_lists,
+    "itemcf_bounded_lists": itemcf_bounded_lists,
+    "itemcf_pairs_over": itemcf_pairs_over,
     "swing_user_weight": swing_user_weight,
     "swing_u2u": swing_u2u,
     "swing_u2u_rare_items": swing_u2u_rare_items,

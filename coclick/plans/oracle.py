@@ -453,6 +453,9 @@ def sql() -> dict[str, str]:
                             "SELECT vi, vj, round(weight, 6) AS weight FROM daily")
     q["itemcf_short_lists"] = _q(",\n".join([CP_CHAIN, CF_SCORES, CF_LISTS]),
                                  "SELECT item, rank, nbr, round(score, 6) AS score FROM lists_short")
+    q["itemcf_bounded_lists"] = q["itemcf_short_lists"]
+    q["itemcf_pairs_over"] = _q(",\n".join([CP_CHAIN, CF_SCORES]),
+                                "SELECT va, vb, weight, weight_a, weight_b, round(score, 6) AS score FROM scores WHERE score > 0.15")
     sw = ",\n".join([CP, WL, SWING])
     q["swing_u2u_rare_items"] = _q(sw.replace("BETWEEN 2 AND 1000", "BETWEEN 2 AND 25"), "SELECT ui, uj, weight FROM u2u")
     q["swing_lines"] = _q(sw, "SELECT itemi, CAST(itemi AS VARCHAR) || chr(9) || "
