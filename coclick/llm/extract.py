@@ -23,9 +23,10 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,13 +34,11 @@ from pyspark.sql import functions as F
 
 from coclick.llm.store import shipped
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|iframe|textarea|title)(?=[\s/>]).*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*(?:>|\Z)"
-    r"|<[a-z][^<]*\Z"
-    r"|(?P<text>[^<]+|<)", re.S | re.I)
+_RAW = re.compile(r"<(script|style|iframe|textarea|title)(?=[\s/>])", re.I)
+_RAW_END = {n: re.compile(rf"</{n}(?=[\s/>])", re.I) for n in "script style iframe textarea title".split()}
+_NAME = re.compile(r"<(/?)[a-z]", re.I)
+_NAME_END = re.compile(r"[\s/>]")
+_SPECIAL = re.compile(r"[>\"']")
 _HIDDEN_END = re.compile(r"</(noscript|template|svg|select|object)(?=[\s/>])", re.I)
 _ATTR = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
@@ -76,13 +75,100 @@ BAD_WORDS = set("ad ads advert advertisement adverts banner breadcrumb breadcrum
 SMOOTH = 0.6
 
 
-@dataclass
+@dataclass(slots=True, eq=False)
+class Element:
+    """An open element; blocks point to the innermost, so a deep chain is held once."""
+
+    name: str
+    above: Element | None
+    odds: float     # of the whole chain
+    depth: int
+    hidden: int     # elements of the chain that hide text
+    links: int      # and that are links
+
+
+@dataclass(slots=True)
 class Block:
     text: str
-    chain: tuple[tuple[int, str], ...]
-    odds: float = 0.0
-    linked: int = 0
-    chars: int = field(default=0)
+    inner: Element | None
+    odds: float
+    linked: int
+    chars: int
+
+    @property
+    def depth(self) -> int:
+        return self.inner.depth if self.inner else 0
+
+
+class _TagEnds:
+    """Where start and end tags end; every place of a page is scanned a bounded number of times, matched or not."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.names = [m.start() for m in _NAME_END.finditer(html)]
+        self.special = [m.start() for m in _SPECIAL.finditer(html)]
+        self.last = {c: html.rfind(c) for c in "\"'"}
+        self.failed: set[int] = set()   # special characters outside quotes from where no tag ends
+
+    def name_end(self, start: int) -> int:
+        i = bisect_left(self.names, start)
+        return self.names[i] if i < len(self.names) else len(self.html)
+
+    def __call__(self, start: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``start``; -1 if none does."""
+        seen = []
+        while True:
+            i = bisect_left(self.special, start)
+            if i == len(self.special):
+                break
+            at = self.special[i]
+            c = self.html[at]
+            if c == ">":
+                return at
+            if at in self.failed or self.last[c] == at:
+                break
+            seen.append(at)
+            start = self.html.index(c, at + 1) + 1
+        self.failed.update(seen)
+        return -1
+
+
+def _tokens(html: str) -> Iterator[tuple[int, str, str | None, str]]:
+    """(place, text or attributes, tag name or None, "/" for an end tag) of a page."""
+    ends, at, n = None, 0, len(html)
+    while at < n:
+        tag = html.find("<", at)
+        if tag != at:
+            yield at, html[at:tag if tag >= 0 else n], None, ""
+            if tag < 0:
+                return
+        if html.startswith("<!--", tag):
+            end = html.find("-->", tag + 4)
+            at = end + 3 if end >= 0 else n
+            continue
+        if m := _RAW.match(html, tag):
+            close = _RAW_END[m[1].lower()].search(html, m.end()) if m[1].lower() in _RAW_END else None
+            end = html.find(">", close.end()) if close else -1
+            at = end + 1 if end >= 0 else n
+            continue
+        if m := _NAME.match(html, tag):
+            if ends is None:
+                ends = _TagEnds(html)
+            name_end = ends.name_end(m.end())
+            end = ends(name_end) if name_end < n else -1
+            if end >= 0:
+                yield tag, html[name_end:end], html[m.end() - 1:name_end].lower(), m[1]
+                at = end + 1
+                continue
+        following = html[tag + 1:tag + 2]
+        if following and following in "!?/":
+            end = html.find(">", tag + 2)
+            at = end + 1 if end >= 0 else n
+        elif m and html.find("<", tag + 1) < 0:
+            return
+        else:
+            yield tag, "<", None, ""
+            at = tag + 1
 
 
 def _words(attrs: str) -> set[str]:
@@ -96,95 +182,103 @@ def _words(attrs: str) -> set[str]:
 def blocks(html: str) -> list[Block]:
     """Blocks of a page in order, with the log-odds of their surroundings."""
     out: list[Block] = []
-    stack: list[tuple[int, str, float, bool]] = []  # number, name, evidence, negative
+    stack: list[Element] = []
+    places: dict[str, list[int]] = {}   # of the open elements of each name
+    scopes: list[int] = []              # and of those that implied ends do not leave
     pieces: list[tuple[str, bool]] = []
-    number = 0
     last_end: dict[str, int] | None = None  # of each element that hides text
 
+    def last(name: str) -> int:
+        at = places.get(name)
+        return at[-1] if at else -1
+
+    def hidden(depth: int) -> bool:
+        return depth > 0 and stack[depth - 1].hidden > 0
+
     def flush() -> None:
         nonlocal pieces
         if pieces:
             text = " ".join(entities.unescape("".join(t for t, _ in pieces)).split())
             if text:
                 linked = sum(len(t.strip()) for t, a in pieces if a)
-                out.append(Block(text, tuple((s[0], s[1]) for s in stack), sum(s[2] for s in stack), linked,
-                                 sum(len(t.strip()) for t, _ in pieces)))
+                inner = stack[-1] if stack else None
+                out.append(Block(text, inner, inner.odds if inner else 0.0, linked, sum(len(t.strip()) for t, _ in pieces)))
         pieces = []
 
     def pop(i: int) -> None:
         # blocks inside a hidden element leave the text around it whole
-        if not any(s[1] in HIDDEN for s in stack[:i]):
-            inner = next((j for j in range(i, len(stack)) if stack[j][1] in HIDDEN), len(stack))
-            if any(s[1] in BLOCK for s in stack[i:inner]):
-                flush()
+        if not hidden(i):
+            for e in stack[i:]:
+                if e.name in HIDDEN:
+                    break
+                if e.name in BLOCK:
+                    flush()
+                    break
+        for e in stack[i:]:
+            places[e.name].pop()
         del stack[i:]
+        while scopes and scopes[-1] >= i:
+            scopes.pop()
 
-    for m in _TOKEN.finditer(html):
-        if m["text"] is not None:
-            if stack and stack[-1][1] == "head" and not m["text"].isspace():
+    for place, text, name, end in _tokens(html):
+        if name is None:
+            if stack and stack[-1].name == "head" and not text.isspace():
                 pop(len(stack) - 1)
-            if not any(s[1] in HIDDEN for s in stack):
-                pieces.append((m["text"], any(s[1] == "a" for s in stack)))
-            continue
-        if m["name"] is None:
+            if not hidden(len(stack)):
+                pieces.append((text, bool(stack) and stack[-1].links > 0))
             continue
-        name = m["name"].lower()
-        if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][1] == name:
-                    pop(i)
-                    break
+        if end:
+            if (i := last(name)) >= 0:
+                pop(i)
             continue
-        if stack and stack[-1][1] == "head" and name not in HEAD:
+        if stack and stack[-1].name == "head" and name not in HEAD:
             pop(len(stack) - 1)
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][1] == "foreignobject":
-                break
-            if name in LEAVES.get(stack[i][1], ()):
-                pop(i)
-                break
+        leaves = max((last(x) for x in LEAVES if name in LEAVES[x]), default=-1)
+        if leaves > last("foreignobject"):
+            pop(leaves)
         if name in INNER:
             if last_end is None:
                 last_end = {e[1].lower(): e.start() for e in _HIDDEN_END.finditer(html)}
-            if last_end.get(name, -1) < m.start():
+            if last_end.get(name, -1) < place:
                 continue  # never closed: it does not hide the rest of the page
-        hidden = any(s[1] in HIDDEN for s in stack)
-        if name in BLOCK and not hidden:
+        covered = hidden(len(stack))
+        if name in BLOCK and not covered:
             flush()
-        closes = CLOSES.get(name)
-        if closes:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][1] in closes:
-                    pop(i)
-                elif stack[i][1] in SCOPE or stack[i][1] in INNER:
-                    break
-        if name == "br" and not hidden:
+        if closes := CLOSES.get(name):
+            while (i := max(map(last, closes))) >= 0 and i >= (scopes[-1] if scopes else 0):
+                pop(i)
+        if name == "br" and not covered:
             pieces.append((" ", False))
-        if name in VOID or (m["attrs"] or "").rstrip().endswith("/"):
+        if name in VOID or text.rstrip().endswith("/"):
             continue
-        number += 1
-        stack.append((number, name, *_evidence(name, m["attrs"] or "", [s[1] for s in stack])))
+        above = stack[-1] if stack else None
+        odds = _evidence(name, text, last("article") >= 0)
+        places.setdefault(name, []).append(len(stack))
+        if name in SCOPE or name in INNER:
+            scopes.append(len(stack))
+        stack.append(Element(name, above, odds + (above.odds if above else 0.0), len(stack) + 1,
+                             (name in HIDDEN) + (above.hidden if above else 0), (name == "a") + (above.links if above else 0)))
     flush()
     return out
 
 
-def _evidence(name: str, attrs: str, above: list[str]) -> tuple[float, bool]:
+def _evidence(name: str, attrs: str, in_article: bool) -> float:
     words = _words(attrs) if "=" in attrs else set()
     odds = GOOD_TAGS.get(name, 0.0) - BAD_TAGS.get(name, 0.0)
-    if name == "header" and "article" not in above:
+    if name == "header" and not in_article:
         odds -= 9.0
     if name not in ("html", "body", "main", "article", "h1") and words & BAD_WORDS:
         odds -= 9.0
     elif words & GOOD_WORDS:
         odds += 2.0
-    return odds, odds < 0
+    return odds
 
 
 def _log_odds(block: Block) -> float:
     n = block.text.count(" ") + 1
     odds = block.odds - 1.5 + min(3.0, 1.2 * math.log2(1 + n / 8))
     odds -= 5.0 * block.linked / max(1, block.chars)
-    last = block.chain[-1][1] if block.chain else ""
+    last = block.inner.name if block.inner else ""
     if last in ("h1", "p", "pre", "blockquote"):
         odds += 1.0
     if block.text[-1] in ".!?\"'”»…":
@@ -251,12 +345,16 @@ class FlowNetwork:
 
 def _shared(a: Block, b: Block) -> float:
     """Share of the longer chain that both stand under."""
-    n = 0
-    for x, y in zip(a.chain, b.chain, strict=False):
-        if x != y:
-            break
-        n += 1
-    return n / max(1, len(a.chain), len(b.chain))
+    x, y = a.inner, b.inner
+    while x is not y:
+        # from the deeper one up; between neighbours that is no further than the tags between them
+        if y is None or (x is not None and x.depth > y.depth):
+            x = x.above
+        elif x is None or y.depth > x.depth:
+            y = y.above
+        else:
+            x, y = x.above, y.above
+    return (x.depth if x else 0) / max(1, a.depth, b.depth)
 
 
 def label(page: list[Block], smooth: float = SMOOTH) -> list[bool]:
@@ -265,14 +363,14 @@ def label(page: list[Block], smooth: float = SMOOTH) -> list[bool]:
         return []
     n = len(page)
     net = FlowNetwork(n + 2)
-    same_parent: dict[int, int] = {}
+    same_parent: dict[Element | None, int] = {}
     for i, b in enumerate(page):
         odds = _log_odds(b)
         net.edge(n, i, max(0.0, odds))
         net.edge(i, n + 1, max(0.0, -odds))
         if i:
             net.edge(i - 1, i, w := smooth * (0.25 + _shared(page[i - 1], b)), w)
-        parent = b.chain[-2][0] if len(b.chain) > 1 else 0
+        parent = b.inner.above if b.inner else None
         if (j := same_parent.get(parent)) is not None and j != i - 1:
             net.edge(j, i, w := smooth * _shared(page[j], b), w)
         same_parent[parent] = i

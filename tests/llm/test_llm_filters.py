@@ -3,6 +3,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -262,6 +263,17 @@ def test_minimum_cut_equals_brute_force():
         assert abs(cost(net.source_side(n, n + 1)[:n]) - best) < 1e-9
 
 
+@pytest.mark.parametrize("page,chars", [
+    ("<div>" * 100_000 + "t", None), ("<div>t " * 100_000, None), ("<b>x " * 100_000, None), ("<b>" * 100_000 + "<p>y" * 100_000, None),
+    ("<li>x" * 100_000, None), ("<div>" * 100_000 + "</b>" * 100_000, 0), ("<svg>" * 100_000, 0), ("<!--" * 250_000, 0),
+    ("<a " * 340_000, None), ("<a '" * 250_001 + '">', None), ("<a<a" * 250_000, None), ("<script>" + "</script " * 110_000, 0),
+    ("<select>" * 60_000 + "</select>", 0), ("&" * 1_000_000, None)])
+def test_broken_pages_take_linear_time(page, chars):
+    start = time.process_time()
+    text = extract.main_text(page)
+    assert time.process_time() - start < 15 and (chars is None or len(text) == chars)
+
+
 def test_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r["page_id"]: r for r in extract.extract_pages(pages).collect()}
