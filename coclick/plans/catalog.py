@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coclick.operators import gnn, graph, itemcf, lookup, neighbour_graph, rerank, simjoin, swing, topk, usercf, vectors
+from coclick.operators import gnn, graph, itemcf, lookup, neighbour_graph, rerank, simjoin, skipgram, swing, topk, usercf, vectors
 from coclick.sources import clicks as C
 from coclick.plans import params as P
 from coclick.session import stored
@@ -341,6 +341,25 @@ def sentences(spark, sf):
     return ev_sentences(spark, sf).select("user", F.col("day").cast("string").alias("day"), "chunk", "sentence")
 
 
+def item2vec_groups(spark, sf):
+    """VEC1 in blocks: whether the nearest item of every supplier with company is of its nation.
+
+    Sessions are a nation's order lines, so suppliers only ever meet those of their nation.
+    """
+    su = T.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("item"), F.col("s_nationkey").alias("nation"))
+    li = T.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("item"), "l_orderkey", F.col("l_shipdate").alias("ts"))
+    clicks = li.join(su, "item").select("nation", (F.col("l_orderkey") % 50).alias("part"), "item", "ts")
+    vecs = stored(skipgram.item2vec_blocks(clicks, ["nation", "part"], epochs=6, items_per_block=40), "item2vec")
+    nation = lambda c: su.select(F.col("item").alias(c), F.col("nation").alias(f"{c}_nation"))
+    met = vecs.select(F.col("id").alias("item")).join(su, "item")
+    company = met.groupBy("nation").agg(F.count("*").alias("n")).where("n > 1").select(F.col("nation").alias("qid_nation"))
+    near = vectors.knn_exact(vecs, vecs, 2, "cosine").where("qid <> cid")
+    # itself may come second where two vectors are equal
+    near = topk.top_k_by_key(near.drop("rank"), ["qid"], [F.round("dist", 9), "cid"], 1)
+    return near.join(nation("qid"), "qid").join(nation("cid"), "cid").join(company, "qid_nation", "left_semi") \
+        .select(F.col("qid").alias("id"), (F.col("qid_nation") == F.col("cid_nation")).alias("same_nation"))
+
+
 def _knn(space):
     def q(spark, sf):
         e = T.embeddings(spark, sf)
@@ -536,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "group_quota": group_quota,
     "group_quota_low32": group_quota_low32,
     "sentences": sentences,
+    "item2vec_groups": item2vec_groups,
     "knn_cosine": _knn("cosine"),
     "knn_l2": _knn("l2"),
     "knn_ip": _knn("ip"),

@@ -522,6 +522,10 @@ def sql() -> dict[str, str]:
     q["sentences"] = _q(",\n".join([EV, SENT]), "SELECT u AS user, CAST(day AS VARCHAR) AS day, chunk, sentence FROM sent")
     for sp in ("cosine", "l2", "ip"):
         q[f"knn_{sp}"] = _q(knn_sql(sp, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
+    q["item2vec_groups"] = """WITH met AS (
+  SELECT l_suppkey AS id, any_value(s_nationkey) AS nation FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+  GROUP BY l_suppkey HAVING count(*) >= 5)
+SELECT id, true AS same_nation FROM met WHERE nation IN (SELECT nation FROM met GROUP BY nation HAVING count(*) > 1)"""
     q["knn_graph"] = _q(knn_sql("l2", P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn WHERE qid % 50 = 0")
     q["knn_graph_recall"] = "SELECT count(*) AS queries, true AS recall_095 FROM embeddings WHERE vec_id % 50 = 0"
     q["knn_ivf_all_lists"] = q["knn_cosine"]
