@@ -1,20 +1,29 @@
 """Quality rules: base counts, then perplexity bands per language.
 
-The language model is modified Kneser-Ney over 4-grams of byte classes (64
-classes: white space, digits, punctuation, letters, non-ASCII bytes), counted
-by Spark over every text.  A run of one punctuation mark is one event, and a
-4-gram counts once per document, so what a text repeats does not make it likely.
-With 6 bits a class the 4-grams fill at most 2**24 codes, which bounds the
-collected counts and the broadcast model for any corpus; the model is two sorted
-arrays (codes, log probabilities).  ``log_perplexity`` is the mean over a
-document's bytes, drawn towards its language's median as if ``PRIOR_BYTES`` more
-bytes had that value (short texts are noisy).
+The language model is modified Kneser-Ney over 4-grams of characters, counted by
+Spark over every text: as many 4-grams as the corpus has.  It is one for all
+languages, as three characters tell the language and texts hold passages in others
+than their tag (models per language rejected 35 of 3,302 good labelled texts at
+sf0.1, one model 8); the bands are per language.  White space and digits are one
+character each, characters beyond the basic plane share 6400 codes, and a run of one
+punctuation mark is one event.  A 4-gram counts
+once per document, less the document itself: its count is the number of *other*
+documents that hold it, so no text is made likely by its own junk, and one that
+stands in a single document is scored through the lower orders.
+
+Probabilities and back-off weights are computed by joins and aggregates over the
+distinct 4-grams and stored in the shared folder as sorted hash arrays, cut by
+ranges of the hash into files of bounded size; tasks map the files into memory
+and look up a slice's distinct 4-grams.  Nothing passes through the driver but
+the list of files.  ``log_perplexity`` is the mean over a document's characters,
+drawn towards its language's median as if ``PRIOR_CHARS`` more characters had that
+value (short texts are noisy).
 
 Bands judge the mean itself.  Centre and spread of a language come from the
 shortest interval that holds half of its values, which junk under half of the
-rows does not move, on whichever side it lies.  A document of n bytes is rejected
+rows does not move, on whichever side it lies.  A document of n characters is rejected
 beyond LOWER or UPPER spreads from the centre, widened by
-``sqrt(1 + PRIOR_BYTES / n)``: the noise of a short text.
+``sqrt(1 + PRIOR_CHARS / n)``: the noise of a short text.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Defined cases: null text = empty: no words,
 base_failed, perplexity null; a null language is a language; repeated rows are
@@ -24,7 +33,10 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +44,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coclick.llm import words as W
-from coclick.llm.store import materialise, shipped
+from coclick.llm.store import materialise, shared_folder, shipped
+from coclick.llm.tokenfile import _get, _put, _store
 
 ORDER = 4
-BITS = 6
+BITS = 16
 LOWER, UPPER = 4.0, 2.5
 LEAST_SPREAD = 0.02
-PRIOR_BYTES = 300
+PRIOR_CHARS = 300
 LEAST_WORDS = 20
 REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
-COUNT_SLICE = 8 << 20
+#: Log probability of a character that no other text has.
+UNKNOWN = -math.log(1 << BITS)
+#: Entries of a model file (12 bytes each), and files that a worker keeps open.
+ENTRIES_PER_FILE, OPEN_FILES = 8_000_000, 8
 BROADCAST_LANGUAGES = 10_000
 _GRID = [i / 100 for i in range(101)]
 #: From the width of the inner half of normal values to the distance from their median to a 10th percentile.
@@ -51,46 +67,61 @@ HALF_TO_TENTH = 0.95
 _SYMBOL = np.zeros(256, dtype=np.int64)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1
 _BASE = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, " \
-    "n_repeat_words long, n_bytes long, surprise double"
+    "n_repeat_words long, n_events long, surprise double"
 
 
-def _classes() -> np.ndarray:
-    """Class of each byte value: 0 to 63."""
-    c = np.arange(256)
-    out = 3 + c % 5                                    # other ASCII
-    out[:33] = 0                                       # white space and controls
-    out[48:58] = 1                                     # digits
-    out[[ord("."), ord(",")]] = 2
-    out[97:123] = 8 + np.arange(26)                    # a-z
-    out[65:91] = 34 + np.arange(26) % 8                # A-Z
-    out[128:] = 42 + c[128:] % 22
-    return out.astype(np.uint32)
+#: Marks of which a run is one event.
+_MARK = np.zeros(1 << BITS, dtype=bool)
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".,"]] = True
 
 
-_CLASS = _classes()
-
-
-def codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """4-gram code ending at each byte; before a text stands white space."""
-    own = _CLASS[data]
-    n = len(own)
-    code = own.copy()
-    into = np.arange(n) - np.repeat(offsets[:-1], np.diff(offsets))
+def events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of the texts (codes of 16 bits) with each run of one mark cut to one, and the texts' bounds."""
+    begun = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+    bounds = begun[offsets]
+    c = np.where(points < 1 << BITS, points, 0xE000 + points % 6400).astype(np.uint16)
+    c[c <= 32] = 32
+    c[(c >= 48) & (c < 58)] = 48
+    again = np.zeros(len(c), dtype=bool)
+    again[1:] = (c[1:] == c[:-1]) & _MARK[c[1:]]
+    again[bounds[:-1][bounds[:-1] < len(c)]] = False
+    return c[~again], np.concatenate([[0], np.cumsum(~again)])[bounds]
+
+
+def distinct_grams(chars: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, 4-gram, times): the distinct 4-grams of each text; before a text stand zeros."""
+    docs, n = len(bounds) - 1, len(chars)
+    present = np.zeros(1 << BITS, dtype=bool)
+    present[chars] = True
+    alphabet = np.concatenate([[0], np.flatnonzero(present)]).astype(np.uint64)
+    width = max(1, (len(alphabet) - 1).bit_length())
+    if (docs - 1).bit_length() + ORDER * width > 64:
+        # too many texts for one key: the halves
+        half = docs // 2
+        parts = [distinct_grams(chars[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a]) for a, b in ((0, half), (half, docs))]
+        doc, gram, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+        doc[len(parts[0][0]):] += half
+        return doc, gram, times
+    place = (np.cumsum(present) * present).astype(np.uint64)[chars]
+    key = place.copy()
+    into = np.arange(n) - np.repeat(bounds[:-1], np.diff(bounds))
     for back in range(1, ORDER):
-        before = np.zeros(n, dtype=np.uint32)
-        before[back:] = own[:n - back] if back < n else own[:0]
+        before = np.zeros(n, dtype=np.uint64)
+        before[back:] = place[:max(0, n - back)]
         before[into < back] = 0
-        code |= before << np.uint32(BITS * back)
-    return code
-
-
-def events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts with each run of one punctuation byte cut to one."""
-    kind = _CLASS[data]
-    again = np.zeros(len(data), dtype=bool)
-    again[1:] = (data[1:] == data[:-1]) & (kind[1:] >= 3) & (kind[1:] < 8)
-    again[offsets[:-1][offsets[:-1] < len(data)]] = False
-    return data[~again], np.concatenate([[0], np.cumsum(~again)])[offsets]
+        key |= before << np.uint64(width * back)
+    if docs > 1:
+        key |= np.repeat(np.arange(docs, dtype=np.uint64), np.diff(bounds)) << np.uint64(ORDER * width)
+    key.sort()
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if n else np.zeros(0, np.int64)
+    times = np.diff(np.append(first, n))
+    key = key[first]
+    gram = np.zeros(len(key), dtype=np.uint64)
+    for back in range(ORDER):
+        gram |= alphabet[(key >> np.uint64(width * back)) & np.uint64((1 << width) - 1)] << np.uint64(BITS * back)
+    doc = (key >> np.uint64(ORDER * width)).astype(np.int64) if docs > 1 else np.zeros(len(key), np.int64)
+    return doc, gram, times
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -99,56 +130,148 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one task, merged as they come: at most 2**24 rows, in practice those of one slice."""
+    """Documents per 4-gram of one task, merged as they come and passed on when they are many."""
     parts: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
     for batch in batches:
         data, offsets = W.flat(batch.column(0))
-        for lo, hi in W.slices(offsets, COUNT_SLICE):
+        for lo, hi in W.slices(offsets):
             base = offsets[lo]
-            own, cut = events(data[base:offsets[hi]], offsets[lo:hi + 1] - base)
-            doc = np.repeat(np.arange(hi - lo, dtype=np.uint64) << np.uint64(32), np.diff(cut))
-            once = np.unique(doc | codes(own, cut).astype(np.uint64))
-            parts.append(np.unique((once & np.uint64(0xFFFFFFFF)).astype(np.uint32), return_counts=True))
-            if len(parts) == 16:
-                parts = [_merged(parts)]
+            _, gram, _ = distinct_grams(*events(data[base:offsets[hi]], offsets[lo:hi + 1] - base))
+            parts.append(np.unique(gram, return_counts=True))
+            held += len(parts[-1][0])
+        if held > 8_000_000:
+            parts = [_merged(parts)]
+            held = len(parts[0][0])
+            if held > 4_000_000:
+                yield _gram_rows(*parts[0])
+                parts, held = [], 0
     if parts:
-        gram, n = _merged(parts)
-        yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int32)), pa.array(n.astype(np.int64))],
-                                         names=["gram", "n"])
+        yield _gram_rows(*_merged(parts))
+
+
+def _gram_rows(gram: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], names=["gram", "n"])
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """(gram, number of documents with it) over all texts; at most 2**24 rows."""
+    """(gram, n): in how many documents each 4-gram stands, over all texts."""
     shipped(docs.sparkSession)
     return docs.select(F.col("text").cast("string").alias("text")) \
-        .mapInArrow(_counts, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        .mapInArrow(_counts, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def kneser_ney(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted codes, natural log probability of the last class after the first three)."""
-    order = np.argsort(gram)
-    tables = {ORDER: (gram[order].astype(np.int64), n[order].astype(np.float64))}
-    # lower orders count in how many contexts a gram stands
+def kneser_ney(counted: DataFrame) -> DataFrame:
+    """(k, gram, value): log probabilities of k-grams (k = 1 to 4) and, as k + 8, log back-off weights of their contexts.
+
+    ``counted(gram, n)``; a 4-gram counts in ``n - 1`` other documents, a
+    lower order in as many contexts as it follows.
+    """
+    table = materialise(counted.where("n > 1").select(F.col("gram").alias("g"), (F.col("n") - 1).alias("c")), "grams-4")
+    tables = {ORDER: table}
     for k in range(ORDER - 1, 0, -1):
-        g, c = np.unique(tables[k + 1][0] & ((1 << BITS * k) - 1), return_counts=True)
-        tables[k] = (g, c.astype(np.float64))
-    lower = None
+        tables[k] = materialise(tables[k + 1].groupBy(F.col("g").bitwiseAND((1 << BITS * k) - 1).alias("g"))
+                                .agg(F.count("*").alias("c")), f"grams-{k}")
+    out, lower = None, None
     for k in range(1, ORDER + 1):
-        g, c = tables[k]
-        seen = [float((c == i).sum()) for i in (1, 2, 3, 4)]
-        y = seen[0] / (seen[0] + 2 * seen[1]) if seen[0] and seen[1] else 0.5
-        cut = np.array([0.0] + [min(max(i - (i + 1) * y * seen[i] / seen[i - 1], 0.05), i - 0.05)
-                                if seen[i - 1] else 0.5 for i in (1, 2, 3)])
-        d = cut[np.minimum(c, 3).astype(int)]
-        context, at = np.unique(g >> BITS, return_inverse=True)
-        total = np.bincount(at, c, len(context))
-        left = np.bincount(at, d, len(context)) / total
+        seen = [F.sum((F.col("c") == i).cast("double")).alias(f"s{i}") for i in (1, 2, 3, 4)]
+        y = F.when((F.col("s1") > 0) & (F.col("s2") > 0), F.col("s1") / (F.col("s1") + 2 * F.col("s2"))).otherwise(F.lit(0.5))
+        cut = [F.when(F.col(f"s{i}") > 0, F.least(F.greatest(i - (i + 1) * y * F.col(f"s{i + 1}") / F.col(f"s{i}"), F.lit(0.05)),
+                                                  F.lit(i - 0.05))).otherwise(F.lit(0.5)).alias(f"d{i}") for i in (1, 2, 3)]
+        cuts = tables[k].agg(*seen).select(*cut)
+        d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+        rows = tables[k].join(F.broadcast(cuts)).select("g", F.shiftrightunsigned("g", BITS).alias("x"),
+                                                              F.col("c").cast("double").alias("c"), d.alias("d"))
+        heads = rows.groupBy("x").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("left"))
+        joined = rows.join(heads, "x")
         if lower is None:
-            below = np.full(len(g), 1.0 / (1 << BITS))
+            p = (F.col("c") - F.col("d")) / F.col("total") + F.col("left") / (1 << BITS)
         else:
-            below = lower[np.searchsorted(tables[k - 1][0], g & ((1 << BITS * (k - 1)) - 1))]
-        lower = (c - d) / total[at] + left[at] * below
-    return tables[ORDER][0].astype(np.uint32), np.log(lower).astype(np.float32)
+            joined = joined.withColumn("lg", F.col("g").bitwiseAND((1 << BITS * (k - 1)) - 1)).join(lower, "lg")
+            p = (F.col("c") - F.col("d")) / F.col("total") + F.col("left") * F.col("lp")
+        scored = materialise(joined.select("g", p.alias("p")), f"chances-{k}")
+        lower = scored.select(F.col("g").alias("lg"), F.col("p").alias("lp"))
+        part = scored.select(F.lit(k).alias("k"), F.col("g").alias("gram"), F.ln("p").alias("value")) \
+            .unionByName(heads.select(F.lit(k + 8).alias("k"), F.col("x").alias("gram"), F.ln("left").alias("value")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _keys(gram: np.ndarray, k: int) -> np.ndarray:
+    return W.mix(gram + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Model rows to (key, value); keys are shifted to sort as signed numbers."""
+    for batch in batches:
+        k, gram = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+        key = np.zeros(len(k), np.uint64)
+        for order in np.unique(k):
+            key[k == order] = _keys(gram[k == order], int(order))
+        yield pa.RecordBatch.from_arrays([pa.array((key ^ np.uint64(1 << 63)).view(np.int64)), batch.column(2)],
+                                         names=["key", "value"])
+
+
+def _written(folder: str):
+    """Sorted (key, value) of a task to one pair of files."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        rows = pa.Table.from_batches(parts)
+        key = (rows.column("key").to_numpy().view(np.uint64) ^ np.uint64(1 << 63))
+        system, base = _store(folder)
+        system.create_dir(base)
+        stem = f"{folder}/{uuid.uuid4().hex}"
+        _put(f"{stem}.keys", np.ascontiguousarray(key.astype("<u8")))
+        _put(f"{stem}.values", np.ascontiguousarray(rows.column("value").to_numpy().astype("<f4")))
+        yield pa.RecordBatch.from_arrays([rows.column("key").slice(0, 1).combine_chunks(), pa.array([stem])], names=["key", "stem"])
+    return run
+
+
+def write_model(model: DataFrame) -> list[tuple[int, str]]:
+    """The model as sorted hash arrays in the shared folder: (first key, stem) of each file, in order."""
+    folder = shared_folder(model.sparkSession, "perplexity-model")
+    keyed = materialise(model.mapInArrow(_keyed, "key long, value double"), "model-keys")
+    files = max(1, math.ceil(keyed.count() / ENTRIES_PER_FILE))
+    manifest = materialise(keyed.repartitionByRange(files, "key").sortWithinPartitions("key")
+                           .mapInArrow(_written(folder), "key long, stem string"), "model-files")
+    return sorted((r["key"] + (1 << 63), r["stem"]) for r in manifest.collect())
+
+
+@lru_cache(maxsize=OPEN_FILES)
+def _opened(stem: str) -> tuple[np.ndarray, np.ndarray]:
+    return _get(f"{stem}.keys", "<u8"), _get(f"{stem}.values", "<f4")
+
+
+def _looked_up(files: list[tuple[int, str]], key: np.ndarray) -> np.ndarray:
+    """Values of the keys, NaN for those the model has not."""
+    out = np.full(len(key), np.nan, np.float32)
+    of = np.searchsorted(np.array([f for f, _ in files], np.uint64), key, "right") - 1
+    for i in np.unique(of[of >= 0]):
+        here = np.flatnonzero(of == i) if len(files) > 1 else slice(None)
+        known, value = _opened(files[i][1])
+        at = np.minimum(np.searchsorted(known, key[here]), len(known) - 1)
+        out[here] = np.where(known[at] == key[here], value[at], np.float32(np.nan))
+    return out
+
+
+def log_chances(files: list[tuple[int, str]], gram: np.ndarray) -> np.ndarray:
+    """Natural log probability of the last character of each 4-gram after the others."""
+    out = np.zeros(len(gram))
+    todo = np.arange(len(gram))
+    for k in range(ORDER, 0, -1):
+        value = _looked_up(files, _keys(gram, k))
+        known = ~np.isnan(value)
+        out[todo[known]] += value[known]
+        gram, todo = gram[~known], todo[~known]
+        if not len(todo):
+            return out
+        # back off: a context that was never seen leaves all to the lower order
+        out[todo] += np.nan_to_num(_looked_up(files, _keys(gram >> np.uint64(BITS), k + 8)), nan=0.0)
+        gram = gram & np.uint64((1 << BITS * (k - 1)) - 1)
+    out[todo] += UNKNOWN
+    return out
 
 
 def _per_doc(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -193,22 +316,18 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _scores(model):
+def _scores(files: list[tuple[int, str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, log_p = model.value
         for batch in batches:
             data, offsets = W.flat(batch.column(2))
             for lo, hi in W.slices(offsets):
                 base = offsets[lo]
                 own, cut = data[base:offsets[hi]], offsets[lo:hi + 1] - base
                 counts = base_counts(own, cut)
-                own, cut = events(own, cut)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, codes(own, cut)), len(known) - 1)
-                    lost = -_per_doc(log_p[at].astype(np.float64), cut)
-                else:
-                    lost = np.zeros(hi - lo)
-                counts |= {"n_bytes": np.diff(cut), "surprise": lost}
+                chars, bounds = events(own, cut)
+                doc, gram, times = distinct_grams(chars, bounds)
+                lost = -np.bincount(doc, times * log_chances(files, gram), hi - lo)
+                counts |= {"n_events": np.diff(bounds), "surprise": lost}
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
                      *(pa.array(np.asarray(v, np.float64 if k == "surprise" else np.int64))
@@ -226,27 +345,25 @@ def _half(q: str):
 
 
 def quality_rules(docs: DataFrame, lower: float = LOWER, upper: float = UPPER,
-                  prior_bytes: int = PRIOR_BYTES) -> DataFrame:
+                  prior_chars: int = PRIOR_CHARS) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_perplexity)."""
-    spark = shipped(docs.sparkSession)
+    shipped(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                        F.col("text").cast("string").alias("text"))
-    counted = count_grams(docs).toArrow()
-    model = spark.sparkContext.broadcast(kneser_ney(counted.column("gram").to_numpy(), counted.column("n").to_numpy())
-                                         if counted.num_rows else (np.zeros(0, np.uint32), np.zeros(0, np.float32)))
-    scored = materialise(docs.mapInArrow(_scores(model), _BASE), "perplexity")
-    mean = F.when(F.col("n_bytes") > 0, F.col("surprise") / F.col("n_bytes"))
+    files = write_model(kneser_ney(materialise(count_grams(docs), "gram-counts")))
+    scored = materialise(docs.mapInArrow(_scores(files), _BASE), "perplexity")
+    mean = F.when(F.col("n_events") > 0, F.col("surprise") / F.col("n_events"))
     middle = scored.groupBy("lang").agg(F.percentile_approx(mean, 0.5, 10_000).alias("median"),
                                         F.percentile_approx(mean, _GRID, 10_000).alias("q")) \
         .select(F.col("lang").alias("__lang"), "median", ((_half("q")["a"] + _half("q")["b"]) / 2).alias("centre"))
-    drawn = (F.col("surprise") + F.col("median") * prior_bytes) / (F.col("n_bytes") + prior_bytes)
+    drawn = (F.col("surprise") + F.col("median") * prior_chars) / (F.col("n_events") + prior_chars)
     # a short text's mean is noisy: its band is wider, so its distance counts for less
-    apart = (mean - F.col("centre")) * F.sqrt(F.col("n_bytes") / (F.col("n_bytes") + prior_bytes))
+    apart = (mean - F.col("centre")) * F.sqrt(F.col("n_events") / (F.col("n_events") + prior_chars))
     languages = middle.count()
     sided = lambda t: F.broadcast(t) if languages <= BROADCAST_LANGUAGES else t
     same = lambda t: F.col("lang").eqNullSafe(F.col("__lang"))
     valued = scored.join(sided(middle), same(middle)).drop("__lang") \
-        .withColumns({"log_perplexity": F.when(F.col("n_bytes") > 0, drawn), "apart": apart})
+        .withColumns({"log_perplexity": F.when(F.col("n_events") > 0, drawn), "apart": apart})
     bands = valued.groupBy("lang").agg(F.percentile_approx("apart", _GRID, 10_000).alias("q")) \
         .select(F.col("lang").alias("__lang"), ((_half("q")["a"] + _half("q")["b"]) / 2).alias("zero"),
                 F.greatest((_half("q")["b"] - _half("q")["a"]) * HALF_TO_TENTH, F.lit(LEAST_SPREAD)).alias("spread"))

@@ -116,17 +116,21 @@ def rules_by_hand(text):
             len(words) < 20 or 100 * len(cover) > 30 * len(words))
 
 
+def characters_by_hand(text):
+    text = re.sub(r"([!-/:-@\[-`{-~])\1+", lambda m: m[0] if m[1] in ".," else m[1],
+                  re.sub(r"[0-9]", "0", re.sub(r"[\x00-\x20]", " ", text)))
+    return [ord(x) if ord(x) < 65536 else 0xE000 + ord(x) % 6400 for x in text]
+
+
 def kn_by_hand(texts):
-    """Modified Kneser-Ney over byte-class 4-grams counted once a text, straight from the definition."""
-    grams = Counter()
-    per = []
+    """Modified Kneser-Ney over character 4-grams, counted in the other texts, straight from the definition."""
+    holders, per = Counter(), []
     for t in texts:
-        b = re.sub(rb"([!-/:-@\[-`{-~])\1+", lambda m: m[0] if m[1] in b".," else m[1], t.encode())
-        c = [0, 0, 0, *perplexity._CLASS[np.frombuffer(b, np.uint8)].tolist()]
+        c = [0, 0, 0, *characters_by_hand(t)]
         own = [tuple(c[i:i + 4]) for i in range(len(c) - 3)]
-        grams.update(set(own))
+        holders.update(set(own))
         per.append(own)
-    tables = {4: dict(grams)}
+    tables = {4: {g: n - 1 for g, n in holders.items() if n > 1}}
     for k in (3, 2, 1):
         tables[k] = Counter(g[1:] for g in tables[k + 1])
     cuts, heads = {}, {}
@@ -141,16 +145,61 @@ def kn_by_hand(texts):
 
     def p(g):
         if not g:
-            return 1 / 64
+            return 1 / 65536
         k = len(g)
-        own = heads[k][g[:-1]]
-        c = tables[k][g]
+        own = heads[k].get(g[:-1])
+        if not own:
+            return p(g[1:])
+        c = tables[k].get(g, 0)
         lost = sum(cuts[k][min(x, 3)] for x in own)
         return (c - cuts[k][min(c, 3)] + lost * p(g[1:])) / sum(own)
 
     return [-sum(math.log(p(g)) for g in own) for own in per]
 
 
+def test_model_in_many_files(spark, documents, monkeypatch):
+    model = perplexity.kneser_ney(perplexity.count_grams(documents)).cache()
+    monkeypatch.setattr(perplexity, "ENTRIES_PER_FILE", 3000)
+    files = perplexity.write_model(model)
+    assert len(files) > 5
+    grams = np.array([r["gram"] for r in model.where("k = 4").limit(4000).collect()] + list(range(50)), np.int64).view(np.uint64)
+    monkeypatch.setattr(perplexity, "ENTRIES_PER_FILE", 10 ** 9)
+    one = perplexity.write_model(model)
+    assert len(one) == 1
+    assert (perplexity.log_chances(files, grams) == perplexity.log_chances(one, grams)).all()
+    by = {r["gram"]: r["value"] for r in model.where("k = 4").collect()}
+    got = perplexity.log_chances(one, grams)
+    assert all(abs(v - by[g]) < 1e-5 for g, v in zip(grams.view(np.int64).tolist(), got.tolist(), strict=True) if g in by)
+
+
+def test_the_model_grows_with_the_corpus(spark, documents):
+    some = perplexity.count_grams(documents.limit(60)).count()
+    assert some < 0.8 * perplexity.count_grams(documents).count()
+
+
+def verdicts_by_hand(rows, surprise, size):
+    """Whether each row is in its language's band; (id, text, lang) rows that pass the base rules or not."""
+    quantile = lambda v: [v[max(math.ceil(q * len(v)) - 1, 0)] for q in np.arange(101) / 100]
+
+    def half(v):
+        q = quantile(sorted(v))
+        return min((q[i + 50] - q[i], q[i], q[i + 50]) for i in range(51))
+
+    out = {}
+    for la in {r[2] for r in rows}:
+        here = [i for i, r in enumerate(rows) if r[2] == la and size[i]]
+        if not here:
+            continue
+        mean = {i: surprise[i] / size[i] for i in here}
+        _, a, b = half(mean.values())
+        apart = {i: (mean[i] - (a + b) / 2) * math.sqrt(size[i] / (size[i] + perplexity.PRIOR_CHARS)) for i in here}
+        _, a, b = half(apart.values())
+        spread = max((b - a) * perplexity.HALF_TO_TENTH, perplexity.LEAST_SPREAD)
+        for i in here:
+            out[i] = (a + b) / 2 - perplexity.LOWER * spread - apart[i], apart[i] - (a + b) / 2 - perplexity.UPPER * spread
+    return out
+
+
 def test_quality_rules(documents, messy, nothing):
     for docs in (messy, documents):
         rows = [tuple(r) for r in docs.select("doc_id", "text", "lang").collect()]
@@ -162,17 +211,27 @@ def test_quality_rules(documents, messy, nothing):
     # the pooled perplexity of each text, and the verdict of its language's band
     rows = [(i, t or "", la) for i, t, la in rows]
     lost = kn_by_hand([t for _, t, _ in rows])
-    size = [len(perplexity.events(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0])
-            for _, t, _ in rows]
+    size = [len(characters_by_hand(t)) for _, t, _ in rows]
     value, median = {}, {}
     for la in {r[2] for r in rows}:
         own = sorted(s / n for s, n, r in zip(lost, size, rows, strict=True) if r[2] == la and n)
         median[la] = own[math.ceil(len(own) / 2) - 1]
     for s, n, (i, _, la) in zip(lost, size, rows, strict=True):
-        value[i] = (s + median[la] * perplexity.PRIOR_BYTES) / (n + perplexity.PRIOR_BYTES) if n else None
+        value[i] = (s + median[la] * perplexity.PRIOR_CHARS) / (n + perplexity.PRIOR_CHARS) if n else None
     for r in got:
         assert (r["log_perplexity"] is None) == (value[r["doc_id"]] is None)
         assert r["log_perplexity"] is None or abs(r["log_perplexity"] - value[r["doc_id"]]) < 1e-4
+    # the verdict, but for rows within rounding of a bound
+    outside = verdicts_by_hand(rows, lost, size)
+    failed = {r["doc_id"]: r["base_failed"] for r in got}
+    kept = {r["doc_id"]: r["kept"] for r in got}
+    sure = 0
+    for i, (name, _, _) in enumerate(rows):
+        if i in outside and max(outside[i]) > -1e-4 and max(outside[i]) < 1e-4:
+            continue
+        sure += 1
+        assert kept[name] == (not failed[name] and i in outside and max(outside[i]) < 0), name
+    assert sure > 0.95 * len(rows) and 0 < sum(kept.values()) < sum(not f for f in failed.values())
 
 
 def test_quality_rules_keep_good_texts(spark):

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline as P
-from coclick.llm import catalog, linededup, ordinal, packing, perplexity, toxicity
+from coclick.llm import catalog, linededup, ordinal, packing, toxicity
 
 SF = "/root/testdata/sf0.001"
 
@@ -63,4 +63,3 @@ def test_models_do_not_read_other_columns(spark, documents):
     other = documents.selectExpr("doc_id", "text", "'zz' lang", "'zz' source", "0L n_chars")
     pick = lambda d: sorted(map(tuple, toxicity.toxicity_scores(d, labels).collect()))
     assert pick(documents) == pick(other)
-    assert perplexity.count_grams(documents).count() <= 1 << 24
