@@ -1,20 +1,22 @@
 """Incremental, reversible line dedup: sharded cuckoo filters over exact reference counts.
 
-The index is three tables in shared storage:
+The index is a list of parts, one per insertion, and a part is three tables in
+shared storage:
 
 * ``holders``  (k1, k2, doc_id): which documents hold which line key (128-bit hash);
 * ``counts``   (shard, k1, k2, n_docs, last_doc): exact reference count of each
-  key and the largest document id holding it;
+  key in the part and the largest document id holding it;
 * ``filters``  (shard, slots): one cuckoo filter per shard over the keys with a
-  count above zero.
+  count above zero; a part has as many shards as its keys need.
 
-An insertion first aggregates its documents to one row per key, then visits each
-shard once: keys that the shard's filter does not know are new and need no look
-at the counts, the others are looked up exactly (which also settles the filter's
-false positives).  A deletion lowers the counts; keys that reach zero leave
-counts and filter, so deleting what was inserted gives the index back.  Keys of
-any frequency are one row per shard after aggregation: no task sees the rows of
-a hot line.
+An insertion writes a part of its own and touches no other.  When counts are
+asked for, the keys of a part are held against the filters of the other parts:
+a key that none of them knows is settled by its own part's count, and only the
+others (and the filters' few false positives) go through the join of the exact
+tables.  A deletion lowers the counts of the parts that hold the document; keys
+that reach zero leave counts and filter, so deleting what was inserted gives the
+index back.  Keys of any frequency are one row per part after aggregation, and
+a hot line's holders meet its count in as many pieces as its count asks for.
 
 A line's key is the line stripped of ``[\\x20\\x09-\\x0D]`` with A-Z lowered; keys
 shorter than ``least_chars`` code points are not indexed.
@@ -31,6 +33,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +43,17 @@ from pyspark.sql import functions as F
 
 from coclick.llm.store import materialise, shipped
 from coclick.llm.words import mix
+from coclick.operators.skew import heavy_from_sizes, split_join
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
 KEYS_PER_SHARD = 250_000
+#: Insertions that :func:`dedup_lines` makes.
+INSERTIONS = 2
+#: Parts beyond which an insertion merges them into one.
+MOST_PARTS = 8
+#: Holders of one line that meet its count in one task.
+HOLDERS_PER_PIECE = 50_000
 _STRIP = " \t\n\x0b\x0c\r"
 
 _COUNTS = "shard int, k1 long, k2 long, n_docs long, last_doc long, slots binary"
@@ -129,8 +139,8 @@ class CuckooFilter:
 
 
 @dataclass
-class LineIndex:
-    """Tables of the index; ``shards`` stays as it was at creation."""
+class LinePart:
+    """Tables of one insertion; ``shards`` stays as it was at creation."""
 
     holders: DataFrame
     counts: DataFrame
@@ -138,6 +148,47 @@ class LineIndex:
     shards: int
 
 
+@dataclass
+class LineIndex:
+    parts: list[LinePart]
+
+    @property
+    def holders(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, (p.holders for p in self.parts))
+
+    @property
+    def counts(self) -> DataFrame:
+        """(k1, k2, n_docs, last_doc): exact counts over all parts."""
+        if len(self.parts) == 1:
+            return self.parts[0].counts.drop("shard")
+        alone, shared = [], []
+        for i, part in enumerate(self.parts):
+            rows = part.counts.select("k1", "k2", "n_docs", "last_doc").withColumn("maybe", F.lit(False))
+            for other in self.parts[:i] + self.parts[i + 1:]:
+                rows = _probed(rows, other)
+            rows = materialise(rows, "line-probed")
+            alone.append(rows.where(~F.col("maybe")).drop("maybe"))
+            shared.append(rows.where("maybe").drop("maybe"))
+        met = reduce(DataFrame.unionByName, shared).groupBy("k1", "k2").agg(
+            F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
+        return reduce(DataFrame.unionByName, [*alone, met])
+
+
+def _probe(key, filters: pa.Table, keys: pa.Table) -> pa.Table:
+    """Keys of one shard, marked if the shard's filter may know them."""
+    maybe = keys.column("maybe").to_numpy().copy()
+    raw = filters.column("slots").to_pylist()
+    if raw and len(maybe):
+        maybe |= CuckooFilter.loads(raw[0]).contains(keys.column("k1").to_numpy())
+    return keys.select(["k1", "k2", "n_docs", "last_doc"]).append_column("maybe", pa.array(maybe, pa.bool_()))
+
+
+def _probed(rows: DataFrame, part: LinePart) -> DataFrame:
+    keyed = rows.withColumn("shard", F.pmod("k2", F.lit(part.shards)).cast("int"))
+    return part.filters.groupBy("shard").cogroup(keyed.groupBy("shard")) \
+        .applyInArrow(_probe, "k1 long, k2 long, n_docs long, last_doc long, maybe boolean")
+
+
 def _holders(least_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,8 +223,7 @@ def _merge(key, state: pa.Table, change: pa.Table) -> pa.Table:
     known = CuckooFilter.loads(raw[0]) if raw else CuckooFilter.for_keys(len(d1))
     maybe = known.contains(d1) if raw else np.zeros(len(d1), bool)
     # exact look-up of the keys that the filter knows
-    order = np.lexsort((k2, k1))
-    place = {(int(k1[i]), int(k2[i])): i for i in order} if maybe.any() else {}
+    place = {(int(a), int(b)): i for i, (a, b) in enumerate(zip(k1, k2, strict=True))} if maybe.any() else {}
     at = np.array([place.get((int(a), int(b)), -1) if m else -1 for a, b, m in zip(d1, d2, maybe, strict=True)],
                   dtype=np.int64)
     hit = at >= 0
@@ -195,52 +245,68 @@ def _merge(key, state: pa.Table, change: pa.Table) -> pa.Table:
                      "slots": pa.array([None] * rows + [known.dumps()], pa.binary())})
 
 
-def _applied(index: LineIndex | None, change: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+def _applied(part: LinePart | None, change: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+    """Counts and filters of a part (``None``: a new one) after a change."""
     change = change.withColumn("shard", F.pmod("k2", F.lit(shards)).cast("int"))
-    if index is None:
+    if part is None:
         state = change.sparkSession.createDataFrame([], _COUNTS)
     else:
-        state = index.counts.withColumn("slots", F.lit(None).cast("binary")).unionByName(
-            index.filters, allowMissingColumns=True)
+        state = part.counts.withColumn("slots", F.lit(None).cast("binary")).unionByName(
+            part.filters, allowMissingColumns=True)
     merged = materialise(state.select("shard", "k1", "k2", "n_docs", "last_doc", "slots").groupBy("shard")
                          .cogroup(change.groupBy("shard")).applyInArrow(_merge, _COUNTS), "line-index")
     return merged.where("k1 is not null").drop("slots"), merged.where("k1 is null").select("shard", "slots")
 
 
-def insert(index: LineIndex | None, docs: DataFrame, least_chars: int = LEAST_CHARS,
-           keys_per_shard: int = KEYS_PER_SHARD) -> LineIndex:
-    """The index with the lines of ``docs`` added (``None``: a new index)."""
-    holders = line_holders(docs, least_chars)
-    if index is not None:
-        holders = holders.join(index.holders, ["k1", "k2", "doc_id"], "left_anti")
+def _part(holders: DataFrame, keys_per_shard: int) -> LinePart:
     holders = materialise(holders, "line-holders")
     change = materialise(holders.groupBy("k1", "k2").agg(
         F.countDistinct("doc_id").alias("n_docs"), F.max("doc_id").alias("last_doc")), "line-change")
-    shards = index.shards if index else max(1, math.ceil(change.count() / keys_per_shard))
-    counts, filters = _applied(index, change, shards)
-    return LineIndex(holders if index is None else index.holders.unionByName(holders), counts, filters, shards)
+    shards = max(1, math.ceil(change.count() / keys_per_shard))
+    return LinePart(holders, *_applied(None, change, shards), shards)
+
+
+def insert(index: LineIndex | None, docs: DataFrame, least_chars: int = LEAST_CHARS,
+           keys_per_shard: int = KEYS_PER_SHARD, new_ids: bool = False) -> LineIndex:
+    """The index with the lines of ``docs`` added (``None``: a new index).
+
+    With ``new_ids`` no document of ``docs`` is in the index already; otherwise what it holds is looked up.
+    """
+    holders = line_holders(docs, least_chars)
+    if index is None:
+        return LineIndex([_part(holders, keys_per_shard)])
+    if not new_ids:
+        holders = holders.join(index.holders, ["k1", "k2", "doc_id"], "left_anti")
+    if len(index.parts) >= MOST_PARTS:
+        index = LineIndex([_part(index.holders, keys_per_shard)])
+    return LineIndex([*index.parts, _part(holders, keys_per_shard)])
 
 
 def delete(index: LineIndex, doc_ids: DataFrame) -> LineIndex:
     """The index without the documents of ``doc_ids(doc_id)``."""
     shipped(doc_ids.sparkSession)
     ids = doc_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    gone = index.holders.join(ids, "doc_id", "left_semi").distinct()
-    stay = materialise(index.holders.join(ids, "doc_id", "left_anti").select("k1", "k2", "doc_id"), "line-holders")
+    return LineIndex([_without(part, ids) for part in index.parts])
+
+
+def _without(part: LinePart, ids: DataFrame) -> LinePart:
+    gone = part.holders.join(ids, "doc_id", "left_semi").distinct()
+    stay = materialise(part.holders.join(ids, "doc_id", "left_anti").select("k1", "k2", "doc_id"), "line-holders")
     lost = materialise(gone.groupBy("k1", "k2").agg((-F.count("*")).alias("n_docs")), "line-change")
     # the largest holder of a touched key, from the exact table
     last = stay.join(lost.select("k1", "k2"), ["k1", "k2"], "left_semi") \
         .groupBy("k1", "k2").agg(F.max("doc_id").alias("last_doc"))
     change = lost.join(last, ["k1", "k2"], "left").select("k1", "k2", "n_docs", F.coalesce("last_doc", F.lit(0).cast("long"))
                                                           .alias("last_doc"))
-    counts, filters = _applied(index, change, index.shards)
-    return LineIndex(stay, counts, filters, index.shards)
+    return LinePart(stay, *_applied(part, change, part.shards), part.shards)
 
 
-def losing(index: LineIndex, least_docs: int = LEAST_DOCS) -> DataFrame:
+def losing(index: LineIndex, least_docs: int = LEAST_DOCS, holders_per_piece: int = HOLDERS_PER_PIECE) -> DataFrame:
     """(doc_id, keys): for each document the keys whose lines it loses (16-byte strings)."""
-    repeated = index.counts.where(F.col("n_docs") >= least_docs).select("k1", "k2", "last_doc")
-    return index.holders.join(repeated, ["k1", "k2"]).where("doc_id <> last_doc") \
+    repeated = materialise(index.counts.where(F.col("n_docs") >= least_docs), "line-repeated")
+    held = split_join(index.holders, repeated.select("k1", "k2", "last_doc"), ["k1", "k2"], split_right=False,
+                      heavy_left=heavy_from_sizes(repeated, ["k1", "k2"], "n_docs", holders_per_piece))
+    return held.where("doc_id <> last_doc") \
         .groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("keys"))
 
 
@@ -287,6 +353,10 @@ def drop_lines(docs: DataFrame, index: LineIndex, least_docs: int = LEAST_DOCS,
 
 
 def dedup_lines(docs: DataFrame, least_docs: int = LEAST_DOCS, least_chars: int = LEAST_CHARS,
-                counted: bool = True) -> DataFrame:
-    """Indexes ``docs`` and drops repeated lines everywhere but in the largest id that holds them."""
-    return drop_lines(docs, insert(None, docs, least_chars), least_docs, least_chars, counted)
+                counted: bool = True, insertions: int = INSERTIONS) -> DataFrame:
+    """Indexes ``docs`` in several insertions and drops repeated lines everywhere but in the largest id that holds them."""
+    index = None
+    for i in range(insertions):
+        share = docs.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(insertions)) == i)
+        index = insert(index, share, least_chars, new_ids=True)
+    return drop_lines(docs, index, least_docs, least_chars, counted)

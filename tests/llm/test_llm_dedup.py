@@ -62,12 +62,39 @@ def test_index_is_incremental_and_reversible(documents):
     assert index_rows(L.delete(both, rest.select("doc_id"))) == index_rows(first)
     empty = L.delete(first, half.select("doc_id"))
     assert index_rows(empty) == ([], [])
-    assert all(not np.frombuffer(r["slots"], np.uint16).any() for r in empty.filters.collect())
+    assert all(not np.frombuffer(r["slots"], np.uint16).any() for p in empty.parts for r in p.filters.collect())
     # what the filters know is what the counts hold
-    for r in both.filters.collect():
-        f = L.CuckooFilter.loads(r["slots"])
-        keys = [x["k1"] for x in both.counts.where(f"shard = {r['shard']}").collect()]
-        assert f.contains(np.array(keys, np.int64)).all() and (f.slots > 0).sum() == len(keys)
+    for part in both.parts:
+        assert part.shards == max(1, -(-part.counts.count() // (100 if part is both.parts[0] else L.KEYS_PER_SHARD)))
+        for r in part.filters.collect():
+            f = L.CuckooFilter.loads(r["slots"])
+            keys = [x["k1"] for x in part.counts.where(f"shard = {r['shard']}").collect()]
+            assert f.contains(np.array(keys, np.int64)).all() and (f.slots > 0).sum() == len(keys)
+
+
+def test_filters_choose_the_keys_that_are_joined(documents, monkeypatch):
+    docs = documents.select("doc_id", "text")
+    index = L.insert(L.insert(None, docs.where("doc_id % 2 = 0")), docs.where("doc_id % 2 = 1"), new_ids=True)
+    want = index_rows(L.insert(None, docs))
+    assert index_rows(index) == want
+    # filters that know nothing: keys of both parts are counted twice over, apart
+    empty = [L.LinePart(p.holders, p.counts, p.filters.selectExpr("shard", "CAST(repeat('\\0', 64) AS BINARY) AS slots"), p.shards)
+             for p in index.parts]
+    blind = L.LineIndex(empty)
+    assert blind.counts.count() > len(want[0]) and index_rows(blind) != want
+    # insertions beyond the limit merge the parts, with as many shards as the keys need
+    monkeypatch.setattr(L, "MOST_PARTS", 2)
+    more = L.insert(index, docs.where("doc_id < 30"), keys_per_shard=100)
+    assert len(more.parts) == 2 and more.parts[0].shards > 5 and index_rows(more) == want
+
+
+def test_a_hot_line_is_met_in_pieces(documents):
+    docs = documents.select("doc_id", "text")
+    index = L.insert(None, docs)
+    rows = lambda d: sorted((r["doc_id"], sorted(map(tuple, r["keys"]))) for r in d.collect())
+    split = L.losing(index, holders_per_piece=7)
+    assert "__a" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(split) == rows(L.losing(index))
 
 
 def test_cuckoo_filter():
