@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from coclick.operators import gnn, graph, itemcf, lookup, neighbour_graph, rerank, simjoin, skipgram, swing, topk, usercf, vectors
 from coclick.sources import clicks as C
+from coclick.plans import catalog_io
 from coclick.plans import params as P
 from coclick.session import stored
 from coclick.sources import testdata as T
@@ -577,6 +578,7 @@ QUERIES: dict[str, Query] = {
     "mmr_rerank": mmr_rerank,
     "mmr_sim_table": mmr_sim_table,
     "dictionary_match": dictionary_match,
+    **catalog_io.QUERIES,
 }
 
 

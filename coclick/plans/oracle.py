@@ -550,5 +550,20 @@ SELECT id, true AS same_nation FROM met WHERE nation IN (SELECT nation FROM met
                          recursive=True)
     q["mmr_sim_table"] = _q(mmr_full_sql(CSIM_TABLE), "SELECT query, rank, item, round(mmr, 6) + 0.0 AS mmr FROM steps",
                             recursive=True)
+    q["whitelist_snapshot"] = "SELECT DISTINCT p_partkey AS item FROM part WHERE p_size % 2 = 0"
+    q["snapshot_roundtrip"] = """SELECT n_nationkey, n_name, (SELECT CAST(sum(CASE WHEN n_nationkey >= 10 THEN 3 WHEN n_nationkey >= 5
+  THEN 2 ELSE 1 END) AS BIGINT) FROM nation) AS rows_written, CAST(2 AS BIGINT) AS snapshots_left, '2024-01-28' AS purged FROM nation"""
+    q["tsv_roundtrip"] = q["graph_training_rows"]
+    q["user_lists_roundtrip"] = _q(uc, "SELECT u AS user, rank, item FROM recs")
+    q["eval_roundtrip"] = q["eval_hit_ratio"]
+    q["sentences_roundtrip"] = _q(",\n".join([EV, SENT]), "SELECT CAST(item AS VARCHAR) AS token, count(*) AS n FROM sent_rk GROUP BY item")
+    q["vectors_roundtrip"] = ("SELECT vec_id AS id, len(embedding) AS dim, "
+                              "round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total FROM embeddings")
+    q["model_roundtrip"] = _q(",\n".join([EV, SENT]),
+                              "SELECT item AS id, CAST(32 AS BIGINT) AS dim FROM sent_rk GROUP BY item HAVING count(*) >= 5")
+    q["itemcf_rolling"] = _q(",\n".join([EV, WL, cf_daily("ev_ok", "day, u"),
+                                         cf_merged("daily", min_weight=2,
+                                                   day_filter=f"day BETWEEN DATE '{P.DAY}' - INTERVAL 6 DAY AND DATE '{P.DAY}'")]),
+                             "SELECT va, vb, round(weight, 6) AS weight FROM merged")
     q["dictionary_match"] = _q(DICT, "SELECT doc_id, n_words, n_matched FROM dm")
     return q
