@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coclick.operators import gnn, graph, itemcf, lookup, neighbour_graph, rerank, simjoin, skipgram, swing, topk, usercf, vectors
+from coclick.operators import gnn, graph, itemcf, lookup, metric_knn, neighbour_graph, rerank, simjoin, skipgram, swing, topk, usercf, vectors
 from coclick.sources import clicks as C
 from coclick.plans import catalog_io
 from coclick.plans import params as P
@@ -369,6 +369,12 @@ def _knn(space):
     return q
 
 
+def knn_pruned(spark, sf):
+    """VEC2 with shells around pivots that the triangle inequality skips."""
+    e = T.embeddings(spark, sf)
+    return metric_knn.knn_pruned(e, e, P.KNN_K, "l2", pivots=16, block=64).select("qid", "rank", "cid", _r("dist"))
+
+
 def knn_approx(spark, sf):
     e = T.embeddings(spark, sf)
     return vectors.knn_approx(e, e, P.KNN_K, "cosine", n_lists=P.N_LISTS, n_probe=P.N_PROBE, seed=P.SEED) \
@@ -560,6 +566,7 @@ QUERIES: dict[str, Query] = {
     "knn_cosine": _knn("cosine"),
     "knn_l2": _knn("l2"),
     "knn_ip": _knn("ip"),
+    "knn_pruned": knn_pruned,
     "knn_approx": knn_approx,
     "knn_ivf_all_lists": knn_ivf_all_lists,
     "knn_ivf_seeded": knn_ivf_seeded,

@@ -528,6 +528,7 @@ def sql() -> dict[str, str]:
 SELECT id, true AS same_nation FROM met WHERE nation IN (SELECT nation FROM met GROUP BY nation HAVING count(*) > 1)"""
     q["knn_graph"] = _q(knn_sql("l2", P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn WHERE qid % 50 = 0")
     q["knn_graph_recall"] = "SELECT count(*) AS queries, true AS recall_095 FROM embeddings WHERE vec_id % 50 = 0"
+    q["knn_pruned"] = q["knn_l2"]
     q["knn_ivf_all_lists"] = q["knn_cosine"]
     q["knn_ivf_seeded"] = _q(ivf_seeded_sql(P.N_LISTS, P.N_PROBE_WIDE, P.KNN_K), "SELECT qid, rank, cid, round(dist, 6) + 0.0 AS dist FROM knn")
     q["knn_recall_seeded"] = _q(
