@@ -29,3 +29,20 @@ def item_id_cast(payload, path: str = "$.itemid") -> Column:
     cast of a bad string raises instead of returning null.
     """
     return F.get_json_object(_col(payload), path).try_cast("bigint")
+
+
+def parsed_payload(payload) -> Column:
+    """The JSON payload parsed once (VARIANT), for any number of typed paths; broken JSON -> null."""
+    return F.try_parse_json(_col(payload))
+
+
+def variant_id_strict(parsed, path: str = "$.itemid") -> Column:
+    """:func:`item_id_strict` on a parsed payload."""
+    v = F.try_variant_get(_col(parsed), path, "string")
+    return F.when(v.rlike("^[0-9]+$"), F.coalesce(v.try_cast("bigint"), F.lit(0).cast("bigint"))) \
+        .otherwise(F.lit(0).cast("bigint"))
+
+
+def variant_id_cast(parsed, path: str = "$.itemid") -> Column:
+    """:func:`item_id_cast` on a parsed payload."""
+    return F.try_variant_get(_col(parsed), path, "string").try_cast("bigint")

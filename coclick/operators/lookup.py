@@ -1,5 +1,5 @@
-"""Exact dictionary membership (DC1): the reference's Trie insert / search,
-as a semi-join against the distinct dictionary."""
+"""Dictionary lookups (DC1): the reference's Trie insert / search as joins against the
+distinct dictionary -- exact words, prefixes and longest matches."""
 
 from __future__ import annotations
 
@@ -26,6 +26,33 @@ def dictionary_match(words: DataFrame, dictionary: DataFrame, word_col: str = "w
     return words.join(d, word_col, "left_semi")
 
 
+def _beginnings(df: DataFrame, word_col: str, least: int = 1) -> DataFrame:
+    """One row per non-empty beginning of each word: (all columns, begin)."""
+    return df.where(F.length(word_col) >= least).withColumn("begin", F.explode(F.transform(
+        F.sequence(F.lit(least), F.length(word_col)), lambda n: F.substring(F.col(word_col), F.lit(1), n))))
+
+
+def prefix_counts(prefixes: DataFrame, dictionary: DataFrame, prefix_col: str = "word", dict_col: str = "word") -> DataFrame:
+    """Prefix search: for each distinct prefix, how many dictionary words begin with it (0: none) -> (prefix, n_words).
+
+    Dictionary words meet the prefixes as rows (beginning, word); beginnings
+    that many words share are counted before the join, so no beginning is hot.
+    """
+    counts = _beginnings(dictionary.select(F.col(dict_col).alias("w")).distinct(), "w").groupBy("begin").agg(F.count("*").alias("n"))
+    asked = prefixes.select(F.col(prefix_col).alias("prefix")).where(F.length("prefix") > 0).distinct()
+    return asked.join(counts.withColumnRenamed("begin", "prefix"), "prefix", "left") \
+        .select("prefix", F.coalesce("n", F.lit(0).cast("long")).alias("n_words"))
+
+
+def longest_matches(words: DataFrame, dictionary: DataFrame, word_col: str = "word", dict_col: str = "word") -> DataFrame:
+    """For each distinct word the longest dictionary word that it begins with -> (word, match); words with none are left out."""
+    d = dictionary.select(F.col(dict_col).alias("begin")).distinct()
+    begun = _beginnings(words.select(F.col(word_col).alias("word")).distinct(), "word")
+    # a beginning that very many words share is split
+    return split_join(begun, d, ["begin"], split_right=False).groupBy("word") \
+        .agg(F.max_by("begin", F.length("begin")).alias("match"))
+
+
 def match_counts(docs: DataFrame, dict_docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  dict_text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per document: number of tokens and number found in the dictionary

@@ -162,12 +162,13 @@ def mmr_rerank_pairs(candidates: DataFrame, sims: DataFrame, lam: float = LAMBDA
         cand = cand.assign(__r=cand["score"].round(RANK_DIGITS)).sort_values(["__r", "item"], ascending=[False, True])
         items = cand["item"].to_numpy(dtype=np.int64)
         scores = cand["score"].to_numpy(dtype=np.float64)
-        pos = {int(x): i for i, x in enumerate(items)}
         n = len(items)
         S = np.zeros((n, n))
-        for ia, ib, sv in pdf[pdf["item_b"].notna()][["item", "item_b", "sim"]].itertuples(index=False):
-            if int(ia) in pos and int(ib) in pos:
-                S[pos[int(ia)], pos[int(ib)]] = sv
+        # both sides are candidates of this query: their places in id order, last of equal ids
+        by_id = np.argsort(items, kind="stable")
+        near = pdf[pdf["item_b"].notna()]
+        at = [by_id[np.searchsorted(items[by_id], near[c].to_numpy(dtype=np.int64), "right") - 1] for c in ("item", "item_b")]
+        S[at[0], at[1]] = near["sim"].to_numpy(dtype=np.float64)
 
         def sim(j):
             return S[:, j]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coclick.operators import gnn, graph, itemcf, lookup, metric_knn, neighbour_graph, rerank, simjoin, skipgram, swing, topk, usercf, vectors
+from coclick.operators import gnn, graph, itemcf, lookup, metric_knn, neighbour_graph, rerank, selection, simjoin, skipgram, swing, topk, usercf, vectors
 from coclick.sources import clicks as C
 from coclick.plans import catalog_io
 from coclick.plans import params as P
@@ -299,6 +299,33 @@ def item_ids(spark, sf):
                      item_id_cast("props", "$.k").alias("item_cast"))
 
 
+def item_ids_variant(spark, sf):
+    """SRC3 / SRC4 from payloads parsed once."""
+    from coclick.functions.ids import parsed_payload, variant_id_cast, variant_id_strict
+    ev = T.table(spark, sf, "events").select("event_id", parsed_payload("props").alias("v"))
+    return ev.select("event_id", variant_id_strict("v", "$.k").alias("item_strict"), variant_id_cast("v", "$.k").alias("item_cast"))
+
+
+def price_quantiles(spark, sf):
+    """AG7's percentiles as exact distributed selection, over every order line's price and discount."""
+    li = T.table(spark, sf, "lineitem")
+    parts = [selection.quantiles(li, c, [i / 10 for i in range(11)]).select(F.lit(c).alias("column"), "probability", _r("value"))
+             for c in ("l_extendedprice", "l_discount")]
+    return parts[0].unionByName(parts[1])
+
+
+def dictionary_prefixes(spark, sf):
+    """DC1: how many distinct words of the documents begin with each word of the benchmark."""
+    words = lambda t: lookup.tokens(T.table(spark, sf, t), "doc_id" if t == "documents" else "item_id", "text")
+    return lookup.prefix_counts(words("benchmark"), words("documents"))
+
+
+def dictionary_longest(spark, sf):
+    """DC1: the longest benchmark word that each word of the documents begins with."""
+    words = lambda t: lookup.tokens(T.table(spark, sf, t), "doc_id" if t == "documents" else "item_id", "text")
+    return lookup.longest_matches(words("documents"), words("benchmark"))
+
+
 def eval_hit_ratio(spark, sf):
     labels = T.event_clicks(spark, sf).where(C.local_day_ts_filter("ts", P.LABEL_DAY, P.TZ))
     return usercf.hit_ratio(labels, uc_recs(spark, sf)).select("user", _r("score"))
@@ -585,6 +612,10 @@ QUERIES: dict[str, Query] = {
     "mmr_rerank": mmr_rerank,
     "mmr_sim_table": mmr_sim_table,
     "dictionary_match": dictionary_match,
+    "dictionary_prefixes": dictionary_prefixes,
+    "dictionary_longest": dictionary_longest,
+    "item_ids_variant": item_ids_variant,
+    "price_quantiles": price_quantiles,
     **catalog_io.QUERIES,
 }
 

@@ -551,6 +551,17 @@ SELECT id, true AS same_nation FROM met WHERE nation IN (SELECT nation FROM met
                          recursive=True)
     q["mmr_sim_table"] = _q(mmr_full_sql(CSIM_TABLE), "SELECT query, rank, item, round(mmr, 6) + 0.0 AS mmr FROM steps",
                             recursive=True)
+    q["item_ids_variant"] = q["item_ids"]
+    probs = [i / 10 for i in range(11)]
+    q["price_quantiles"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS column, CAST({p} AS DOUBLE) AS probability, round(quantile_cont(CAST({c} AS DOUBLE), {p}), 6) AS value FROM lineitem"
+        for c in ("l_extendedprice", "l_discount") for p in probs)
+    pieces = """asked AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r]+')) AS w FROM benchmark) WHERE w <> ''),
+held AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(text, '[ \\t\\n\\r]+')) AS w FROM documents) WHERE w <> '')"""
+    q["dictionary_prefixes"] = _q(pieces, "SELECT a.w AS prefix, count(h.w) AS n_words FROM asked a LEFT JOIN "
+                                          "(SELECT w, left(w, CAST(unnest(range(1, length(w) + 1)) AS BIGINT)) AS b FROM held) h ON h.b = a.w GROUP BY a.w")
+    q["dictionary_longest"] = _q(pieces, "SELECT h.w AS word, arg_max(h.b, length(h.b)) AS match FROM "
+                                         "(SELECT w, left(w, CAST(unnest(range(1, length(w) + 1)) AS BIGINT)) AS b FROM held) h JOIN asked a ON h.b = a.w GROUP BY h.w")
     q["whitelist_snapshot"] = "SELECT DISTINCT p_partkey AS item FROM part WHERE p_size % 2 = 0"
     q["snapshot_roundtrip"] = """SELECT n_nationkey, n_name, (SELECT CAST(sum(CASE WHEN n_nationkey >= 10 THEN 3 WHEN n_nationkey >= 5
   THEN 2 ELSE 1 END) AS BIGINT) FROM nation) AS rows_written, CAST(2 AS BIGINT) AS snapshots_left, '2024-01-28' AS purged FROM nation"""
