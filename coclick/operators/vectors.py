@@ -229,18 +229,28 @@ def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
 
 
 def session_sentences(clicks: DataFrame, session_cols: list[str], item_col: str = "item", ts_col: str = "ts",
-                      tiebreak: str | None = None, max_len: int = MAX_SENTENCE) -> DataFrame:
+                      tiebreak: str | None = None, max_len: int = MAX_SENTENCE, overlap: int = 0) -> DataFrame:
     """VEC1b: each session's items in time order as space-separated sentences.
 
     Long sessions are cut into chunks of ``max_len`` tokens (Word2Vec does the
-    same), so no task holds an unbounded list.  Returns session cols, chunk,
-    sentence, tokens.
+    same), so no task holds an unbounded list.  Each chunk repeats the last
+    ``overlap`` tokens of the one before: with the model's window no pair of
+    neighbours is lost at a cut.  Returns session cols, chunk, sentence, tokens.
     """
+    if not 0 <= overlap < max_len:
+        raise ValueError("0 <= overlap < max_len is needed")
     # total order up to identical rows, so a retried task numbers ties the same way
     order = [ts_col] + ([tiebreak] if tiebreak else []) + [item_col]
     d = clicks.select(*session_cols, *dict.fromkeys([item_col, *order])).na.drop(subset=[*session_cols, item_col, ts_col])
-    idx = numbered(d, session_cols, list(dict.fromkeys(order)))
-    idx = idx.withColumn("chunk", F.floor((F.col("pos") - 1) / max_len).cast("bigint"))
+    step = max_len - overlap
+    if overlap:
+        idx = numbered(d, session_cols, list(dict.fromkeys(order)), "pos", "__n")
+        first = F.greatest(F.ceil((F.col("pos") - max_len) / step), F.lit(0)).cast("bigint")
+        idx = idx.withColumn("chunk", F.explode(F.sequence(first, F.floor((F.col("pos") - 1) / step).cast("bigint")))) \
+            .where((F.col("chunk") == 0) | (F.col("chunk") * step + overlap < F.col("__n")))
+    else:
+        idx = numbered(d, session_cols, list(dict.fromkeys(order))) \
+            .withColumn("chunk", F.floor((F.col("pos") - 1) / step).cast("bigint"))
     g = idx.groupBy(*session_cols, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("pos", F.col(item_col).cast("string").alias("tok")))).alias("__l"))
     toks = F.transform("__l", lambda x: x["tok"])

@@ -362,7 +362,14 @@ def group_quota_low32(spark, sf):
 
 # ------------------------------------------------------------- vectors ---
 def ev_sentences(spark, sf):
-    return vectors.session_sentences(T.event_clicks(spark, sf), ["user", "day"], tiebreak="eid")
+    # chunks of a long session overlap by the model's window
+    return vectors.session_sentences(T.event_clicks(spark, sf), ["user", "day"], tiebreak="eid", overlap=vectors.W2V_WINDOW)
+
+
+def sentences_overlap(spark, sf):
+    """VEC1b where the cut binds: chunks of 8 items that repeat the last 3 of the chunk before."""
+    s = vectors.session_sentences(T.copurchase(spark, sf), ["user"], tiebreak="session", max_len=8, overlap=3)
+    return s.select("user", "chunk", "sentence")
 
 
 def sentences(spark, sf):
@@ -590,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "group_quota_low32": group_quota_low32,
     "sentences": sentences,
     "item2vec_groups": item2vec_groups,
+    "sentences_overlap": sentences_overlap,
     "knn_cosine": _knn("cosine"),
     "knn_l2": _knn("l2"),
     "knn_ip": _knn("ip"),

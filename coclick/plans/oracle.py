@@ -562,6 +562,14 @@ held AS (SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(text, '[ \\
                                           "(SELECT w, left(w, CAST(unnest(range(1, length(w) + 1)) AS BIGINT)) AS b FROM held) h ON h.b = a.w GROUP BY a.w")
     q["dictionary_longest"] = _q(pieces, "SELECT h.w AS word, arg_max(h.b, length(h.b)) AS match FROM "
                                          "(SELECT w, left(w, CAST(unnest(range(1, length(w) + 1)) AS BIGINT)) AS b FROM held) h JOIN asked a ON h.b = a.w GROUP BY h.w")
+    q["sentences_overlap"] = """WITH placed AS (
+  SELECT o_custkey AS u, l_partkey AS item,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, l_orderkey, l_partkey) AS pos,
+         count(*) OVER (PARTITION BY o_custkey) AS n
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+chunked AS (SELECT *, unnest(range(CAST(greatest(0, ceil((pos - 8) / 5)) AS BIGINT), (pos - 1) // 5 + 1)) AS chunk FROM placed)
+SELECT u AS user, CAST(chunk AS BIGINT) AS chunk, string_agg(CAST(item AS VARCHAR), ' ' ORDER BY pos) AS sentence
+FROM chunked WHERE chunk = 0 OR chunk * 5 + 3 < n GROUP BY u, chunk"""
     q["whitelist_snapshot"] = "SELECT DISTINCT p_partkey AS item FROM part WHERE p_size % 2 = 0"
     q["snapshot_roundtrip"] = """SELECT n_nationkey, n_name, (SELECT CAST(sum(CASE WHEN n_nationkey >= 10 THEN 3 WHEN n_nationkey >= 5
   THEN 2 ELSE 1 END) AS BIGINT) FROM nation) AS rows_written, CAST(2 AS BIGINT) AS snapshots_left, '2024-01-28' AS purged FROM nation"""

@@ -53,3 +53,18 @@ def test_sentences_and_word2vec(spark):
     assert len(vecs) == 7 and all(len(r.vec) == 8 and np.isfinite(r.vec).all() for r in vecs)
     sim = vectors.similar_items(m, k=3)
     assert sim.where("qid = cid").count() == 0 and sim.count() == 21
+
+
+def test_chunks_that_overlap_by_the_window_lose_no_pair(spark):
+    from coclick.operators.vectors import session_sentences
+    n, window, max_len = 103, 4, 10
+    df = spark.createDataFrame([("s", i, i) for i in range(n)] + [("t", i, i) for i in range(10)] + [("u", 1, 1)],
+                               "session string, item long, ts long")
+    want = {(i, j) for i in range(n) for j in range(i + 1, min(i + window + 1, n))}
+    for overlap, lost in ((window, False), (0, True)):
+        out = session_sentences(df, ["session"], max_len=max_len, overlap=overlap).where("session = 's'").collect()
+        got = {(int(t[a]), int(t[b])) for r in out for t in [r.tokens] for a in range(len(t))
+               for b in range(a + 1, min(a + window + 1, len(t)))}
+        assert all(len(r.tokens) <= max_len for r in out) and got <= want and (got != want) == lost
+    short = session_sentences(df, ["session"], max_len=max_len, overlap=window).where("session <> 's'").collect()
+    assert sorted((r.session, r.chunk, len(r.tokens)) for r in short) == [("t", 0, 10), ("u", 0, 1)]
