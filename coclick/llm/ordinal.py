@@ -129,9 +129,6 @@ def _fit_task(frequency: dict[int, int]):
             y.append(batch.column(0).to_numpy())
         if x:
             matrix, grade = np.concatenate(x), np.concatenate(y)
-            # a fixed row order: the same model whatever order the rows came in
-            order = np.lexsort((matrix[:, 1], matrix[:, 0], grade))
-            matrix, grade = matrix[order], grade[order]
             present, at, size = np.unique(grade, return_inverse=True, return_counts=True)
             if len(present) > 1:
                 share = np.array([frequency[int(g)] for g in present]) / size
@@ -156,10 +153,11 @@ def train(docs: DataFrame, labels: DataFrame, per_grade: int = SAMPLE_PER_GRADE)
     picked = picks[0]
     for p in picks[1:]:
         picked = picked.unionByName(p)
-    # bounded: per_grade ids a grade
-    sample = materialise(docs.join(F.broadcast(materialise(picked, "sample-ids")), "doc_id").select("grade", "text"),
-                         "sample")
-    model = sample.coalesce(1).mapInArrow(
+    # bounded: per_grade ids a grade, one row an id
+    sample = materialise(docs.join(F.broadcast(materialise(picked, "sample-ids")), "doc_id")
+                         .groupBy("doc_id", "grade").agg(F.min("text").alias("text")), "sample")
+    # in id order: the same model whatever order the rows came in
+    model = sample.coalesce(1).sortWithinPartitions("doc_id").select("grade", "text").mapInArrow(
         _fit_task(frequency), "weights array<double>, thresholds array<double>, grades array<long>").collect()
     if not model:
         return None

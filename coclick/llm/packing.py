@@ -31,7 +31,7 @@ from coclick.llm.tokens import END_ID, encoder, tokenizer_path
 
 WINDOW = 2048
 PIECES_PER_GROUP = 20_000
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 2_000_000
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 

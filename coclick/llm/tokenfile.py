@@ -37,7 +37,7 @@ from coclick.llm.tokens import END_ID, encoder, tokenizer_path
 
 NULL_ID = -(1 << 63)
 #: Characters handed to the tokenizer at a time.
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 2_000_000
 
 _MANIFEST = "bucket int, stem string, n_docs long, n_ids long, width int"
 

@@ -23,7 +23,7 @@ import regex
 #: Public tokenizer file used by the registered queries.
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-MEMO_WORDS, MEMO_PIECES = 400_000, 300_000
+MEMO_WORDS, MEMO_PIECES = 250_000, 300_000
 
 _PLAIN = re.compile(r"[!-~¡-ɏ]+")
 _SIGNS = ".,;:!?"

@@ -214,8 +214,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     picked = materialise(first(True, sample).unionByName(first(False, 2 * sample))
                          .select("doc_id", (F.col("toxic") > 0).alias("toxic")), "toxic-ids")
-    # bounded: 3 * sample ids
-    return materialise(docs.join(F.broadcast(picked), "doc_id").select("toxic", "text"), "toxic-sample")
+    # bounded: 3 * sample ids, one row an id
+    return materialise(docs.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic")
+                       .agg(F.min("text").alias("text")).select("toxic", "text"), "toxic-sample")
 
 
 def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> list[tuple[str, bool]]:
