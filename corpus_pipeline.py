@@ -29,9 +29,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.select(*docs.columns)
 
 
+#: Words a shingle of the near-dedup stage (the op7 query, with a contract of its own, takes four).
+SHINGLE = 5
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates (its smallest id); documents without words stay."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    kept = neardup.near_duplicates(docs, shingle=SHINGLE).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi").select(*docs.columns)
 
 
