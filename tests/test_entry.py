@@ -20,6 +20,8 @@ def test_oracle_keys_are_queries():
 def _norm(df):
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
+        if df[c].dtype.kind in "iu" and df[c].isna().any():
+            df[c] = df[c].astype("float64")
         if df[c].dtype.kind == "f":
             df[c] = df[c].round(6)
     return df.astype(str).sort_values(list(df.columns)).reset_index(drop=True)
@@ -33,7 +35,8 @@ def duck():
     return con
 
 
-SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
