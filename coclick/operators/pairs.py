@@ -30,6 +30,16 @@ def canonical_pair(a, b) -> tuple[Column, Column]:
     return F.least(a, b), F.greatest(a, b)
 
 
+def _exploding(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """An inner join that makes far more rows than it reads.
+
+    Adaptive execution sizes its tasks by the bytes they read and would leave a
+    few with all the pairs; the session's number of partitions is kept instead.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return left.repartition(parts, *on).join(right.repartition(parts, *on), on)
+
+
 def window_pairs(ranked: DataFrame, group_cols: list[str], pos_col: str, size_col: str,
                  value_cols: list[str], window: int, block: int = DEFAULT_BLOCK) -> DataFrame:
     """WN1: pair every row with the next ``window`` positions of its group.
@@ -50,7 +60,7 @@ def window_pairs(ranked: DataFrame, group_cols: list[str], pos_col: str, size_co
                          F.explode(F.sequence(blk, reach)).alias("__blk"))
     right = ranked.select(*group_cols, pos.alias("pos_b"),
                           *[F.col(v).alias(f"{v}_b") for v in value_cols], blk.alias("__blk"))
-    joined = left.join(right, on=[*group_cols, "__blk"], how="inner")
+    joined = _exploding(left, right, [*group_cols, "__blk"])
     return joined.where((F.col("pos_b") > F.col("pos_a")) & (F.col("pos_b") <= F.col("pos_a") + window)).drop("__blk")
 
 
@@ -81,7 +91,7 @@ def group_pairs(members: DataFrame, group_cols: list[str], member_col: str,
                     F.col("__b").alias("__ba"), other.alias("__bb"))
     right = m.select(*group_cols, F.col(member_col).alias("b"), *[F.col(c).alias(f"{c}_b") for c in carry],
                      F.col("__b").alias("__bb"), other.alias("__ba"))
-    return left.join(right, on=[*group_cols, "__ba", "__bb"], how="inner") \
+    return _exploding(left, right, [*group_cols, "__ba", "__bb"]) \
         .where(F.col("a") < F.col("b")).drop("__ba", "__bb")
 
 
