@@ -47,7 +47,7 @@ from coclick.operators.skew import heavy_from_sizes, split_join
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
-KEYS_PER_SHARD = 250_000
+KEYS_PER_SHARD = 125_000
 #: Insertions that :func:`dedup_lines` makes.
 INSERTIONS = 2
 #: Parts beyond which an insertion merges them into one.
@@ -223,9 +223,10 @@ def _merge(key, state: pa.Table, change: pa.Table) -> pa.Table:
     known = CuckooFilter.loads(raw[0]) if raw else CuckooFilter.for_keys(len(d1))
     maybe = known.contains(d1) if raw else np.zeros(len(d1), bool)
     # exact look-up of the keys that the filter knows
-    place = {(int(a), int(b)): i for i, (a, b) in enumerate(zip(k1, k2, strict=True))} if maybe.any() else {}
-    at = np.array([place.get((int(a), int(b)), -1) if m else -1 for a, b, m in zip(d1, d2, maybe, strict=True)],
-                  dtype=np.int64)
+    at = np.full(len(d1), -1, dtype=np.int64)
+    if maybe.any():
+        place = {(int(a), int(b)): i for i, (a, b) in enumerate(zip(k1, k2, strict=True))}
+        at[maybe] = [place.get((int(a), int(b)), -1) for a, b in zip(d1[maybe], d2[maybe], strict=True)]
     hit = at >= 0
     n[at[hit]] += dn[hit]
     last[at[hit]] = np.where(dn[hit] > 0, np.maximum(last[at[hit]], dlast[hit]), dlast[hit])
@@ -239,10 +240,10 @@ def _merge(key, state: pa.Table, change: pa.Table) -> pa.Table:
         while not (known := CuckooFilter.for_keys(size)).insert(k1):
             size *= 2
     rows = len(k1)
-    return pa.table({"shard": pa.array([shard] * (rows + 1), pa.int32()),
-                     **{c: pa.array([*x.tolist(), None], pa.int64())
+    return pa.table({"shard": pa.array(np.full(rows + 1, shard, np.int32)),
+                     **{c: pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(1, pa.int64())])
                         for c, x in zip(cols, (k1, k2, n, last), strict=True)},
-                     "slots": pa.array([None] * rows + [known.dumps()], pa.binary())})
+                     "slots": pa.concat_arrays([pa.nulls(rows, pa.binary()), pa.array([known.dumps()], pa.binary())])})
 
 
 def _applied(part: LinePart | None, change: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
