@@ -9,7 +9,7 @@ shuffled by a hash of (seed, doc_id, copy).  DataFrame functions only.
 
 The distribution function is tabulated per source up to rate + 12 sqrt(rate) +
 30, beyond which less than 2**-52 is left.  Tables are broadcast up to
-``BROADCAST_SOURCES`` sources; more are joined with the documents salted.
+``BROADCAST_ENTRIES`` numbers in all; more are joined with the documents salted.
 
 Defined cases: null text counts as empty; a null source is a source; rows
 repeating an id get equal numbers of copies; sources without a given weight have
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 SEED = 42
 TEMPERATURE = 0.5
-BROADCAST_SOURCES = 10_000
+#: Entries of all distribution functions together (8 bytes each).
+BROADCAST_ENTRIES = 2_000_000
 SALTS = 32
 ADDED = ("copy", "n_copies", "rate", "shuffle_key")
 
@@ -74,7 +75,8 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, temperature:
     docs = docs.drop(*ADDED) if counted else docs
     rates = source_rates(docs, weights, temperature) \
         .select(F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("cdf").alias("__cdf"))
-    if rates.count() <= BROADCAST_SOURCES:
+    entries = rates.agg(F.sum(F.size("__cdf") + 8)).first()[0] or 0
+    if entries <= BROADCAST_ENTRIES:
         rated = docs.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("__source")))
     else:
         salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")

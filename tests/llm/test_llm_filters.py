@@ -443,7 +443,7 @@ def test_mixing_counts_and_shares(spark, messy, nothing, documents):
 
 def test_mixing_joins_many_sources_salted(documents, monkeypatch):
     want = sorted(map(tuple, mixing.mix_sources(documents).collect()))
-    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(mixing, "BROADCAST_ENTRIES", 0)
     assert sorted(map(tuple, mixing.mix_sources(documents).collect())) == want
 
 
