@@ -17,6 +17,7 @@ from coclick.operators.pairs import (
 )
 from coclick.operators.positions import numbered
 from coclick.operators.topk import clamp, collect_ranked, floor_filter, rank_key, top_k_by_key
+from coclick.sinks.files import write_clustered
 from coclick.sources.clicks import day_range_filter
 from coclick.functions.text import score_pairs_text
 
@@ -105,18 +106,27 @@ def merge_counts(daily: DataFrame, *, whitelist: DataFrame | None = None, day_co
         .select(F.col("vi").alias("va"), F.col("vj").alias("vb"), "weight")
 
 
-def attach_counts(merged: DataFrame) -> DataFrame:
-    """JN1: pairs joined to both items' counts -> ``va, vb, weight, weight_a, weight_b``."""
+def clustered_counts(merged: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The items' own counts (va = vb) stored clustered by item, for :func:`attach_counts`."""
+    return write_clustered(merged.where(F.col("va") == F.col("vb")).select("va", "weight"), ["va"], "item-counts", buckets)
+
+
+def attach_counts(merged: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """JN1: pairs joined to both items' counts -> ``va, vb, weight, weight_a, weight_b``.
+
+    ``counts(va, weight)`` are the items' own counts if they are stored apart
+    (:func:`clustered_counts`: neither join shuffles them), else those in ``merged``.
+    """
     pairs = merged.where(F.col("va") != F.col("vb"))
-    own = merged.where(F.col("va") == F.col("vb"))
+    own = merged.where(F.col("va") == F.col("vb")) if counts is None else counts
     a = own.select(F.col("va"), F.col("weight").alias("weight_a"))
     b = own.select(F.col("va").alias("vb"), F.col("weight").alias("weight_b"))
     return pairs.join(a, "va").join(b, "vb").select("va", "vb", "weight", "weight_a", "weight_b")
 
 
-def cosine_scores(merged: DataFrame) -> DataFrame:
+def cosine_scores(merged: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """CF3: ``score = weight / sqrt(weight_a) / sqrt(weight_b)`` per stored pair."""
-    j = attach_counts(merged)
+    j = attach_counts(merged, counts)
     return j.withColumn("score", F.col("weight") / F.sqrt("weight_a") / F.sqrt("weight_b"))
 
 

@@ -25,7 +25,6 @@ answers are those of :func:`coclick.operators.vectors.knn_exact`.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,7 +36,8 @@ from pyspark.sql import functions as F
 from coclick.functions.hashing import uniform_hash
 from coclick.operators.skew import split_join
 from coclick.operators.topk import RANK_DIGITS, top_k_by_key
-from coclick.session import shared_folder, ship_package, stored
+from coclick.session import ship_package, stored
+from coclick.sinks.files import write_clustered
 
 DEGREE = 32          # neighbours kept per node while the graph is built
 BEAM = 64            # nodes a query keeps
@@ -63,15 +63,6 @@ class NeighbourGraph:
     iterations: int
 
 
-def clustered(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
-    """``df`` written bucketed and sorted by ``key`` in the shared folder: joins on ``key`` don't shuffle it again."""
-    spark = df.sparkSession
-    table = f"{name}_{uuid.uuid4().hex}"
-    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key) \
-        .option("path", shared_folder(spark, name)).saveAsTable(table)
-    return spark.table(table)
-
-
 def _matrix(column: pa.Array, rows: int) -> np.ndarray:
     """Vectors of a binary column (float32) as a matrix of doubles."""
     raw = column.cast(pa.large_binary())
@@ -189,7 +180,6 @@ def build_graph(corpus: DataFrame, space: str = "cosine", degree: int = DEGREE,
         raise ValueError(f"space must be one of {SPACES}")
     spark = corpus.sparkSession
     ship_package(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = corpus.where("id is not null and vec is not null") \
         .select(F.col("id").cast("long").alias("cid"), _packed().alias("vec"))
     # one node per distinct vector, named by its smallest id
@@ -247,7 +237,7 @@ def build_graph(corpus: DataFrame, space: str = "cosine", degree: int = DEGREE,
     with_vecs = split_join(links, nodes.select(F.col("node").alias("nbr"), "vec"), ["nbr"], split_right=False)
     index = with_vecs.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("nbr", "vec"))).alias("e")) \
         .select("node", F.col("e.nbr").alias("nbrs"), F.col("e.vec").alias("vecs"))
-    return NeighbourGraph(clustered(index, "node", buckets, "graph_index"), nodes, members, pivot_rows, space, done)
+    return NeighbourGraph(write_clustered(index, ["node"], "graph-index"), nodes, members, pivot_rows, space, done)
 
 
 def _expand(space: str):

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coclick.operators import itemcf, rolling, vectors
+from coclick.operators import graph, itemcf, rolling, vectors
 from coclick.plans import params as P
 from coclick.session import shared_folder, stored
 from coclick.sinks import files
@@ -104,6 +104,19 @@ def model_roundtrip(spark, sf):
     return vectors.model_vectors(Word2VecModel.load(path)).select("id", F.size("vec").cast("bigint").alias("dim"))
 
 
+def itemcf_scores_clustered(spark, sf):
+    """JN1 against item counts that are stored clustered."""
+    merged = stored(_catalog().cp_merged(spark, sf), "merged")
+    return itemcf.cosine_scores(merged, itemcf.clustered_counts(merged)) \
+        .select("va", "vb", "weight", "weight_a", "weight_b", (F.round("score", 6) + F.lit(0.0)).alias("score"))
+
+
+def graph_hop1_clustered(spark, sf):
+    """JN7 against an adjacency that is stored clustered."""
+    labels, adj = _catalog().g_shared(spark, sf)
+    return graph.hop1_samples(graph.label_contexts(labels), graph.clustered_adjacency(adj), P.HOP1, P.SEED)
+
+
 #: Horizon and number of days rolled by itemcf_rolling.
 ROLL_DAYS, ROLLED = 6, 12
 
@@ -122,4 +135,4 @@ def itemcf_rolling(spark, sf) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     whitelist_snapshot, snapshot_roundtrip, tsv_roundtrip, user_lists_roundtrip, eval_roundtrip, sentences_roundtrip,
-    vectors_roundtrip, model_roundtrip, itemcf_rolling)}
+    vectors_roundtrip, model_roundtrip, itemcf_scores_clustered, graph_hop1_clustered, itemcf_rolling)}

@@ -573,6 +573,8 @@ FROM chunked WHERE chunk = 0 OR chunk * 5 + 3 < n GROUP BY u, chunk"""
     q["whitelist_snapshot"] = "SELECT DISTINCT p_partkey AS item FROM part WHERE p_size % 2 = 0"
     q["snapshot_roundtrip"] = """SELECT n_nationkey, n_name, (SELECT CAST(sum(CASE WHEN n_nationkey >= 10 THEN 3 WHEN n_nationkey >= 5
   THEN 2 ELSE 1 END) AS BIGINT) FROM nation) AS rows_written, CAST(2 AS BIGINT) AS snapshots_left, '2024-01-28' AS purged FROM nation"""
+    q["itemcf_scores_clustered"] = q["itemcf_scores"]
+    q["graph_hop1_clustered"] = q["graph_hop1"]
     q["tsv_roundtrip"] = q["graph_training_rows"]
     q["user_lists_roundtrip"] = _q(uc, "SELECT u AS user, rank, item FROM recs")
     q["eval_roundtrip"] = q["eval_hit_ratio"]

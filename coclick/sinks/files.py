@@ -7,11 +7,14 @@ and never shells out.  Deletions only ever touch children of the given base.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from coclick.session import shared_folder
+
 SUCCESS = "_SUCCESS"
 
 
@@ -52,6 +55,21 @@ def write_parquet(df: DataFrame, path: str, files: int | None = None) -> str:
     return path
 
 
+def write_clustered(df: DataFrame, keys: list[str], name: str, buckets: int | None = None, path: str | None = None) -> DataFrame:
+    """SNK1 (clustered form): ``df`` as a table bucketed and sorted by ``keys``, read back.
+
+    Joins on exactly these keys take the stored side as it lies, without a shuffle.
+    ``buckets`` defaults to the session's shuffle partitions, so the other side is
+    dealt alike; the files go to ``path`` or a new folder of the shared one.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys) \
+        .option("path", path or shared_folder(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
 def write_snapshot(df: DataFrame, base: str, snapshot: str, files: int | None = None) -> str:
     """SNK2: write a versioned snapshot ``base/<snapshot>`` (epoch or day)."""
     return write_parquet(df, f"{base.rstrip('/')}/{snapshot}", files)
