@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 from coclick.llm.store import materialise, shipped
 
 SAMPLE = 4_000
-LEXICON = 5_000
 #: Least evidence (log-likelihood ratio of an entry's documents against chance) and least log-odds.
 TERM_EVIDENCE, STEM_EVIDENCE = 9.0, 18.0
 LEAST_ODDS = 3.0
@@ -219,8 +218,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
                        .agg(F.min("text").alias("text")).select("toxic", "text"), "toxic-sample")
 
 
-def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> list[tuple[str, bool]]:
-    """(entry, is a stem): terms and stems typical of toxic texts; at most ``size`` each."""
+def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool]]:
+    """(entry, is a stem): all terms and stems typical of the toxic texts of a bounded sample."""
     totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not totals.get(True) or not totals.get(False):
         return []
@@ -237,7 +236,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> list[tuple[str, boo
     counts = materialise(words.groupBy("word", "toxic").agg(F.count("*").alias("n")), "toxic-words")
     terms = counts.groupBy("word").agg(count(True).alias("toxic_docs"), count(False).alias("other_docs")) \
         .where((F.col("toxic_docs") > 0) & (evidence >= TERM_EVIDENCE)).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS) \
-        .orderBy(F.desc(F.col("toxic_docs") * F.col("odds")), "word").limit(size).collect()
+        .collect()
     # stems: beginnings that several words share
     begun = counts.select("toxic", "n", "word", F.explode(F.expr(
         "transform(sequence(4, greatest(4, least(6, length(word) - 1))), k -> substring(word, 1, k))")).alias("stem")) \
@@ -249,7 +248,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> list[tuple[str, boo
         .where((F.col("toxic_docs") > 0) & (evidence >= STEM_EVIDENCE) & (F.col("words") >= 4)
                & (F.col("most") < 0.7 * F.col("toxic_docs"))) \
         .withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS) \
-        .orderBy(F.desc(F.col("toxic_docs") * F.col("odds")), "stem").limit(size).collect()
+        .collect()
     short: list[str] = []
     for s in sorted({r["stem"] for r in stems}, key=lambda s: (len(s), s)):
         if not any(s.startswith(x) for x in short):
