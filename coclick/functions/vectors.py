@@ -21,5 +21,6 @@ def norm(a) -> Column:
 
 
 def l2_normalize(a) -> Column:
-    n = norm(a)
-    return F.transform(_col(a), lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
+    # the norm is the element of an outer array: once per vector, not once per number
+    scaled = F.transform(F.array(norm(a)), lambda n: F.transform(_col(a), lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0))))
+    return F.get(scaled, F.lit(0))

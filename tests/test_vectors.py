@@ -68,3 +68,22 @@ def test_chunks_that_overlap_by_the_window_lose_no_pair(spark):
         assert all(len(r.tokens) <= max_len for r in out) and got <= want and (got != want) == lost
     short = session_sentences(df, ["session"], max_len=max_len, overlap=window).where("session <> 's'").collect()
     assert sorted((r.session, r.chunk, len(r.tokens)) for r in short) == [("t", 0, 10), ("u", 0, 1)]
+
+
+def test_tiles_are_streams_with_wide_query_blocks(spark):
+    df, v = random_vectors(spark, 700, 8, 4)
+    copies = df.unionByName(df.selectExpr("id + 1000 AS id", "vec"))       # every distance twice: lower id first
+    whole = np.concatenate([v, v])
+    ids = np.concatenate([np.arange(700), np.arange(700) + 1000])
+    for space in vectors.SPACES:
+        found = vectors.knn_exact(df, copies, 5, space, block=8)
+        assert "FlatMapCoGroups" not in found._jdf.queryExecution().toString()
+        res = {}
+        for r in found.collect():
+            res.setdefault(r.qid, []).append((r.rank, r.cid))
+        want = {i: [int(ids[c]) for c in x] for i, x in brute(v, whole, 5, space).items()}
+        assert {q: [c for _, c in sorted(x)] for q, x in res.items()} == want
+    # 600,000 vectors: a corpus vector is copied 37 times (147 in square tiles), a query 10 times
+    assert vectors._blocks(600_000, 4096, vectors.QUERY_BLOCKS, 8) == 37
+    assert vectors._blocks(600_000, 4096, vectors.CORPUS_BLOCKS, 4) == 10
+    assert [vectors._blocks(n, 4096, 4, 8) for n in (0, 1, 4097, 100_000)] == [1, 1, 2, 8]
