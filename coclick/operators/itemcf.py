@@ -16,7 +16,9 @@ from coclick.operators.pairs import (
     window_pairs,
 )
 from coclick.operators.positions import numbered
+from coclick.operators.stripes import STRIPE, group_stripes, pair_sums
 from coclick.operators.topk import clamp, collect_ranked, floor_filter, rank_key, top_k_by_key
+from coclick.session import stored
 from coclick.sinks.files import write_clustered
 from coclick.sources.clicks import day_range_filter
 from coclick.functions.text import score_pairs_text
@@ -80,11 +82,35 @@ def daily_cooccurrence(clicks: DataFrame, *, user_col: str = "user", item_col: s
                       max_user_items=max_user_items, min_user_items=min_user_items, rows_per_task=rows_per_task)
     if whitelist is not None:
         c = c.join(whitelist.select("item"), "item", "left_semi")
+    if day_col is None:
+        return _by_stripes(c, user_col, window_size, block)
     own = c.groupBy(*dkeys, F.col("item").alias("vi")).agg(F.sum(F.col("w") * F.col("w")).alias("weight")) \
         .select(*dkeys, "vi", F.col("vi").alias("vj"), "weight")
+    return _windowed(c, keys, dkeys, window_size, block).unionByName(own)
+
+
+def _windowed(c: DataFrame, keys: list[str], dkeys: list[str], window_size: int, block: int) -> DataFrame:
+    """Pair weights of numbered clicks inside the window."""
     p = window_pairs(c, keys, "pos", "n", ["item", "w"], window_size, block).where(F.col("item_a") != F.col("item_b"))
     lo, hi = canonical_pair("item_a", "item_b")
-    pairs = p.groupBy(*dkeys, lo.alias("vi"), hi.alias("vj")).agg(F.sum(F.col("w_a") * F.col("w_b")).alias("weight"))
+    return p.groupBy(*dkeys, lo.alias("vi"), hi.alias("vj")).agg(F.sum(F.col("w_a") * F.col("w_b")).alias("weight"))
+
+
+def _by_stripes(c: DataFrame, user_col: str, window_size: int, block: int) -> DataFrame:
+    """CF1 of numbered clicks: users within the window by item as stripes, the others by position.
+
+    All clicks of a user within the window are paired, so an item counts with the sum of its weights.
+    """
+    c = stored(c.select(user_col, "item", "w", "n", "pos"), "daily-clicks")
+    own = c.groupBy(F.col("item").alias("vi")).agg(F.sum(F.col("w") * F.col("w")).alias("weight")) \
+        .select("vi", F.col("vi").alias("vj"), "weight")
+    whole = F.col("n") <= window_size + 1
+    x = stored(c.where(whole).groupBy(user_col, "item").agg(F.sum("w").alias("x")), "daily-items")
+    pairs = pair_sums(group_stripes(x, [user_col], "item", "x", block=min(block, STRIPE)), x, "item") \
+        .select(F.col("a").alias("vi"), F.col("b").alias("vj"), "weight")
+    if not c.where(~whole).isEmpty():
+        pairs = pairs.unionByName(_windowed(c.where(~whole), [user_col], [], window_size, block)) \
+            .groupBy("vi", "vj").agg(F.sum("weight").alias("weight"))
     return pairs.unionByName(own)
 
 

@@ -6,7 +6,8 @@ with w_u = 1 / sqrt(#distinct items of u) and c_uv the number of same-day
 items u and v share (items with 2..1000 users only).  A user pair without a
 c_uv row is dropped (inner join), as in the reference ("approx1").
 
-Plan notes: the item-pair paths are filtered by the whitelist and reduced to
+Plan notes: pairs travel as stripes (:mod:`coclick.operators.stripes`), so a pair that
+only one user has is never a row; the item-pair paths are filtered by the whitelist and reduced to
 pairs with at least two users *before* the user pairs are generated, which
 Catalyst would not do by itself; every pair generation is a blocked equi-join
 (:func:`coclick.operators.pairs.group_pairs`).  User weights ride along with the
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coclick.operators.pairs import DEFAULT_BLOCK, group_pairs, symmetrise
+from coclick.operators.stripes import STRIPE, group_stripes, integral, pair_sums, shared_members
 from coclick.operators.skew import heavy_from_sizes, split_join
 from coclick.operators.topk import rank_key, top_k_by_key
 from coclick.session import stored
@@ -44,15 +46,21 @@ def user_item(clicks: DataFrame, user_col: str = "user", item_col: str = "item",
 
 
 def item_pair_users(ui: DataFrame, day_col: str | None = None, block: int = DEFAULT_BLOCK,
-                    assume_distinct: bool = False) -> DataFrame:
+                    assume_distinct: bool = False, striped: bool = False) -> DataFrame:
     """SW2: per (day,) user with >= 2 distinct items, every item pair i < j -> (itemi, itemj, user).
 
-    A ``user_weight`` column of ``ui`` (a function of the user) rides along.
+    A ``user_weight`` column of ``ui`` (a function of the user) rides along.  With ``striped`` a
+    row holds the pairs of one ``itemi`` and user, ``itemjs`` being an array of items: what
+    :func:`item_pair_user_pairs` takes without shuffling a row per pair.
     """
     keys = [day_col] if day_col else []
     carry = [c for c in ("user_weight",) if c in ui.columns]
     d = ui.select(*keys, "user", "item", *carry)
     d = d if assume_distinct else d.distinct()
+    if striped and integral(d, "user", "item"):
+        d = d if assume_distinct else stored(d, "swing-distinct")
+        return group_stripes(d, [*keys, "user", *carry], "item", block=min(block, STRIPE)) \
+            .select(*keys, F.col("a").alias("itemi"), F.col("bs").alias("itemjs"), "user", *carry)
     p = group_pairs(d, [*keys, "user"], "item", min_size=2, block=block, carry=carry)
     return p.select(*keys, F.col("a").alias("itemi"), F.col("b").alias("itemj"), "user",
                     *[F.col(f"{c}_a").alias(c) for c in carry])
@@ -60,12 +68,17 @@ def item_pair_users(ui: DataFrame, day_col: str | None = None, block: int = DEFA
 
 def user_pair_counts(ui: DataFrame, day_col: str | None = None, min_users: int = MIN_ITEM_USERS,
                      max_users: int | None = MAX_ITEM_USERS, block: int = DEFAULT_BLOCK,
-                     assume_distinct: bool = False) -> DataFrame:
+                     assume_distinct: bool = False, asked: DataFrame | None = None) -> DataFrame:
     """SW3: per (day, item) with min..max distinct users, count each user pair;
-    summed over days -> (ui, uj, weight bigint)."""
+    summed over days -> (ui, uj, weight bigint).  ``asked(ui, uj)`` names the only pairs that are needed."""
     keys = [day_col] if day_col else []
     d = ui.select(*keys, "item", "user")
     d = d if assume_distinct else d.distinct()
+    if integral(d, "user"):
+        d = d if assume_distinct else stored(d, "swing-distinct")
+        stripes = group_stripes(d, [*keys, "item"], "user", min_size=min_users, max_size=max_users, block=min(block, STRIPE))
+        wanted = None if asked is None else asked.select(F.col("ui").alias("a"), F.col("uj").alias("b"))
+        return pair_sums(stripes, d, "user", asked=wanted).select(F.col("a").alias("ui"), F.col("b").alias("uj"), "weight")
     p = group_pairs(d, [*keys, "item"], "user", min_size=min_users, max_size=max_users, block=block)
     return p.groupBy(F.col("a").alias("ui"), F.col("b").alias("uj")).agg(F.count(F.lit(1)).alias("weight"))
 
@@ -78,7 +91,7 @@ def user_weights(ui: DataFrame, assume_distinct: bool = False) -> DataFrame:
 
 
 def item_pair_user_pairs(ipu: DataFrame, whitelist: DataFrame | None = None,
-                         block: int = DEFAULT_BLOCK, dedupe: bool = True) -> DataFrame:
+                         block: int = DEFAULT_BLOCK, dedupe: bool = True, clicks: DataFrame | None = None) -> DataFrame:
     """SW5: users of each item pair, over all days; all user pairs ui < uj.
 
     With ``whitelist`` both items are filtered first (same result as the
@@ -86,9 +99,16 @@ def item_pair_user_pairs(ipu: DataFrame, whitelist: DataFrame | None = None,
     nothing and are dropped by the size filter before the join.  ``dedupe``
     removes repeats of (pair, user) across days; a single-window input is
     already distinct and can skip that shuffle.  A ``user_weight`` column gives
-    each path its two users' weights ``uiw``, ``ujw``.
+    each path its two users' weights ``uiw``, ``ujw``.  Striped rows
+    (:func:`item_pair_users`) are read by item; ``clicks(item)`` names their hot items.
     """
     carry = [c for c in ("user_weight",) if c in ipu.columns]
+    if "itemjs" in ipu.columns:
+        # pairs of one user go no further; repeats across days are removed on the way
+        stripes = ipu.withColumnsRenamed({"itemi": "a", "itemjs": "bs"})
+        ipu = stored(shared_members(stripes, stripes if clicks is None else clicks, "a" if clicks is None else "item", "user", *carry)
+                     .withColumnsRenamed({"a": "itemi", "b": "itemj"}), "swing-shared")
+        dedupe = False
     d = ipu.select("itemi", "itemj", "user", *carry)
     if whitelist is not None:
         wl = whitelist.select(F.col("item").alias("__w"))
@@ -141,9 +161,14 @@ def swing_from_clicks(ui: DataFrame, whitelist: DataFrame | None = None, day_col
     ud = stored(split_join(ud, weights.withColumnRenamed("weight", "user_weight"), ["user"], split_right=False),
                 "swing-clicks")
     pair_src = ud if whitelist is None else ud.join(whitelist.select("item"), "item", "left_semi")
-    ipu = item_pair_users(pair_src, day_col, assume_distinct=True)
-    paths = item_pair_user_pairs(ipu, dedupe=day_col is not None)
-    u2u = user_pair_counts(ud, day_col, assume_distinct=True)
+    ipu = item_pair_users(pair_src, day_col, assume_distinct=True, striped=True)
+    paths = item_pair_user_pairs(ipu, dedupe=day_col is not None, clicks=pair_src)
+    if integral(ud, "user", "item"):
+        # only the user pairs of the paths are counted
+        paths = stored(paths, "swing-paths")
+        u2u = user_pair_counts(ud, day_col, assume_distinct=True, asked=paths)
+    else:
+        u2u = user_pair_counts(ud, day_col, assume_distinct=True)
     # two users share at most the items of the smaller: only then can a pair have too many paths for a task
     most = ud.agg(F.min("user_weight")).first()[0]
     heavy = {}

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from coclick.operators.pairs import DEFAULT_BLOCK, group_pairs, symmetrise
 from coclick.operators.skew import split_join
+from coclick.operators.stripes import STRIPE, group_stripes, integral, pair_sums
 from coclick.operators.topk import rank_key, top_k_by_key
+from coclick.session import stored
 
 # Fixed values of the reference's user-CF job.
 HISTORY_CAP = 700   # clicks kept per user (most recent first)
@@ -45,6 +47,16 @@ def user_similarity(ui: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
     Returns (u1, u2, weight, weight_a, weight_b, score).
     """
     d = ui.select("user", "item").distinct()
+    if integral(d, "user"):
+        # the users' sizes go along with the pairs, which are not joined again
+        d = stored(d, "usercf-clicks")
+        d = stored(d.join(d.groupBy("user").agg(F.count(F.lit(1)).cast("double").alias("n")), "user"), "usercf-sizes")
+        w = pair_sums(group_stripes(d, ["item"], "user", "n", block=min(block, STRIPE)), d, "user", carried=True)
+        j = w.select(F.col("a").alias("ua"), F.col("b").alias("ub"), "weight", F.col("va").cast("bigint").alias("weight_a"),
+                     F.col("vb").cast("bigint").alias("weight_b")) \
+            .withColumn("score", F.col("weight") / F.sqrt("weight_a") / F.sqrt("weight_b"))
+        return symmetrise(j, ["ua", "weight_a"], ["ub", "weight_b"], ["u1", "weight_a"], ["u2", "weight_b"],
+                          keep=["weight", "score"]).select("u1", "u2", "weight", "weight_a", "weight_b", "score")
     sizes = d.groupBy("user").agg(F.count(F.lit(1)).alias("n"))
     p = group_pairs(d, ["item"], "user", min_size=2, block=block)
     w = p.groupBy(F.col("a").alias("ua"), F.col("b").alias("ub")).agg(F.count(F.lit(1)).alias("weight"))

@@ -144,7 +144,8 @@ def swing_i2i_users(spark, sf):
 
 
 def swing_paths(spark, sf):
-    return swing.item_pair_user_pairs(swing.item_pair_users(cp_ui(spark, sf)))
+    ui = cp_ui(spark, sf)
+    return swing.item_pair_user_pairs(swing.item_pair_users(ui, striped=True), clicks=ui)
 
 
 def swing_scores(spark, sf):
