@@ -42,6 +42,7 @@ from coclick.operators.itemcf import (
 from coclick.operators.pairs import group_pairs
 from coclick.operators.positions import numbered
 from coclick.operators.skew import split_join
+from coclick.operators.stripes import group_stripes, pair_sums
 from coclick.session import stored
 
 # Bounds are summed as integers, rounded up, so no order of summation can lower one.
@@ -112,8 +113,27 @@ def similar_pairs(vectors: DataFrame, floor: float, min_weight: float = MIN_WEIG
     return _similar(weighted, counts, floor, min_weight)
 
 
+def _pairs_of(rows: DataFrame, weights: str) -> int:
+    """Sum over the users of ``weights``, of their number of rows ``n``."""
+    per = rows.groupBy("user").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return int(per.agg(F.sum(F.expr(weights))).first()[0] or 0)
+
+
 def _similar(weighted: DataFrame, counts: DataFrame, floor: float, min_weight: float) -> DataFrame:
-    found = _verified(candidate_pairs(weighted, floor, min_weight), weighted, counts)
+    """Candidates, verified.
+
+    Where the bounds leave most pairs, one pass over all shared clicks sums whole products and keeps those
+    of candidates, instead of fetching the vectors of each candidate: the cheaper by the numbers of rows.
+    """
+    index = stored(prefixes(weighted, floor, min_weight), "simjoin-prefixes")
+    each = counts.agg(F.avg("users")).first()[0] or 0.0
+    if _pairs_of(weighted, "n * (n - 1) / 2") <= each * _pairs_of(index, "n * (n - 1) / 2"):
+        marked = weighted.join(index.select("user", "item", F.lit(True).alias("__in")), ["user", "item"], "left") \
+            .select("user", "item", F.when(F.col("__in"), F.col("x")).otherwise(-F.col("x")).alias("x"))
+        marked = stored(marked, "simjoin-marked")
+        found = pair_sums(group_stripes(marked, ["user"], "item", "x"), marked, "item", least=min_weight, marked=True)
+    else:
+        found = _verified(group_pairs(index, ["user"], "item").select("a", "b").distinct(), weighted, counts)
     return _scored(found, counts, min_weight).where(F.col("score") > floor)
 
 
@@ -127,9 +147,23 @@ def bounded_lists(vectors: DataFrame, *, min_weight: float = MIN_WEIGHT, k1: int
     have = over.select(F.explode(F.array("va", "vb")).alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("have"))
     short = counts.select("item").join(have.where(F.col("have") >= min(min_keep, k1, k2)), "item", "left_anti")
     theirs = weighted.join(short, "item", "left_semi").select(F.col("item").alias("s"), "user", "x")
-    rest = split_join(theirs, weighted.select("user", "item", F.col("x").alias("z")), ["user"]).where(F.col("s") != F.col("item")) \
+    rest = _scored(_rest(theirs, short, weighted, min_weight), counts, min_weight).join(over, ["va", "vb"], "left_anti")
+    return neighbour_lists(over.unionByName(rest), k1=k1, k2=k2, min_keep=min_keep, floor=floor, clamp_at=clamp_at)
+
+
+def _rest(theirs: DataFrame, short: DataFrame, weighted: DataFrame, min_weight: float) -> DataFrame:
+    """(a, b, weight) of all pairs with an item of ``short``; with most items short, out of one pass over all shared clicks."""
+    theirs, short = stored(theirs, "simjoin-short"), stored(short, "simjoin-short-items")
+    met = theirs.groupBy("user").agg(F.count(F.lit(1)).cast("double").alias("s")) \
+        .join(weighted.groupBy("user").agg(F.count(F.lit(1)).alias("n")), "user").agg(F.sum(F.col("s") * F.col("n"))).first()[0] or 0
+    if _pairs_of(weighted, "n * (n - 1) / 2") <= met:
+        every = stored(pair_sums(group_stripes(weighted.select("user", "item", "x"), ["user"], "item", "x"), weighted, "item",
+                                 least=min_weight), "simjoin-every")
+        first = every.join(short.select(F.col("item").alias("a")), "a", "left_semi")
+        second = every.join(short.select(F.col("item").alias("b")), "b", "left_semi") \
+            .join(short.select(F.col("item").alias("a")), "a", "left_anti")
+        return first.select("a", "b", "weight").unionByName(second.select("a", "b", "weight"))
+    return split_join(theirs, weighted.select("user", "item", F.col("x").alias("z")), ["user"]).where(F.col("s") != F.col("item")) \
         .groupBy("s", "item").agg(F.sum(F.col("x") * F.col("z")).alias("weight")) \
         .select(F.least("s", "item").alias("a"), F.greatest("s", "item").alias("b"), "weight") \
         .groupBy("a", "b").agg(F.max("weight").alias("weight"))
-    rest = _scored(rest, counts, min_weight).join(over, ["va", "vb"], "left_anti")
-    return neighbour_lists(over.unionByName(rest), k1=k1, k2=k2, min_keep=min_keep, floor=floor, clamp_at=clamp_at)
