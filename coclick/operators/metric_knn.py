@@ -6,9 +6,9 @@ its pivot.  The corpus is placed once; only queries travel.  A query first meets
 shell that it would itself lie in, which gives an upper bound on its k-th distance.
 By the triangle inequality no vector of a shell [lo, hi] around pivot p can be closer
 than ``max(d(q, p) - hi, lo - d(q, p))``, so a query is sent only to the shells
-where that is within its bound.  Shells are found by a join on the pivot, never by
-pairing all queries with all shells, and a shell's task reads its vectors once
-and then its queries as a stream.
+where that is within its bound.  Consecutive shells of a pivot make a ring: a query travels once to
+a ring that its bound reaches, with its distance to the pivot, however many shells it meets
+there.  A ring's task reads its vectors once and then its queries as a stream.
 
 Squared euclidean distance and cosine distance (euclidean on unit vectors); rows are
 those of :func:`coclick.operators.vectors.knn_exact`.
@@ -34,6 +34,8 @@ PIVOTS = 256
 BLOCK = 2048
 #: Queries that a shell's task compares at a time.
 QUERIES_AT_ONCE = 1024
+#: Vectors of a ring, at most (one shell at least).
+RING = 16_384
 #: Bounds give way by this much, for the rounding of distances.
 SLACK = 1e-6
 SPACES = ("cosine", "l2")
@@ -41,7 +43,7 @@ SPACES = ("cosine", "l2")
 
 @dataclass
 class Shells:
-    """``vectors(shell, id, vec)`` and ``shells(pivot, shell, lo, hi, size)`` of a corpus."""
+    """``vectors(shell, id, vec, ring, d)`` and ``shells(pivot, shell, ring, lo, hi, size)`` of a corpus."""
 
     vectors: DataFrame
     shells: DataFrame
@@ -90,16 +92,17 @@ def build_shells(corpus: DataFrame, space: str = "cosine", pivots: int = PIVOTS,
     chosen = stored(packed.select(F.col("id").alias("node"), "vec").orderBy(uniform_hash(F.lit(seed), F.col("node")), "node")
                     .limit(pivots), "shell-pivots")
     if chosen.isEmpty():
-        empty = packed.select(F.lit("").alias("shell"), "id", "vec").limit(0)
-        return Shells(empty, empty.selectExpr("id AS pivot", "shell", "0D AS lo", "0D AS hi", "0L AS size"), chosen, space)
+        empty = packed.select(F.lit("").alias("shell"), "id", "vec", F.lit("").alias("ring"), F.lit(0.0).alias("d")).limit(0)
+        return Shells(empty, empty.selectExpr("id AS pivot", "shell", "ring", "0D AS lo", "0D AS hi", "0L AS size"), chosen, space)
     placed = stored(packed.mapInArrow(_to_pivots(*_pivot_arrays(chosen), space, False), _PLACED), "shell-placed")
     # a pivot with very many vectors is numbered by many tasks
     ranked = numbered(placed.drop("nearest"), ["pivot"], ["d", "id", "vec"])
     shell = F.concat_ws("-", "pivot", F.floor((F.col("pos") - 1) / block).cast("long"))
-    ranked = stored(ranked.select("pivot", shell.alias("shell"), "id", "vec", "d"), "shells")
-    shells = stored(ranked.groupBy("pivot", "shell").agg(F.min("d").alias("lo"), F.max("d").alias("hi"),
+    ring = F.concat_ws("-", "pivot", F.floor((F.col("pos") - 1) / (max(1, RING // block) * block)).cast("long"))
+    ranked = stored(ranked.select("pivot", shell.alias("shell"), ring.alias("ring"), "id", "vec", "d"), "shells")
+    shells = stored(ranked.groupBy("pivot", "shell", "ring").agg(F.min("d").alias("lo"), F.max("d").alias("hi"),
                                                          F.count("*").alias("size")), "shell-bounds")
-    return Shells(ranked.select("shell", "id", "vec"), shells, chosen, space)
+    return Shells(ranked.select("shell", "id", "vec", "ring", "d"), shells, chosen, space)
 
 
 def _compared(space: str, k: int):
@@ -158,6 +161,78 @@ def _in_shells(shells: Shells, sent: DataFrame, queries: DataFrame, k: int) -> D
         .mapInArrow(_compared(shells.space, k), "qid long, cid long, dist double")
 
 
+def _compared_rings(space: str, k: int):
+    """Rows sorted by (ring, kind): a ring's vectors (0), then its queries (1), to each query's k nearest within its bound.
+
+    A query meets the shells that its bound reaches, but for its home, which it has met.
+    """
+    def near(shells: list[tuple], queries: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for a in range(0, queries.num_rows, QUERIES_AT_ONCE):
+            part = queries.slice(a, QUERIES_AT_ONCE)
+            q = _unit(_matrix(part.column("vec"), part.num_rows), space)
+            at, bound, worst = (part.column(c).to_numpy() for c in ("d", "bound", "worst"))
+            home = part.column("shell").to_numpy(zero_copy_only=False)
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+            for name, lo, hi, ids, x in shells:
+                meets = np.flatnonzero((at - bound <= hi) & (lo <= at + bound) & (home != name))
+                if not len(meets):
+                    continue
+                d = _distance(q[meets], x, space)
+                bar = worst[meets] + 2.0 * 10.0 ** -RANK_DIGITS
+                if k < len(ids) and np.isinf(bar).any():
+                    bar = np.minimum(bar, np.partition(d, k - 1, axis=1)[:, k - 1] + 2.0 * 10.0 ** -RANK_DIGITS)
+                row, col = np.nonzero(d <= bar[:, None])
+                found.append((meets[row], ids[col], d[row, col]))
+            row, cid, d = map(np.concatenate, zip(*found, strict=True))
+            by = np.lexsort((cid, np.round(d, RANK_DIGITS), row))
+            row, cid, d = row[by], cid[by], d[by]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row[keep])), pa.array(cid[keep]), pa.array(d[keep])],
+                                             names=["qid", "cid", "dist"])
+
+    def closed(held: list[pa.RecordBatch]) -> list[tuple]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        names = rows.column("shell").to_numpy()
+        ids, d = rows.column("id").to_numpy(), rows.column("d").to_numpy()
+        x = _unit(_matrix(rows.column("vec").chunk(0), len(ids)), space)
+        by = np.argsort(names, kind="stable")
+        cuts = [0, *(np.flatnonzero(names[by][1:] != names[by][:-1]) + 1).tolist(), len(by)]
+        return [(names[by[a]], d[by[a:b]].min(), d[by[a:b]].max(), ids[by[a:b]], x[by[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ring, held, shells = None, [], None
+        for batch in batches:
+            name, kinds = batch.column("ring").to_numpy(zero_copy_only=False), batch.column("kind").to_numpy()
+            cuts = [0, *(np.flatnonzero((name[1:] != name[:-1]) | (np.diff(kinds) != 0)) + 1).tolist(), len(name)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if name[a] != ring:
+                    ring, held, shells = name[a], [], None
+                part = batch.slice(a, b - a)
+                if kinds[a] == 0:
+                    held.append(part)
+                    continue
+                if shells is None:
+                    if not held:
+                        continue
+                    shells, held = closed(held), []
+                yield from near(shells, part)
+    return run
+
+
+def _in_rings(shells: Shells, ranges: DataFrame, home: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(qid, cid, dist): the k nearest of every query in the rings in reach; ``ranges(qid, pivot, d, bound, worst)``."""
+    rings = shells.shells.groupBy("pivot", "ring").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    asked = ranges.join(rings, "pivot").where((F.col("d") - F.col("bound") <= F.col("hi")) & (F.col("lo") <= F.col("d") + F.col("bound"))) \
+        .join(home.withColumnRenamed("shell", "__home"), "qid").join(queries.select(F.col("id").alias("qid"), "vec"), "qid") \
+        .select("ring", F.lit(1).alias("kind"), F.col("qid").alias("id"), F.col("__home").alias("shell"), "vec", "d", "bound", "worst")
+    held = shells.vectors.select("ring", F.lit(0).alias("kind"), "id", "shell", "vec", "d", F.lit(0.0).alias("bound"), F.lit(0.0).alias("worst"))
+    parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return held.unionByName(asked).repartition(parts, "ring").sortWithinPartitions("ring", "kind", "id") \
+        .mapInArrow(_compared_rings(shells.space, k), "qid long, cid long, dist double")
+
+
 def search_shells(shells: Shells, queries: DataFrame, k: int = 10) -> tuple[DataFrame, DataFrame]:
     """((qid, rank, cid, dist) of the k nearest, (qid, shell) of all shells that the queries were sent to)."""
     spark = queries.sparkSession
@@ -177,12 +252,13 @@ def search_shells(shells: Shells, queries: DataFrame, k: int = 10) -> tuple[Data
     # both distances are squares of the metric, up to a factor of two
     worst = F.sqrt(F.greatest(F.col("worst"), F.lit(0.0)) * (2.0 if shells.space == "cosine" else 1.0))
     bound = F.when(F.col("have") >= k, worst * (1 + SLACK) + SLACK).otherwise(F.lit(float("inf")))
-    ranges = far.join(reach.select("qid", bound.alias("bound")), "qid")
+    most = F.when(F.col("have") >= k, F.col("worst")).otherwise(F.lit(float("inf")))
+    ranges = far.join(reach.select("qid", bound.alias("bound"), most.alias("worst")), "qid")
+    # the shells that are met; not made for the search itself
     sent = ranges.join(shells.shells, "pivot") \
         .where((F.col("d") - F.col("bound") <= F.col("hi")) & (F.col("lo") <= F.col("d") + F.col("bound"))) \
         .select("qid", "shell").join(home, ["qid", "shell"], "left_anti")
-    sent = stored(sent, "shell-sent")
-    found = first.unionByName(_in_shells(shells, sent, asked, k))
+    found = first.unionByName(_in_rings(shells, ranges, home, asked, k))
     ranked = top_k_by_key(found, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
     return ranked, home.unionByName(sent)
 

@@ -47,3 +47,14 @@ def test_few_vectors_nulls_and_empty_tables(spark):
     assert M.knn_pruned(e, e.limit(0)).collect() == [] and M.knn_pruned(e.limit(0), e).collect() == []
     with pytest.raises(ValueError):
         M.build_shells(e, "ip")
+
+
+@pytest.mark.parametrize("ring", [1, 50, 16_384])
+def test_rings_of_shells_are_exact_and_take_a_query_once(spark, monkeypatch, ring):
+    monkeypatch.setattr(M, "RING", ring)
+    e = corpus(spark, 400, groups=6, spread=0.8).cache()
+    shells = M.build_shells(e, "l2", pivots=3, block=8)
+    rings = {r.ring: r.n for r in shells.shells.groupBy("ring").agg(F.count("*").alias("n")).collect()}
+    assert max(rings.values()) == {1: 1, 50: 6}.get(ring, max(rings.values())) and (ring < 16_384 or len(rings) == 3)
+    found, _ = M.search_shells(shells, e)
+    assert as_rows(found) == as_rows(vectors.knn_exact(e, e, 10, "l2"))
