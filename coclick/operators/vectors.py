@@ -41,8 +41,9 @@ W2V_ITER = 15
 W2V_PARTITIONS = 15
 MAX_SENTENCE = 1000   # tokens per sentence chunk
 MAX_LISTS_BYTES = 64 << 20   # largest IVF centroid table that travels with the tasks
-# a tile of a large search: QUERY_BLOCKS blocks of queries, CORPUS_BLOCKS blocks of the corpus, TILE_SIDE of each at a time
-QUERY_BLOCKS, CORPUS_BLOCKS, TILE_SIDE = 4, 16, 512
+# a tile of a large search: QUERY_BLOCKS blocks of queries, CORPUS_BLOCKS blocks of the corpus; so many of each at a time
+QUERY_BLOCKS, CORPUS_BLOCKS, QUERY_SIDE, CORPUS_SIDE = 4, 16, 256, 1024
+LARGEST_SINGLE = 1e30   # products up to here are compared in single precision
 
 _PAIR_SCHEMA = T.StructType([T.StructField("qid", T.LongType()), T.StructField("cid", T.LongType()),
                              T.StructField("dist", T.DoubleType())])
@@ -62,48 +63,82 @@ def _rows(vec: pa.Array) -> np.ndarray:
     return x
 
 
+def _single(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return x.astype(np.float32)
+
+
 class _Nearest:
     """The k nearest so far of a block of queries, among corpus vectors that come in any order.
 
-    Products of the vectors are compared with each query's bar; only those that
-    pass become distances.  For ``l2`` a corpus vector's half square rides along as
-    one more dimension, so the product is (|q|^2 - distance) / 2.
+    Products of the vectors in single precision are compared with each query's bar, less the
+    most that their rounding can take away; only those that pass become distances, from the
+    vectors as they are.  What passed waits until a side of queries has some for each, and
+    then lowers their bars.  For ``l2`` a corpus vector's half square rides along as one more
+    dimension, so the product is (|q|^2 - distance) / 2.
     """
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, space: str):
         self.ids, self.k, self.space = ids, k, space
+        self.scale = 2.0 if space == "l2" else 1.0
         self.base = (x * x).sum(1) if space == "l2" else np.ones(len(ids))
         self.x = np.hstack([x, np.ones((len(x), 1))]) if space == "l2" else self._unit(x)
+        self.size = np.sqrt((self.x * self.x).sum(1))
+        self.short, self.near = _single(self.x), np.empty((QUERY_SIDE, CORPUS_SIDE), np.float32)
         self.dist = np.full((len(ids), k), np.inf)
         self.cid = np.full((len(ids), k), -1, np.int64)
+        self.waiting: dict[int, list[tuple[np.ndarray, ...]]] = {}
 
     def _unit(self, x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if self.space == "cosine" else x
 
     def meet(self, ids: np.ndarray, x: np.ndarray) -> None:
         c = np.hstack([x, -0.5 * (x * x).sum(1)[:, None]]) if self.space == "l2" else self._unit(x)
-        for b in range(0, len(ids), TILE_SIDE):
-            for a in range(0, len(self.ids), TILE_SIDE):
-                self._meet(a, ids[b:b + TILE_SIDE], c[b:b + TILE_SIDE])
-
-    def _meet(self, a: int, ids: np.ndarray, c: np.ndarray) -> None:
-        of = slice(a, a + TILE_SIDE)
-        held, cids, base, scale = self.dist[of], self.cid[of], self.base[of], 2.0 if self.space == "l2" else 1.0
-        near = self.x[of] @ c.T
+        size, short = np.sqrt((c * c).sum(1)), _single(c)
+        for b in range(0, len(ids), CORPUS_SIDE):
+            part = slice(b, b + CORPUS_SIDE)
+            for a in range(0, len(self.ids), QUERY_SIDE):
+                self._meet(a, ids[part], c[part], short[part], size[part].max())
+
+    def _meet(self, a: int, ids: np.ndarray, c: np.ndarray, short: np.ndarray, largest: float) -> None:
+        of = slice(a, a + QUERY_SIDE)
+        base, bar, bound = self.base[of], self.dist[of, -1], self.size[of] * largest
+        # a product is off by at most half a unit per operation, of the sizes' product; large ones are not cut short
+        single = bound.max() < LARGEST_SINGLE
+        left, right, near = (self.short[of], short, self.near[:, :len(ids)]) if single else (self.x[of], c, None)
+        near = np.matmul(left, right.T, out=None if near is None else near[:len(left)])
+        off = (c.shape[1] + 8) * np.finfo(near.dtype).eps * bound + 10.0 ** -RANK_DIGITS
         # nothing past the k-th distance, of those seen or of these, can count; rounding may move it by a last place
-        bar = held[:, -1]
         if len(ids) > self.k and np.isinf(bar).any():
-            bar = np.minimum(bar, base - scale * np.partition(near, -self.k, axis=1)[:, -self.k])
-        least = (base - bar) / scale - 2.0 * 10.0 ** -RANK_DIGITS
-        hits = np.flatnonzero(~(near < least[:, None]))
-        if not len(hits):
+            bar = np.minimum(bar, base - self.scale * (np.partition(near, -self.k, axis=1)[:, -self.k] - off))
+        least = (base - bar) / self.scale - off - 10.0 ** -RANK_DIGITS
+        least = np.nextafter(np.where(np.isnan(least), -np.inf, least).astype(near.dtype), near.dtype.type(-np.inf))
+        rows = np.flatnonzero(~(near.max(axis=1) < least))   # later on few queries find anything
+        if not len(rows):
             return
-        row, col = np.divmod(hits, len(ids))
-        dist = base[row] - scale * near.ravel()[hits]
+        row, col = np.divmod(np.flatnonzero(~(near[rows] < least[rows, None])), len(ids))
+        row = rows[row]
+        dist = base[row] - self.scale * np.einsum("ij,ij->i", self.x[of][row], c[col])
+        if self.space == "l2":
+            dist = np.maximum(dist, 0.0)
+        # the bars themselves, with equal distances to 9 places by id; NaN counts as the farthest
+        by, cid = np.round(dist, RANK_DIGITS), ids[col]
+        held, last = np.round(self.dist[of, -1], RANK_DIGITS)[row], self.cid[of, -1][row]
+        keep = (by < held) | ((by == held) & (cid < last)) | np.isposinf(held) | (np.isnan(held) & (~np.isnan(by) | (cid < last)))
+        if keep.any():
+            waits = self.waiting.setdefault(a, [])
+            waits.append((row[keep], cid[keep], dist[keep]))
+            if np.isinf(self.dist[of, -1]).any() or sum(len(r) for r, _, _ in waits) > self.k * QUERY_SIDE:
+                self._settle(a)
+
+    def _settle(self, a: int) -> None:
+        of = slice(a, a + QUERY_SIDE)
+        held, cids = self.dist[of], self.cid[of]
+        row, cid, dist = (np.concatenate(x) for x in zip(*self.waiting.pop(a), strict=True))
         touched = np.unique(row)
         row = np.concatenate([np.repeat(touched, self.k), row])
-        cid = np.concatenate([cids[touched].ravel(), ids[col]])
-        dist = np.concatenate([held[touched].ravel(), np.maximum(dist, 0.0) if self.space == "l2" else dist])
+        cid = np.concatenate([cids[touched].ravel(), cid])
+        dist = np.concatenate([held[touched].ravel(), dist])
         # equal distances to 9 places: lower id first; places without a vector last
         by = np.lexsort((cid, np.round(dist, RANK_DIGITS), np.isposinf(dist), row))
         row, cid, dist = row[by], cid[by], dist[by]
@@ -113,6 +148,8 @@ class _Nearest:
         cids[row[keep], place[keep]] = cid[keep]
 
     def found(self) -> Iterator[pa.RecordBatch]:
+        for a in list(self.waiting):
+            self._settle(a)
         for a in range(0, len(self.ids), 1 + 100_000 // self.k):
             part = slice(a, a + 1 + 100_000 // self.k)
             row, col = np.nonzero(~np.isposinf(self.dist[part]))
@@ -169,7 +206,9 @@ def _tiled_topk(queries: DataFrame, corpus: DataFrame, k: int, space: str, block
     # sizes of the sides, or of their groups (one row per group: the lists of a bounded index)
     sizes = [{r[g[0]] if g else None: r["count"] for r in side.groupBy(*g).count().collect()} for side in (q, c)]
     both = sorted(x for x in set(sizes[0]) & set(sizes[1]) if x is not None or not g)
-    blocks = {x: (_blocks(sizes[0][x], block, QUERY_BLOCKS, 8), _blocks(sizes[1][x], block, CORPUS_BLOCKS, 4)) for x in both}
+    # the groups are tiles already: many of them need no more for the sake of parallel work
+    least = [max(1, -(-n // max(1, len(both)))) for n in (8, 4)]
+    blocks = {x: (_blocks(sizes[0][x], block, QUERY_BLOCKS, least[0]), _blocks(sizes[1][x], block, CORPUS_BLOCKS, least[1])) for x in both}
     if not both or not (g or (sizes[0][None] and sizes[1][None])):
         return q.select(F.col("id").alias("qid"), F.col("id").alias("cid"), F.lit(0.0).alias("dist")).limit(0)
 

@@ -87,3 +87,24 @@ def test_tiles_are_streams_with_wide_query_blocks(spark):
     assert vectors._blocks(600_000, 4096, vectors.QUERY_BLOCKS, 8) == 37
     assert vectors._blocks(600_000, 4096, vectors.CORPUS_BLOCKS, 4) == 10
     assert [vectors._blocks(n, 4096, 4, 8) for n in (0, 1, 4097, 100_000)] == [1, 1, 2, 8]
+
+
+def test_tiles_compare_in_single_precision_and_rank_in_double(spark):
+    # neighbours that single precision cannot tell apart, copies, and sizes that it cannot hold
+    rng = np.random.RandomState(7)
+    v = np.concatenate([1.0 + rng.normal(size=(300, 6)) * 1e-7, rng.normal(size=(1500, 6))])
+    v = np.concatenate([v, v[:200]])
+    for space, big in (("l2", 1.0), ("cosine", 1.0), ("ip", 1.0), ("cosine", 1e25)):
+        near = vectors._Nearest(np.arange(300), v[:300] * big, 7, space)
+        assert near.short.dtype == np.float32
+        by = rng.permutation(len(v))
+        for at in range(0, len(v), 900):
+            near.meet(by[at:at + 900], v[by[at:at + 900]] * big)
+        got = {}
+        for batch in near.found():
+            for q, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                got.setdefault(q, []).append(c)
+        c = v * big if space != "cosine" else v / np.linalg.norm(v, axis=1, keepdims=True)
+        q = c[:300]
+        d = np.maximum((q * q).sum(1)[:, None] + (c * c).sum(1) - 2 * q @ c.T, 0) if space == "l2" else 1 - q @ c.T
+        assert got == {i: np.lexsort((np.arange(len(v)), np.round(d[i], 9)))[:7].tolist() for i in range(300)}
