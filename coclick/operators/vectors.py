@@ -257,9 +257,11 @@ def ivf_search(queries: DataFrame, corpus: DataFrame, centres: np.ndarray, k: in
     per list with the tiled kernel.  With cosine, vectors are L2-normalised
     first.  Returns (qid, rank, cid, dist).
     """
+    corpus, queries = (d.select("id", "vec").where("vec is not null") for d in (corpus, queries))
     if space == "cosine":
-        corpus = corpus.select("id", l2_normalize("vec").alias("vec"))
-        queries = queries.select("id", l2_normalize("vec").alias("vec"))
+        # as in l2_normalize: a vector with a missing number has no direction
+        corpus, queries = (d.withColumn("vec", F.when(F.exists("vec", F.isnull), F.transform("vec", lambda x: F.lit(0).cast(
+            d.schema["vec"].dataType.elementType))).otherwise(F.col("vec"))) for d in (corpus, queries))
     centres = np.asarray(centres, dtype=np.float64)
     if centres.nbytes > MAX_LISTS_BYTES:
         raise ValueError(f"{centres.nbytes} bytes of centroids; at most {MAX_LISTS_BYTES} are sent to the tasks")
@@ -270,6 +272,9 @@ def ivf_search(queries: DataFrame, corpus: DataFrame, centres: np.ndarray, k: in
             x = _stack(v)
             if len(x) == 0:
                 return pd.Series([], dtype=object)
+            if space == "cosine":
+                norm = np.sqrt((x * x).sum(1, keepdims=True))
+                x = np.divide(x, norm, out=np.zeros_like(x), where=norm != 0)
             d = (x * x).sum(1)[:, None] + (centres * centres).sum(1)[None, :] - 2.0 * (x @ centres.T)
             idx = np.argsort(np.round(d, RANK_DIGITS), axis=1, kind="stable")[:, :probe]
             return pd.Series([row.astype(np.int64).tolist() for row in idx])
@@ -277,11 +282,12 @@ def ivf_search(queries: DataFrame, corpus: DataFrame, centres: np.ndarray, k: in
 
     ship_package(queries.sparkSession)
     probe = int(min(n_probe, len(centres)))
-    # written: the lists are assigned once for the group sizes and the search
+    # written: the lists are assigned once for the group sizes and the search; the vectors travel as they
+    # are (the tiles normalise them), a query's once for all its lists
     cx = stored(corpus.select("id", "vec", nearest(1)(F.col("vec").cast("array<double>"))[0].alias("list")),
                 "ivf-corpus")
-    qx = stored(queries.select("id", "vec", F.explode(nearest(probe)(F.col("vec").cast("array<double>"))).alias("list")),
-                "ivf-queries")
+    qx = stored(queries.select("id", "vec", nearest(probe)(F.col("vec").cast("array<double>")).alias("lists")),
+                "ivf-queries").select("id", "vec", F.explode("lists").alias("list"))
     cand = _tiled_topk(qx, cx, k, space, block, group_cols=["list"])
     return top_k_by_key(cand, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
 
@@ -326,11 +332,13 @@ def knn_approx(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str =
 
 def recall_at_k(approx: DataFrame, exact: DataFrame) -> DataFrame:
     """Mean over queries of |approx top-k ∩ exact top-k| / |exact top-k|."""
-    e = exact.select("qid", "cid")
-    hit = approx.select("qid", "cid").join(e, ["qid", "cid"]).groupBy("qid").agg(F.count(F.lit(1)).alias("h"))
-    n = e.groupBy("qid").agg(F.count(F.lit(1)).alias("n"))
-    per = n.join(hit, "qid", "left").select((F.coalesce("h", F.lit(0)) / F.col("n")).alias("r"))
-    return per.agg(F.avg("r").alias("recall"), F.count(F.lit(1)).alias("queries"))
+    # one pass over either side; a row without an id equals no other
+    both = exact.select("qid", "cid", F.lit(1).alias("e"), F.lit(0).alias("a")) \
+        .unionByName(approx.select("qid", "cid", F.lit(0).alias("e"), F.lit(1).alias("a")))
+    met = both.groupBy("qid", "cid").agg(F.sum("e").alias("e"), F.sum("a").alias("a"))
+    hit = F.when(F.col("qid").isNotNull() & F.col("cid").isNotNull(), F.col("e") * F.col("a")).otherwise(F.lit(0))
+    per = met.groupBy("qid").agg(F.sum(hit).alias("h"), F.sum("e").alias("n")).where("n > 0")
+    return per.select((F.col("h") / F.col("n")).alias("r")).agg(F.avg("r").alias("recall"), F.count(F.lit(1)).alias("queries"))
 
 
 def session_sentences(clicks: DataFrame, session_cols: list[str], item_col: str = "item", ts_col: str = "ts",

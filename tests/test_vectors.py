@@ -108,3 +108,33 @@ def test_tiles_compare_in_single_precision_and_rank_in_double(spark):
         q = c[:300]
         d = np.maximum((q * q).sum(1)[:, None] + (c * c).sum(1) - 2 * q @ c.T, 0) if space == "l2" else 1 - q @ c.T
         assert got == {i: np.lexsort((np.arange(len(v)), np.round(d[i], 9)))[:7].tolist() for i in range(300)}
+
+
+def test_recall_reads_each_side_once(spark):
+    exact = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 1), (3, 5), (None, 4), (4, None)], "qid long, cid long")
+    approx = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (9, 9), (None, 4), (4, None)], "qid long, cid long")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(it):
+        for batch in it:
+            seen.add(batch.num_rows)
+            yield batch
+    out = vectors.recall_at_k(approx, exact.repartition(1).mapInArrow(counted, exact.schema)).collect()[0]
+    assert seen.value == 7                          # 14 when the exact search was run for both sides of a join
+    assert out.queries == 5 and np.isclose(out.recall, (2 / 3 + 1) / 5)
+
+
+def test_ivf_ships_vectors_as_they_are_once_per_query(spark):
+    df, v = random_vectors(spark, 300, 8, 5)
+    odd = df.unionByName(spark.createDataFrame([(900, None), (901, [0.0] * 8)], df.schema))
+    found = vectors.knn_approx(odd, odd, 5, "cosine", n_lists=4, n_probe=4, centres=v[:4].astype(np.float64))
+    res = {}
+    for r in found.where("qid < 300 and cid < 300").collect():
+        res.setdefault(r.qid, []).append((r.rank, r.cid))
+    want = brute(v, v, 5, "cosine")
+    assert {q: [c for _, c in sorted(x)] for q, x in res.items()} == want
+    assert found.where("qid = 900 or cid = 900").count() == 0 and found.where("qid = 901").count() == 5
+    files = found.inputFiles()
+    stored = {f.rsplit("/", 2)[1].rsplit("-", 1)[0]: spark.read.parquet(f) for f in files}
+    assert all(d.schema["vec"].dataType.elementType.typeName() == "float" for d in stored.values())
+    assert "lists" in next(d for n, d in stored.items() if "queries" in n).columns
