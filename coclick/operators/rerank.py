@@ -12,8 +12,12 @@ distributed aggregation per step.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,30 +161,58 @@ def mmr_rerank_pairs(candidates: DataFrame, sims: DataFrame, lam: float = LAMBDA
         .unionByName(pair_sims.select("query", F.col("item_a").alias("item"), F.lit(None).cast("double").alias("score"),
                                       "item_b", "sim"))
 
-    def per_query(pdf: pd.DataFrame) -> pd.DataFrame:
-        cand = pdf[pdf["item_b"].isna()].copy()
-        cand = cand.assign(__r=cand["score"].round(RANK_DIGITS)).sort_values(["__r", "item"], ascending=[False, True])
-        items = cand["item"].to_numpy(dtype=np.int64)
-        scores = cand["score"].to_numpy(dtype=np.float64)
-        n = len(items)
-        S = np.zeros((n, n))
-        # both sides are candidates of this query: their places in id order, last of equal ids
-        by_id = np.argsort(items, kind="stable")
-        near = pdf[pdf["item_b"].notna()]
-        at = [by_id[np.searchsorted(items[by_id], near[c].to_numpy(dtype=np.int64), "right") - 1] for c in ("item", "item_b")]
-        S[at[0], at[1]] = near["sim"].to_numpy(dtype=np.float64)
-
-        def sim(j):
-            return S[:, j]
-
-        chosen = mmr_select(items, scores, sim, lam, top_n)
-        q = int(pdf["query"].iloc[0])
-        return pd.DataFrame({"query": [q] * len(chosen), "rank": np.arange(1, len(chosen) + 1, dtype=np.int64),
-                             "item": [int(items[i]) for i, _ in chosen],
-                             "score": [float(scores[i]) for i, _ in chosen], "mmr": [o for _, o in chosen]})
+    # a query's list and the pairs inside it, one row per query
+    mine = F.when(F.col("item_b").isNull(), F.struct("item", "score"))
+    near = F.when(F.col("item_b").isNotNull(), F.struct("item", "item_b", "sim"))
+    lists = rows.groupBy("query").agg(F.collect_list(mine).alias("l"), F.collect_list(near).alias("p")) \
+        .select("query", F.col("l.item").alias("items"), F.col("l.score").alias("scores"),
+                F.col("p.item").alias("a"), F.col("p.item_b").alias("b"), F.col("p.sim").alias("sims"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = pc.list_value_length(batch.column("items"))
+            # bounded slices: the similarities of a slice take about SLICE_CELLS numbers (or one list)
+            step = max(1, SLICE_CELLS // max(1, pc.max(n).as_py() or 0) ** 2)
+            for at in range(0, batch.num_rows, step):
+                yield _picked(batch.slice(at, step), lam, top_n)
 
     ship_package(rows.sparkSession)
-    return rows.groupBy("query").applyInPandas(per_query, _OUT)
+    return lists.mapInArrow(run, _OUT)
+
+
+def _picked(lists: pa.RecordBatch, lam: float, top_n: int | None) -> pa.RecordBatch:
+    """:func:`mmr_select` on all lists of a batch at once, with the similarities of the pairs named there."""
+    size = {c: pc.list_value_length(lists.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("items", "a")}
+    of, pair_of = (np.repeat(np.arange(lists.num_rows), n) for n in size.values())
+    flat = {c: lists.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("items", "scores", "a", "b", "sims")}
+    items, scores = flat["items"].astype(np.int64), flat["scores"].astype(np.float64)
+    order = np.lexsort((items, -np.round(scores, RANK_DIGITS), of))
+    items, scores = items[order], scores[order]
+    place = np.arange(len(of)) - np.repeat(np.cumsum(size["items"]) - size["items"], size["items"])
+    shape = (lists.num_rows, int(size["items"].max(initial=0)))
+    ids, S, remaining = np.zeros(shape, np.int64), np.zeros(shape), np.zeros(shape, bool)
+    ids[of, place], S[of, place], remaining[of, place] = items, scores, True
+    # both sides are candidates of the query: their places in id order, last of equal ids
+    names = np.unique(items)
+    code = lambda q, x: q * len(names) + np.searchsorted(names, x)
+    known = code(of, items)
+    by_id = np.argsort(known, kind="stable")
+    at = [place[by_id[np.searchsorted(known[by_id], code(pair_of, flat[c].astype(np.int64)), "right") - 1]] for c in ("a", "b")]
+    near = np.zeros((*shape, shape[1]))
+    near[pair_of, at[1], at[0]] = flat["sims"].astype(np.float64)
+    rows, max_sim, picks = np.arange(shape[0]), np.zeros(shape), []
+    for _ in range(shape[1] if top_n is None else min(top_n, shape[1])):
+        obj = lam * S - (1.0 - lam) * max_sim
+        best = np.argmax(np.where(remaining, np.round(obj, RANK_DIGITS), -np.inf), axis=1)   # first index among ties
+        picks.append((remaining[rows, best], ids[rows, best], S[rows, best], obj[rows, best]))
+        remaining[rows, best] = False
+        max_sim = np.maximum(max_sim, near[rows, best])
+    # (step, query) -> rows of a query together
+    done, *out = (np.stack(c, axis=1) if picks else np.zeros((shape[0], 0)) for c in (zip(*picks) if picks else [()] * 4))
+    q, rank = np.nonzero(done)
+    cols = [lists.column("query").take(pa.array(q)), pa.array(rank + 1), *(pa.array(c[q, rank]) for c in out)]
+    return pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)],
+                                      names=_OUT.fieldNames())
 
 
 def mmr_rerank_iterative(candidates: DataFrame, vectors: DataFrame, lam: float = LAMBDA, top_n: int = TOP_N,

@@ -542,7 +542,8 @@ def mmr_rerank(spark, sf):
 
 
 def mmr_sim_table(spark, sf):
-    cand = mmr_candidates(spark, sf)
+    # the search is done once for the lists and the table
+    cand = stored(mmr_candidates(spark, sf), "mmr-candidates")
     sims = cand.select(F.col("query").alias("item_a"), F.col("item").alias("item_b"), F.col("score").alias("sim"))
     out = rerank.mmr_rerank_pairs(cand, sims, lam=0.5, top_n=P.MMR_TOP_N)
     return out.select("query", "rank", "item", _r("mmr"))

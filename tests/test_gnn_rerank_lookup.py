@@ -75,3 +75,30 @@ def test_match_counts_either_way(spark):
     words = spark.createDataFrame([("a d",), ("d z",), (None,)], "text string")
     for limit in (lookup.BROADCAST_BYTES, 0):
         assert rows(lookup.match_counts(docs, words, broadcast_bytes=limit)) == [(1, 4, 2), (3, 2, 2)]
+
+
+def test_mmr_pairs_equals_one_list_at_a_time(spark, monkeypatch):
+    import numpy as np
+    rng = np.random.RandomState(5)
+    cand, sims = [], []
+    for q in range(40):
+        for i in rng.permutation(30)[:rng.randint(1, 20)]:
+            cand.append((q, int(i), float(rng.randint(0, 6) / 5)))      # many equal scores
+    for a in range(30):
+        for b in rng.permutation(30)[:12]:
+            sims.append((a, int(b), float(rng.randint(0, 5) / 4)))
+    table = {(a, b): s for a, b, s in sims}
+    cd, sd = spark.createDataFrame(cand, "query long, item long, score double"), spark.createDataFrame(sims, "item_a long, item_b long, sim double")
+    for cells in (rerank.SLICE_CELLS, 500):
+        monkeypatch.setattr(rerank, "SLICE_CELLS", cells)
+        for top_n in (None, 4):
+            out = rerank.mmr_rerank_pairs(cd, sd, lam=0.6, top_n=top_n)
+            assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().toString()
+            got = sorted((r.query, r["rank"], r.item, r.score, round(r.mmr, 9)) for r in out.collect())
+            want = []
+            for q in range(40):
+                mine = sorted(((i, s) for x, i, s in cand if x == q), key=lambda t: (-round(t[1], 9), t[0]))
+                ids, sc = np.array([i for i, _ in mine]), np.array([s for _, s in mine])
+                picked = rerank.mmr_select(ids, sc, lambda j: np.array([table.get((i, ids[j]), 0.0) for i in ids]), 0.6, top_n)
+                want += [(q, r, int(ids[i]), float(sc[i]), round(o, 9)) for r, (i, o) in enumerate(picked, 1)]
+            assert got == sorted(want)
