@@ -93,7 +93,8 @@ def _dealt(stripes: DataFrame, members: DataFrame, member_col: str) -> DataFrame
         stripes = stripes.withColumn("__part", F.lit(0).cast("long"))
     ship_package(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return stripes.repartition(parts, "a", "__part").sortWithinPartitions("a")
+    first = [F.desc("asked")] if "asked" in stripes.columns else []   # what is asked of a member comes before its stripes
+    return stripes.repartition(parts, "a", "__part").sortWithinPartitions("a", *first)
 
 
 def integral(df: DataFrame, *cols: str) -> bool:
@@ -133,6 +134,9 @@ def _by_member(reduce):
             if count < limit:
                 continue
             rows = reduce(tuple(map(np.concatenate, zip(*held, strict=True))))
+            if not len(rows[0]):
+                held, count, limit = [], 0, ELEMENTS
+                continue
             cut = np.searchsorted(rows[0], rows[0][-1])
             if cut:
                 yield tuple(c[:cut] for c in rows)
@@ -152,7 +156,8 @@ def pair_sums(stripes: DataFrame, members: DataFrame, member_col: str, asked: Da
     ``asked(a, b)`` names the only pairs that are wanted; ``least`` the least weight of a pair.
     ``members`` is what the stripes were made of: its frequent members are dealt to several tasks.
     """
-    valued, some = "vs" in stripes.columns, asked is not None or marked
+    valued, named = "vs" in stripes.columns, asked is not None
+    some = named or marked
     s = stripes.select(F.col("a").cast("bigint").alias("a"), "bs", *([F.col("v").cast("double").alias("v"), F.col("vs").cast("array<double>").alias("vs")] if valued else []),
                        F.lit(False).alias("asked"))
     if asked is not None:
@@ -179,6 +184,14 @@ def pair_sums(stripes: DataFrame, members: DataFrame, member_col: str, asked: Da
             return rows
         codes, firsts, names = _codes(a, b)
         spanned = (int(b.max()) - int(b.min()) + 1) * len(firsts) < 1 << 60
+        if named:
+            # most pairs are not asked for: they are left out before the sort
+            known = np.unique(codes[wish])
+            at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
+            keep = known[at] == codes if len(known) else np.zeros(len(codes), bool)
+            codes, w, wish, more = codes[keep], w[keep], wish[keep], [m[keep] for m in more]
+            if not len(codes):
+                return tuple(c[:0] for c in rows)
         if not more and not valued and not some and w.max() == 1:
             codes.sort()
             at = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
@@ -204,10 +217,12 @@ def pair_sums(stripes: DataFrame, members: DataFrame, member_col: str, asked: Da
     return _dealt(s, members, member_col).mapInArrow(run, f"a long, b long, weight {weight}{', va double, vb double' if carried else ''}")
 
 
-def shared_members(stripes: DataFrame, members: DataFrame, member_col: str, group_col: str, carry: str | None = None) -> DataFrame:
+def shared_members(stripes: DataFrame, members: DataFrame, member_col: str, group_col: str, carry: str | None = None,
+                   paired: int = 0) -> DataFrame:
     """(a, b, group[, carry]), each once: the groups of every pair that at least two of them hold.
 
-    ``carry`` is a number that belongs to the group.
+    ``carry`` is a number that belongs to the group.  With ``paired`` a pair of at most that many groups
+    gives a row for every two of them, ``group < group_b`` (and ``carry_b``); ``group_b`` is null in the others' rows.
     """
     s = stripes.select(F.col("a").cast("bigint").alias("a"), "bs", F.col(group_col).cast("bigint").alias("g"), (F.col(carry).cast("double") if carry else F.lit(0.0)).alias("c"))
 
@@ -234,8 +249,33 @@ def shared_members(stripes: DataFrame, members: DataFrame, member_col: str, grou
             same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
             keep = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(a) else np.zeros(0, bool)
             rows = [r[keep] for r in rows]
-            for i in range(0, len(rows[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(r[i:i + 100_000]) for r in rows], names=["a", "b", "g", "c"])
-
-    out = _dealt(s, members, member_col).mapInArrow(run, "a long, b long, g long, c double")
+            for part in _two_by_two(*rows, paired) if paired else [rows]:
+                for i in range(0, len(part[0]), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(r[i:i + 100_000]) for r in part], names=["a", "b", "g", "c", "h", "d"][:len(part)])
+
+    out = _dealt(s, members, member_col).mapInArrow(run, f"a long, b long, g long, c double{', h long, d double' if paired else ''}")
+    if paired:
+        return out.select("a", "b", F.col("g").alias(group_col), F.col("h").alias(f"{group_col}_b"),
+                          *([F.col("c").alias(carry), F.col("d").alias(f"{carry}_b")] if carry else []))
     return out.select("a", "b", F.col("g").alias(group_col), *([F.col("c").alias(carry)] if carry else []))
+
+
+def _two_by_two(a: np.ndarray, b: np.ndarray, g: np.ndarray, c: np.ndarray, most: int) -> Iterator[tuple]:
+    """Rows sorted by (a, b, g), as (a, b, g, c, h, d): every two groups g < h of a pair that has at most ``most``."""
+    if not len(a):
+        return
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    size = np.diff(np.append(first, len(a)))
+    at, size = np.arange(len(a)) - np.repeat(first, size), np.repeat(size, size)
+    many = size > most
+    if many.any():
+        none = pa.nulls(int(many.sum()))
+        yield a[many], b[many], g[many], c[many], none.cast(pa.int64()), none.cast(pa.float64())
+    left = np.flatnonzero(~many)
+    after = (size - at - 1)[left]
+    # so many rows that about ELEMENTS pairs are held at a time
+    cuts = np.searchsorted(np.cumsum(after), np.arange(ELEMENTS, int(after.sum()), ELEMENTS), "right")
+    for of, n in zip(np.split(left, cuts), np.split(after, cuts), strict=True):
+        x = np.repeat(of, n)
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)
+        yield a[x], b[x], g[x], c[x], g[y], c[y]

@@ -105,10 +105,19 @@ def item_pair_user_pairs(ipu: DataFrame, whitelist: DataFrame | None = None,
     carry = [c for c in ("user_weight",) if c in ipu.columns]
     if "itemjs" in ipu.columns:
         # pairs of one user go no further; repeats across days are removed on the way
+        # the task that has all users of an item pair pairs them, too, if they are few
         stripes = ipu.withColumnsRenamed({"itemi": "a", "itemjs": "bs"})
-        ipu = stored(shared_members(stripes, stripes if clicks is None else clicks, "a" if clicks is None else "item", "user", *carry)
+        met = stored(shared_members(stripes, stripes if clicks is None else clicks, "a" if clicks is None else "item", "user", *carry, paired=block)
                      .withColumnsRenamed({"a": "itemi", "b": "itemj"}), "swing-shared")
-        dedupe = False
+        paths = met.where("user_b is not null").select("itemi", "itemj", F.col("user").alias("ui"), F.col("user_b").alias("uj"), *[
+            F.col(c).alias(n) for c, n in (("user_weight", "uiw"), ("user_weight_b", "ujw")) if carry])
+        many = met.where("user_b is null")
+        if not many.isEmpty():
+            paths = paths.unionByName(item_pair_user_pairs(many.select("itemi", "itemj", "user", *carry), block=block, dedupe=False))
+        if whitelist is None:
+            return paths
+        wl = whitelist.select(F.col("item").alias("__w"))
+        return paths.join(wl, F.col("itemi") == F.col("__w"), "left_semi").join(wl, F.col("itemj") == F.col("__w"), "left_semi")
     d = ipu.select("itemi", "itemj", "user", *carry)
     if whitelist is not None:
         wl = whitelist.select(F.col("item").alias("__w"))
@@ -164,8 +173,7 @@ def swing_from_clicks(ui: DataFrame, whitelist: DataFrame | None = None, day_col
     ipu = item_pair_users(pair_src, day_col, assume_distinct=True, striped=True)
     paths = item_pair_user_pairs(ipu, dedupe=day_col is not None, clicks=pair_src)
     if integral(ud, "user", "item"):
-        # only the user pairs of the paths are counted
-        paths = stored(paths, "swing-paths")
+        # only the user pairs of the (written) paths are counted
         u2u = user_pair_counts(ud, day_col, assume_distinct=True, asked=paths)
     else:
         u2u = user_pair_counts(ud, day_col, assume_distinct=True)

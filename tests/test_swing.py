@@ -52,3 +52,31 @@ def test_length_profile(spark):
     lines = spark.createDataFrame([("1\ta;b",), ("2\ta",), ("3\ta;b;c;d",)], "line string")
     r = swing.length_profile(lines).collect()[0]
     assert r.key_size == 3 and math.isclose(r.avg_length, 7 / 3) and math.isclose(r.per50, 2.0)
+
+
+def test_users_are_paired_where_they_meet(spark):
+    import random
+    random.seed(3)
+    data = sorted({(u, random.randint(1, 9)) for u in range(40) for _ in range(6)})
+    clicks = ui(spark, data)
+    striped = swing.item_pair_users(clicks, striped=True)
+    of = {u: {i for v, i in data if v == u} for u in range(40)}
+    want = sorted((i, j, u, v) for u in of for v in of if u < v for i in of[u] & of[v] for j in of[u] & of[v] if i < j)
+    for block in (2048, 12, 2):                    # no pair, some pairs, almost all pairs of items with more users than a block
+        out = swing.item_pair_user_pairs(striped, block=block, clicks=clicks)
+        assert rows(out, "itemi", "itemj", "ui", "uj") == want
+        assert ("Join" in out._jdf.queryExecution().toString()) == (block < 2048)
+    listed = spark.createDataFrame([(i,) for i in (1, 2, 3, 4)], "item bigint")
+    out = swing.item_pair_user_pairs(striped, whitelist=listed, clicks=clicks)
+    assert rows(out, "itemi", "itemj", "ui", "uj") == [r for r in want if r[1] <= 4]
+
+
+def test_two_by_two_holds_few_pairs_at_a_time(monkeypatch):
+    import numpy as np
+    from coclick.operators import stripes
+    monkeypatch.setattr(stripes, "ELEMENTS", 10)
+    a, b, g = (np.array(x) for x in zip(*[(p, p + 1, u) for p, n in ((1, 5), (2, 2), (3, 30), (4, 7)) for u in range(n)], strict=True))
+    parts = list(stripes._two_by_two(a, b, g, g * 0.5, 10))
+    assert sum(len(p[0]) for p in parts) == 30 + 10 + 1 + 21 and max(len(p[0]) for p in parts[1:]) <= 10 + 6
+    pairs_ = sorted((int(x), int(u), int(v), float(d)) for p in parts[1:] for x, u, v, d in zip(p[0], p[2], p[4], p[5]))
+    assert pairs_ == [(x, u, v, v * 0.5) for x, n in ((1, 5), (2, 2), (4, 7)) for u in range(n) for v in range(u + 1, n)]
