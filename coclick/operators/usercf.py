@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coclick.operators.overlap import blocks_of, pair_overlaps
 from coclick.operators.pairs import DEFAULT_BLOCK, group_pairs, symmetrise
 from coclick.operators.skew import split_join
 from coclick.operators.stripes import STRIPE, group_stripes, integral, pair_sums
@@ -51,7 +52,10 @@ def user_similarity(ui: DataFrame, block: int = DEFAULT_BLOCK) -> DataFrame:
         # the users' sizes go along with the pairs, which are not joined again
         d = stored(d, "usercf-clicks")
         d = stored(d.join(d.groupBy("user").agg(F.count(F.lit(1)).cast("double").alias("n")), "user"), "usercf-sizes")
-        w = pair_sums(group_stripes(d, ["item"], "user", "n", block=min(block, STRIPE)), d, "user", carried=True)
+        # users of large groups meet as wholes, where that moves less than their pairs
+        blocks = blocks_of(d, "item", "user") if integral(d, "item") else 0
+        w = pair_overlaps(d, "item", "user", "n", blocks) if blocks else \
+            pair_sums(group_stripes(d, ["item"], "user", "n", block=min(block, STRIPE)), d, "user", carried=True)
         j = w.select(F.col("a").alias("ua"), F.col("b").alias("ub"), "weight", F.col("va").cast("bigint").alias("weight_a"),
                      F.col("vb").cast("bigint").alias("weight_b")) \
             .withColumn("score", F.col("weight") / F.sqrt("weight_a") / F.sqrt("weight_b"))
