@@ -18,6 +18,83 @@ def test_f15_inbatch_metrics(spark):
     assert math.isclose(loss[0], -math.log(p0 + 1e-8), rel_tol=1e-9)
 
 
+def batches(spark, text_pos=False):
+    """Three batches with repeated places, missing vectors, numbers, places and batches, and vectors of two lengths."""
+    rng = np.random.default_rng(8)
+    data = [(b, p, rng.normal(size=3).tolist(), rng.normal(size=3).tolist(), float(p % 3)) for b, n in ((0, 23), (1, 1), (7, 5)) for p in range(n)]
+    data += [(0, 4, [0.5, 0.1, 0.2], [1.0, 0.0, 0.3], 2.0), (0, 30, None, [1.0, 2.0, 3.0], 1.0), (0, 31, [1.0, 2.0, 3.0], None, 1.0),
+             (0, 32, [1.0, None, 3.0], [1.0, 2.0, 1.0], 1.0), (0, None, [1.0, 2.0, 3.0], [0.1, 0.2, 0.3], 1.0), (7, 9, [1.0, 1.0], [2.0, 0.5], None),
+             (None, 1, [1.0, 2.0, 3.0], [0.1, 0.2, 0.3], 1.0), (8, 0, None, None, 1.0), (0, 4, [0.5, 0.1, 0.2], [1.0, 0.0, 0.3], 2.0)]
+    df = spark.createDataFrame(data, "batch bigint, pos bigint, a array<double>, b array<double>, l double")
+    return df.withColumn("pos", df.pos.cast("string")) if text_pos else df
+
+
+def test_softmax_tiles_equal_the_join(spark, monkeypatch):
+    def loss(pairs, **how):
+        rows = gnn.inbatch_softmax_loss(pairs, label="l", shift=0.2, scale=1.7, **how).collect()
+        return sorted((r.batch, int(r.pos), *(None if x is None else round(x, 9) for x in (r.loss, r.p_pos))) for r in rows)
+    order = lambda rows: sorted(map(str, rows))
+    want = order(loss(batches(spark, text_pos=True)))
+    for tile in ((8192, 65_536), (4, 6)):
+        monkeypatch.setattr(gnn, "TILE_ROWS", tile[0])
+        monkeypatch.setattr(gnn, "TILE_COLUMNS", tile[1])
+        assert order(loss(batches(spark))) == want
+
+
+def test_softmax_runs_over_slices(monkeypatch):
+    monkeypatch.setattr(gnn, "ROWS_AT_ONCE", 3)
+    monkeypatch.setattr(gnn, "COLUMNS_AT_ONCE", 4)
+    rng = np.random.default_rng(1)
+    a, b, pos = rng.normal(size=(11, 5)) * 9, rng.normal(size=(17, 5)) * 9, np.arange(17)
+    rows = gnn._Softmax(pos[:11], list(a), 0.1, 2.0)
+    for part in (slice(0, 6), slice(6, 7), slice(7, 17)):
+        rows.meet(pos[part], pos[part] != 3, list(b[part]))
+    z = 2.0 * (a @ b.T)
+    z[np.arange(11), np.arange(11)] -= 0.2 * (np.arange(11) != 3)
+    want = np.exp(z - z.max(1, keepdims=True)).sum(1)
+    assert np.allclose(rows.top, z.max(1)) and np.allclose(rows.sum, want)
+    assert np.allclose(rows.own[rows.met], np.diag(z)[rows.met]) and rows.met.tolist() == [i != 3 for i in range(11)]
+
+
+def test_no_row_per_pair_of_a_batch(spark):
+    df = spark.createDataFrame([(0, p, [1.0, p / 300], [p / 300, 1.0]) for p in range(300)], "batch long, pos long, a array<double>, b array<double>")
+    loss = gnn.inbatch_softmax_loss(df)
+    assert loss.count() == 300
+    plan = loss._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "MapInArrow" in plan
+
+
+def test_max_pool_sends_a_vector_once_per_block(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    W = {k: v * 50 for k, v in gnn.init_weights(4, hidden=5, out_dim=3, seed=1).items()}
+    vec = {i: rng.normal(size=4) for i in range(1, 12)}
+    data = [(t, int(rng.integers(1, 14)), t, rng.integers(1, 14, rng.integers(0, 4)).tolist()) for t in range(60)]
+    data = [(t, va, vb, h, [rng.integers(1, 14, rng.integers(0, 3)).tolist() for _ in h]) for t, va, vb, h in data] + [
+        (70, None, 1, [1], [[2]]), (71, 1, 1, [None, 2], [[None, 3], []]), (72, 1, 1, None, [[1]]), (73, 1, 1, [1], None), (74, 1, 1, [1], [None])]
+    data += [data[3]]                                                                       # a repeated sample is one
+    samples = spark.createDataFrame(data, "tag bigint, va bigint, vb bigint, hop1s array<bigint>, hop2s array<array<bigint>>")
+    vdf = spark.createDataFrame([(i, v.tolist()) for i, v in vec.items()] + [(2, vec[2].tolist()), (12, None), (None, vec[1].tolist())],
+                                "id bigint, vec array<double>")
+    want = {}
+    for t, va, vb, h1, h2 in data:
+        if va not in vec or h1 is None or h2 is None or None in h2:
+            continue
+        hop1, m1, hop2, m2 = np.zeros((1, 3, 4)), np.zeros((1, 3), bool), np.zeros((1, 3, 2, 4)), np.zeros((1, 3, 2), bool)
+        for p, x in enumerate(h1):
+            if x in vec:
+                hop1[0, p], m1[0, p] = vec[x], True
+            for q, y in enumerate(h2[p]):
+                if y in vec:
+                    hop2[0, p, q], m2[0, p, q] = vec[y], True
+        want[t] = gnn.forward(vec[va][None], hop1, m1, hop2, m2, W)[0]
+    for size in (2048, 7):
+        monkeypatch.setattr(gnn, "BLOCK_SAMPLES", size)
+        got = gnn.neighbour_max_pool(samples, vdf, W, 3, 2, out_type="double")
+        rows_of = got.collect()
+        assert len(rows_of) == len(want) and all(np.allclose(r.emb, want[r.tag], atol=1e-9) for r in rows_of)
+    assert "collect_list" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_nn1_matches_numpy(spark):
     rng = np.random.RandomState(3)
     vec = {i: rng.normal(size=4) for i in range(1, 8)}
