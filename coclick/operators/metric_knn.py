@@ -8,7 +8,9 @@ By the triangle inequality no vector of a shell [lo, hi] around pivot p can be c
 than ``max(d(q, p) - hi, lo - d(q, p))``, so a query is sent only to the shells
 where that is within its bound.  Consecutive shells of a pivot make a ring: a query travels once to
 a ring that its bound reaches, with its distance to the pivot, however many shells it meets
-there.  A ring's task reads its vectors once and then its queries as a stream.
+there.  A ring's task holds its vectors in the order of their distance to the pivot and reads a share
+of the queries in that order too, so a few hundred of them meet one stretch of the ring at once: products
+in single precision say which pairs are compared in double (the tiles of exact search).
 
 Squared euclidean distance and cosine distance (euclidean on unit vectors); rows are
 those of :func:`coclick.operators.vectors.knn_exact`.
@@ -28,14 +30,15 @@ from coclick.functions.hashing import uniform_hash
 from coclick.operators.neighbour_graph import _distance, _matrix, _packed, _pivot_arrays, _unit
 from coclick.operators.positions import numbered
 from coclick.operators.topk import RANK_DIGITS, top_k_by_key
+from coclick.operators.vectors import _Nearest
 from coclick.session import ship_package, stored
 
 PIVOTS = 256
 BLOCK = 2048
-#: Queries that a shell's task compares at a time.
+#: Queries that a task compares at a time.
 QUERIES_AT_ONCE = 1024
-#: Vectors of a ring, at most (one shell at least).
-RING = 16_384
+#: Vectors of a ring, at most (one shell at least), and queries of a share, on average; smaller shares as long as there are few.
+RING, SHARE, LEAST_SHARE, SHARES = 65_536, 65_536, 8192, 4
 #: Bounds give way by this much, for the rounding of distances.
 SLACK = 1e-6
 SPACES = ("cosine", "l2")
@@ -161,80 +164,98 @@ def _in_shells(shells: Shells, sent: DataFrame, queries: DataFrame, k: int) -> D
         .mapInArrow(_compared(shells.space, k), "qid long, cid long, dist double")
 
 
-def _compared_rings(space: str, k: int):
-    """Rows sorted by (ring, kind): a ring's vectors (0), then its queries (1), to each query's k nearest within its bound.
+def _held(batches: Iterator[pa.RecordBatch], close, meet) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (tile, kind): ``close`` what a tile holds (0), then ``meet`` it with the rows that pass by (1)."""
+    tile, held, closed = None, [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        name, kinds = batch.column("tile").to_numpy(zero_copy_only=False), batch.column("kind").to_numpy()
+        cuts = [0, *(np.flatnonzero((name[1:] != name[:-1]) | (np.diff(kinds) != 0)) + 1).tolist(), len(name)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if name[a] != tile:
+                tile, held, closed = name[a], [], None
+            part = batch.slice(a, b - a)
+            if kinds[a] == 0:
+                held.append(part)
+                continue
+            if closed is None:
+                if not held:
+                    continue
+                closed, held = close(pa.Table.from_batches(held).combine_chunks()), []
+            yield from meet(closed, part)
 
-    A query meets the shells that its bound reaches, but for its home, which it has met.
-    """
-    def near(shells: list[tuple], queries: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+
+def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A pivot's shells, sorted by their bounds, and its queries by distance, to the shell that each lies in or next to."""
+    def close(rows: pa.Table) -> tuple:
+        lo, hi = rows.column("lo").to_numpy(), rows.column("hi").to_numpy()
+        return lo, hi, rows.column("shell").combine_chunks(), rows.column("ring").combine_chunks()
+
+    def meet(shells: tuple, queries: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lo, hi, names, rings = shells
+        d = queries.column("lo").to_numpy()
+        below = np.clip(np.searchsorted(lo, d, "right") - 1, 0, len(lo) - 1)
+        above = np.minimum(below + 1, len(lo) - 1)
+        at = np.where(lo[above] - d < d - hi[below], above, below)
+        rows = pa.array(at)
+        off = np.maximum(np.maximum(lo[at] - d, d - hi[at]), 0.0)
+        yield pa.RecordBatch.from_arrays(
+            [queries.column("qid"), names.take(rows), rings.take(rows), pa.array(lo[at]), pa.array(hi[at]), pa.array(off)],
+            names=["qid", "shell", "ring", "lo", "hi", "off"])
+
+    yield from _held(batches, close, meet)
+
+
+def _compared_rings(space: str, k: int):
+    """A ring's vectors, sorted by distance to the pivot, and queries in that order, to each query's k nearest within its bound."""
+    def close(rows: pa.Table) -> tuple:
+        x = _matrix(rows.column("vec").chunk(0), rows.num_rows)
+        far = float((x * x).sum(1).max()) if space == "l2" else 1.0
+        return rows.column("id").to_numpy(), rows.column("low").to_numpy(), _Nearest.corpus(x, space), far
+
+    def meet(ring: tuple, queries: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, d, corpus, far = ring
         for a in range(0, queries.num_rows, QUERIES_AT_ONCE):
             part = queries.slice(a, QUERIES_AT_ONCE)
-            q = _unit(_matrix(part.column("vec"), part.num_rows), space)
-            at, bound, worst = (part.column(c).to_numpy() for c in ("d", "bound", "worst"))
-            home = part.column("shell").to_numpy(zero_copy_only=False)
-            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-            for name, lo, hi, ids, x in shells:
-                meets = np.flatnonzero((at - bound <= hi) & (lo <= at + bound) & (home != name))
-                if not len(meets):
-                    continue
-                d = _distance(q[meets], x, space)
-                bar = worst[meets] + 2.0 * 10.0 ** -RANK_DIGITS
-                if k < len(ids) and np.isinf(bar).any():
-                    bar = np.minimum(bar, np.partition(d, k - 1, axis=1)[:, k - 1] + 2.0 * 10.0 ** -RANK_DIGITS)
-                row, col = np.nonzero(d <= bar[:, None])
-                found.append((meets[row], ids[col], d[row, col]))
-            row, cid, d = map(np.concatenate, zip(*found, strict=True))
-            by = np.lexsort((cid, np.round(d, RANK_DIGITS), row))
-            row, cid, d = row[by], cid[by], d[by]
-            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
-            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row[keep])), pa.array(cid[keep]), pa.array(d[keep])],
-                                             names=["qid", "cid", "dist"])
-
-    def closed(held: list[pa.RecordBatch]) -> list[tuple]:
-        rows = pa.Table.from_batches(held).combine_chunks()
-        names = rows.column("shell").to_numpy()
-        ids, d = rows.column("id").to_numpy(), rows.column("d").to_numpy()
-        x = _unit(_matrix(rows.column("vec").chunk(0), len(ids)), space)
-        by = np.argsort(names, kind="stable")
-        cuts = [0, *(np.flatnonzero(names[by][1:] != names[by][:-1]) + 1).tolist(), len(by)]
-        return [(names[by[a]], d[by[a:b]].min(), d[by[a:b]].max(), ids[by[a:b]], x[by[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            q = _matrix(part.column("vec"), part.num_rows)
+            low, high, worst = (part.column(c).to_numpy() for c in ("low", "high", "worst"))
+            near = _Nearest(part.column("id").to_numpy(), q, k, space)
+            # the bound's own vectors stay within it, however their distance is rounded
+            size = (q * q).sum(1) + far if space == "l2" else np.full(len(q), 2.0)
+            near.within(worst + 2.0 * 10.0 ** -RANK_DIGITS + 64.0 * np.finfo(float).eps * size)
+            near.reach(ids, corpus, np.searchsorted(d, low, "left"), np.searchsorted(d, high, "right"))
+            yield from near.found()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ring, held, shells = None, [], None
-        for batch in batches:
-            name, kinds = batch.column("ring").to_numpy(zero_copy_only=False), batch.column("kind").to_numpy()
-            cuts = [0, *(np.flatnonzero((name[1:] != name[:-1]) | (np.diff(kinds) != 0)) + 1).tolist(), len(name)]
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                if a == b:
-                    continue
-                if name[a] != ring:
-                    ring, held, shells = name[a], [], None
-                part = batch.slice(a, b - a)
-                if kinds[a] == 0:
-                    held.append(part)
-                    continue
-                if shells is None:
-                    if not held:
-                        continue
-                    shells, held = closed(held), []
-                yield from near(shells, part)
+        yield from _held(batches, close, meet)
     return run
 
 
-def _in_rings(shells: Shells, ranges: DataFrame, home: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(qid, cid, dist): the k nearest of every query in the rings in reach; ``ranges(qid, pivot, d, bound, worst)``."""
+def _in_rings(shells: Shells, ranges: DataFrame, home: DataFrame, queries: DataFrame, k: int, shares: int) -> DataFrame:
+    """(qid, cid, dist): the k nearest of every query in the rings in reach; ``ranges(qid, pivot, d, bound, worst)``.
+
+    A query's own shell is in reach, however its bound is rounded.
+    """
     rings = shells.shells.groupBy("pivot", "ring").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    asked = ranges.join(rings, "pivot").where((F.col("d") - F.col("bound") <= F.col("hi")) & (F.col("lo") <= F.col("d") + F.col("bound"))) \
-        .join(home.withColumnRenamed("shell", "__home"), "qid").join(queries.select(F.col("id").alias("qid"), "vec"), "qid") \
-        .select("ring", F.lit(1).alias("kind"), F.col("qid").alias("id"), F.col("__home").alias("shell"), "vec", "d", "bound", "worst")
-    held = shells.vectors.select("ring", F.lit(0).alias("kind"), "id", "shell", "vec", "d", F.lit(0.0).alias("bound"), F.lit(0.0).alias("worst"))
+    own = home.select("qid", F.col("ring").alias("__home"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"))
+    low, high, at_home = F.col("d") - F.col("bound"), F.col("d") + F.col("bound"), F.col("ring") == F.col("__home")
+    tile = lambda share: F.concat_ws("/", "ring", share)
+    asked = ranges.join(rings, "pivot").join(own, "qid").where((low <= F.col("hi")) & (F.col("lo") <= high) | at_home) \
+        .join(queries.select(F.col("id").alias("qid"), "vec"), "qid") \
+        .select(tile(F.pmod(F.xxhash64("qid"), F.lit(shares))).alias("tile"), F.lit(1).alias("kind"), F.col("qid").alias("id"), "vec",
+                F.when(at_home, F.least(low, "__lo")).otherwise(low).alias("low"),
+                F.when(at_home, F.greatest(high, "__hi")).otherwise(high).alias("high"), "worst", "d")
+    held = shells.vectors.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))) \
+        .select(tile("__share").alias("tile"), F.lit(0).alias("kind"), "id", "vec", F.col("d").alias("low"), F.lit(0.0).alias("high"),
+                F.lit(0.0).alias("worst"), "d")
     parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return held.unionByName(asked).repartition(parts, "ring").sortWithinPartitions("ring", "kind", "id") \
+    return held.unionByName(asked).repartition(parts, "tile").sortWithinPartitions("tile", "kind", "d", "id") \
         .mapInArrow(_compared_rings(shells.space, k), "qid long, cid long, dist double")
 
 
 def search_shells(shells: Shells, queries: DataFrame, k: int = 10) -> tuple[DataFrame, DataFrame]:
-    """((qid, rank, cid, dist) of the k nearest, (qid, shell) of all shells that the queries were sent to)."""
+    """((qid, rank, cid, dist) of the k nearest, (qid, shell) of all shells that the queries' bounds reach)."""
     spark = queries.sparkSession
     ship_package(spark)
     asked = _vectors(queries, "shell-queries").distinct()
@@ -243,12 +264,21 @@ def search_shells(shells: Shells, queries: DataFrame, k: int = 10) -> tuple[Data
                 spark.createDataFrame([], "qid long, shell string"))
     far = stored(asked.mapInArrow(_to_pivots(*_pivot_arrays(shells.pivots), shells.space, True), _PLACED)
                  .select(F.col("id").alias("qid"), "pivot", "d", "nearest"), "shell-distances")
+    n = asked.count()
+    shares = max(-(-n // SHARE), min(SHARES, -(-n // LEAST_SHARE)), 1)
     # the shell around the nearest pivot that the query would lie in, or the one closest to that
-    home = far.where("nearest").join(shells.shells, "pivot") \
-        .withColumn("off", F.greatest(F.col("d") - F.col("hi"), F.col("lo") - F.col("d"), F.lit(0.0)))
-    home = stored(top_k_by_key(home, ["qid"], ["off", "shell"], 1).select("qid", "shell"), "shell-homes")
-    first = stored(_in_shells(shells, home, asked, k), "shell-first")
-    reach = first.groupBy("qid").agg(F.max("dist").alias("worst"), F.count("*").alias("have"))
+    tile = lambda share: F.concat_ws("/", "pivot", share)
+    own = far.where("nearest").select(tile(F.pmod(F.xxhash64("qid"), F.lit(shares))).alias("tile"), F.lit(1).alias("kind"), "qid",
+                                      F.lit(None).cast("string").alias("shell"), F.lit(None).cast("string").alias("ring"),
+                                      F.col("d").alias("lo"), F.lit(0.0).alias("hi"))
+    bounds = shells.shells.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))) \
+        .select(tile("__share").alias("tile"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("qid"), "shell", "ring", "lo", "hi")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    home = bounds.unionByName(own).repartition(parts, "tile").sortWithinPartitions("tile", "kind", "lo", "hi", "shell") \
+        .mapInArrow(_homes, "qid long, shell string, ring string, lo double, hi double, off double")
+    home = stored(top_k_by_key(home, ["qid"], ["off", "shell"], 1).select("qid", "shell", "ring", "lo", "hi"), "shell-homes")
+    first = _in_shells(shells, home.select("qid", "shell"), asked, k)
+    reach = stored(first.groupBy("qid").agg(F.max("dist").alias("worst"), F.count("*").alias("have")), "shell-reach")
     # both distances are squares of the metric, up to a factor of two
     worst = F.sqrt(F.greatest(F.col("worst"), F.lit(0.0)) * (2.0 if shells.space == "cosine" else 1.0))
     bound = F.when(F.col("have") >= k, worst * (1 + SLACK) + SLACK).otherwise(F.lit(float("inf")))
@@ -258,9 +288,9 @@ def search_shells(shells: Shells, queries: DataFrame, k: int = 10) -> tuple[Data
     sent = ranges.join(shells.shells, "pivot") \
         .where((F.col("d") - F.col("bound") <= F.col("hi")) & (F.col("lo") <= F.col("d") + F.col("bound"))) \
         .select("qid", "shell").join(home, ["qid", "shell"], "left_anti")
-    found = first.unionByName(_in_rings(shells, ranges, home, asked, k))
+    found = _in_rings(shells, ranges, home, asked, k, shares)
     ranked = top_k_by_key(found, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
-    return ranked, home.unionByName(sent)
+    return ranked, home.select("qid", "shell").unionByName(sent)
 
 
 def knn_pruned(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "cosine", pivots: int = PIVOTS,

@@ -43,6 +43,7 @@ MAX_SENTENCE = 1000   # tokens per sentence chunk
 MAX_LISTS_BYTES = 64 << 20   # largest IVF centroid table that travels with the tasks
 # a tile of a large search: QUERY_BLOCKS blocks of queries, CORPUS_BLOCKS blocks of the corpus; so many of each at a time
 QUERY_BLOCKS, CORPUS_BLOCKS, QUERY_SIDE, CORPUS_SIDE = 4, 16, 256, 1024
+NO_VECTOR = np.iinfo(np.int64).max   # id of a place that a bound takes
 LARGEST_SINGLE = 1e30   # products up to here are compared in single precision
 
 _PAIR_SCHEMA = T.StructType([T.StructField("qid", T.LongType()), T.StructField("cid", T.LongType()),
@@ -82,24 +83,44 @@ class _Nearest:
         self.ids, self.k, self.space = ids, k, space
         self.scale = 2.0 if space == "l2" else 1.0
         self.base = (x * x).sum(1) if space == "l2" else np.ones(len(ids))
-        self.x = np.hstack([x, np.ones((len(x), 1))]) if space == "l2" else self._unit(x)
+        self.x = np.hstack([x, np.ones((len(x), 1))]) if space == "l2" else self._unit(x, space)
         self.size = np.sqrt((self.x * self.x).sum(1))
         self.short, self.near = _single(self.x), np.empty((QUERY_SIDE, CORPUS_SIDE), np.float32)
         self.dist = np.full((len(ids), k), np.inf)
         self.cid = np.full((len(ids), k), -1, np.int64)
         self.waiting: dict[int, list[tuple[np.ndarray, ...]]] = {}
 
-    def _unit(self, x: np.ndarray) -> np.ndarray:
-        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if self.space == "cosine" else x
+    @staticmethod
+    def _unit(x: np.ndarray, space: str) -> np.ndarray:
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if space == "cosine" else x
+
+    @classmethod
+    def corpus(cls, x: np.ndarray, space: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Corpus vectors as the products take them, in double and single precision, and their sizes."""
+        c = np.hstack([x, -0.5 * (x * x).sum(1)[:, None]]) if space == "l2" else cls._unit(x, space)
+        return c, _single(c), np.sqrt((c * c).sum(1))
 
     def meet(self, ids: np.ndarray, x: np.ndarray) -> None:
-        c = np.hstack([x, -0.5 * (x * x).sum(1)[:, None]]) if self.space == "l2" else self._unit(x)
-        size, short = np.sqrt((c * c).sum(1)), _single(c)
+        c, short, size = self.corpus(x, self.space)
         for b in range(0, len(ids), CORPUS_SIDE):
             part = slice(b, b + CORPUS_SIDE)
             for a in range(0, len(self.ids), QUERY_SIDE):
                 self._meet(a, ids[part], c[part], short[part], size[part].max())
 
+    def reach(self, ids: np.ndarray, corpus: tuple[np.ndarray, np.ndarray, np.ndarray], first: np.ndarray, last: np.ndarray) -> None:
+        """Each side of queries meets the corpus vectors from the lowest ``first`` to the highest ``last`` of its queries."""
+        c, short, size = corpus
+        for a in range(0, len(self.ids), QUERY_SIDE):
+            end = int(last[a:a + QUERY_SIDE].max())
+            for b in range(int(first[a:a + QUERY_SIDE].min()), end, CORPUS_SIDE):
+                part = slice(b, min(b + CORPUS_SIDE, end))
+                self._meet(a, ids[part], c[part], short[part], size[part].max())
+
+    def within(self, worst: np.ndarray) -> None:
+        """Only distances up to ``worst`` are wanted: the places of a list are taken until nearer vectors come."""
+        some = np.isfinite(worst)
+        self.dist[some], self.cid[some] = worst[some, None], NO_VECTOR
+
     def _meet(self, a: int, ids: np.ndarray, c: np.ndarray, short: np.ndarray, largest: float) -> None:
         of = slice(a, a + QUERY_SIDE)
         base, bar, bound = self.base[of], self.dist[of, -1], self.size[of] * largest
@@ -152,7 +173,7 @@ class _Nearest:
             self._settle(a)
         for a in range(0, len(self.ids), 1 + 100_000 // self.k):
             part = slice(a, a + 1 + 100_000 // self.k)
-            row, col = np.nonzero(~np.isposinf(self.dist[part]))
+            row, col = np.nonzero(~np.isposinf(self.dist[part]) & (self.cid[part] != NO_VECTOR))
             yield pa.RecordBatch.from_arrays([pa.array(self.ids[part][row]), pa.array(self.cid[part][row, col]),
                                               pa.array(self.dist[part][row, col])], names=["qid", "cid", "dist"])
 

@@ -1,6 +1,7 @@
 """Exact search in shells against brute force, and what the bounds skip."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +59,42 @@ def test_rings_of_shells_are_exact_and_take_a_query_once(spark, monkeypatch, rin
     assert max(rings.values()) == {1: 1, 50: 6}.get(ring, max(rings.values())) and (ring < 16_384 or len(rings) == 3)
     found, _ = M.search_shells(shells, e)
     assert as_rows(found) == as_rows(vectors.knn_exact(e, e, 10, "l2"))
+
+
+@pytest.mark.parametrize("space", M.SPACES)
+def test_shares_of_queries_far_from_zero_are_exact(spark, monkeypatch, space):
+    monkeypatch.setattr(M, "SHARE", 60)
+    monkeypatch.setattr(M, "RING", 100)
+    e = corpus(spark, 350, groups=9, spread=0.4).withColumn("vec", F.transform("vec", lambda v: (v * 4 + 900).cast("float"))).cache()
+    q = e.where("id % 2 = 0").unionByName(corpus(spark, 30).selectExpr("id + 5000 AS id", "vec"))
+    found = M.knn_pruned(q, e, 7, space, pivots=4, block=16).collect()
+    want = vectors.knn_exact(q, e, 7, space).collect()
+    assert len(found) == len(want) == 7 * q.count()
+    by = lambda rows: {(r["qid"], r["rank"]): r["dist"] for r in rows}
+    got = by(found)
+    assert all(abs(got[k] - d) <= 1e-6 * max(1.0, abs(d)) for k, d in by(want).items())
+
+
+def test_a_query_is_not_joined_to_all_shells_of_its_pivot(spark, monkeypatch):
+    stored, homes = M.stored, []
+    monkeypatch.setattr(M, "stored", lambda df, name: (homes.append(df) if name == "shell-homes" else None, stored(df, name))[1])
+    e = corpus(spark, 500)
+    found, _ = M.search_shells(M.build_shells(e, "l2", pivots=3, block=4), e)
+    plan = homes[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and found.count() == 5000
+
+
+def test_home_is_the_shell_around_or_closest():
+    rng = np.random.default_rng(2)
+    ends = np.sort(rng.random(20)).reshape(10, 2)
+    d = np.concatenate([rng.random(50) * 1.4 - 0.2, ends.ravel()])
+    rows = [("1/0", 0, None, f"s{i}", "r", lo, hi) for i, (lo, hi) in enumerate(ends)] + [("1/0", 1, i, None, None, x, 0.0) for i, x in enumerate(d)]
+    rows += [("2/0", 1, 9, None, None, 0.5, 0.0), ("3/0", 0, None, "t", "r", 0.1, 0.2), ("3/0", 1, 77, None, None, 9.0, 0.0)]
+    types = (pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.float64())
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                     names=["tile", "kind", "qid", "shell", "ring", "lo", "hi"])
+    got = {q: (shell, off) for b in M._homes(iter(table.to_batches(max_chunksize=7))) for q, shell, off in
+           zip(b["qid"].to_pylist(), b["shell"].to_pylist(), b["off"].to_pylist(), strict=True)}
+    off = np.maximum(np.maximum(ends[:, 0] - d[:, None], d[:, None] - ends[:, 1]), 0.0)
+    assert got.pop(77) == ("t", 8.8) and set(got) == set(range(len(d)))
+    assert all(abs(got[i][1] - off[i].min()) < 1e-12 and off[i, int(got[i][0][1:])] == got[i][1] for i in got)
