@@ -189,43 +189,55 @@ def _held(batches: Iterator[pa.RecordBatch], close, meet) -> Iterator[pa.RecordB
 def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A pivot's shells, sorted by their bounds, and its queries by distance, to the shell that each lies in or next to."""
     def close(rows: pa.Table) -> tuple:
-        lo, hi = rows.column("lo").to_numpy(), rows.column("hi").to_numpy()
-        return lo, hi, rows.column("shell").combine_chunks(), rows.column("ring").combine_chunks()
+        return rows.column("lo").to_numpy(), rows.column("hi").to_numpy(), rows.column("shell").combine_chunks()
 
     def meet(shells: tuple, queries: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        lo, hi, names, rings = shells
+        lo, hi, names = shells
         d = queries.column("lo").to_numpy()
         below = np.clip(np.searchsorted(lo, d, "right") - 1, 0, len(lo) - 1)
         above = np.minimum(below + 1, len(lo) - 1)
         at = np.where(lo[above] - d < d - hi[below], above, below)
-        rows = pa.array(at)
         off = np.maximum(np.maximum(lo[at] - d, d - hi[at]), 0.0)
-        yield pa.RecordBatch.from_arrays(
-            [queries.column("qid"), names.take(rows), rings.take(rows), pa.array(lo[at]), pa.array(hi[at]), pa.array(off)],
-            names=["qid", "shell", "ring", "lo", "hi", "off"])
+        yield pa.RecordBatch.from_arrays([queries.column("qid"), names.take(pa.array(at)), pa.array(off)], names=["qid", "shell", "off"])
 
     yield from _held(batches, close, meet)
 
 
 def _compared_rings(space: str, k: int):
-    """A ring's vectors, sorted by distance to the pivot, and queries in that order, to each query's k nearest within its bound."""
+    """A ring's vectors, sorted by distance to the pivot, and queries in that order, to each query's k nearest within its bound.
+
+    A query's home shell, which it has met, is left out of what is found.
+    """
     def close(rows: pa.Table) -> tuple:
         x = _matrix(rows.column("vec").chunk(0), rows.num_rows)
         far = float((x * x).sum(1).max()) if space == "l2" else 1.0
-        return rows.column("id").to_numpy(), rows.column("low").to_numpy(), _Nearest.corpus(x, space), far
+        # vectors go by their place in the order of ids: copies of one may lie in two shells
+        ids = rows.column("id").to_numpy()
+        by = np.argsort(ids, kind="stable")
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        names, shell = np.unique(rows.column("shell").to_numpy().astype(str), return_inverse=True)
+        return place, ids[by], names, shell[by], rows.column("d").to_numpy(), _Nearest.corpus(x, space), far
 
     def meet(ring: tuple, queries: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, d, corpus, far = ring
+        place, ids, names, shell, d, corpus, far = ring
         for a in range(0, queries.num_rows, QUERIES_AT_ONCE):
             part = queries.slice(a, QUERIES_AT_ONCE)
             q = _matrix(part.column("vec"), part.num_rows)
-            low, high, worst = (part.column(c).to_numpy() for c in ("low", "high", "worst"))
-            near = _Nearest(part.column("id").to_numpy(), q, k, space)
+            at, bound, worst = (part.column(c).to_numpy() for c in ("d", "bound", "worst"))
+            home = part.column("shell").to_numpy(zero_copy_only=False).astype(str)
+            code = np.minimum(np.searchsorted(names, home), len(names) - 1)
+            code = np.where(names[code] == home, code, -1)
+            near = _Nearest(np.arange(len(q)), q, k, space)
             # the bound's own vectors stay within it, however their distance is rounded
             size = (q * q).sum(1) + far if space == "l2" else np.full(len(q), 2.0)
             near.within(worst + 2.0 * 10.0 ** -RANK_DIGITS + 64.0 * np.finfo(float).eps * size)
-            near.reach(ids, corpus, np.searchsorted(d, low, "left"), np.searchsorted(d, high, "right"))
-            yield from near.found()
+            near.reach(place, corpus, np.searchsorted(d, at - bound, "left"), np.searchsorted(d, at + bound, "right"))
+            for found in near.found():
+                row, of, dist = (c.to_numpy() for c in found.columns)
+                other = shell[of] != code[row]
+                yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(row[other])), pa.array(ids[of[other]]), pa.array(dist[other])],
+                                                 names=["qid", "cid", "dist"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _held(batches, close, meet)
@@ -233,22 +245,15 @@ def _compared_rings(space: str, k: int):
 
 
 def _in_rings(shells: Shells, ranges: DataFrame, home: DataFrame, queries: DataFrame, k: int, shares: int) -> DataFrame:
-    """(qid, cid, dist): the k nearest of every query in the rings in reach; ``ranges(qid, pivot, d, bound, worst)``.
-
-    A query's own shell is in reach, however its bound is rounded.
-    """
+    """(qid, cid, dist): the k nearest of every query in the rings in reach; ``ranges(qid, pivot, d, bound, worst)``."""
     rings = shells.shells.groupBy("pivot", "ring").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    own = home.select("qid", F.col("ring").alias("__home"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"))
-    low, high, at_home = F.col("d") - F.col("bound"), F.col("d") + F.col("bound"), F.col("ring") == F.col("__home")
     tile = lambda share: F.concat_ws("/", "ring", share)
-    asked = ranges.join(rings, "pivot").join(own, "qid").where((low <= F.col("hi")) & (F.col("lo") <= high) | at_home) \
-        .join(queries.select(F.col("id").alias("qid"), "vec"), "qid") \
-        .select(tile(F.pmod(F.xxhash64("qid"), F.lit(shares))).alias("tile"), F.lit(1).alias("kind"), F.col("qid").alias("id"), "vec",
-                F.when(at_home, F.least(low, "__lo")).otherwise(low).alias("low"),
-                F.when(at_home, F.greatest(high, "__hi")).otherwise(high).alias("high"), "worst", "d")
+    asked = ranges.join(rings, "pivot").where((F.col("d") - F.col("bound") <= F.col("hi")) & (F.col("lo") <= F.col("d") + F.col("bound"))) \
+        .join(home, "qid").join(queries.select(F.col("id").alias("qid"), "vec"), "qid") \
+        .select(tile(F.pmod(F.xxhash64("qid"), F.lit(shares))).alias("tile"), F.lit(1).alias("kind"), F.col("qid").alias("id"), "shell", "vec",
+                "d", "bound", "worst")
     held = shells.vectors.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))) \
-        .select(tile("__share").alias("tile"), F.lit(0).alias("kind"), "id", "vec", F.col("d").alias("low"), F.lit(0.0).alias("high"),
-                F.lit(0.0).alias("worst"), "d")
+        .select(tile("__share").alias("tile"), F.lit(0).alias("kind"), "id", "shell", "vec", "d", F.lit(0.0).alias("bound"), F.lit(0.0).alias("worst"))
     parts = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return held.unionByName(asked).repartition(parts, "tile").sortWithinPartitions("tile", "kind", "d", "id") \
         .mapInArrow(_compared_rings(shells.space, k), "qid long, cid long, dist double")
@@ -269,16 +274,15 @@ def search_shells(shells: Shells, queries: DataFrame, k: int = 10) -> tuple[Data
     # the shell around the nearest pivot that the query would lie in, or the one closest to that
     tile = lambda share: F.concat_ws("/", "pivot", share)
     own = far.where("nearest").select(tile(F.pmod(F.xxhash64("qid"), F.lit(shares))).alias("tile"), F.lit(1).alias("kind"), "qid",
-                                      F.lit(None).cast("string").alias("shell"), F.lit(None).cast("string").alias("ring"),
-                                      F.col("d").alias("lo"), F.lit(0.0).alias("hi"))
+                                      F.lit(None).cast("string").alias("shell"), F.col("d").alias("lo"), F.lit(0.0).alias("hi"))
     bounds = shells.shells.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))) \
-        .select(tile("__share").alias("tile"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("qid"), "shell", "ring", "lo", "hi")
+        .select(tile("__share").alias("tile"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("qid"), "shell", "lo", "hi")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     home = bounds.unionByName(own).repartition(parts, "tile").sortWithinPartitions("tile", "kind", "lo", "hi", "shell") \
-        .mapInArrow(_homes, "qid long, shell string, ring string, lo double, hi double, off double")
-    home = stored(top_k_by_key(home, ["qid"], ["off", "shell"], 1).select("qid", "shell", "ring", "lo", "hi"), "shell-homes")
-    first = _in_shells(shells, home.select("qid", "shell"), asked, k)
-    reach = stored(first.groupBy("qid").agg(F.max("dist").alias("worst"), F.count("*").alias("have")), "shell-reach")
+        .mapInArrow(_homes, "qid long, shell string, off double")
+    home = stored(top_k_by_key(home, ["qid"], ["off", "shell"], 1).select("qid", "shell"), "shell-homes")
+    first = stored(_in_shells(shells, home, asked, k), "shell-first")
+    reach = first.groupBy("qid").agg(F.max("dist").alias("worst"), F.count("*").alias("have"))
     # both distances are squares of the metric, up to a factor of two
     worst = F.sqrt(F.greatest(F.col("worst"), F.lit(0.0)) * (2.0 if shells.space == "cosine" else 1.0))
     bound = F.when(F.col("have") >= k, worst * (1 + SLACK) + SLACK).otherwise(F.lit(float("inf")))
@@ -288,9 +292,9 @@ def search_shells(shells: Shells, queries: DataFrame, k: int = 10) -> tuple[Data
     sent = ranges.join(shells.shells, "pivot") \
         .where((F.col("d") - F.col("bound") <= F.col("hi")) & (F.col("lo") <= F.col("d") + F.col("bound"))) \
         .select("qid", "shell").join(home, ["qid", "shell"], "left_anti")
-    found = _in_rings(shells, ranges, home, asked, k, shares)
+    found = first.unionByName(_in_rings(shells, ranges, home, asked, k, shares))
     ranked = top_k_by_key(found, ["qid"], [F.round("dist", RANK_DIGITS), "cid"], k).select("qid", "rank", "cid", "dist")
-    return ranked, home.select("qid", "shell").unionByName(sent)
+    return ranked, home.unionByName(sent)
 
 
 def knn_pruned(queries: DataFrame, corpus: DataFrame, k: int = 10, space: str = "cosine", pivots: int = PIVOTS,

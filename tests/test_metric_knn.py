@@ -88,11 +88,11 @@ def test_home_is_the_shell_around_or_closest():
     rng = np.random.default_rng(2)
     ends = np.sort(rng.random(20)).reshape(10, 2)
     d = np.concatenate([rng.random(50) * 1.4 - 0.2, ends.ravel()])
-    rows = [("1/0", 0, None, f"s{i}", "r", lo, hi) for i, (lo, hi) in enumerate(ends)] + [("1/0", 1, i, None, None, x, 0.0) for i, x in enumerate(d)]
-    rows += [("2/0", 1, 9, None, None, 0.5, 0.0), ("3/0", 0, None, "t", "r", 0.1, 0.2), ("3/0", 1, 77, None, None, 9.0, 0.0)]
-    types = (pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.float64())
+    rows = [("1/0", 0, None, f"s{i}", lo, hi) for i, (lo, hi) in enumerate(ends)] + [("1/0", 1, i, None, x, 0.0) for i, x in enumerate(d)]
+    rows += [("2/0", 1, 9, None, 0.5, 0.0), ("3/0", 0, None, "t", 0.1, 0.2), ("3/0", 1, 77, None, 9.0, 0.0)]
+    types = (pa.string(), pa.int32(), pa.int64(), pa.string(), pa.float64(), pa.float64())
     table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                     names=["tile", "kind", "qid", "shell", "ring", "lo", "hi"])
+                     names=["tile", "kind", "qid", "shell", "lo", "hi"])
     got = {q: (shell, off) for b in M._homes(iter(table.to_batches(max_chunksize=7))) for q, shell, off in
            zip(b["qid"].to_pylist(), b["shell"].to_pylist(), b["off"].to_pylist(), strict=True)}
     off = np.maximum(np.maximum(ends[:, 0] - d[:, None], d[:, None] - ends[:, 1]), 0.0)
